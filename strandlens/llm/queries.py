@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bytebpe import round_trip
 from .fingerprints import fingerprint_edits
 from .secret_scan import find_secrets
 from .shared import documents
+from .tokenfiles import read_token_files, write_token_files
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +22,16 @@ def op4_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf_dir))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op4_multiset_fingerprint)}
+    return {f.__name__: f for f in (op1_secret_scan, op4_multiset_fingerprint, op5_token_files, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
