@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import passages, toxicity
 from .bytebpe import round_trip
 from .fingerprints import fingerprint_edits
 from .secret_scan import find_secrets
@@ -18,6 +19,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op4_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf_dir))
 
@@ -26,12 +32,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
 
 
+def op8_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return passages.score(docs, passages.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op4_multiset_fingerprint, op5_token_files, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op4_multiset_fingerprint, op5_token_files, op8_passage_quality, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

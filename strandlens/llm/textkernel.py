@@ -40,6 +40,8 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _VALUES = _byte_values(7)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(SPACE_BYTES)] = True
+#: Everything in ASCII but letters and digits.
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -86,11 +88,11 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
 class Words:
     """The words of a slice: byte ranges, and each document's range of words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SPACE):
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
         n = len(data)
-        solid = ~_SPACE[data]
+        solid = ~separators[data]
         if n:
             edge = np.zeros(n + 1, dtype=bool)
             edge[offsets] = True
@@ -112,14 +114,23 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes (a polynomial over random byte values, then mixed)."""
+        return self.prefix_hashes([None])[0]
+
+    def prefix_hashes(self, sizes: list[int | None]) -> list[np.ndarray]:
+        """For each size, the hash of each word's first so many bytes (of the whole word, where it is shorter or size is None)."""
         if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
+            return [np.zeros(0, dtype=np.uint64) for _ in sizes]
         up, down = _power_tables(len(self.data))
         sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
         np.cumsum(_VALUES[self.data] * up[: len(self.data)], out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        h += (self.ends - self.starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-        return mix64(h)
+        left, scale = sums[self.starts], down[self.starts]
+        out = []
+        for size in sizes:
+            ends = self.ends if size is None else np.minimum(self.starts + size, self.ends)
+            h = (sums[ends] - left) * scale
+            h += (ends - self.starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+            out.append(mix64(h))
+        return out
 
 
 def ngram_hashes(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
