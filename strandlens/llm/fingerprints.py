@@ -2,12 +2,12 @@
 
 A text is the multiset of its paragraphs: pieces that end at line breaks or
 sentence ends, long ones cut every ``PIECE`` code points, which together tile
-the whole text.  Each piece hashes to a wide vector of 128 lanes of +1/-1 and
+the whole text.  Each piece hashes to a wide vector of 128 lanes of 0/1 and
 four 32-bit lanes; a fingerprint is the sum of its pieces' vectors modulo
-2**16 and 2**32.  Sums commute, so the order of pieces doesn't matter, and
+2**16 and 2**32, with the number of pieces.  Sums commute, so the order of pieces doesn't matter, and
 pieces can be added or taken away (`combine`) without reading the rest.
 
-Likeness is the cosine of the 128 lanes (an unbiased estimate, with an error
+Likeness is the cosine of the 128 lanes, each taken as +1/-1 (an unbiased estimate, with an error
 near 1/sqrt(128), of the cosine of the piece counts), floored at 0.
 
 Nulls and edge cases: a null text is empty; the empty text has the zero vector,
@@ -65,23 +65,12 @@ def lanes(sketched: Column) -> Column:
     return F.concat(low, high)
 
 
-def hex_form(sketched: Column) -> Column:
-    """The fingerprint as text: 128 lanes modulo 2**16, then 4 sums modulo 2**32, in hexadecimal."""
-    # four lanes share a long, so that 34 numbers are formatted rather than 132
-    packed = F.slice(sketched, 2, 64)
-    n = sketched[0]
-
-    def lane(i: int) -> Column:
-        x = packed[i % 64]
-        ones = F.shiftrightunsigned(x, 32) if i >= 64 else x.bitwiseAND(F.lit(_LOW))
-        return (ones * 2 - n).bitwiseAND(F.lit(0xFFFF))
-
-    def word(i: int) -> Column:
-        return F.shiftleft(lane(i), 48).bitwiseOR(F.shiftleft(lane(i + 1), 32)).bitwiseOR(F.shiftleft(lane(i + 2), 16)).bitwiseOR(lane(i + 3))
-
-    words = [word(i) for i in range(0, LANES, 4)]
-    words += [F.shiftleft(sketched[65 + i].bitwiseAND(F.lit(_LOW)), 32).bitwiseOR(sketched[66 + i].bitwiseAND(F.lit(_LOW))) for i in (0, 2)]
-    return F.lower(F.concat(*(F.lpad(F.hex(w), 16, "0") for w in words)))
+def text_form(sketched: Column) -> Column:
+    """The fingerprint as text: the number of pieces, the counts of 1 bits modulo 2**16 (four lanes to a number), the sums modulo 2**32."""
+    mask = F.lit(0x0000FFFF0000FFFF)
+    wide = F.zip_with(F.slice(sketched, 2, 32), F.slice(sketched, 34, 32), lambda x, y: x.bitwiseAND(mask).bitwiseOR(F.shiftleft(y.bitwiseAND(mask), 16)))
+    sums = F.transform(F.slice(sketched, 66, SUMS), lambda x: x.bitwiseAND(F.lit(_LOW)))
+    return F.array_join(F.concat(F.slice(sketched, 1, 1), wide, sums).cast("array<string>"), ",")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -132,8 +121,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        hex_form(F.col("sketch")).alias("fingerprint"),
-        hex_form(F.col("edited_sketch")).alias("edited_fingerprint"),
+        text_form(F.col("sketch")).alias("fingerprint"),
+        text_form(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
     )
