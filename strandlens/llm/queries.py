@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import passages, toxicity
+from . import mixing, passages, toxicity
 from .bytebpe import round_trip
 from .fingerprints import fingerprint_edits
 from .secret_scan import find_secrets
-from .shared import documents
+from .shared import cut, documents
+from .telephony import describe_media, encode_payloads
 from .tokenfiles import read_token_files, write_token_files
 
 
@@ -32,6 +33,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
 
 
+def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_of(documents(spark, sf_dir))
+
+
+def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe_media(cut(encode_payloads(documents(spark, sf_dir)), "media"))
+
+
 def op8_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return passages.score(docs, passages.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -42,8 +51,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op4_multiset_fingerprint, op5_token_files, op8_passage_quality, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op4_multiset_fingerprint, op5_token_files, op6_temperature_mixing, op7_telephony, op8_passage_quality, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_temperature_mixing": mixing.sql()}
