@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import mixing, passages, toxicity
 from .bytebpe import round_trip
 from .fingerprints import fingerprint_edits
+from .neardup import near_duplicates
 from .secret_scan import find_secrets
 from .shared import cut, documents
 from .telephony import describe_media, encode_payloads
@@ -25,6 +26,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), words=3, percent=85)
+
+
 def op4_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf_dir))
 
@@ -51,7 +56,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op4_multiset_fingerprint, op5_token_files, op6_temperature_mixing, op7_telephony, op8_passage_quality, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_near_duplicates, op4_multiset_fingerprint, op5_token_files, op6_temperature_mixing, op7_telephony, op8_passage_quality, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
