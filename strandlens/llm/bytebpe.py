@@ -443,8 +443,11 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     return id_and_text(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids array<int>, offsets array<int>")
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every whole text and decode its ids: the number of ids, and digests of the ids and of the decoded bytes."""
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode every whole text and decode its ids: the number of ids, and digests of the ids and of the decoded bytes.
+
+    with_ids adds the ids themselves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
@@ -462,7 +465,11 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                     pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(cut[:-1], cut[1:], strict=True)]),
                     pa.array([hashlib.sha256(back[a:b]).hexdigest() for a, b in zip(decoded[:-1], decoded[1:], strict=True)]),
                 ]
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    out.append(pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(ids.astype(np.int32))))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(out, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

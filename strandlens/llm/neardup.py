@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -200,7 +200,7 @@ def linked(groups: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and links: the smallest id reachable over links of percent / 100 or more."""
+    """doc_id, n_shingles, component_id and kept: the smallest id reachable over links of percent / 100 or more."""
     rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = cut(signatures(rows, words), "signatures")
     named = signed.filter(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
@@ -228,3 +228,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     final = keyed.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep"))).join(reached, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return final.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of the documents that are kept; of rows with one id the one with the least text.
+
+    Rows with a null id all stay.
+    """
+    found = near_duplicates(docs, words, percent, id_col, text_col)
+    gone = cut(found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_")).distinct(), "gone")
+    again = cut(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("again_")), "again")
+    left = docs.join(gone, F.col(id_col) == F.col("gone_"), "left_anti")
+    if again.isEmpty():
+        return left
+    order = Window.partitionBy(id_col).orderBy(F.col(text_col))
+    twice = left.join(again, F.col(id_col) == F.col("again_"), "left_semi").withColumn("nth_", F.row_number().over(order)).filter("nth_ = 1").drop("nth_")
+    return left.join(again, F.col(id_col) == F.col("again_"), "left_anti").unionByName(twice)

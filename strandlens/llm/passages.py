@@ -199,21 +199,41 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 5, id_col: str = "doc_id
     return {k: found[k].reshape(shapes[k]) for k in Attention.NAMES}
 
 
+def _scores(model: Attention | None, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, scores, the passage of each text that weighs most)."""
+    for lo, hi, data, offsets in slices(texts, 1 << 20):
+        if model:
+            x, first = encode(data, offsets)
+            p, weight, *_, doc = model.forward(x, first)
+            order = np.lexsort((-weight, doc))
+            yield lo, hi, p.astype(np.float64), (order[first[:-1]] - first[:-1]).astype(np.int64)
+        else:
+            yield lo, hi, np.full(hi - lo, 0.5), np.zeros(hi - lo, np.int64)
+
+
+def keep_good(docs: DataFrame, weights: dict[str, np.ndarray] | None, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is at least THRESHOLD; without a model all rows."""
+    if weights is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Attention(weights)
+        for batch in batches:
+            good = [p >= THRESHOLD for _, _, p, _ in _scores(model, batch.column(text_col))]
+            if good:
+                yield batch.filter(pa.array(np.concatenate(good)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text, with the passage that weighs most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Attention(weights) if weights else None
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column("text"), 1 << 20):
-                if model:
-                    x, first = encode(data, offsets)
-                    p, weight, *_, doc = model.forward(x, first)
-                    order = np.lexsort((-weight, doc))
-                    top = order[first[:-1]] - first[:-1]
-                else:
-                    p, top = np.full(hi - lo, 0.5), np.zeros(hi - lo)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(p.astype(np.float64)), pa.array(top.astype(np.int64))], ["doc_id", "score", "top_passage"])
+            for lo, hi, p, top in _scores(model, batch.column("text")):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(p), pa.array(top)], ["doc_id", "score", "top_passage"])
 
     rows = id_and_text(docs, id_col, text_col)
     scored = rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, score double, top_passage long")
