@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Quality given to bases that a fill adds.
 FILL_QUALITY = 30
@@ -185,7 +186,7 @@ def edit_path(parent: str, child: str) -> str:
     return "".join(f"{k}{s}" for k, s in out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def edit_path_suffix(parents: pd.Series, children: pd.Series) -> pd.Series:
     """The run-length edit script from each parent to its child."""
     return pd.Series([None if p is None or c is None else edit_path(p, c) for p, c in zip(parents, children, strict=True)])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,7 +123,9 @@ def resolve(classified: DataFrame, refs: DataFrame, most: int = 0) -> DataFrame:
 
     Reads are counted first, so each distinct (profile, barcode) is matched once, however many reads have it.
     """
-    counted = classified.groupBy("profile_outcome", "hits").agg(F.count(F.lit(1)).alias("bc_count"))
+    # kept, since several reports read it, and so that a report's filter isn't moved below the count, where it would
+    # evaluate all anchors of every read once more
+    counted = classified.groupBy("profile_outcome", "hits").agg(F.count(F.lit(1)).alias("bc_count")).persist(StorageLevel.MEMORY_AND_DISK)
     names = F.array_sort(F.transform("hits", lambda h: h["profile"]))
     rows = counted.select("profile_outcome", names.alias("profiles"), "bc_count", F.explode_outer("hits").alias("hit"))
     rows = rows.select("profile_outcome", "profiles", "bc_count", "hit.profile", F.col("hit.structure").alias("structure"), "hit.bc_seq")
