@@ -7,13 +7,13 @@ is legal and stays empty).
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 #: Quality given to bases that a fill adds.
 FILL_QUALITY = 30
@@ -51,40 +51,71 @@ def revcomp_text(seq: str) -> str:
 
 
 def find_anchor(seq: Column, anchor: str, mismatches: int = 0) -> Column:
-    """Start of the leftmost window that differs from the anchor in at most so many bases.
-
-    Up to two are an alternation of patterns with free bases, evaluated by the JVM; more go through an Arrow function.
-    """
+    """Start of the leftmost window that differs from the anchor in at most so many bases; 0 where there is none."""
     if mismatches <= 0:
         return F.locate(anchor, seq)
-    if mismatches >= len(anchor):
-        return F.when(F.length(seq) >= len(anchor), F.lit(1)).otherwise(F.lit(0))
-    if mismatches <= 2:
-        free = ["".join("." if i in at else c for i, c in enumerate(anchor)) for at in combinations(range(len(anchor)), mismatches)]
-        return F.regexp_instr(seq, F.lit("(?s)" + "|".join(free)))
-    return _find_far(anchor, mismatches)(seq)
-
-
-def _find_far(anchor: str, mismatches: int):
-    want = np.frombuffer(anchor.encode(), dtype=np.uint8)
-
-    @F.pandas_udf("int")
-    def run(seqs: pd.Series) -> pd.Series:
-        out = []
-        for s in seqs:
-            at = 0
-            if s is None:
-                out.append(None)
-                continue
-            raw = np.frombuffer(s.encode(), dtype=np.uint8)
-            if len(raw) >= len(want):
-                wrong = (np.lib.stride_tricks.sliding_window_view(raw, len(want)) != want).sum(1)
-                hit = np.flatnonzero(wrong <= mismatches)
-                at = int(hit[0]) + 1 if len(hit) else 0
-            out.append(at)
-        return pd.Series(out, dtype="Int32")
-
-    return run
+    return find_anchors(seq, {"at": (anchor, False)}, mismatches)["at"]
+
+
+def find_anchors(seq: Column, anchors: dict[str, tuple[str, bool]], mismatches: int) -> Column:
+    """A struct with the start of each anchor, by name; (text, True) looks on the reverse complement.
+
+    All anchors of a batch of reads are compared base by base over the batch's bytes, which takes a small part of what
+    alternations of patterns take.  The function counts as not deterministic, so that the optimizer neither repeats it nor
+    moves a filter on what is derived from it below.
+    """
+    wanted = [(n, np.frombuffer(a.encode(), dtype=np.uint8), back) for n, (a, back) in anchors.items()]
+    kind = StructType([StructField(n, IntegerType()) for n in anchors])
+
+    def run(texts: pa.Array) -> pa.Array:
+        found = [np.zeros(len(texts), dtype=np.int32) for _ in wanted]
+        for lo in range(0, len(texts), READS_AT_ONCE):
+            part = texts.slice(lo, READS_AT_ONCE)
+            data, offsets = _bytes_of(part)
+            for k, (_, anchor, back) in enumerate(wanted):
+                found[k][lo : lo + len(part)] = _first_places(data, offsets, anchor, mismatches, back)
+        lost = np.asarray(pa.compute.is_null(texts))
+        return pa.StructArray.from_arrays([pa.array(f, pa.int32(), mask=lost) for f in found], names=[n for n, _, _ in wanted])
+
+    return F.arrow_udf(run, kind).asNondeterministic()(seq)
+
+
+#: Reads compared at a time, so that a batch's counters stay in the processor's cache.
+READS_AT_ONCE = 2048
+_COMPLEMENT = np.arange(256, dtype=np.uint8)
+_COMPLEMENT[[65, 67, 71, 84]] = [84, 71, 67, 65]
+
+
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(one byte for each character, offsets); characters beyond ASCII, which no anchor has, become zero."""
+    if texts.null_count:
+        texts = texts.fill_null("")
+    raw = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2], dtype=np.uint8) if raw.buffers()[2] is not None else np.zeros(0, np.uint8)
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    if len(data) and data.max() > 127:
+        kept = (data & 0xC0) != 0x80
+        offsets = np.concatenate(([0], np.cumsum(kept)))[offsets]
+        data = np.where(data[kept] > 127, 0, data[kept]).astype(np.uint8)
+    return data, offsets
+
+
+def _first_places(data: np.ndarray, offsets: np.ndarray, anchor: np.ndarray, mismatches: int, back: bool) -> np.ndarray:
+    if back:
+        return _first_places(_COMPLEMENT[data[::-1]], len(data) - offsets[::-1], anchor, mismatches, False)[::-1]
+    out, n = np.zeros(len(offsets) - 1, dtype=np.int32), len(data) - len(anchor) + 1
+    if n > 0:
+        wrong = np.zeros(n, dtype=np.uint8)
+        for j, c in enumerate(anchor):
+            wrong += data[j : j + n] != c
+        hits = np.flatnonzero(wrong <= mismatches)
+        row = np.searchsorted(offsets, hits, side="right") - 1
+        inside = hits + len(anchor) <= offsets[row + 1]
+        hits, row = hits[inside], row[inside]
+        new = np.append(True, row[1:] != row[:-1]) if len(row) else np.zeros(0, bool)
+        out[row[new]] = hits[new] - offsets[row[new]] + 1
+    return out
 
 
 def beside(text: Column, at: Column, anchor_len: int, direction: str, length: int) -> Column:

@@ -9,48 +9,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import share
-from ..functions.reads import beside, between, find_anchor, masked, mean_quality, padded, padded_quality, reverse_complement
+from ..functions.reads import beside, between, find_anchors, masked, mean_quality, padded, padded_quality, reverse_complement
 from ..profiles import ReadProfile
 from .distance import distance_join
 
 OUTCOMES = ("total_reads", "profile_not_found", "quality_filtered", "profile_ambiguous", "stock_unknown", "stock_ambiguous", "stock_assigned")
 
 
-def parse_reads(reads: DataFrame, profile: ReadProfile, mismatches: int = 1, mask_below: int | None = None) -> DataFrame:
+def anchors_of(profile: ReadProfile) -> dict[str, tuple[str, bool]]:
+    """What has to be found in a read: P5 as it was read, the rest on the profile's strand."""
+    back = profile.strand == "rev"
+    found = {"p5": (profile.ref_p5, False), "bc": (profile.ref_bc, back)}
+    return found | ({"p7": (profile.dual.ref_p7, back)} if profile.dual else {})
+
+
+def parse_reads(reads: DataFrame, profile: ReadProfile, mismatches: int = 1, mask_below: int | None = None, places: dict[str, Column] | None = None) -> DataFrame:
     """Adds p5_seq, p5_q, p7_seq, p7_q, bc_seq and bc_q to reads(seq, qual): one structure, each anchor searched once.
 
     The P5 anchor is found on the strand as read; a 'rev' profile turns the read before the rest.  With a second index
-    nothing but P5 is reported unless P7 is found.
+    nothing but P5 is reported unless P7 is found.  places: where the anchors are, if they have been found already.
     """
     qual = F.col("qual")
     seq = masked(F.col("seq"), qual, mask_below) if mask_below else F.col("seq")
-    rows = reads.withColumn("seq_", seq).withColumn("p5_at", find_anchor(F.col("seq_"), profile.ref_p5, mismatches))
-    p5 = [beside(F.col(c), F.col("p5_at"), len(profile.ref_p5), profile.dir_p5, profile.len_p5) for c in ("seq_", "qual")]
+    rows = reads.withColumn("seq_", seq)
+    if places is None:
+        rows = rows.withColumn("at_", find_anchors(F.col("seq_"), anchors_of(profile), mismatches))
+        places = {k: F.col("at_")[k] for k in anchors_of(profile)}
+    p5_at, bc_at = places["p5"], places["bc"]
+    p5 = [beside(F.col(c), p5_at, len(profile.ref_p5), profile.dir_p5, profile.len_p5) for c in ("seq_", "qual")]
     rows = rows.withColumns({"p5_seq": p5[0], "p5_q": mean_quality(p5[1])})
     if profile.strand == "rev":
         rows = rows.withColumns({"s_": reverse_complement(F.col("seq_")), "q_": F.reverse(qual)})
     else:
         rows = rows.withColumns({"s_": F.col("seq_"), "q_": qual})
     s, q = F.col("s_"), F.col("q_")
-    rows = rows.withColumn("bc_at", find_anchor(s, profile.ref_bc, mismatches))
     dual = profile.dual
     none = F.lit(None)
     if dual is None:
-        bc = [beside(c, F.col("bc_at"), len(profile.ref_bc), profile.dir_bc, profile.len_bc) for c in (s, q)]
+        bc = [beside(c, bc_at, len(profile.ref_bc), profile.dir_bc, profile.len_bc) for c in (s, q)]
         rows = rows.withColumns({"p7_seq": none.cast("string"), "p7_q": none.cast("double"), "bc_seq": bc[0], "bc_q": mean_quality(bc[1])})
     else:
-        rows = rows.withColumn("p7_at", find_anchor(s, dual.ref_p7, mismatches))
-        p7 = [beside(c, F.col("p7_at"), len(dual.ref_p7), dual.dir_p7, dual.len_p7) for c in (s, q)]
+        p7_at = places["p7"]
+        p7 = [beside(c, p7_at, len(dual.ref_p7), dual.dir_p7, dual.len_p7) for c in (s, q)]
         p7_seq = reverse_complement(p7[0]) if dual.beside_bc else p7[0]
         if dual.beside_bc:
-            bc = [beside(c, F.col("bc_at"), len(profile.ref_bc), profile.dir_bc, profile.len_bc) for c in (s, q)]
+            bc = [beside(c, bc_at, len(profile.ref_bc), profile.dir_bc, profile.len_bc) for c in (s, q)]
             bc_seq, bc_q = bc[0], mean_quality(bc[1])
         else:
-            span = [between(c, F.col("p7_at"), len(dual.ref_p7), F.col("bc_at")) for c in (s, q)]
+            span = [between(c, p7_at, len(dual.ref_p7), bc_at) for c in (s, q)]
             bc_seq, bc_q = padded(span[0], profile.len_bc, dual.fill), padded_quality(span[1], profile.len_bc, dual.fill)
         seen = p7[0].isNotNull()
-        rows = rows.withColumns({"p7_seq": p7_seq, "p7_q": mean_quality(p7[1]), "bc_seq": F.when(seen, bc_seq), "bc_q": F.when(seen & bc_seq.isNotNull(), bc_q)}).drop("p7_at")
-    return rows.drop("seq_", "s_", "q_", "p5_at", "bc_at")
+        rows = rows.withColumns({"p7_seq": p7_seq, "p7_q": mean_quality(p7[1]), "bc_seq": F.when(seen, bc_seq), "bc_q": F.when(seen & bc_seq.isNotNull(), bc_q)})
+    return rows.drop("seq_", "s_", "q_", "at_")
 
 
 def passing(parsed: DataFrame, least: float, len_p7: int | None = None) -> DataFrame:
@@ -74,9 +84,13 @@ def classify(reads: DataFrame, profiles: Sequence[ReadProfile], least: float = 0
     """
     from dataclasses import replace
 
-    rows, hits, kept = reads, [], list(reads.columns)
+    # each different anchor is looked for once, all of them in one pass
+    wanted = {a: f"a{i}" for i, a in enumerate(dict.fromkeys(a for p in profiles for a in anchors_of(p).values()))}
+    rows = reads.withColumn("places_", find_anchors(F.col("seq"), {n: a for a, n in wanted.items()}, mismatches))
+    hits, kept = [], list(reads.columns)
     for i, p in enumerate(profiles):
-        rows = parse_reads(rows, replace(p, dual=None), mismatches)
+        places = {k: F.col("places_")[wanted[a]] for k, a in anchors_of(p).items()}
+        rows = parse_reads(rows, replace(p, dual=None), mismatches, places=places)
         rows = rows.withColumnsRenamed({c: f"{c}_s{i}" for c in ("p5_seq", "p5_q", "p7_seq", "p7_q", "bc_seq", "bc_q")})
 
         def quality(k: str, found: Column) -> Column:
@@ -85,7 +99,7 @@ def classify(reads: DataFrame, profiles: Sequence[ReadProfile], least: float = 0
         single = F.col(f"p5_seq_s{i}").isNotNull() & F.col(f"bc_seq_s{i}").isNotNull()
         hit = _hit(p.name, "single", f"bc_seq_s{i}", quality(f"s{i}", single), single)
         if p.dual is not None:
-            rows = parse_reads(rows, p, mismatches)
+            rows = parse_reads(rows, p, mismatches, places=places)
             rows = rows.withColumnsRenamed({c: f"{c}_d{i}" for c in ("p5_seq", "p5_q", "p7_seq", "p7_q", "bc_seq", "bc_q")})
             double = F.col(f"p5_seq_d{i}").isNotNull() & F.col(f"bc_seq_d{i}").isNotNull()
             hit = F.when(F.col(f"p7_seq_d{i}").isNotNull(), _hit(p.name, "dual", f"bc_seq_d{i}", quality(f"d{i}", double), double)).otherwise(hit)
