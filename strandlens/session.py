@@ -19,3 +19,11 @@ def session(name: str = "strandlens", **settings: str) -> SparkSession:
     for key, value in (SETTINGS | {k.replace("_", "."): v for k, v in settings.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def keep_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go where spark.checkpoint.dir says; only where nothing is set (tests) to a new local folder."""
+    import tempfile
+
+    if spark.conf.get("spark.checkpoint.dir", None) is None and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandlens-"))
