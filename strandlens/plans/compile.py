@@ -14,6 +14,7 @@ from ..operators.flags import above_only, with_index_share, with_multi_index, wi
 from ..operators.parents import flag_parents
 from ..operators.ranks import rename_unique
 from ..schema import REMADE, conform
+from ..session import settled
 from ..sources.runinfo import runs_from_sheet, samples_from_sheet
 from ..sources.workbook import find_workbooks, header_table, read_cells, sample_blocks
 from .parse import union_runs
@@ -46,8 +47,6 @@ def base_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def workbook_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The samples of all result workbooks under a folder, each matched to exactly one row of its own metadata sheet."""
-    from .parse import with_samples  # noqa: F401  (the same failure policy)
-
     cells = read_cells(find_workbooks(spark, folder)).persist()
     heads = [r["value"] for r in cells.filter("sheet_no = 0 AND row = 0").select(F.trim("value").alias("value")).distinct().collect()]
     table = header_table(cells, sorted(heads))
@@ -100,11 +99,11 @@ def core_quality(rows: DataFrame) -> DataFrame:
 def distance_levels(df: DataFrame, settings: CompileSettings) -> DataFrame:
     """The parents within samples, groups, or everything, as the settings ask, each in its own column."""
     if settings.sample_level:
-        df = flag_parents(df.drop("ldist_samp_lvl"), ["samp_group", "samp_name", "samp_date"], settings.parent_distance, out="ldist_samp_lvl")
+        df = settled(flag_parents(df.drop("ldist_samp_lvl"), ["samp_group", "samp_name", "samp_date"], settings.parent_distance, out="ldist_samp_lvl"))
     if settings.group_level:
-        df = flag_parents(df, ["samp_group"], settings.parent_distance, aggregated=True, out="ldist_group_lvl")
+        df = settled(flag_parents(df, ["samp_group"], settings.parent_distance, aggregated=True, out="ldist_group_lvl"))
     if settings.contamination:
-        df = flag_parents(df, [], settings.parent_distance, aggregated=True, out="ldist_all")
+        df = settled(flag_parents(df, [], settings.parent_distance, aggregated=True, out="ldist_all"))
     return df
 
 
@@ -120,8 +119,8 @@ def compile_runs(spark: SparkSession, workbooks: str | None = None, base_csv: st
     parts += [base_rows(spark, base_csv)] if base_csv else []
     if not parts:
         raise ValueError("nothing to compile: give a folder of workbooks or a CSV")
-    df = core_quality(dedup_samples(union_runs(parts)))
+    df = settled(core_quality(settled(dedup_samples(union_runs(parts)))))
     if settings.collapse_to_parent:
-        df = collapse_to_parent(df)
+        df = settled(collapse_to_parent(df))
     df = distance_levels(df, settings)
     return final_order(df), above_only(df)

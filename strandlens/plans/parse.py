@@ -17,6 +17,7 @@ from ..operators.ranks import name_discovered, rename_unique
 from ..operators.screening import parse_reads, passing
 from ..profiles import ReadProfile
 from ..schema import conform
+from ..session import settled
 from ..sources.runinfo import expected_indexes, sample_collisions
 
 
@@ -66,8 +67,8 @@ def with_samples(named: DataFrame, samples: DataFrame) -> DataFrame:
 
 def quality_control(rows: DataFrame, settings: ParseSettings) -> DataFrame:
     """Proportion, cutoff, parents, ambiguous children, short motif and index share of all samples in one plan."""
-    flagged = with_above_cutoff(with_proportion(rows, ["idx_name"]), ["idx_name"])
-    found = flag_parents(flagged, ["idx_name"], settings.parent_distance, settings.profile.core)
+    flagged = settled(with_above_cutoff(with_proportion(rows, ["idx_name"]), ["idx_name"]))
+    found = settled(flag_parents(flagged, ["idx_name"], settings.parent_distance, settings.profile.core))
     if settings.collapse_ambiguous:
         found = collapse_ambiguous(found)
     return with_index_share(with_short_flag(found))
@@ -88,10 +89,11 @@ def parse_run(reads: DataFrame, samples: DataFrame, p5: DataFrame, refs: DataFra
     shared = expected.groupBy("idx_seq").agg(F.count_distinct("idx_name").alias("n")).filter("n > 1").limit(5).collect()
     if shared:
         raise ValueError(f"expected indexes that share a sequence: {[r['idx_seq'] for r in shared]}")
-    counts = merge_indexes(seen, assign_unique_best(seen, expected, settings.index_distance))
+    seen = settled(seen)
+    counts = settled(merge_indexes(seen, assign_unique_best(seen, expected, settings.index_distance)))
     named = name_barcodes(counts, refs, settings.discover)
     rows = with_samples(named, samples).withColumn("filename", F.lit(filename))
-    long = conform(quality_control(rows, settings), run_name=run_name, run_date=run_date)
+    long = settled(conform(quality_control(rows, settings), run_name=run_name, run_date=run_date))
     summary = input_ratio(index_summary(expected, counts, long, refs.select(F.col("name").alias("bc_name"))), samples)
     return ParsedRun(long, counts, summary, joined_notes(cutoff_notes(long, ["idx_name"])))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,3 +27,9 @@ def keep_checkpoints(spark: SparkSession) -> None:
 
     if spark.conf.get("spark.checkpoint.dir", None) is None and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandlens-"))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the checkpoint folder, for tables that several later branches read."""
+    keep_checkpoints(df.sparkSession)
+    return df.checkpoint()

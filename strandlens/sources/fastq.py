@@ -135,7 +135,7 @@ def read_fastq(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 def read_fastq_text(spark: SparkSession, path: str) -> DataFrame:
     """The same from any store, by file: lines are put in groups of four by their place in their own file."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.split(F.regexp_replace("value", r"\r", ""), "\n").alias("lines"))
+    lines = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", r"\r", ""), "\n").alias("lines"))
     last = F.size("lines") - F.when(F.element_at("lines", -1) == "", 1).otherwise(0)
     bad = F.when(last % 4 != 0, F.raise_error(F.lit("a file ends inside a record"))).otherwise(last).cast("int")
     starts = F.when(bad > 0, F.sequence(F.lit(1), F.greatest(bad, F.lit(1)), F.lit(4))).otherwise(F.array().cast("array<int>"))
