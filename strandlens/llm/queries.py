@@ -13,6 +13,7 @@ from .fingerprints import fingerprint_edits
 from .neardup import near_duplicates
 from .secret_scan import find_secrets
 from .shared import cut, documents
+from .sql import oracle_sql  # noqa: F401
 from .substrings import without_repeats
 from .telephony import describe_media, encode_payloads
 from .tokenfiles import read_token_files, write_token_files
@@ -62,7 +63,3 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_near_duplicates, op4_multiset_fingerprint, op5_token_files, op6_temperature_mixing, op7_telephony, op8_passage_quality, op9_repeated_passages, op10_byte_bpe)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op6_temperature_mixing": mixing.sql()}
