@@ -29,11 +29,10 @@ def collapse_to_parent(df: DataFrame, transitive: bool = False, most_rounds: int
     gained = rows.filter("parent_ IS NOT NULL").groupBy(*SAMPLE, F.col("parent_").alias("bc_name")).agg(F.sum("bc_count").alias("gained_"))
     kept = rows.filter("parent_ IS NULL").join(gained, [*SAMPLE, "bc_name"], "left")
     kept = kept.withColumn("bc_count", F.col("bc_count") + F.coalesce("gained_", F.lit(0)))
-    new = with_above_cutoff(with_proportion(kept))
-    if "proportion" in df.columns and "above_cutoff" in df.columns:
-        # samples without children keep what they had
-        old = kept.select(*df.columns, "any_").filter("NOT any_").select(*df.columns)
-        return new.filter("any_").select(*df.columns).unionByName(old)
+    # samples without children keep what they had
+    old = {c: F.col(c) for c in ("proportion", "above_cutoff") if c in df.columns}
+    new = with_above_cutoff(with_proportion(kept.withColumns({f"old_{c}_": v for c, v in old.items()})))
+    new = new.withColumns({c: F.when(F.col("any_"), F.col(c)).otherwise(F.col(f"old_{c}_")) for c in old})
     return new.select(*df.columns)
 
 
