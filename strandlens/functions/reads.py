@@ -27,7 +27,9 @@ def phred(qual: Column) -> Column:
 
 
 def quality_sum(qual: Column) -> Column:
-    return F.aggregate(phred(qual), F.lit(0), lambda a, q: a + q)
+    """The sum of the qualities, without an array of them in between; 0 for no bases."""
+    codes = F.aggregate(F.split(qual, ""), F.lit(0), lambda a, c: a + F.ascii(c))
+    return F.when(qual == "", F.lit(0)).otherwise(codes - 33 * F.length(qual))
 
 
 def mean_quality(qual: Column) -> Column:
