@@ -16,7 +16,7 @@ from ..operators.ranks import rename_unique
 from ..schema import REMADE, conform
 from ..session import settled
 from ..sources.runinfo import runs_from_sheet, samples_from_sheet
-from ..sources.workbook import find_workbooks, header_table, read_cells, sample_blocks
+from ..sources.workbook import find_workbooks, header_table, listed_workbooks, read_cells, sample_blocks
 from .parse import union_runs
 
 #: Where a row came from; later columns break ties.
@@ -46,8 +46,9 @@ def base_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def workbook_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """The samples of all result workbooks under a folder, each matched to exactly one row of its own metadata sheet."""
-    cells = read_cells(find_workbooks(spark, folder)).persist()
+    """The samples of all result workbooks under a folder (or named in a .txt file), each matched to exactly one row of its own metadata sheet."""
+    books = listed_workbooks(spark, folder) if folder.endswith(".txt") else find_workbooks(spark, folder)
+    cells = read_cells(books).persist()
     heads = [r["value"] for r in cells.filter("sheet_no = 0 AND row = 0").select(F.trim("value").alias("value")).distinct().collect()]
     table = header_table(cells, sorted(heads))
     dual = "(F Barcode)" in heads

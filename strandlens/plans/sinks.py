@@ -16,7 +16,7 @@ from ..sources.workbook import write_workbook
 from .compile import PRIVATE
 from .parse import ParsedRun
 from .screen import ScreenedRun
-from .views import counted_rows, matrix_wide, sidelong_headers, sidelong_rows
+from .views import COMPILE_COLUMNS, contamination_wide, counted_rows, matrix_wide, sidelong_headers, sidelong_rows
 
 MOST_ROWS = 1_048_576
 BODY = ("bc_name", "bc_seq", "bc_count", "proportion", "putative_parent", "x_idx", "short_bc")
@@ -85,3 +85,22 @@ def write_screen_workbook(run: ScreenedRun, path: str, settings: dict[str, objec
     sheets["ambiguous barcodes"] = grid(run.ambiguous_barcodes.orderBy("profiles", "profile", F.col("bc_count").desc(), "bc_name"))
     sheets["settings"] = [["setting", "value"], *([k, str(v)] for k, v in (settings or {}).items())]
     write_workbook(path, sheets)
+
+
+def write_compiled(every: DataFrame, above: DataFrame, folder: str, prefix: str, contamination: bool = False) -> tuple[str, str]:
+    """{prefix}_all as CSV, and {prefix}_above_cutoff.xlsx: all samples, each group's samples and matrix, and if asked for the
+    full matrix and the contamination report."""
+    table = os.path.join(folder, f"{prefix}_all.csv")
+    write_long(every, table)
+    above = above.drop(*PRIVATE)
+    sheets = {"all_samples": grid(sidelong_headers(above).orderBy("samp_group", "samp_name", "samp_date"))}
+    if contamination:
+        sheets["full_matrix"] = grid(matrix_wide(above, ("samp_group", *COMPILE_COLUMNS), ("bc_name", "bc_seq", "ldist_all")))
+        sheets["contam_report"] = grid(contamination_wide(above))
+    for (group,) in above.select("samp_group").distinct().orderBy("samp_group").collect():
+        part = above.filter(F.col("samp_group") == group)
+        sheets[f"{group} samples"] = sidelong_grid(part)
+        sheets[f"{group} matrix"] = grid(matrix_wide(part, COMPILE_COLUMNS))
+    path = os.path.join(folder, f"{prefix}_above_cutoff.xlsx")
+    write_workbook(path, sheets)
+    return table, path

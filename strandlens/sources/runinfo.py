@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import date_text, filled, index_key, input_amount, joined_id, label_text
-from .workbook import value_below
+from .workbook import CELLS, header_table, read_cells, value_below
 
 #: The metadata sheet's own columns.
 OWN_COLUMNS = ("Run Number", "Animal", "Sample", "Date", "Barcodes", "Input TOTAL PER BARCODE", "Input TOTAL PER WELL", "(F Barcode)", "(cDNA)")
@@ -41,6 +41,21 @@ def samples_from_sheet(table: DataFrame, dual: bool = False, keys: tuple[str, ..
     return rows.withColumn("sample_id", joined_id(F.col("samp_group"), F.col("samp_name"), F.col("samp_date"), F.col("run_number")))
 
 
+def read_samples(spark: SparkSession, path: str, dual: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(samples, runs) of a run's metadata, a workbook's first sheet or a CSV with the same columns."""
+    if path.lower().endswith(".xlsx"):
+        files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("modificationTime").alias("modified"), "content")
+        cells = read_cells(files)
+    else:
+        table = spark.read.csv(path, header=True)
+        lines = [table.columns, *(list(r) for r in table.collect())]  # one run's sheet
+        flat = [("sheet", None, 0, "info", r, c, str(v)) for r, line in enumerate(lines) for c, v in enumerate(line) if v is not None]
+        cells = spark.createDataFrame(flat, CELLS)
+    heads = sorted(r[0] for r in cells.filter("sheet_no = 0 AND row = 0").select(F.trim("value")).distinct().collect())
+    table = header_table(cells, heads)
+    return samples_from_sheet(table, dual), runs_from_sheet(table, cells)
+
+
 def runs_from_sheet(table: DataFrame, cells: DataFrame) -> DataFrame:
     """file, run_number, run_name, run_date of each metadata sheet."""
     number = table.groupBy("file").agg(F.min_by("Run Number", "row").alias("run_number"))

@@ -112,6 +112,16 @@ def find_workbooks(spark: SparkSession, folder: str, pattern: str = RESULT_BOOK)
     return named.drop("filename").withColumnRenamed("modificationTime", "modified").join(found.select("path", "filename"), "path").select("path", "filename", "modified", "content")
 
 
+def listed_workbooks(spark: SparkSession, list_file: str) -> DataFrame:
+    """The workbooks that a text file names, one path a line; a path that doesn't exist raises."""
+    paths = [r[0] for r in spark.read.text(list_file).filter(F.trim("value") != "").select(F.trim("value")).collect()]
+    if not paths:
+        raise FileNotFoundError(f"{list_file} names no workbooks")
+    files = spark.read.format("binaryFile").load(paths).withColumn("filename", F.element_at(F.split("path", "/"), -1)).withColumnRenamed("modificationTime", "modified")
+    last = newest_by_name(files.select("path", "filename", "modified"))
+    return files.join(last.select("path"), "path", "left_semi").select("path", "filename", "modified", "content")
+
+
 def newest_by_name(files: DataFrame) -> DataFrame:
     """Of files(path, filename, modified) with one name, the newest; ties by path."""
     return files.groupBy("filename").agg(F.max(F.struct("modified", "path")).alias("last")).select("last.path", "filename", "last.modified")
