@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .shared import id_and_text, shuffle_partitions
 
-PIECE = 80
+PIECE = 40
 #: Runs of enders, or up to PIECE code points and the enders after them.
 PIECES = r"[.!?\n]+|[^.!?\n]{1,%d}[.!?\n]*" % PIECE
 LANES = 128

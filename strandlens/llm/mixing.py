@@ -62,7 +62,7 @@ def _block(key: Column, blocks: Column) -> Column:
 
 
 def exponent(sources: DataFrame, m: Mixture) -> float:
-    """The exponent for sources(tokens, share), by grids of exponents that narrow around it; rounded to 6 places."""
+    """The exponent for sources(tokens, share), between 0 and 4, by grids of exponents that narrow around it; rounded to 6 places."""
     facts = sources.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t")).first()
     goal = m.entropy * math.log(facts["n"]) if facts["n"] else 0.0
     lo, hi = 0.0, 4.0
