@@ -3,7 +3,8 @@
 A source's share p of all tokens is raised to an exponent and normalised.  The
 exponent is the one that brings the entropy of the weights to a target, or, if
 that would repeat some source more than ``repeats`` times, the one that just
-meets that limit.  It is found by nested sections: each round evaluates a grid
+meets that limit; where no exponent reaches the target (equal shares), the
+shares stay as they are.  It is found by nested sections: each round evaluates a grid
 of exponents in one aggregation over the sources, so they never reach the
 driver, however many there are.
 
@@ -62,28 +63,50 @@ def _block(key: Column, blocks: Column) -> Column:
 
 
 def exponent(sources: DataFrame, m: Mixture) -> float:
-    """The exponent for sources(tokens, share), between 0 and 4, by grids of exponents that narrow around it; rounded to 6 places."""
-    facts = sources.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t")).first()
+    """The exponent for sources(tokens, share), by grids of exponents that narrow around it; rounded to 6 places.
+
+    Below 1 both the entropy and the passes over the smallest source fall as it grows, so it is the least that meets both
+    limits.  Above 1, where the shares are more even than the target, the entropy falls while the passes over the largest
+    source grow: it is the least that meets the entropy, or the last before the passes exceed theirs.  It has no upper
+    bound.  Where even the largest sources alone are too even, as equal shares are, no exponent meets the entropy, and the
+    shares stay as they are (1.0).
+    """
+    top = sources.agg(F.max("share")).first()[0] or 1.0
+    ratio = F.col("share") / F.lit(top)  # at most 1, so that no sum vanishes under a large exponent
+    facts = sources.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(ratio == 1.0, 1)).alias("ties")).first()
     goal = m.entropy * math.log(facts["n"]) if facts["n"] else 0.0
-    lo, hi = 0.0, 4.0
-    for _ in range(ROUNDS):
-        grid = [lo + (hi - lo) * i / SECTIONS for i in range(SECTIONS + 1)]
+    most = max(m.repeats, m.total)
+
+    def measured(grid: list[float]) -> list[tuple[float, float]]:
+        """(entropy, most passes over a source) at each exponent, in one aggregation."""
         sums = []
         for i, a in enumerate(grid):
-            power = F.pow("share", F.lit(a))
-            sums += [F.sum(power).alias(f"z{i}"), F.sum(power * F.log("share")).alias(f"s{i}"), F.max(F.pow("share", F.lit(a - 1))).alias(f"r{i}")]
+            power = F.pow(ratio, F.lit(a))
+            sums += [F.sum(power).alias(f"z{i}"), F.sum(power * F.log(ratio)).alias(f"s{i}"), F.max(power / F.col("share")).alias(f"r{i}")]
         row = sources.agg(*sums).first()
-
-        def short(i: int, row=row, grid=grid) -> bool:
-            """The weights at grid point i are still too even, or repeat a source too often."""
-            z = row[f"z{i}"]
-            return math.log(z) - grid[i] * row[f"s{i}"] / z > goal or m.total * row[f"r{i}"] / z > max(m.repeats, m.total)
-
-        k = next((i for i in range(SECTIONS + 1) if not short(i)), SECTIONS)
-        if k == 0:
-            return round(grid[0], 6)
-        lo, hi = grid[k - 1], grid[k]
-    return round(hi, 6)
+        return [(math.log(row[f"z{i}"]) - a * row[f"s{i}"] / row[f"z{i}"], m.total * row[f"r{i}"] / row[f"z{i}"]) for i, a in enumerate(grid)]
+
+    def narrowed(lo: float, hi: float, done) -> tuple[float, float]:
+        """lo and hi around the first exponent that is done, hi being so; equal if lo is."""
+        for _ in range(ROUNDS):
+            grid = [lo + (hi - lo) * i / SECTIONS for i in range(SECTIONS + 1)]
+            k = next((i for i, x in enumerate(measured(grid)) if done(*x)), SECTIONS)
+            if k == 0:
+                return grid[0], grid[0]
+            lo, hi = grid[k - 1], grid[k]
+        return lo, hi
+
+    if measured([1.0])[0][0] <= goal:
+        return round(narrowed(0.0, 1.0, lambda entropy, passes: entropy <= goal and passes <= most)[1], 6)
+    if math.log(facts["ties"]) > goal:
+        return 1.0
+    lo, k = 1.0, None
+    while k is None:
+        grid = [lo * 2.0**i for i in range(SECTIONS + 1)]
+        k = next((i for i, (entropy, passes) in enumerate(measured(grid)) if entropy <= goal or passes > most), None)
+        lo, hi = (grid[-1], math.inf) if k is None else (grid[max(0, k - 1)], grid[k])
+    lo, hi = narrowed(lo, hi, lambda entropy, passes: entropy <= goal or passes > most)
+    return math.floor(lo * 1e6) / 1e6 if measured([hi])[0][1] > most else round(hi, 6)
 
 
 def plan(docs: DataFrame, m: Mixture = Mixture(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -100,8 +123,9 @@ def plan(docs: DataFrame, m: Mixture = Mixture(), id_col: str = "doc_id", text_c
     per = cut(per.select("source_", "tokens", blocks.alias("blocks_"), (F.col("tokens") / F.lit(float(max(total, 1)))).alias("share")), "mix-sources")
     some = per.filter("tokens > 0")
     alpha = exponent(some, m) if total else 1.0
-    z = some.agg(F.sum(F.pow("share", F.lit(alpha)))).first()[0] or 1.0
-    weight = F.when(F.col("tokens") > 0, F.pow("share", F.lit(alpha)) / F.lit(z)).otherwise(0.0)
+    power = F.pow(F.col("share") / F.lit(some.agg(F.max("share")).first()[0] or 1.0), F.lit(alpha))
+    z = some.agg(F.sum(power)).first()[0] or 1.0
+    weight = F.when(F.col("tokens") > 0, power / F.lit(z)).otherwise(0.0)
     budget = F.floor(F.round(weight * F.lit(m.total * total), 3)).cast("long")
     passes = F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens")).cast("int")).otherwise(1)
     sources = per.withColumn("weight", weight).withColumn("budget", budget).withColumn("passes_", passes).withColumn("alpha", F.lit(alpha))

@@ -345,6 +345,25 @@ def test_mixing(spark):
     assert mixing.mix(make(spark, [None, ""]), m).count() == 2
 
 
+@pytest.mark.parametrize(
+    ("counts", "repeats", "limit"),
+    [([100, 101, 102, 103, 104] * 4, 9.0, "entropy"), ([100, 101, 102, 103, 104] * 4, 1.5, "repeats"), ([50] * 20, 3.0, "equal"), ([50] * 19 + [49], 3.0, "equal")],
+)
+def test_mixing_of_nearly_balanced_sources(spark, counts, repeats, limit):
+    docs = make(spark, ["w " * n for n in counts], [f"s{i:02}" for i in range(20)])
+    found = mixing.plan(docs, mixing.Mixture(entropy=0.8 if limit == "entropy" else 0.95, repeats=repeats))[0].collect()
+    p = {r["source_"]: r["weight"] for r in found}
+    entropy = -sum(x * math.log(x) for x in p.values()) / math.log(20)
+    passes = max(r["weight"] / r["share"] for r in found)
+    assert sum(p.values()) == pytest.approx(1.0)
+    if limit == "entropy":
+        assert entropy == pytest.approx(0.8, abs=1e-4) and passes <= repeats
+    elif limit == "repeats":
+        assert entropy > 0.95 and passes <= repeats and passes == pytest.approx(repeats, abs=1e-4)
+    else:
+        assert [r["budget"] for r in sorted(found, key=lambda r: r["source_"])] == counts
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     import duckdb
