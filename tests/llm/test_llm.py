@@ -106,6 +106,19 @@ def test_secrets(spark):
     assert secret_scan.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_copies_of_a_text_keep_its_secrets_live(spark):
+    mine, other, shared = "my password=A1b2C3d4E5f6G7 here", "again password=A1b2C3d4E5f6G7", "token: Z9y8X7w6V5u4T3"
+    texts = [mine, mine, mine, other, shared, shared + " seen elsewhere", SECRETS[1], SECRETS[1]]
+    docs = make(spark, texts, sources=["a/x", "b/x", "c/x", "a/y", "a/x", "d/x", "a/x", "a/y"])
+    found = {r["doc_id"]: (r["n_live"], r["n_copied"]) for r in secret_scan.find_secrets(docs).collect()}
+    assert [found[i] for i in range(8)] == [(1, 0)] * 4 + [(0, 1)] * 2 + [found[6]] * 2 and found[6][0] > 0 and found[6][1] == 0
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert [out[i] for i in range(4)] == ["my password=[SECRET] here"] * 3 + ["again password=[SECRET]"] and out[4] == shared
+    # several owners, but one repository has every text
+    one = docs.withColumn("owner", F.concat(F.lit("o"), F.col("doc_id").cast("string"))).withColumn("source", F.lit("r")).filter("doc_id IN (4, 5)")
+    assert {(r["n_live"], r["n_copied"]) for r in secret_scan.find_secrets(one, owner_col="owner").collect()} == {(1, 0)}
+
+
 def test_redaction(spark):
     docs = make(spark, SECRETS, sources=[f"s{i}" for i in range(len(SECRETS))])
     out = {r["doc_id"]: r for r in secret_scan.redact(docs).collect()}
