@@ -37,7 +37,7 @@ def op4_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_token_files(write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
+    return read_token_files(write_token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, specials=True))
 
 
 def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

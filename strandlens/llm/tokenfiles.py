@@ -15,7 +15,10 @@ store that Spark reaches and a lost executor's part is written again.
 
 Ids come from the tokenizers library: the worker asks it how it splits each
 code point it meets, finds the pieces of a text with arrays, and has the
-library encode each distinct piece once.
+library encode each distinct piece once.  Added tokens in a text are pieces of
+their own, and what lies between them is split like a text, as the library does;
+where added tokens also take spaces, need whole words or are normalized, it
+encodes texts that hold one as a whole.
 
 Nulls and edge cases: a null text is empty and has only the end id.  Null ids
 sort first and repeated ids by text; each row is a document of its own.  Extra
@@ -24,6 +27,7 @@ columns are ignored.  An empty table gives no file and no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -116,16 +120,23 @@ class Image:
 
 
 class LibraryCodec:
-    """Encodes buffers of texts with a tokenizers file; pieces that came before are remembered, up to a bound."""
+    """Encodes buffers of texts with a tokenizers file; pieces that came before are remembered, up to a bound.
 
-    def __init__(self, path: str):
+    specials: special tokens in a text are matched, which is the library's default; otherwise they are text like any other.
+    """
+
+    def __init__(self, path: str, specials: bool = True):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
-        self.own.encode_special_tokens = True
+        self.own.encode_special_tokens = not specials
+        tokens = [t for t in self.own.get_added_tokens_decoder().values() if specials or not t.special]
+        longest = sorted((t.content.encode() for t in tokens if t.content), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, longest))) if longest else None
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens)
         self.kind = np.full(0x110000, 255, dtype=np.uint8)
         self.cache = bytebpe.PieceCache()
 
@@ -142,12 +153,42 @@ class LibraryCodec:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids before the end of each text)."""
+        found = self._added(data, offsets)
+        if not len(found) or self.plain:
+            return self._pieces(data, offsets, found)
+        # texts with an added token that isn't plain are the library's, the others' runs are cut into pieces
+        whole = np.unique(np.searchsorted(offsets, found[:, 0], side="right") - 1).tolist()
+        ids, sizes, at, raw = [], [], 0, data.tobytes()
+        for k in [*whole, len(offsets) - 1]:
+            some, ends = self._pieces(data[offsets[at] : offsets[k]], offsets[at : k + 1] - offsets[at], found[:0])
+            ids.append(some)
+            sizes.append(np.diff(ends, prepend=0))
+            if k < len(offsets) - 1:
+                ids += self._encode([raw[offsets[k] : offsets[k + 1]]])
+                sizes.append([len(ids[-1])])
+            at = k + 1
+        return np.concatenate(ids), np.cumsum(np.concatenate(sizes).astype(np.int64))
+
+    def _added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """(start, end) of the added tokens in the texts, leftmost and longest first; none reaches over a text's end."""
+        raw = data.tobytes()
+        if self.added is None or not self.added.search(raw):
+            return np.zeros((0, 2), dtype=np.int64)
+        cuts = offsets.tolist()
+        found = [m.span() for a, b in zip(cuts[:-1], cuts[1:], strict=True) for m in self.added.finditer(raw, a, b)]
+        return np.array(found, dtype=np.int64).reshape(-1, 2)
+
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray, added: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         points, at = bytebpe.code_points(data)
         opens = np.zeros(len(data) + 1, dtype=bool)
         opens[offsets] = True
+        opens[added.ravel()] = True
         starts = at[bytebpe.piece_starts(bytebpe.symbols(points, opens[at], self._classes(points)))]
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        if len(added):
+            k = np.searchsorted(added[:, 0], starts, side="left") - 1
+            starts = starts[(k < 0) | (starts >= added[k, 1])]
         ids, total = self.cache.encode(data, starts, self._encode)
         return ids, np.concatenate(([0], total))[np.searchsorted(starts, offsets[1:])]
 
@@ -156,23 +197,23 @@ class LibraryCodec:
         return [np.array(e.ids, dtype=np.uint32) for e in found]
 
 
-_codecs: dict[str, LibraryCodec] = {}
+_codecs: dict[tuple[str, bool], LibraryCodec] = {}
 
 
-def _codec(path: str) -> LibraryCodec:
-    if path not in _codecs:
-        _codecs[path] = LibraryCodec(path)
-    return _codecs[path]
+def _codec(path: str, specials: bool) -> LibraryCodec:
+    if (path, specials) not in _codecs:
+        _codecs[path, specials] = LibraryCodec(path, specials)
+    return _codecs[path, specials]
 
 
-def write_token_files(docs: DataFrame, path: str, end_id: int, mode: int = BYTE_PLANES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, path: str, end_id: int, mode: int = BYTE_PLANES, id_col: str = "doc_id", text_col: str = "text", specials: bool = False) -> DataFrame:
     """Encode every whole text, in ascending id order, into file images; returns the table of images that was written.
 
-    Columns: part (ascending ranges of ids), seq, start, n_ids, image.
+    Columns: part (ascending ranges of ids), seq, start, n_ids, image.  specials: special tokens in a text are matched.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part = _codec(path), TaskContext.get().partitionId()
+        own, part = _codec(path, specials), TaskContext.get().partitionId()
         docs_, sizes, parts, have, start, seq = [], [], [], 0, 0, 0
 
         def image() -> pa.RecordBatch:

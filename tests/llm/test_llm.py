@@ -15,7 +15,7 @@ import pytest
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from strandlens.llm import bytebpe, components, fingerprints, mixing, neardup, passages, queries, secret_scan, substrings, telephony, textkernel, tokenfiles, toxicity
 
@@ -329,6 +329,30 @@ def test_token_files(spark, monkeypatch):
     assert tokenfiles.read_token_files(tokenfiles.write_token_files(make(spark, ["a", "b"], ids=[None, None]), P.path("byte_bpe_50k.json"), 2)).count() == 2
 
 
+def test_token_files_with_added_tokens(spark, tmp_path):
+    own, end = Tokenizer.from_file(P.path("byte_bpe_50k.json")), "<|endoftext|>"
+    texts = [f"hello {end} world", end, f"{end}{end}", f"a  {end}  b\n{end}", "<|endof", f"text|>{end[:-1]}", f"é'{end}s ﷽{end} ", f"<|{end}|>", None, "plain"]
+    make(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.op5_token_files(spark, str(tmp_path)).collect()}
+    start = 0
+    for i, t in enumerate(texts):
+        ids = np.array([*own.encode(t or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        assert (found[i]["start"], found[i]["n_tokens"], found[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+@pytest.mark.parametrize("options", [{}, {"lstrip": True, "rstrip": True}, {"single_word": True}, {"normalized": True}])
+def test_added_tokens_like_the_library(tmp_path, options):
+    own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    own.add_tokens([AddedToken("<x>", **{"normalized": False, **options}), AddedToken("<x><y>", normalized=False)])
+    own.save(str(tmp_path / "own.json"))
+    texts = ["a <x> b", "", "<x><y>", "a<x>b <x>", "no", "<", "x> <x><x><y>  <|endoftext|> é", "tail"]
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    ids, ends = tokenfiles.LibraryCodec(str(tmp_path / "own.json")).encode(data, offsets)
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # ---------------------------------------------------------------- 6 mixing
 
 
