@@ -104,6 +104,18 @@ class Slice:
         later = (ids[order] > ids[lead][group]) | (ids[order] == ids[lead][group]) & (place[order] > place[lead][group])
         return np.sort(at[lead]), np.sort(at[order[later]])
 
+    def twins(self, at: np.ndarray) -> np.ndarray:
+        """The windows at, and all of rows with the same id that have the same label at the same place."""
+        if len(np.unique(self.ids)) == len(self.ids) or not len(at):
+            return at
+        ids = self.ids[self.doc]
+        order = np.lexsort((self.place, ids, self.labels))
+        keys = [k[order] for k in (self.labels, ids, self.place)]
+        group = np.cumsum(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))) - 1
+        hit = np.zeros(len(order), dtype=bool)
+        hit[at] = True
+        return np.sort(order[np.isin(group, group[hit[order]])])
+
 
 def pack_slices(docs: DataFrame, words: int) -> DataFrame:
     """(slice, ids, ends, text, counts): packed slices; a task's last row has its counts by prefix class instead."""
@@ -323,7 +335,9 @@ def _kept(own: Slice, flags: list[bytes] | None) -> tuple[np.ndarray, np.ndarray
     n = len(own.words)
     _, later = own.firsts(np.arange(len(own.starts)))
     cover = np.zeros(n + 1, dtype=np.int64)
-    for at in [later, *(np.cumsum(_unpack(f, "<i4")) for f in flags or [])]:
+    # of repeated rows only one was sent, and what precedes it precedes all of them
+    sent = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(_unpack(f, "<i4")) for f in flags or [])])
+    for at in (later, own.twins(sent.astype(np.int64))):
         np.add.at(cover, own.starts[at], 1)
         np.add.at(cover, own.starts[at] + own.width, -1)
     gone = np.cumsum(cover)[:n] > 0

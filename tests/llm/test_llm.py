@@ -503,6 +503,19 @@ def test_repeated_passages_of_odd_rows(spark):
     assert substrings.without_repeats(make(spark, [long]).limit(0)).count() == 0
 
 
+def test_repeated_rows_after_another_slice(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "pack_slices", lambda docs, words, pack=substrings.pack_slices: pack(docs.coalesce(1).sortWithinPartitions("doc_id"), words))
+    monkeypatch.setattr(substrings, "SLICE", 450)
+    long = " ".join(f"w{i}" for i in range(25))
+    rows = [(1, long), (2, "x " * 200), (5, long), (5, long), (5, "y " + long), (5, long), (6, "z")]
+    docs = make(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    packed = substrings.pack_slices(docs.select("doc_id", "text"), 20).filter("slice IS NOT NULL").collect()
+    ids = [substrings._unpack(r["ids"], "<i8").tolist() for r in packed]
+    assert any(x.count(5) > 1 for x in ids) and not any(1 in x and 5 in x for x in ids)
+    found = substrings.without_repeats(docs).collect()
+    assert sorted(tuple(r) for r in found) == without_repeats(rows, 20)
+
+
 # ---------------------------------------------------------------- 10 byte-level BPE
 
 
