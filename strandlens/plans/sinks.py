@@ -41,7 +41,13 @@ def sidelong_grid(df: DataFrame) -> list[list[object]]:
     """One group's samples side by side: header lines, a blank line, then the body with a blank line between row groups."""
     heads = {r["sample_id"]: r for r in sidelong_headers(df).collect()}
     bodies: dict[str, list[list[object]]] = {}
-    for r in sidelong_rows(df).orderBy("sample_id", "ord").limit(MOST_ROWS).collect():
+    rows = sidelong_rows(df)
+    # a sample's lines: headers, two lines, the body and its spacers; checked before rows come to the driver
+    lines = F.count(F.lit(1)) + F.count_if("spacer_before") + len(HEADER) + 2
+    longest = rows.groupBy("sample_id").agg(lines.alias("lines")).agg(F.max("lines")).first()[0]
+    if (longest or 0) > MOST_ROWS:
+        raise ValueError("a sheet can't hold that many rows; write the table instead")
+    for r in rows.orderBy("sample_id", "ord").collect():
         body = bodies.setdefault(r["sample_id"], [])
         if r["spacer_before"]:
             body.append([None] * len(BODY))

@@ -111,6 +111,19 @@ def test_parse_then_compile(spark, tmp_path, samples):
     assert wide.count() == 2 and len(wide.columns) == 4
 
 
+def test_sidelong_grid_keeps_every_sample(spark, monkeypatch):
+    rows = [("A", f"s{i}", "2020-01-02", f"B.{k}", "ACGT"[k % 4] * (k + 1), 10 - k, 0.1, True) for i in range(4) for k in range(5)]
+    df = conform(spark.createDataFrame(rows, "samp_group string, samp_name string, samp_date string, bc_name string, bc_seq string, bc_count long, proportion double, above_cutoff boolean"))
+    df = df.withColumn("sample_id", F.col("samp_name"))
+    whole = sinks.sidelong_grid(df)
+    monkeypatch.setattr(sinks, "MOST_ROWS", len(whole))  # fewer than the rows of all samples, which lie side by side
+    assert len(whole) < len(rows) and sinks.sidelong_grid(df) == whole
+    assert sum(str(v).startswith("B.") for line in whole for v in line) == len(rows)
+    monkeypatch.setattr(sinks, "MOST_ROWS", len(whole) - 1)
+    with pytest.raises(ValueError):
+        sinks.sidelong_grid(df)
+
+
 def test_screen(spark, tmp_path):
     x = PROFILES["X"]
     bc45 = "ACGTT" * 9
