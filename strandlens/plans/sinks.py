@@ -94,12 +94,12 @@ def write_screen_workbook(run: ScreenedRun, path: str, settings: dict[str, objec
 
 
 def write_compiled(every: DataFrame, above: DataFrame, folder: str, prefix: str, contamination: bool = False) -> tuple[str, str]:
-    """{prefix}_all as CSV, and {prefix}_above_cutoff.xlsx: all samples, each group's samples and matrix, and if asked for the
+    """{prefix}_all as CSV, and {prefix}_above_cutoff.xlsx: all rows of all samples, each group's samples and matrix, and if asked for the
     full matrix and the contamination report."""
     table = os.path.join(folder, f"{prefix}_all.csv")
     write_long(every, table)
     above = above.drop(*PRIVATE)
-    sheets = {"all_samples": grid(sidelong_headers(above).orderBy("samp_group", "samp_name", "samp_date"))}
+    sheets = {"all_samples": grid(above.orderBy("samp_group", "samp_name", "samp_date", "sample_id", F.col("bc_count").desc(), "bc_seq"))}
     if contamination:
         sheets["full_matrix"] = grid(matrix_wide(above, ("samp_group", *COMPILE_COLUMNS), ("bc_name", "bc_seq", "ldist_all")))
         sheets["contam_report"] = grid(contamination_wide(above))

@@ -124,6 +124,17 @@ def test_sidelong_grid_keeps_every_sample(spark, monkeypatch):
         sinks.sidelong_grid(df)
 
 
+def test_compiled_workbook_has_every_row(spark, tmp_path):
+    rows = [("7", "f", f"P5.{i}", "A", f"s{i}", "2020-01-02", f"B.{k}", "ACGT"[k] * 5, 10 - k, 0.25, True) for i in range(2) for k in range(4)]
+    df = conform(spark.createDataFrame(rows, "run_number string, filename string, idx_name string, samp_group string, samp_name string, samp_date string, bc_name string, bc_seq string, bc_count long, proportion double, above_cutoff boolean"))
+    _, path = sinks.write_compiled(df, df, str(tmp_path), "C")
+    lines = {}
+    for _, sheet, r, _, v in workbook.cells_of(open(path, "rb").read()):
+        if sheet == "all_samples":
+            lines.setdefault(r, []).append(v)
+    assert len(lines) == 1 + len(rows) and sum("B.2" in v for v in lines.values()) == 2
+
+
 def test_screen(spark, tmp_path):
     x = PROFILES["X"]
     bc45 = "ACGTT" * 9
