@@ -6,9 +6,9 @@ turns it into one of eight symbols.  A nine-state automaton then decides where
 pieces begin.  Its transition functions compose associatively, so a buffer is
 cut into equal rows: all rows' composed functions are found side by side, a
 prefix pass over the rows gives each its entry state, and a second pass side by
-side gives every state.  The pieces (byte ranges) are looked up by hash in the worker's
-cache; new ones are merged pair by pair, all pieces at once; each id keeps its
-byte offset.
+side gives every state.  The pieces (byte ranges) are looked up by hash and bytes in
+the worker's cache; new ones are merged pair by pair, all pieces at once; each id
+keeps its byte offset.
 
 Nulls and edge cases: a null text is empty and has no ids.  Repeated rows stay
 separate rows.  Extra columns are ignored.  The cache is emptied at
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .shared import id_and_text
-from .textkernel import _VALUES, _power_tables, mix64, slices
+from .textkernel import eights, numbers, range_hashes, same_bytes, slices
 
 CACHE_PIECES = 1_000_000
 #: Pieces longer than this (runs of signs or spaces, keys) are merged one by one with a heap.
@@ -172,19 +172,8 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[piece_starts(symbols(points, opens[at]))]
 
 
-def piece_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the pieces of a buffer; 0 is never one."""
-    ends = np.append(starts[1:], len(data))
-    up, down = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
-    key = mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    key[key == 0] = 1
-    return key
-
-
 class PieceCache:
-    """Ids of pieces by hash, in an open-addressed table of arrays: lookups and inserts take whole slices at once."""
+    """Ids of pieces, in an open-addressed table of arrays by hash and bytes: lookups and inserts take whole slices at once."""
 
     def __init__(self, most: int = CACHE_PIECES):
         self.most, self.bits = most, (2 * most).bit_length()
@@ -192,60 +181,69 @@ class PieceCache:
 
     def clear(self) -> None:
         self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
-        self.slots = np.zeros(1 << self.bits, dtype=np.int32)
-        self.n, self.used = 0, 0
+        self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
+        self.n, self.used, self.filled = 0, 0, 0
         self.starts = np.zeros(self.most + 1, dtype=np.int64)
         self.ids = np.zeros(4 * self.most, dtype=np.uint32)
+        # the bytes of the pieces, by which a lookup is decided
+        self.view = eights(np.zeros(16 * self.most, dtype=np.uint8))
+        self.raw = self.view.base
+        self.places = np.zeros(self.most + 1, dtype=np.int64)
 
     def __len__(self) -> int:
         return self.n
 
-    def find(self, key: np.ndarray) -> np.ndarray:
+    def find(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The number of each piece in the store, -1 where it isn't there."""
-        out = np.full(len(key), -1, dtype=np.int64)
+        out, view = np.full(len(key), -1, dtype=np.int64), eights(data)
         todo, slot, mask = np.arange(len(key)), (key >> np.uint64(64 - self.bits)).astype(np.int64), (1 << self.bits) - 1
         while len(todo):
-            there = self.keys[slot]
-            hit = there == key[todo]
-            out[todo[hit]] = self.slots[slot[hit]]
-            on = ~hit & (there != 0)
+            number = self.slots[slot].astype(np.int64)
+            hit = (number >= 0) & (self.keys[slot] == key[todo])
+            hit[hit] = self.places[number[hit] + 1] - self.places[number[hit]] == sizes[todo[hit]]
+            hit[hit] = same_bytes(view, starts[todo[hit]], self.view, self.places[number[hit]], sizes[todo[hit]])
+            out[todo[hit]] = number[hit]
+            on = ~hit & (number >= 0)
             todo, slot = todo[on], (slot[on] + 1) & mask
         return out
 
-    def add(self, key: np.ndarray, ids: list[np.ndarray]) -> bool:
+    def add(self, key: np.ndarray, parts: list[bytes], ids: list[np.ndarray]) -> bool:
         """Keep the ids of new, distinct pieces; false (and nothing kept) where there is no room."""
-        sizes = np.array([len(i) for i in ids])
-        total = int(sizes.sum())
-        if self.n + len(key) > self.most or self.used + total > len(self.ids):
+        sizes, lengths = np.array([len(i) for i in ids], dtype=np.int64), np.array([len(p) for p in parts], dtype=np.int64)
+        total, length = int(sizes.sum()), int(lengths.sum())
+        if self.n + len(key) > self.most or self.used + total > len(self.ids) or self.filled + length > len(self.raw) - 8:
             return False
         number = self.n + np.arange(len(key))
-        self.ids[self.used : self.used + total] = np.concatenate(ids)
+        self.ids[self.used : self.used + total] = np.concatenate([np.zeros(0, np.uint32), *ids])
         self.starts[self.n + 1 : self.n + 1 + len(key)] = self.used + np.cumsum(sizes)
-        self.n, self.used = self.n + len(key), self.used + total
+        self.raw[self.filled : self.filled + length] = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        self.places[self.n + 1 : self.n + 1 + len(key)] = self.filled + np.cumsum(lengths)
+        self.n, self.used, self.filled = self.n + len(key), self.used + total, self.filled + length
         todo, slot, mask = np.arange(len(key)), (key >> np.uint64(64 - self.bits)).astype(np.int64), (1 << self.bits) - 1
         while len(todo):
-            free = self.keys[slot] == 0
-            self.keys[slot[free]] = key[todo[free]]
-            won = free & (self.keys[slot] == key[todo])  # of several on one slot, the last stays
-            self.slots[slot[won]] = number[todo[won]]
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = number[todo[free]]
+            won = free & (self.slots[slot] == number[todo])  # of several on one slot, the last stays
+            self.keys[slot[won]] = key[todo[won]]
             todo, slot = todo[~won], (slot[~won] + 1) & mask
         return True
 
     def encode(self, data: np.ndarray, starts: np.ndarray, encode: Callable[[list[bytes]], list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces in their order, number of ids up to the end of each piece); encode gets the pieces not known."""
-        key = piece_hashes(data, starts)
-        at = self.find(key)
+        ends = np.append(starts[1:], len(data))
+        key = range_hashes(data, starts, ends)
+        at = self.find(data, starts, ends - starts, key)
         missing = np.flatnonzero(at < 0)
         flat, bounds = self.ids, self.starts
         if len(missing):
-            new, where, back = np.unique(key[missing], return_index=True, return_inverse=True)
+            back, where = numbers(data, starts[missing], ends[missing], key[missing])
             where = missing[where]
-            ends = np.append(starts[1:], len(data))
             raw = data.tobytes()
-            found = encode([raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)])
+            parts = [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+            found = encode(parts)
             short = ends[where] - starts[where] <= LONG_PIECE
             kept = self.n
-            if short.all() and self.add(new, found):
+            if short.all() and self.add(key[where], parts, found):
                 at[missing] = kept + back
                 flat, bounds = self.ids, self.starts
             else:  # this slice's new pieces follow what is stored, for now
@@ -253,7 +251,8 @@ class PieceCache:
                 flat = np.concatenate([self.ids[: self.used], *found])
                 bounds = np.concatenate([self.starts[: self.n + 1], self.used + sizes])
                 at[missing] = kept + back
-                if not self.add(new[short], [i for i, s in zip(found, short.tolist(), strict=True) if s] or [np.zeros(0, np.uint32)]):
+                some = np.flatnonzero(short).tolist()
+                if not self.add(key[where[short]], [parts[i] for i in some], [found[i] for i in some]):
                     self.clear()
         take = bounds[at + 1] - bounds[at]
         total = np.cumsum(take)

@@ -8,6 +8,7 @@ holds more than ``max_bytes`` of text unless a single document is longer.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,6 @@ import pyarrow as pa
 SPACE_BYTES = (32, 9, 10, 11, 12, 13)
 SLICE_BYTES = 1 << 21
 
-_ONE = np.uint64(1)
-
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values (wraps modulo 2**64)."""
@@ -31,13 +30,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values(seed: int) -> np.ndarray:
-    return mix64((np.arange(256, dtype=np.uint64) + _ONE) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-
-
-_BASE = np.uint64(0x9DDFEA08EB382D69)  # odd, so it has an inverse modulo 2**64
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_VALUES = _byte_values(7)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(SPACE_BYTES)] = True
 #: Everything in ASCII but letters and digits.
@@ -46,20 +38,72 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, dtype=np.uint64)
-    out[0] = _ONE
-    return np.multiply.accumulate(out)
-
+#: Ranges longer than this are hashed by a cryptographic hash, one by one.
+LONG = 64
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+_SIZE_STEP, _CHUNK_STEP = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9DDFEA08EB382D69)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """At each position the number that its eight bytes make (zeros after the end), without a copy for each."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of each range: eight bytes a round, chained by a bijective mixer; a keyed hash for long ranges.
+
+    No algebra over the bytes, so no structured texts collide; equality that a result depends on is still decided by
+    bytes (`same_bytes`) or by two hashes of different seeds.
+    """
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    view, size = eights(data), ends - starts
+    h = mix64(size.astype(np.uint64) * _SIZE_STEP + np.uint64(seed))
+    more, at = np.arange(len(starts)), 0
+    while len(more) and at < LONG:
+        left = size[more] - at
+        h[more] = mix64(h[more] * _CHUNK_STEP + (view[starts[more] + at] & _MASKS[np.minimum(left, 8)]))
+        at += 8
+        more = more[left > 8]
+    if len(more):
+        key = seed.to_bytes(8, "little")
+        for i, a, b in zip(more.tolist(), starts[more].tolist(), ends[more].tolist(), strict=True):
+            h[i] = int.from_bytes(hashlib.blake2b(data[a:b].tobytes(), digest_size=8, key=key).digest(), "little")
+    return h
+
+
+def same_bytes(one: np.ndarray, at: np.ndarray, two: np.ndarray, where: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether size bytes from at in the first buffer equal those from where in the second, for each range; buffers are given as `eights`."""
+    out = np.ones(len(at), dtype=bool)
+    more, done = np.flatnonzero(size > 0), 0
+    while len(more) and done < LONG:
+        left = size[more] - done
+        equal = (one[at[more] + done] ^ two[where[more] + done]) & _MASKS[np.minimum(left, 8)] == 0
+        out[more[~equal]] = False
+        done += 8
+        more = more[equal & (left > 8)]
+    for i in more.tolist():
+        out[i] = np.array_equal(one.base[at[i] : at[i] + size[i]], two.base[where[i] : where[i] + size[i]])
+    return out
 
-_cache: dict[str, np.ndarray] = {"up": _powers(_BASE, 1 << 16), "down": _powers(_INVERSE, 1 << 16)}
 
+def numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each range, an example of each number); numbers are equal exactly where the bytes are.
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_cache["up"]) <= n:
-        size = 1 << int(n).bit_length()
-        _cache.update(up=_powers(_BASE, size), down=_powers(_INVERSE, size))
-    return _cache["up"], _cache["down"]
+    Ranges are grouped by their hashes and compared with the first of their group; should a group hold different bytes,
+    ranges are named by their bytes.
+    """
+    _, first, back = np.unique(key, return_index=True, return_inverse=True)
+    rest = np.flatnonzero(first[back] != np.arange(len(key)))
+    lead = first[back[rest]]
+    size, view = ends - starts, eights(data)
+    if (size[rest] == size[lead]).all() and same_bytes(view, starts[rest], view, starts[lead], size[rest]).all():
+        return back, first
+    known: dict[bytes, int] = {}
+    raw = data.tobytes()
+    back = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return back, np.unique(back, return_index=True)[1]
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -112,25 +156,13 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes (a polynomial over random byte values, then mixed)."""
-        return self.prefix_hashes([None])[0]
-
-    def prefix_hashes(self, sizes: list[int | None]) -> list[np.ndarray]:
-        """For each size, the hash of each word's first so many bytes (of the whole word, where it is shorter or size is None)."""
-        if not len(self.starts):
-            return [np.zeros(0, dtype=np.uint64) for _ in sizes]
-        up, down = _power_tables(len(self.data))
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[self.data] * up[: len(self.data)], out=sums[1:])
-        left, scale = sums[self.starts], down[self.starts]
-        out = []
-        for size in sizes:
-            ends = self.ends if size is None else np.minimum(self.starts + size, self.ends)
-            h = (sums[ends] - left) * scale
-            h += (ends - self.starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-            out.append(mix64(h))
-        return out
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes."""
+        return range_hashes(self.data, self.starts, self.ends, seed)
+
+    def numbers(self) -> np.ndarray:
+        """A number of each word, equal exactly where the words are."""
+        return numbers(self.data, self.starts, self.ends, self.hashes())[0]
 
 
 def ngram_hashes(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:

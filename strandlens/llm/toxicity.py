@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .labelled import fold, sample_ids
 from .shared import id_and_text
-from .textkernel import SIGNS, Words, mix64, slices
+from .textkernel import SIGNS, Words, mix64, range_hashes, slices
 
 BITS = 20
 #: Stems: the first so many bytes of longer words, which let a form of a word that wasn't seen share weight with those that were.
@@ -52,13 +52,13 @@ class Ftrl:
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, coordinate) of every word, stem, pair and skip pair of a slice, with repeats."""
     words = Words(data, offsets, lower=True, separators=SIGNS)
-    h, *stems = words.prefix_hashes([None, *STEMS])
+    h = words.hashes()
     doc = np.repeat(np.arange(len(offsets) - 1), words.counts())
     docs, keys = [doc], [h]
     size = words.ends - words.starts
-    for k, stem in zip(STEMS, stems, strict=True):
+    for k in STEMS:
         long = size > k
-        keys.append(stem[long])
+        keys.append(range_hashes(words.data, words.starts[long], words.starts[long] + k))
         docs.append(doc[long])
     for gap in (1, 2):
         if len(h) > gap:
