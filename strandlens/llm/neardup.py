@@ -1,6 +1,7 @@
 """Near-duplicate documents by circulant MinHash, banding, and exact Jaccard similarity.
 
-A document is the set of its runs of ``words`` lower-cased words.  One
+A document is the set of its runs of ``words`` lower-cased words, each held as a
+128-bit digest, by which sets are counted, called equal and compared.  One
 permutation places a shingle among 2**22 positions; a second one gives the
 value of a position, and coordinate k of the signature is the least value of
 the set with that permutation shifted k places.  The values of all coordinates
@@ -38,6 +39,8 @@ from .textkernel import Words, mix64, ngram_hashes, slices
 BANDS, ROWS = 64, 8
 COORDINATES = BANDS * ROWS
 PLACES = 1 << 22
+#: Seeds of the two halves of a shingle's digest.
+SEEDS = (0, 0x5851F42D4C957F2D)
 #: Shingles of a block of a family; a task holds two blocks.
 BLOCK_SHINGLES = 400_000
 _tables: dict[str, np.ndarray] = {}
@@ -52,22 +55,46 @@ def _shifted() -> np.ndarray:
     return _tables["values"]
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
-    """The sorted, distinct shingle hashes of each text of a slice."""
+def digests(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
+    """The sorted, distinct shingles of each text of a slice, as 128-bit digests (two rows of 64 bits by different seeds)."""
     found = Words(data, offsets, lower=True)
-    h = found.hashes()
-    runs = ngram_hashes(h, words)
+    hashes = [found.hashes(seed) for seed in SEEDS]
+    runs = [ngram_hashes(h, words) for h in hashes]
     out = []
     for a, b in zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist(), strict=True):
         if b - a >= words:
-            out.append(np.unique(runs[a : b - words + 1]))
+            out.append(_distinct(*(r[a : b - words + 1] for r in runs)))
         elif b > a:  # the whole sequence, salted by its length
-            out.append(ngram_hashes(h[a:b], b - a, salt=b - a + 1))
+            out.append(np.stack([ngram_hashes(h[a:b], b - a, salt=b - a + 1) for h in hashes]))
         else:
-            out.append(np.zeros(0, dtype=np.uint64))
+            out.append(np.zeros((2, 0), dtype=np.uint64))
     return out
 
 
+def _distinct(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    order = np.argsort(one)
+    x, y = one[order], two[order]
+    again = x[1:] == x[:-1]
+    if (y[1:][again] != y[:-1][again]).any():  # equal in 64 bits, not in 128
+        order = np.lexsort((two, one))
+        x, y = one[order], two[order]
+        again = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
+    new = np.append(True, ~again)
+    return np.stack((x[new], y[new]))
+
+
+def _numbered(all_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a number of each digest, how often each number occurs)."""
+    one, two = all_
+    _, first, back, seen = np.unique(one, return_index=True, return_inverse=True, return_counts=True)
+    if (two[first][back] == two).all():
+        return back, seen
+    order = np.lexsort((two, one))
+    new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
+    back[order] = np.cumsum(new) - 1
+    return back, np.bincount(back)
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The least value of the set for each shift."""
     view = _shifted()
@@ -93,14 +120,14 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column("text"), 1 << 20):
-                sets = shingle_sets(data, offsets, words)
-                full = [i for i, s in enumerate(sets) if len(s)]
-                keys = band_keys(np.stack([signature(sets[i]) for i in full])) if full else np.zeros((0, BANDS), np.int64)
+                sets = digests(data, offsets, words)
+                full = [i for i, s in enumerate(sets) if s.shape[1]]
+                keys = band_keys(np.stack([signature(sets[i][0]) for i in full])) if full else np.zeros((0, BANDS), np.int64)
                 ends = np.zeros(len(sets) + 1, dtype=np.int32)
                 ends[np.array(full, dtype=np.int64) + 1] = BANDS
                 bands = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(keys.ravel()))
-                names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                out = [batch.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), bands]
+                names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if s.shape[1] else None for s in sets]
+                out = [batch.column("doc_id").slice(lo, hi - lo), pa.array([s.shape[1] for s in sets], pa.int64()), pa.array(names, pa.binary()), bands]
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_shingles", "set_key", "bands"])
 
     return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_key binary, bands array<long>")
@@ -109,8 +136,8 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs whose Jaccard similarity is at least percent / 100, exactly."""
     n = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    _, ids, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    sizes = np.array([s.shape[1] for s in sets])
+    ids, seen = _numbered(np.concatenate(sets, axis=1))
     shared = seen[ids] > 1  # a shingle of one document alone is in no intersection
     owner = np.repeat(np.arange(n), sizes)[shared]
     ids = ids[shared]
@@ -190,7 +217,7 @@ def linked(groups: DataFrame, words: int, percent: int) -> DataFrame:
             keys, reps = table.column("gkey").to_numpy(), table.column("rep").to_numpy()
             sets: list[np.ndarray] = []
             for _, _, data, offsets in slices(table.column("text")):
-                sets += shingle_sets(data, offsets, words)
+                sets += digests(data, offsets, words)
             cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])).tolist() + [len(keys)]
             out = [(reps[a + i], reps[a + j]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1 for i, j in spanning_links(sets[a:b], percent)]
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
