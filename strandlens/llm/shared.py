@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,3 +42,11 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def whole_ids(rows: DataFrame) -> DataFrame:
+    """rows with doc_id as long; ids of a type that isn't a whole number are refused."""
+    kind = rows.schema["doc_id"].dataType
+    if not isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):
+        raise TypeError(f"ids must be whole numbers, not {kind.simpleString()}")
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))

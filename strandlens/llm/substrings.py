@@ -1,34 +1,46 @@
 """Repeated passages, removed exactly: prefix-partitioned suffix trees over words.
 
-Every word position with ``words`` words from it on is a suffix.  Two suffixes
-meet in a node of the suffix tree at depth ``words`` when they begin with the
-same words; all but the earliest of such a node's leaves repeat a passage, and
-neighbouring ones make up the maximal repeats.
-
-1. Texts are packed into slices of a few megabytes, and suffixes are counted by
-   the classes of their first 1, 2, 3, 4 and ``words`` words.  A class with more
-   suffixes than a group may hold is split by the next longer prefix; the groups
-   of these prefixes of different lengths are then dealt to parts of a size that
-   fits a task.  The table of classes has a fixed size.
-2. A suffix can only reach that depth if the anchor of its window (the one of its
-   runs of ``ANCHOR`` words with the least hash) occurs twice, so anchors are
-   compared first, each slice sending its distinct ones; the answer is a bitmap.
-3. The suffixes left go to their prefix's part, from each slice only the
-   earliest of its equal ones, so a passage in every document costs one entry a
-   slice.  A part sorts its suffixes by their labels (96-bit fingerprints of the
-   first ``words`` words), finds the deep nodes, and reports the leaves that
-   another document, or an earlier start, precedes.
-4. Each slice removes the words its reported windows cover.
-
-Nulls and edge cases: a null text has no words.  A null id comes before all
-others.  Rows with one id are at the same place: equal starts of such rows don't
-precede each other.  Words are compared unchanged.  Extra columns are ignored.
+Every word position with ``words`` words from it on is a suffix (a window is
+its first ``words`` words).  Two suffixes meet in a node of the suffix tree at
+depth ``words`` or more when they begin with the same words; all but the
+earliest of such a node's leaves repeat a passage.
+
+1. Texts are packed into slices of a few megabytes.
+2. The anchor of a window is the one of its runs of ``ANCHOR`` words with the
+   least hash, the leftmost of equal ones.  Equal windows have equal anchors at
+   equal places, so a suffix can only share a deep node if its anchor occurs
+   again.  Slices send their distinct anchors, each with the number of their
+   distinct windows, and get back which ones other slices have too and which
+   ones are too frequent.
+3. The suffixes left are grouped by a prefix of variable length: the words of
+   the anchor, and where more than ``GROUP_WINDOWS`` windows have that anchor,
+   all ``words`` words of the window.  Neighbouring suffixes of one anchor
+   travel as one segment of text, of which every suffix is a part; a slice sends
+   only the earliest of its equal windows.
+4. Groups are dealt to parts of about ``PART_WINDOWS`` windows.  A part numbers
+   the words by their bytes, sorts its suffixes by their words, takes the longest
+   common prefixes (LCP) of neighbours, and so finds the nodes at depth ``words``;
+   their leaves that another document, or an earlier start, precedes are reported.
+   Suffixes of a frequent anchor first meet in parts that take about the square
+   root of all slices each; those that no other precedes there meet again.
+5. Neighbouring reported windows of a document make up a maximal repeat
+   (`maximal_repeats`); its words are removed.
+
+Hashes only deal and filter (a collision sends a suffix needlessly): every
+equality a result rests on is one of words, in slices as in parts.
+
+Nulls and edge cases: a null text has no words.  Ids are whole numbers; a null
+id comes before all others.  Rows with one id are at the same place: equal
+starts of such rows don't precede each other.  Words are compared unchanged.
+Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +49,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, id_and_text, shuffle_partitions
-from .textkernel import Words, mix64, ngram_hashes, run_starts, slices
+from .shared import cut, id_and_text, shuffle_partitions, whole_ids
+from .textkernel import Words, mix64, ngram_hashes, numbers, run_starts, slices
 
 ANCHOR = 8
 SLICE = 2 << 20
-#: Prefix lengths at which suffixes may be split; the last is the whole window.
-DEPTHS = (1, 2, 3, 4, None)
-CLASSES = 1 << 12
-#: Suffixes that one part may hold at most, by the counts of the first pass.
-PART_SUFFIXES = 4_000_000
-NO_ID = -(1 << 63)
+#: Windows of one anchor beyond which it is split by whole windows.
+GROUP_WINDOWS = 1 << 16
+#: Windows of a part, if every window of the corpus were sent.
+PART_WINDOWS = 600_000
+#: Starts of rows without an id are lower by this, which puts them before the rows of any id.
+UNKNOWN = 1 << 40
 
 
 def _pack(a: np.ndarray, kind: str) -> bytes:
@@ -58,150 +70,146 @@ def _unpack(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=kind)
 
 
+def suffix_order(words: np.ndarray, starts: np.ndarray, depth: int, ties: tuple[np.ndarray, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(the suffixes at starts in the order of their first depth words, then of ties; LCP of each with the one before).
+
+    words are numbers; each suffix has depth words at least.  LCPs are counted up to depth; the first is 0.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = max(1, int(words.max()).bit_length())
+    per = 63 // bits  # so many words make one sorting key
+    keys = []
+    for lo in range(0, depth, per):
+        key = np.zeros(len(starts), dtype=np.int64)
+        for k in range(lo, min(lo + per, depth)):
+            key = (key << bits) | words[starts + k]
+        keys.append(key)
+    order = np.lexsort((*ties[::-1], *keys[::-1]))
+    lcp = np.zeros(len(order), dtype=np.int64)
+    a, b, same = starts[order[1:]], starts[order[:-1]], np.arange(1, len(order))
+    for k in range(depth):
+        same = same[words[a[same - 1] + k] == words[b[same - 1] + k]]
+        if not len(same):
+            break
+        lcp[same] += 1
+    return order, lcp
+
+
+def later_leaves(words: np.ndarray, starts: np.ndarray, depth: int, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The suffixes that another leaf of their node at this depth precedes."""
+    order, lcp = suffix_order(words, starts, depth, (ids, place))
+    node = np.cumsum(lcp < depth) - 1
+    lead = order[np.flatnonzero(lcp < depth)][node]
+    late = (ids[order] > ids[lead]) | (ids[order] == ids[lead]) & (place[order] > place[lead])
+    return order[late]
+
+
 class Slice:
-    """The words of a packed slice and the fingerprints of its windows."""
+    """The words of a packed slice and its windows."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, words: int):
-        self.ids, self.width = ids, words
+    def __init__(self, ids: np.ndarray, known: np.ndarray, data: np.ndarray, offsets: np.ndarray, words: int):
+        self.ids, self.known, self.width = ids, known, words
         self.words = Words(data, offsets)
-        self.hashes = self.words.hashes()
         self.starts = run_starts(self.words.bounds, words)
-        runs = ngram_hashes(self.hashes, words)
-        self.labels = runs[self.starts]
         self.doc = np.searchsorted(self.words.bounds, self.starts, side="right") - 1
-        self.place = self.starts - self.words.bounds[self.doc]  # the start within its document
-
-    def second_labels(self, at: np.ndarray) -> np.ndarray:
-        """32 more bits of the labels of some windows, independent of the first 64."""
-        if not len(at):
-            return np.zeros(0, np.uint32)
-        return (ngram_hashes(mix64(self.hashes + np.uint64(0xA5A5)), self.width)[self.starts[at]] >> np.uint64(32)).astype(np.uint32)
-
-    def classes(self) -> np.ndarray:
-        """For each depth, the class of each suffix's prefix."""
-        out = np.empty((len(DEPTHS), len(self.starts)), dtype=np.int32)
-        for k, depth in enumerate(DEPTHS):
-            h = self.labels if depth is None else ngram_hashes(self.hashes, min(depth, self.width))[self.starts] if len(self.starts) else self.labels
-            out[k] = (mix64(h + np.uint64(k + 1)) >> np.uint64(64 - 12)).astype(np.int32)
-        return out
-
-    def anchors(self) -> np.ndarray:
-        """48 bits of the anchor of each window: its run of ANCHOR words with the least hash."""
+        # the start within its document
+        self.place = self.starts - self.words.bounds[self.doc] - np.where(known[self.doc], 0, UNKNOWN)
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return self.words.hashes()
+
+    @cached_property
+    def labels(self) -> np.ndarray:
+        """A hash of each window."""
+        return ngram_hashes(self.hashes, self.width)[self.starts] if len(self.starts) else np.zeros(0, np.uint64)
+
+    @cached_property
+    def groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """(windows in an order that puts equal ones together, whether each begins a group); equal by their words."""
+        order = np.argsort(self.labels)
+        label = self.labels[order]
+        new = np.append(True, label[1:] != label[:-1])[: len(order)]
+        again = np.flatnonzero(~new)
+        if len(again):
+            a, b = self.starts[order[again]], self.starts[order[again - 1]]
+            # only the words of windows with an equal label need a number
+            cover = np.zeros(len(self.words) + 1, dtype=np.int32)
+            for at in (a, b):
+                np.add.at(cover, at, 1)
+                np.add.at(cover, at + self.width, -1)
+            used = np.flatnonzero(np.cumsum(cover)[:-1])
+            number = np.zeros(len(self.words), dtype=np.int64)
+            number[used] = numbers(self.words.data, self.words.starts[used], self.words.ends[used], self.hashes[used])[0]
+            if not all((number[a + k] == number[b + k]).all() for k in range(self.width)):
+                order, lcp = suffix_order(self.words.numbers(), self.starts, self.width)
+                new = lcp < self.width
+        return order, new
+
+    @cached_property
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """(48 bits of the anchor of each window, the word it begins with)."""
         size = max(1, min(ANCHOR, self.width // 2))
         if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        runs = mix64(ngram_hashes(self.hashes, size))
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        runs = mix64(ngram_hashes(self.hashes, size)) >> np.uint64(16)
         spread = np.lib.stride_tricks.sliding_window_view(runs, self.width - size + 1)
-        return spread[self.starts].min(axis=1) >> np.uint64(16)
-
-    def firsts(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of the windows at, (the earliest of each label, those that come after one)."""
-        ids, place, label = self.ids[self.doc[at]], self.place[at], self.labels[at]
-        order = np.lexsort((place, ids, label))
-        new = np.append(True, label[order][1:] != label[order][:-1]) if len(at) else np.zeros(0, bool)
+        at = np.empty(len(self.starts), dtype=np.int64)
+        for lo in range(0, len(at), 1 << 15):
+            at[lo : lo + (1 << 15)] = spread[self.starts[lo : lo + (1 << 15)]].argmin(axis=1)
+        at += self.starts
+        return runs[at], at
+
+    def firsts(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each window, (the earliest window equal to it, whether that one precedes it)."""
+        order, new = self.groups
+        lead = np.arange(len(order))
+        if new.all():
+            return lead, np.zeros(len(order), dtype=bool)
         group = np.cumsum(new) - 1
-        lead = order[np.flatnonzero(new)]
-        later = (ids[order] > ids[lead][group]) | (ids[order] == ids[lead][group]) & (place[order] > place[lead][group])
-        return np.sort(at[lead]), np.sort(at[order[later]])
-
-    def twins(self, at: np.ndarray) -> np.ndarray:
-        """The windows at, and all of rows with the same id that have the same label at the same place."""
-        if len(np.unique(self.ids)) == len(self.ids) or not len(at):
-            return at
-        ids = self.ids[self.doc]
-        order = np.lexsort((self.place, ids, self.labels))
-        keys = [k[order] for k in (self.labels, ids, self.place)]
-        group = np.cumsum(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))) - 1
-        hit = np.zeros(len(order), dtype=bool)
-        hit[at] = True
-        return np.sort(order[np.isin(group, group[hit[order]])])
+        several = np.bincount(group) > 1
+        some = np.flatnonzero(several[group])
+        at, group = order[some], group[some]
+        inner = np.lexsort((self.place[at], self.ids[self.doc[at]], group))
+        at = at[inner]
+        opens = np.append(True, group[1:] != group[:-1])
+        lead[at] = at[np.flatnonzero(opens)][np.cumsum(opens) - 1]
+        return lead, self.precedes(lead, np.arange(len(order)))
+
+    def precedes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        one, two = self.ids[self.doc[a]], self.ids[self.doc[b]]
+        return (one < two) | (one == two) & (self.place[a] < self.place[b])
 
 
 def pack_slices(docs: DataFrame, words: int) -> DataFrame:
-    """(slice, ids, ends, text, counts): packed slices; a task's last row has its counts by prefix class instead."""
+    """(slice, ids, known, ends, windows, text): texts in slices, with the number of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(DEPTHS), CLASSES), dtype=np.int64)
         part, seq = TaskContext.get().partitionId(), 0
-
-        def row(key: int | None, ids: bytes | None, ends: bytes | None, text: bytes | None, count: bytes | None) -> pa.RecordBatch:
-            values = [pa.array([key], pa.int64()), *(pa.array([v], pa.binary()) for v in (ids, ends, text, count))]
-            return pa.RecordBatch.from_arrays(values, ["slice", "ids", "ends", "text", "counts"])
-
         for batch in batches:
-            keys = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id")
+            known, keys = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
-                own = Slice(keys[lo:hi], data, offsets, words)
-                lead, _ = own.firsts(np.arange(len(own.starts)))
-                for k, c in enumerate(own.classes()):
-                    counts[k] += np.bincount(c[lead], minlength=CLASSES)
+                windows = int(np.maximum(Words(data, offsets).counts() - words + 1, 0).sum())
                 text = zstandard.ZstdCompressor(level=3).compress(data.tobytes())
-                yield row((part << 32) | seq, _pack(keys[lo:hi], "<i8"), _pack(np.diff(offsets), "<i8"), text, None)
+                values = [[(part << 32) | seq], [_pack(keys[lo:hi], "<i8")], [np.packbits(known[lo:hi]).tobytes()], [_pack(np.diff(offsets), "<i8")], [windows], [text]]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["slice", "ids", "known", "ends", "windows", "text"])
                 seq += 1
-        yield row(None, None, None, None, _pack(counts, "<i8"))
 
-    return docs.mapInArrow(run, "slice long, ids binary, ends binary, text binary, counts binary")
+    return docs.mapInArrow(run, "slice long, ids binary, known binary, ends binary, windows long, text binary")
+
+
+PACKED = ("slice", "ids", "known", "ends", "text")
 
 
 def _slices_of(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, Slice]]:
     for i in range(batch.num_rows):
-        ids, ends, text = (batch.column(c)[i].as_py() for c in ("ids", "ends", "text"))
+        ids, known, ends, text = (batch.column(c)[i].as_py() for c in PACKED[1:])
         offsets = np.concatenate(([0], np.cumsum(_unpack(ends, "<i8"))))
         data = np.frombuffer(zstandard.ZstdDecompressor().decompress(text), dtype=np.uint8)
-        yield i, Slice(_unpack(ids, "<i8"), data, offsets, words)
-
-
-def class_counts(packed: DataFrame) -> np.ndarray:
-    """Suffixes by depth and class: a table of fixed size, summed over all tasks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for raw in batch.column("counts"):
-                n = _unpack(raw.as_py(), "<i8")
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["at", "n"])
-
-    sums = packed.filter("slice IS NULL").select("counts").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(DEPTHS) * CLASSES, dtype=np.int64)
-    for r in sums.collect():
-        out[r["at"]] = r["n"]
-    return out.reshape(len(DEPTHS), CLASSES)
-
-
-def deal(counts: np.ndarray, parts: int) -> np.ndarray:
-    """The part of each (depth, class), -1 where suffixes of the class are split at the next depth.
-
-    A class is a group if it holds at most a fair share of a part; the largest groups are dealt first, each to the part
-    with the least so far.  At the last depth every class is a group.
-    """
-    import heapq
-
-    total = int(counts[0].sum())
-    most = max(1, total // (4 * parts))
-    out = np.full(counts.shape, -1, dtype=np.int32)
-    groups = []
-    left = total
-    for k in range(len(DEPTHS)):
-        last = k == len(DEPTHS) - 1
-        # what reaches depth k is at most its count, and all classes of it together what was left
-        fits = np.full(CLASSES, True) if last else counts[k] <= most
-        share = min(1.0, left / max(1, int(counts[k].sum())))
-        groups += [(int(counts[k, c] * share), k, int(c)) for c in np.flatnonzero(fits)]
-        left -= int(counts[k][fits].sum() * share)
-    heap = [(0, p) for p in range(parts)]
-    for n, k, c in sorted(groups, reverse=True):
-        load, p = heapq.heappop(heap)
-        out[k, c] = p
-        heapq.heappush(heap, (load + n, p))
-    return out
-
-
-def _part_of(own: Slice, at: np.ndarray, dealt: np.ndarray) -> np.ndarray:
-    """The part of each suffix, by the shortest prefix that is a group."""
-    part = np.full(len(at), -1, dtype=np.int32)
-    for k, c in enumerate(own.classes()[:, at]):
-        part = np.where(part < 0, dealt[k][c], part)
-    return part
+        keys = _unpack(ids, "<i8")
+        yield i, Slice(keys, np.unpackbits(np.frombuffer(known, np.uint8), count=len(keys)).astype(bool), data, offsets, words)
 
 
 def _runs(key: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -226,21 +234,27 @@ def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _anchor_parts(anchors: np.ndarray, parts: int) -> np.ndarray:
-    return ((anchors * np.uint64(1 << 15) >> np.uint64(48)) * np.uint64(parts) >> np.uint64(15)).astype(np.int64)
+def _part_of(high: np.ndarray, parts: int) -> np.ndarray:
+    """The part, in their order, of 48-bit numbers."""
+    return ((high >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def repeated_anchors(packed: DataFrame, words: int, parts: int) -> DataFrame:
-    """(slice, bits): for each slice, which of its sorted distinct anchors other slices have too, by part."""
+    """(slice, bits): by part, which of the slice's sorted distinct anchors other slices have too, then which are frequent."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, own in _slices_of(batch, words):
-                found = np.unique(own.anchors())
-                rows = [(p, found[a:b]) for p, a, b in _runs(_anchor_parts(found, parts))]
+                order, new = own.groups
+                found, n = np.unique(own.anchors[0][order[new]], return_counts=True)
+                rows = list(_runs(_part_of(found, parts)))
                 # 48 bits each
-                raw = [np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for _, x in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int64()), pa.array([batch.column("slice")[i].as_py()] * len(rows), pa.int64()), pa.array(raw, pa.binary())], ["part", "slice", "anchors"])
+                raw = [np.ascontiguousarray(found[a:b], "<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for _, a, b in rows]
+                sizes = [_pack(n[a:b], "<u4") for _, a, b in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p for p, _, _ in rows], pa.int64()), pa.array([batch.column("slice")[i].as_py()] * len(rows), pa.int64()), pa.array(raw, pa.binary()), pa.array(sizes, pa.binary())],
+                    ["part", "slice", "anchors", "sizes"],
+                )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_parts(batches):
@@ -249,97 +263,150 @@ def repeated_anchors(packed: DataFrame, words: int, parts: int) -> DataFrame:
                 x = np.zeros((len(raw.as_py()) // 6, 8), dtype=np.uint8)
                 x[:, :6] = np.frombuffer(raw.as_py(), dtype=np.uint8).reshape(-1, 6)
                 blobs.append(x.view("<u8")[:, 0])
+            sizes = np.concatenate([_unpack(r.as_py(), "<u4") for r in table.column("sizes")])
             _, back, n = np.unique(np.concatenate(blobs), return_inverse=True, return_counts=True)
             again = n[back] > 1
+            frequent = np.bincount(back, sizes)[back] > GROUP_WINDOWS
             ends = np.cumsum([len(b) for b in blobs])
-            bits = [np.packbits(again[e - len(b) : e]).tobytes() for b, e in zip(blobs, ends.tolist(), strict=True)]
+            bits = [np.packbits(np.concatenate((again[e - len(b) : e], frequent[e - len(b) : e]))).tobytes() for b, e in zip(blobs, ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([table.column("slice").combine_chunks(), table.column("part").combine_chunks(), pa.array(bits, pa.binary())], ["slice", "part", "bits"])
 
-    sent = packed.select("slice", "ids", "ends", "text").mapInArrow(send, "part long, slice long, anchors binary")
+    sent = packed.select(*PACKED).mapInArrow(send, "part long, slice long, anchors binary, sizes binary")
     got = sent.repartition(shuffle_partitions(packed.sparkSession), "part").sortWithinPartitions("part", "slice").mapInArrow(compare, "slice long, part long, bits binary")
     return got.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("part", "bits"))).alias("bits")).select("slice", F.col("bits.bits").alias("bits"))
 
 
-def _candidates(own: Slice, bits: list[bytes] | None, parts: int) -> np.ndarray:
-    """Windows whose anchor occurs in another slice, or again in this one."""
-    anchors = own.anchors()
-    found, back = np.unique(anchors, return_inverse=True)
-    again = np.zeros(len(found), dtype=bool)
-    for raw, (_, a, b) in zip(bits or [], _runs(_anchor_parts(found, parts)), strict=True):
-        again[a:b] = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=b - a).astype(bool)
-    # equal windows at one document's different places share an anchor, so a label that repeats within the slice stays
-    return np.flatnonzero(again[back])
+def _candidates(own: Slice, bits: list[bytes] | None, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window, whether its anchor occurs in another slice, and whether it is frequent."""
+    found, back = np.unique(own.anchors[0], return_inverse=True)
+    again, frequent = np.zeros((2, len(found)), dtype=bool)
+    for raw, (_, a, b) in zip(bits or [], _runs(_part_of(found, parts)), strict=True):
+        flags = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=2 * (b - a)).astype(bool)
+        again[a:b], frequent[a:b] = flags[: b - a], flags[b - a :]
+    return again[back], frequent[back]
+
+
+SENT = "part long, slice long, facts binary, text binary"
+
+
+def _segments(own: Slice, bits: list[bytes] | None, parts: int, slice_: int, salts: int) -> pa.RecordBatch:
+    """The suffixes a slice sends, by part: segments of text with the id, the first start, the first window, the number of windows, and whether it is frequent."""
+    again, frequent = _candidates(own, bits, parts)
+    lead, _ = own.firsts()
+    at = np.flatnonzero(again & (lead == np.arange(len(lead))))
+    anchor, begins = own.anchors
+    whole = frequent[at]
+    # neighbours of one anchor are one segment; windows of a frequent anchor stand alone
+    joins = (at[1:] == at[:-1] + 1) & (own.doc[at[1:]] == own.doc[at[:-1]]) & (begins[at[1:]] == begins[at[:-1]]) & ~whole[1:]
+    opens = np.flatnonzero(np.append(True, ~joins)[: len(at)])
+    n = np.diff(np.append(opens, len(at)))
+    at, whole = at[opens], whole[opens]
+    salt = mix64(mix64(np.array([slice_])) % np.uint64(salts))
+    salted = mix64(own.labels[at] + salt) >> np.uint64(16)
+    part = _part_of(np.where(whole, salted, anchor[at]), parts)
+    order = np.argsort(part, kind="stable")
+    part, at, whole, n = part[order], at[order], whole[order], n[order]
+    facts = np.stack((own.ids[own.doc[at]], own.place[at], at, n, whole))
+    text, ends = _spaced(own.words, own.starts[at], n + own.width - 1)
+    ends = np.concatenate(([0], ends))
+    runs = list(_runs(part))
+    blobs = [zstandard.ZstdCompressor(level=1).compress(text[ends[a] : ends[b]].tobytes()) for _, a, b in runs]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([p for p, _, _ in runs], pa.int64()), pa.array([slice_] * len(runs), pa.int64()), pa.array([_pack(facts[:, a:b], "<i8") for _, a, b in runs], pa.binary()), pa.array(blobs, pa.binary())],
+        ["part", "slice", "facts", "text"],
+    )
+
+
+def _spaced(words: Words, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n words from first on of each segment, each followed by a space, and the ends of the segments in these bytes."""
+    total = np.cumsum(n)
+    w = np.repeat(first - (total - n), n) + np.arange(int(total[-1]) if len(total) else 0)
+    size = words.ends[w] - words.starts[w] + 1
+    ends = np.cumsum(size)
+    index = np.repeat(words.starts[w] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+    out = words.data[np.minimum(index, len(words.data) - 1)] if len(index) else np.zeros(0, np.uint8)
+    out[ends - 1] = 32
+    return out, ends[total - 1]
+
+
+def subtrees(sent: DataFrame, words: int, parts: int, last: bool) -> DataFrame:
+    """For the suffixes of each part: (slice, flags), the windows that an equal one precedes.
+
+    Suffixes of frequent anchors that none precedes are sent again, unless this is the last round.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_parts(batches):
+            facts = [_unpack(r.as_py(), "<i8").reshape(5, -1) for r in table.column("facts")]
+            slices_ = np.repeat(table.column("slice").to_numpy(), [f.shape[1] for f in facts])
+            ids, place, at, n, whole = np.concatenate(facts, axis=1)
+            text = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(r.as_py()) for r in table.column("text")), dtype=np.uint8)
+            found = Words(text, np.array([0, len(text)]))
+            # the suffixes of the segments
+            total = np.cumsum(n)
+            of, step = np.repeat(np.arange(len(n)), n), np.arange(int(total[-1])) - np.repeat(total - n, n)
+            begin = np.cumsum(n + words - 1) - (n + words - 1)
+            late = later_leaves(found.numbers(), begin[of] + step, words, ids[of], place[of] + step)
+            window = at[of[late]] + step[late]
+            order = np.lexsort((window, slices_[of[late]]))
+            late, window = late[order], window[order]
+            runs = list(_runs(slices_[of[late]]))
+            keys, blobs = [s for s, _, _ in runs], [_pack(np.diff(window[a:b], prepend=0), "<i4") for _, a, b in runs]
+            none = [None] * len(keys)
+            out = [(none, keys, none, none, blobs)]
+            if not last:
+                again = np.flatnonzero(whole.astype(bool))
+                again = again[~np.isin(again, of[late])]  # such a segment is one window
+                ends = found.ends[begin + n + words - 2] + 1
+                to = _part_of(mix64(ngram_hashes(found.hashes(), words)[begin[again]]) >> np.uint64(16), parts) if len(again) else np.zeros(0, np.int64)
+                again, to = (x[np.lexsort((slices_[again], to))] for x in (again, to))
+                for p, a, b in _runs(to):
+                    for s, c, d in _runs(slices_[again[a:b]]):
+                        some = again[a:b][c:d]
+                        raw = b"".join(text[found.starts[begin[k]] : ends[k]].tobytes() for k in some.tolist())
+                        out.append(([p], [s], [_pack(np.stack((ids, place, at, n, whole))[:, some], "<i8")], [zstandard.ZstdCompressor(level=1).compress(raw)], [None]))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            columns = [pa.array([v for o in out for v in o[k]], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "slice", "facts", "text", "flags"])
+
+    dealt = sent.repartition(shuffle_partitions(sent.sparkSession), "part").sortWithinPartitions("part", "slice")
+    return dealt.mapInArrow(run, SENT + ", flags binary")
 
 
 def repeated_windows(packed: DataFrame, words: int) -> DataFrame:
-    """(slice, flags): the windows of each slice that occur earlier in another slice, as lists of packed numbers."""
-    counts = class_counts(packed)
-    total = int(counts[0].sum())
-    parts = max(4 * shuffle_partitions(packed.sparkSession), -(-total // PART_SUFFIXES))
-    dealt = deal(counts, parts)
-    rows = packed.filter("slice IS NOT NULL").select("slice", "ids", "ends", "text")
-    joined = rows.join(repeated_anchors(rows, words, parts), "slice", "left")
+    """(slice, flags): the windows of each slice that occur earlier in another slice."""
+    spark = packed.sparkSession
+    facts = packed.agg(F.sum("windows").alias("windows"), F.count(F.lit(1)).alias("slices")).first()
+    parts = min(1 << 31, max(4 * shuffle_partitions(spark), -(-(facts["windows"] or 0) // PART_WINDOWS)))
+    salts = max(1, math.isqrt(facts["slices"]))
+    joined = packed.select(*PACKED).join(repeated_anchors(packed, words, parts), "slice", "left")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, own in _slices_of(batch, words):
-                at, _ = own.firsts(_candidates(own, batch.column("bits")[i].as_py(), parts))
-                if not len(at):
-                    continue
-                part = _part_of(own, at, dealt)
-                order = np.argsort(part, kind="stable")
-                at, second = at[order], own.second_labels(at[order])
-                runs = list(_runs(part[order]))
-                docs = [np.unique(own.doc[at[a:b]], return_inverse=True) for _, a, b in runs]
-                blobs = [
-                    [own.labels[at[a:b]].astype("<u8").tobytes() for _, a, b in runs],
-                    [second[a:b].astype("<u4").tobytes() for _, a, b in runs],
-                    [_pack(np.diff(at[a:b], prepend=0), "<i4") for _, a, b in runs],
-                    [_pack(d[1], "<i4") for d in docs],
-                    [own.ids[d[0]].astype("<i8").tobytes() for d in docs],
-                    [_pack(own.place[at[a:b]], "<i4") for _, a, b in runs],
-                ]
-                keys = [pa.array([p for p, _, _ in runs], pa.int64()), pa.array([batch.column("slice")[i].as_py()] * len(runs), pa.int64())]
-                yield pa.RecordBatch.from_arrays(keys + [pa.array(b, pa.binary()) for b in blobs], ["part", "slice", "label", "second", "at", "doc", "ids", "place"])
+                yield _segments(own, batch.column("bits")[i].as_py(), parts, batch.column("slice")[i].as_py(), salts)
 
-    def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_parts(batches):
-            raw = {c: [v.as_py() for v in table.column(c)] for c in ("label", "second", "at", "doc", "ids", "place")}
-            label = np.frombuffer(b"".join(raw["label"]), "<u8")
-            second = np.frombuffer(b"".join(raw["second"]), "<u4")
-            at = [np.cumsum(_unpack(r, "<i4")) for r in raw["at"]]
-            ids = np.concatenate([np.frombuffer(i, "<i8")[_unpack(d, "<i4")] for i, d in zip(raw["ids"], raw["doc"], strict=True)])
-            place = np.concatenate([_unpack(r, "<i4") for r in raw["place"]])
-            blob = np.repeat(np.arange(len(at)), [len(a) for a in at])
-            # the order of the leaves of this group's subtree: by label, then by where they stand
-            order = np.lexsort((place, ids, second, label))
-            one, two = label[order], second[order]
-            new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
-            node = np.cumsum(new) - 1
-            lead = order[np.flatnonzero(new)][node]
-            late = (ids[order] > ids[lead]) | (ids[order] == ids[lead]) & (place[order] > place[lead])
-            hit = np.sort(order[late])
-            where = np.concatenate(at)[hit]
-            slices_ = table.column("slice").to_pylist()
-            out = [(slices_[b], _pack(np.diff(where[a:e], prepend=0), "<i4")) for b, a, e in _runs(blob[hit])]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([f for _, f in out], pa.binary())], ["slice", "flags"])
-
-    sent = joined.mapInArrow(send, "part long, slice long, label binary, second binary, at binary, doc binary, ids binary, place binary")
-    dealt_out = sent.repartition(shuffle_partitions(packed.sparkSession), "part").sortWithinPartitions("part", "slice")
-    found = dealt_out.mapInArrow(subtrees, "slice long, flags binary")
+    once = cut(subtrees(joined.mapInArrow(send, SENT), words, parts, last=False), "subtrees")
+    again = subtrees(once.filter("flags IS NULL").drop("flags"), words, parts, last=True)
+    found = once.filter("flags IS NOT NULL").select("slice", "flags").unionByName(again.select("slice", "flags"))
     return found.groupBy("slice").agg(F.collect_list("flags").alias("flags"))
 
 
-def _kept(own: Slice, flags: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+def _late(own: Slice, flags: list[bytes] | None) -> np.ndarray:
+    """The windows that an equal one precedes."""
+    lead, late = own.firsts()
+    for raw in flags or []:
+        late[np.cumsum(_unpack(raw, "<i4"))] = True
+    # of equal windows only the earliest was sent: what precedes it precedes all, its own twins in repeated rows too
+    return np.flatnonzero(late | late[lead])
+
+
+def _kept(own: Slice, late: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words that stay, words removed of each document)."""
     n = len(own.words)
-    _, later = own.firsts(np.arange(len(own.starts)))
     cover = np.zeros(n + 1, dtype=np.int64)
-    # of repeated rows only one was sent, and what precedes it precedes all of them
-    sent = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(_unpack(f, "<i4")) for f in flags or [])])
-    for at in (later, own.twins(sent.astype(np.int64))):
-        np.add.at(cover, own.starts[at], 1)
-        np.add.at(cover, own.starts[at] + own.width, -1)
+    np.add.at(cover, own.starts[late], 1)
+    np.add.at(cover, own.starts[late] + own.width, -1)
     gone = np.cumsum(cover)[:n] > 0
     total = np.concatenate(([0], np.cumsum(gone)))
     bounds = own.words.bounds
@@ -358,24 +425,26 @@ def _joined_words(own: Slice, stays: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, np.concatenate(([0], ends))[count]
 
 
+def _flagged(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    rows = whole_ids(id_and_text(docs, id_col, text_col))
+    packed = cut(pack_slices(rows, words), "slices")
+    return packed.select(*PACKED).join(repeated_windows(packed, words), "slice", "left")
+
+
 def without_repeats(docs: DataFrame, words: int = 20, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the kept words (and, if asked for, kept_text)."""
-    rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    packed = cut(pack_slices(rows, words), "slices")
-    flags = repeated_windows(packed, words)
-    joined = packed.filter("slice IS NOT NULL").select("slice", "ids", "ends", "text").join(flags, "slice", "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, own in _slices_of(batch, words):
-                stays, removed = _kept(own, batch.column("flags")[i].as_py())
+                stays, removed = _kept(own, _late(own, batch.column("flags")[i].as_py()))
                 out, ends = _joined_words(own, stays)
                 raw, lo, texts = memoryview(out), 0, []
                 for hi in ends.tolist():
                     texts.append(raw[lo : max(lo, hi - 1)])
                     lo = hi
                 values = [
-                    pa.array(own.ids, mask=own.ids == NO_ID),
+                    pa.array(own.ids, mask=~own.known),
                     pa.array(own.words.counts()),
                     pa.array(removed),
                     pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
@@ -386,4 +455,22 @@ def without_repeats(docs: DataFrame, words: int = 20, id_col: str = "doc_id", te
                     names.append("kept_text")
                 yield pa.RecordBatch.from_arrays(values, names)
 
-    return joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
+    flagged = _flagged(docs, words, id_col, text_col)
+    return flagged.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
+
+
+def maximal_repeats(docs: DataFrame, words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, start, n_words: the longest runs of words of which every window occurs earlier, as places of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, own in _slices_of(batch, words):
+                at = _late(own, batch.column("flags")[i].as_py())
+                joins = (np.diff(at) == 1) & (own.doc[at[1:]] == own.doc[at[:-1]])
+                opens = np.flatnonzero(np.append(True, ~joins)[: len(at)])
+                n = np.diff(np.append(opens, len(at))) + own.width - 1
+                doc = own.doc[at[opens]]
+                values = [pa.array(own.ids[doc], mask=~own.known[doc]), pa.array(own.starts[at[opens]] - own.words.bounds[doc]), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(values, ["doc_id", "start", "n_words"])
+
+    return _flagged(docs, words, id_col, text_col).mapInArrow(run, "doc_id long, start long, n_words long")

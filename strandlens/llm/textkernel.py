@@ -94,7 +94,10 @@ def numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndar
     Ranges are grouped by their hashes and compared with the first of their group; should a group hold different bytes,
     ranges are named by their bytes.
     """
-    _, first, back = np.unique(key, return_index=True, return_inverse=True)
+    order = np.argsort(key)
+    new = np.append(True, key[order][1:] != key[order][:-1])[: len(key)]
+    first, back = order[new], np.empty(len(key), dtype=np.int64)
+    back[order] = np.cumsum(new) - 1
     rest = np.flatnonzero(first[back] != np.arange(len(key)))
     lead = first[back[rest]]
     size, view = ends - starts, eights(data)
