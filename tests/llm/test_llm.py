@@ -63,6 +63,28 @@ def test_words_and_hashes():
     assert len(textkernel.ngram_hashes(h[:2], 3)) == 0
 
 
+def structured(size):
+    """Two words of a and b that differ everywhere and that no polynomial modulo a power of two tells apart."""
+    word = "a"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+STRUCTURED = [structured(n) for n in (8, 64, 128, 512, 1024, 4096)]
+
+
+def test_numbers_go_by_bytes():
+    words = [w for pair in STRUCTURED for w in pair] * 2 + ["x", "x\0", "é"]
+    data = np.frombuffer("".join(words).encode(), dtype=np.uint8)
+    ends = np.cumsum([len(w.encode()) for w in words])
+    starts = np.append(0, ends[:-1])
+    assert len(set(textkernel.range_hashes(data, starts, ends).tolist())) == len(set(words))
+    for key in (textkernel.range_hashes(data, starts, ends), np.arange(len(words), dtype=np.uint64) % 3):  # good and bad hashes
+        back, first = textkernel.numbers(data, starts, ends, key)
+        assert [words[first[k]] for k in back] == words
+
+
 # ---------------------------------------------------------------- 1 secrets
 
 ASSIGN = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -185,7 +207,8 @@ def shingles(t, k):
 
 @pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
 def test_near_duplicates(spark, k, percent):
-    texts = corpus(2, 90) + ["A b C", "a B c", "one two", "one  two"]
+    texts = corpus(2, 90) + ["A b C", "a B c", "one two", "one  two"] + [" ".join(p) for pair in STRUCTURED for p in (pair[:1] * 1, pair[1:])]
+    texts += [" ".join(f"{w}{i}" for i in range(6)) for pair in STRUCTURED for w in pair]
     sets = [shingles(t, k) for t in texts]
     parent = list(range(len(texts)))
 
@@ -222,6 +245,17 @@ def test_families_in_several_blocks(spark, monkeypatch):
     assert found == {0}
 
 
+def test_digests_whose_first_half_collides(monkeypatch):
+    texts = ["a b c d e", "a b c d f", "e d c b a", "a b c d e"]
+    data, offsets = textkernel.text_buffer(pa.array(texts))
+    plain = neardup.digests(data, offsets, 3)
+    monkeypatch.setattr(neardup, "ngram_hashes", lambda h, n, salt=0, own=textkernel.ngram_hashes: own(h, n, salt) if h[0] == second else own(h, n, salt) * np.uint64(0))
+    second = textkernel.Words(data, offsets).hashes(neardup.SEEDS[1])[0]
+    weak = neardup.digests(data, offsets, 3)
+    assert [s.shape[1] for s in plain] == [s.shape[1] for s in weak] == [3, 3, 3, 3]
+    assert neardup.spanning_links(weak, 85) == neardup.spanning_links(plain, 85) == [(0, 3)]
+
+
 def test_components(spark):
     rng = random.Random(5)
     pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
@@ -314,7 +348,7 @@ def test_token_files(spark, monkeypatch):
     monkeypatch.setattr(tokenfiles, "IMAGE_IDS", 700)
     own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     own.encode_special_tokens = True
-    texts = [*corpus(6, 40), "<|endoftext|> ﷽ ½ ⅷ ' 're ''s　x \x1c y"]
+    texts = [*corpus(6, 40), "<|endoftext|> ﷽ ½ ⅷ ' 're ''s　x \x1c y", *(w for pair in STRUCTURED for w in pair)]
     order = list(range(len(texts)))
     random.Random(1).shuffle(order)
     docs = make(spark, [texts[i] for i in order], ids=order)
@@ -331,7 +365,7 @@ def test_token_files(spark, monkeypatch):
 
 def test_token_files_with_added_tokens(spark, tmp_path):
     own, end = Tokenizer.from_file(P.path("byte_bpe_50k.json")), "<|endoftext|>"
-    texts = [f"hello {end} world", end, f"{end}{end}", f"a  {end}  b\n{end}", "<|endof", f"text|>{end[:-1]}", f"é'{end}s ﷽{end} ", f"<|{end}|>", None, "plain"]
+    texts = [*(w + end for pair in STRUCTURED for w in pair), f"hello {end} world", end, f"{end}{end}", f"a  {end}  b\n{end}", "<|endof", f"text|>{end[:-1]}", f"é'{end}s ﷽{end} ", f"<|{end}|>", None, "plain"]
     make(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
     found = {r["doc_id"]: r for r in queries.op5_token_files(spark, str(tmp_path)).collect()}
     start = 0
@@ -485,7 +519,7 @@ def without_repeats(rows, n):
 @pytest.mark.parametrize(("n", "size"), [(20, substrings.SLICE), (20, 900), (5, 2000)])
 def test_repeated_passages(spark, monkeypatch, n, size):
     monkeypatch.setattr(substrings, "SLICE", size)
-    texts = corpus(8, 70)
+    texts = corpus(8, 70) + [" ".join(["same"] * (n - 1) + [w, "end"]) for pair in STRUCTURED for w in pair]
     order = list(range(len(texts)))
     random.Random(2).shuffle(order)
     docs = make(spark, [texts[i] for i in order], ids=order)
@@ -494,6 +528,66 @@ def test_repeated_passages(spark, monkeypatch, n, size):
     assert all(hashlib.sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"] for r in found)
 
 
+def test_suffix_order_and_nodes():
+    rng = np.random.default_rng(4)
+    for depth, letters in ((4, 2), (7, 3), (20, 2), (1, 5)):
+        words = rng.integers(0, letters, 300)
+        words[150:210] = words[20:80]
+        starts = rng.permutation(300 - depth)
+        prefix = [tuple(words[s : s + depth].tolist()) for s in starts.tolist()]
+        order, lcp = substrings.suffix_order(words, starts, depth)
+        assert [prefix[k] for k in order] == sorted(prefix) and sorted(order.tolist()) == list(range(len(starts)))
+        for k in range(1, len(order)):
+            a, b = prefix[order[k - 1]], prefix[order[k]]
+            assert lcp[k] == next((i for i in range(depth) if a[i] != b[i]), depth)
+        late = substrings.later_leaves(words, starts, depth, np.zeros(len(starts), np.int64), starts)
+        first = {}
+        for k in np.argsort(starts).tolist():
+            first.setdefault(prefix[k], k)
+        assert sorted(late.tolist()) == [k for k in range(len(starts)) if first[prefix[k]] != k]
+    assert all(len(x) == 0 for x in substrings.suffix_order(np.zeros(0, np.int64), np.zeros(0, np.int64), 5))
+
+
+def repeated_places(rows, n):
+    """(id, start) of every n words that also stand at an earlier place."""
+    first, every = {}, {}
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        for p in range(len(w) - n + 1):
+            every[i, p] = tuple(w[p : p + n])
+            first[every[i, p]] = min(first.get(every[i, p], (i, p)), (i, p))
+    return {k for k, w in every.items() if first[w] < k}
+
+
+@pytest.mark.parametrize(("group", "part", "size"), [(1 << 16, 600_000, 900), (1, 50, 900), (3, 600_000, 400), (1, 1, 2 << 20)])
+def test_maximal_repeats(spark, monkeypatch, group, part, size):
+    monkeypatch.setattr(substrings, "SLICE", size)
+    monkeypatch.setattr(substrings, "GROUP_WINDOWS", group)
+    monkeypatch.setattr(substrings, "PART_WINDOWS", part)
+    texts = corpus(11, 60)
+    rows = list(enumerate(texts))
+    late = repeated_places(rows, 20)
+    wanted = []
+    for i, p in sorted(late):
+        if (i, p - 1) in late:
+            wanted[-1][2] += 1
+        else:
+            wanted.append([i, p, 20])
+    docs = make(spark, texts)
+    assert sorted(map(list, substrings.maximal_repeats(docs).collect())) == wanted
+    assert sorted(tuple(r) for r in substrings.without_repeats(docs).collect()) == without_repeats(rows, 20)
+
+
+def test_repeats_of_rows_with_the_least_id(spark):
+    long, least = " ".join(f"w{i}" for i in range(25)), -(1 << 63)
+    docs = make(spark, [long, long, long + " more"], ids=[least, None, 3])
+    found = {r["doc_id"]: r["n_removed"] for r in substrings.without_repeats(docs).collect()}
+    assert found == {None: 0, least: 25, 3: 25}
+    assert {tuple(r) for r in substrings.maximal_repeats(docs).collect()} == {(least, 0, 25), (3, 0, 25)}
+    with pytest.raises(TypeError, match="whole numbers"):
+        substrings.without_repeats(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 def test_repeated_passages_of_odd_rows(spark):
     long = " ".join(f"w{i % 30}" for i in range(100))
     rows = [(4, long), (4, long), (2, long), (None, long), (7, None)]
@@ -526,7 +620,7 @@ def test_byte_bpe(spark):
     rng = random.Random(9)
     alphabet = list("abst'srelvdm   \n\t'12,.!é中 　😀́Ⅷ\x85\x1c​")
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
-    texts += [*corpus(10, 20), "'", "'re", "don't we'll'", "!" * 700, " " * 900 + "a", "aaaa" * 300, "\n" * 90]
+    texts += [*corpus(10, 20), *(w for pair in STRUCTURED for w in (*pair, " ".join(pair))), "'", "'re", "don't we'll'", "!" * 700, " " * 900 + "a", "aaaa" * 300, "\n" * 90]
     found = {r["doc_id"]: r for r in bytebpe.round_trip(make(spark, texts), path, with_ids=True).collect()}
     offsets = {r["doc_id"]: r for r in bytebpe.encode_texts(make(spark, texts), path).collect()}
     for i, t in enumerate(texts):
