@@ -153,13 +153,14 @@ class Slice:
         size = max(1, min(ANCHOR, self.width // 2))
         if not len(self.starts):
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        runs = mix64(ngram_hashes(self.hashes, size)) >> np.uint64(16)
+        runs = mix64(ngram_hashes(self.hashes, size))
         spread = np.lib.stride_tricks.sliding_window_view(runs, self.width - size + 1)
         at = np.empty(len(self.starts), dtype=np.int64)
         for lo in range(0, len(at), 1 << 15):
             at[lo : lo + (1 << 15)] = spread[self.starts[lo : lo + (1 << 15)]].argmin(axis=1)
         at += self.starts
-        return runs[at], at
+        # mixed again, since the least of several hashes tend to be small ones
+        return mix64(runs[at]) >> np.uint64(16), at
 
     def firsts(self) -> tuple[np.ndarray, np.ndarray]:
         """For each window, (the earliest window equal to it, whether that one precedes it)."""
