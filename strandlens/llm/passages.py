@@ -64,17 +64,15 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first = np.concatenate(([0], np.cumsum(per)))
     total = int(first[-1])
     out = np.zeros((total, WIDTH), dtype=np.float32)
-    if not len(words):
-        return out, first
     doc = np.repeat(np.arange(len(counts)), counts)
     within = np.arange(len(words)) - words.bounds[doc]
     passage = first[doc] + within // PASSAGE
-    # bytes belong to the passage of the last word that has begun; bytes before the first word to the first
-    opener = np.zeros(len(data), dtype=np.int64)
-    new = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-    opener[words.starts[new]] = 1
-    rank = np.maximum(np.cumsum(opener) - 1, 0)
-    of = passage[new][rank]
+    # a document's bytes belong to the passage of the last of its words that has begun; those before its first word to the first
+    begin = np.repeat(offsets[:-1], per)
+    inner = np.flatnonzero(within % PASSAGE == 0)
+    inner = inner[within[inner] > 0]
+    begin[passage[inner]] = words.starts[inner]
+    of = np.repeat(np.arange(total), np.diff(np.append(begin, len(data))))
     h = words.hashes()
     n_bytes = np.maximum(np.bincount(of, minlength=total), 1)[:, None]
     n_words = np.maximum(np.bincount(passage, minlength=total), 1)[:, None]
@@ -82,7 +80,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     size = words.ends - words.starts
     mean = np.bincount(passage, size, total) / n_words[:, 0]
     stats = [np.log1p(n_words[:, 0]) / 4, mean / 8, np.bincount(passage, np.minimum(size, 64) ** 2, total) / n_words[:, 0] / 100]
-    next_same = np.append((h[1:] == h[:-1]) & (doc[1:] == doc[:-1]), False)
+    next_same = np.append((h[1:] == h[:-1]) & (doc[1:] == doc[:-1]), False)[: len(h)]
     stats.append(np.bincount(passage, next_same, total) / n_words[:, 0] * 4)
     stats.append(1 - np.bincount(passage, _seen_before(passage, h), total) / n_words[:, 0])
     three = ngram_hashes(h, 3)
@@ -94,7 +92,10 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     at = CLASSES + STATS
     low = data.astype(np.uint32)
     pair = ((low[:-1] * 257 + low[1:]) * np.uint32(2654435761) >> np.uint32(25)).astype(np.int64)
-    out[:, at : at + PAIRS] = np.sqrt(np.bincount(of[:-1] * PAIRS + pair, minlength=total * PAIRS).reshape(total, PAIRS) / n_bytes * 4)
+    own = np.ones(len(pair), dtype=bool)
+    edges = offsets[1:-1]
+    own[edges[(edges > 0) & (edges < len(data))] - 1] = False  # no pair reaches into the next document
+    out[:, at : at + PAIRS] = np.sqrt(np.bincount((of[:-1] * PAIRS + pair)[own], minlength=total * PAIRS).reshape(total, PAIRS) / n_bytes * 4)
     word = (h >> np.uint64(57)).astype(np.int64)
     out[:, at + PAIRS :] = np.sqrt(np.bincount(passage * WORDS + word, minlength=total * WORDS).reshape(total, WORDS) / n_words)
     return out, first
