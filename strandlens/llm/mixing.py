@@ -12,15 +12,17 @@ A source's budget is its weight of the total.  Whole passes over the source
 come first; for the rest its documents lie in blocks by the hash of their id,
 the blocks in a keyed permutation, and blocks are taken until the budget is
 met.  Only the one block in which it is met is cut, at the document (in hash
-order) after which the next would exceed the budget.  A source has at most
-``BLOCKS`` blocks, so a source with a third of all rows spreads over as many
-tasks.
+order) after which the next would exceed the budget: first the stretch of the
+block in which that is, then the document.  A source has at most ``BLOCKS``
+blocks, and a block as many stretches, so a source with a third of all rows
+spreads over as many tasks, and none orders more than its millionth part.
 
 Nulls and edge cases: a null source is the source with the empty name; a null
 text has no tokens; a null id hashes as empty text.  Documents without tokens
 cost nothing and are placed like any other.  Repeated rows share an id's place
-and are taken together.  Other columns pass through; names the operator needs
-itself end in ``_``.  If no document has tokens, every row is taken once.
+and are taken together.  Other columns pass through, whatever their names; where
+they include ``pass_``, the added column gets one more underscore.  If no
+document has tokens, every row is taken once.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, fresh
 
 BLOCKS = 1024
 #: A block has at least about so many documents.
@@ -62,6 +64,12 @@ def _block(key: Column, blocks: Column) -> Column:
     return F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / 2.0**32 * blocks).cast("int")
 
 
+def _stretch(key: Column, blocks: Column) -> Column:
+    """Where in its block a key lies, as one of BLOCKS stretches; it never falls as the key grows."""
+    at = F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / 2.0**32 * blocks
+    return F.floor((at - F.floor(at)) * BLOCKS).cast("int")
+
+
 def exponent(sources: DataFrame, m: Mixture) -> float:
     """The exponent for sources(tokens, share), by grids of exponents that narrow around it; rounded to 6 places.
 
@@ -139,21 +147,30 @@ def plan(docs: DataFrame, m: Mixture = Mixture(), id_col: str = "doc_id", text_c
     whole = sums.filter((F.col("left") > 0) & (F.col("tokens") <= F.col("left"))).select("source_", "block_", F.lit("g").alias("last_"))
     # at most one block of each source is cut
     met = sums.filter((F.col("left") > 0) & (F.col("tokens") > F.col("left"))).select("source_", "block_", "left")
-    running = Window.partitionBy("source_", "block_").orderBy("key_").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = placed.select("source_", "block_", "key_", "tokens").join(met, ["source_", "block_"]).withColumn("sum", F.sum("tokens").over(running))
-    part = inside.filter(F.col("sum") <= F.col("left")).groupBy("source_", "block_").agg(F.max("key_").alias("last_"))
+    inside = cut(placed.select("source_", "block_", "blocks_", "key_", "tokens").join(met, ["source_", "block_"]).withColumn("stretch_", _stretch(F.col("key_"), F.col("blocks_"))), "mix-cut")
+    stretches = inside.groupBy("source_", "block_", "stretch_", "left").agg(F.sum("tokens").alias("tokens"), F.max("key_").alias("last_"))
+    lower = Window.partitionBy("source_", "block_").orderBy("stretch_").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.withColumn("room", F.col("left") - F.coalesce(F.sum("tokens").over(lower), F.lit(0).cast("long")))
+    full = stretches.filter(F.col("tokens") <= F.col("room")).select("source_", "block_", "last_")
+    # at most one stretch of each cut block is cut
+    ends = stretches.filter((F.col("room") >= 0) & (F.col("tokens") > F.col("room"))).select("source_", "block_", "stretch_", "room")
+    running = Window.partitionBy("source_", "block_", "stretch_").orderBy("key_").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    last = inside.select("source_", "block_", "stretch_", "key_", "tokens").join(ends, ["source_", "block_", "stretch_"]).withColumn("sum", F.sum("tokens").over(running))
+    last = last.filter(F.col("sum") <= F.col("room")).select("source_", "block_", F.col("key_").alias("last_"))
+    part = full.unionByName(last).groupBy("source_", "block_").agg(F.max("last_").alias("last_"))
     return sources, cut(whole.unionByName(part), "mix-blocks")
 
 
 def mix(docs: DataFrame, m: Mixture = Mixture(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The documents as often as their source's budget has them, with pass_ (0, 1, ...) added."""
+    """The documents as often as their source's budget has them, with pass_ (0, 1, ...; see above for its name) added last."""
     sources, blocks = plan(docs, m, id_col, text_col, source_col)
-    rows = docs.withColumn("source_", _source(source_col)).withColumn("key_", _key(id_col, m.seed))
+    (nth,) = fresh(docs.columns, "pass_")
+    rows = docs.select(F.struct("*").alias("row_"), _source(source_col).alias("source_"), _key(id_col, m.seed).alias("key_"))
     rows = rows.join(sources.select("source_", "blocks_", "passes_"), "source_").withColumn("block_", _block(F.col("key_"), F.col("blocks_")))
     rows = rows.join(blocks, ["source_", "block_"], "left")
     copies = F.col("passes_") + F.coalesce((F.col("key_") <= F.col("last_")).cast("int"), F.lit(0))
-    taken = rows.withColumn("copies_", copies).filter("copies_ > 0").withColumn("pass_", F.explode(F.sequence(F.lit(0), F.col("copies_") - 1)))
-    return taken.select(*docs.columns, "pass_")
+    taken = rows.withColumn("copies_", copies).filter("copies_ > 0").withColumn(nth, F.explode(F.sequence(F.lit(0), F.col("copies_") - 1)))
+    return taken.select("row_.*", nth)
 
 
 def mixture_of(docs: DataFrame, m: Mixture = Mixture()) -> DataFrame:
@@ -161,23 +178,26 @@ def mixture_of(docs: DataFrame, m: Mixture = Mixture()) -> DataFrame:
     return mix(docs.select("doc_id", "source", "text"), m).select("doc_id", "source", F.col("pass_").alias("pass"))
 
 
-#: The same in DuckDB's SQL: bisection of the exponent, then whole passes, whole blocks and the cut block.
+#: The same in DuckDB's SQL: doubling and bisection of the exponent, then whole passes, whole blocks and the cut block.
 SQL = r"""
 WITH RECURSIVE counted AS (
   SELECT doc_id, source, coalesce(source, '') AS s, md5('{seed}|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM {docs}),
 per AS (SELECT s, sum(tokens)::BIGINT AS tokens, least({blocks}, ceil(count(*) / {block_documents}))::INT AS blocks FROM counted GROUP BY s),
 shares AS (SELECT *, tokens / (SELECT sum(tokens) FROM per)::DOUBLE AS share FROM per),
-filled AS MATERIALIZED (SELECT share FROM shares WHERE tokens > 0),
+filled AS MATERIALIZED (SELECT share, share / (SELECT max(share) FROM shares) AS r FROM shares WHERE tokens > 0),
+facts AS MATERIALIZED (SELECT {entropy} * ln(count(*)) AS goal, ln(count(*) FILTER (WHERE r = 1)) AS ties, ln(sum(r)) - sum(r * ln(r)) / sum(r) AS even FROM filled),
 steps AS (
-  SELECT 0 AS i, 0.0::DOUBLE AS lo, 4.0::DOUBLE AS hi
+  SELECT 0 AS i, CASE WHEN even <= goal THEN 0.0 ELSE 1.0 END::DOUBLE AS lo, CASE WHEN even <= goal THEN 1.0 ELSE 'inf'::DOUBLE END::DOUBLE AS hi FROM facts
   UNION ALL
-  SELECT i + 1, CASE WHEN ok THEN lo ELSE (lo + hi) / 2 END, CASE WHEN ok THEN (lo + hi) / 2 ELSE hi END
-  FROM (SELECT i, lo, hi, (SELECT ln(sum(share ** ((lo + hi) / 2))) - (lo + hi) / 2 * sum(share ** ((lo + hi) / 2) * ln(share)) / sum(share ** ((lo + hi) / 2)) <= {entropy} * ln(count(*))
-      AND {total} * max(share ** ((lo + hi) / 2 - 1)) / sum(share ** ((lo + hi) / 2)) <= {repeats} FROM filled) AS ok FROM steps WHERE i < 40)),
-alpha AS (SELECT round(hi, 6) AS a FROM steps WHERE i = 40),
-z AS (SELECT sum(share ** a) AS z FROM filled, alpha),
-budgets AS (SELECT s, tokens, blocks, CASE WHEN tokens > 0 THEN floor(round(share ** a / z * ({total} * (SELECT sum(tokens) FROM per)), 3))::BIGINT ELSE 0 END AS budget FROM shares, alpha, z),
+  SELECT i + 1, CASE WHEN done THEN lo ELSE a END, CASE WHEN done THEN a ELSE hi END
+  FROM (SELECT i, lo, hi, a, CASE WHEN even <= goal THEN h <= goal AND passes <= {repeats} ELSE h <= goal OR passes > {repeats} END AS done
+    FROM facts, (SELECT *, (SELECT ln(sum(r ** a)) - a * sum(r ** a * ln(r)) / sum(r ** a) FROM filled) AS h, (SELECT {total} * max(r ** a / share) / sum(r ** a) FROM filled) AS passes
+      FROM (SELECT *, CASE WHEN hi = 'inf'::DOUBLE THEN 2 * lo ELSE (lo + hi) / 2 END AS a FROM steps WHERE i < 70)))),
+alpha AS (SELECT CASE WHEN even > goal AND ties > goal THEN 1.0
+    WHEN even > goal AND (SELECT {total} * max(r ** hi / share) / sum(r ** hi) FROM filled) > {repeats} THEN floor(lo * 1e6) / 1e6 ELSE round(hi, 6) END::DOUBLE AS a FROM steps, facts WHERE i = 70),
+z AS (SELECT sum(r ** a) AS z FROM filled, alpha),
+budgets AS (SELECT s, tokens, blocks, CASE WHEN tokens > 0 THEN floor(round((share / (SELECT max(share) FROM shares)) ** a / z * ({total} * (SELECT sum(tokens) FROM per)), 3))::BIGINT ELSE 0 END AS budget FROM shares, alpha, z),
 sources AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS passes, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest FROM budgets),
 placed AS (SELECT c.*, passes, rest, floor(('0x' || substr(k, 1, 8))::BIGINT / 4294967296.0::DOUBLE * blocks)::INT AS block FROM counted c JOIN sources USING (s)),
 sums AS (SELECT s, block, any_value(rest) - coalesce(sum(sum(tokens)) OVER (PARTITION BY s ORDER BY md5('{seed}|' || s || '|' || block), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room, sum(tokens) AS tokens FROM placed GROUP BY s, block),
