@@ -2,14 +2,15 @@
 
 Mu-law and A-law codes expand by tables of 256 entries.  ADPCM blocks don't
 depend on each other, so step k of every block of a whole batch is decoded at
-once.  PCM is resampled by a half-band filter to twice the rate.
+once.  PCM at the telephony rate is resampled by a half-band filter to twice that.
 
 `encode_payloads` keeps the bytes of texts as telephony samples without loss;
 the codec follows from the payload itself, so equal texts give equal media.
 
 Nulls and edge cases: a null text is empty, its payload one unit of spaces.  A
-null or malformed medium decodes to null PCM.  Repeated rows stay separate
-rows; extra columns are ignored.
+null or malformed medium, or one at another rate than ``RATE``, decodes to null
+PCM and has null digests and features.  Repeated rows stay separate rows; extra
+columns are ignored.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -117,7 +118,7 @@ def wave(codec: int, data: bytes, units: int) -> bytes:
 
 
 def parse_wave(raw: bytes) -> tuple[int, int, memoryview] | None:
-    """(format tag, block size, data) of a WAVE file, None where it isn't one."""
+    """(format tag, block size, data) of a mono WAVE file at the telephony rate, None where it isn't one."""
     if len(raw) < 12 or raw[:4] != b"RIFF" or raw[8:12] != b"WAVE":
         return None
     at, form = 12, None
@@ -127,7 +128,7 @@ def parse_wave(raw: bytes) -> tuple[int, int, memoryview] | None:
         if name == b"fmt " and size >= 16:
             form = struct.unpack_from("<HHIIHH", raw, at + 8)
         elif name == b"data":
-            if form is None or at + 8 + size > len(raw) or form[1] != 1:
+            if form is None or at + 8 + size > len(raw) or form[1] != 1 or form[2] != RATE:
                 return None
             return form[0], form[4], view[at + 8 : at + 8 + size]
         at += 8 + size + size % 2
@@ -144,11 +145,19 @@ def to_wave(payload: bytes) -> bytes:
     return wave(codec, rows.tobytes(), len(rows) * (NIBBLES + 1))
 
 
-def stored_payload(codec: int, data: memoryview) -> bytes:
-    """The payload bytes that lie in a medium's data."""
+def stored_payload(codec: int, align: int, data: memoryview) -> bytes:
+    """The payload bytes that lie in a medium's data, in blocks of align bytes."""
     if codec != ADPCM:
         return bytes(data)
-    return np.frombuffer(data, dtype=np.uint8).reshape(-1, BLOCK)[:, HEADER:].tobytes()
+    return np.frombuffer(data, dtype=np.uint8).reshape(-1, align)[:, HEADER:].tobytes()
+
+
+def readable(raw: bytes | None) -> tuple[int, int, memoryview] | None:
+    """(format tag, block size, data) of a medium in one of the three codecs, None of any other."""
+    found = parse_wave(raw) if raw is not None else None
+    if found and (found[0] in TABLES or found[0] == ADPCM and found[1] > HEADER and len(found[2]) % found[1] == 0):
+        return found
+    return None
 
 
 def decode_media(media: list[bytes | None]) -> list[np.ndarray | None]:
@@ -156,8 +165,8 @@ def decode_media(media: list[bytes | None]) -> list[np.ndarray | None]:
     out: list[np.ndarray | None] = [None] * len(media)
     groups: dict[int, list[tuple[int, memoryview]]] = {}
     for i, raw in enumerate(media):
-        found = parse_wave(raw) if raw is not None else None
-        if found and (found[0] in TABLES or found[0] == ADPCM and found[1] > HEADER and len(found[2]) % found[1] == 0):
+        found = readable(raw)
+        if found:
             groups.setdefault((found[0], found[1]), []).append((i, found[2]))
     for (codec, align), clips in groups.items():
         joined = np.frombuffer(b"".join(d for _, d in clips), dtype=np.uint8)
@@ -194,6 +203,8 @@ def decode_column(rows: DataFrame, id_col: str, media_col: str) -> DataFrame:
 
 def _feature(codec: int, pcm: np.ndarray) -> str:
     """Codec, samples, loudness, peak and sign changes of PCM, with a checksum over it."""
+    if not len(pcm):
+        return f"{codec}:0:0.000:0:0:0"
     x = pcm.astype(np.float64)
     crossings = int(np.count_nonzero((pcm[1:] < 0) != (pcm[:-1] < 0)))
     return f"{codec}:{len(pcm)}:{np.sqrt(np.mean(x * x)):.3f}:{int(np.abs(pcm.astype(np.int32)).max())}:{crossings}:{zlib.crc32(pcm.astype('<i2').tobytes())}"
@@ -219,26 +230,26 @@ def describe_media(media: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.binary_length(batch.column("media")).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.binary_length(batch.column("media")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) >> 20)) + 1  # about a megabyte of media at a time
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
                 if lo == hi:
                     continue
                 part = batch.slice(lo, hi - lo)
                 raws = part.column("media").to_pylist()
-                parsed = [parse_wave(r) for r in raws]
-                payloads = [stored_payload(p[0], p[2]) for p in parsed]
+                parsed = [readable(r) for r in raws]
+                payloads = [None if p is None else stored_payload(*p) for p in parsed]
                 pcm = decode_media(raws)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         part.column("n_bytes"),
-                        pa.array([len(p) for p in payloads], pa.int64()),
-                        pa.array([hashlib.sha256(p).hexdigest() for p in payloads]),
-                        pa.array([zlib.crc32(p[-16:]) for p in payloads], pa.int64()),
-                        pa.array([len(r) for r in raws], pa.int64()),
-                        pa.array([hashlib.sha256(r).hexdigest() for r in raws]),
-                        pa.array([_feature(p[0], x) for p, x in zip(parsed, pcm, strict=True)]),
+                        pa.array([None if p is None else len(p) for p in payloads], pa.int64()),
+                        pa.array([None if p is None else hashlib.sha256(p).hexdigest() for p in payloads], pa.string()),
+                        pa.array([None if p is None else zlib.crc32(p[-16:]) for p in payloads], pa.int64()),
+                        pa.array([None if r is None else len(r) for r in raws], pa.int64()),
+                        pa.array([None if r is None else hashlib.sha256(r).hexdigest() for r in raws], pa.string()),
+                        pa.array([None if p is None else _feature(p[0], x) for p, x in zip(parsed, pcm, strict=True)], pa.string()),
                     ],
                     columns,
                 )
