@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, drop
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -23,9 +23,12 @@ def components(pairs: DataFrame) -> DataFrame:
     while True:
         total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if total == seen:
+            drop(edges)
             return labels.select(F.col("a").alias("id"), F.col("label").alias("component"))
         seen = total
         near = labels.select(F.col("a").alias("b"), "label")
         hooked = cut(edges.join(near, "b").groupBy("a").agg(F.min("label").alias("label")), "labels")
+        drop(labels)
         of = hooked.select(F.col("a").alias("label"), F.col("label").alias("next"))
         labels = cut(hooked.join(of, "label").select("a", F.col("next").alias("label")), "labels")
+        drop(hooked)

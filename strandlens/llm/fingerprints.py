@@ -8,7 +8,8 @@ four 32-bit lanes; a fingerprint is the sum of its pieces' vectors modulo
 pieces can be added or taken away (`combine`) without reading the rest.
 
 Likeness is the cosine of the 128 lanes, each taken as +1/-1 (an unbiased estimate, with an error
-near 1/sqrt(128), of the cosine of the piece counts), floored at 0.
+near 1/sqrt(128), of the cosine of the piece counts), floored at 0.  It comes from two fingerprints
+alone: a lane's difference of 1 bits and 0 bits is known modulo 2**16 and taken as the nearest to 0.
 
 Nulls and edge cases: a null text is empty; the empty text has the zero vector,
 likeness 1 to another empty text and 0 to anything else.  A null id sorts
@@ -18,12 +19,16 @@ ignored.  In a table of one row the next document is that row.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import id_and_text, shuffle_partitions
+from .shared import id_and_text, parts_for
 
 PIECE = 40
+#: Files that one range of ids takes about.
+PART_BYTES = 32 << 20
 #: Runs of enders, or up to PIECE code points and the enders after them.
 PIECES = r"[.!?\n]+|[^.!?\n]{1,%d}[.!?\n]*" % PIECE
 LANES = 128
@@ -57,24 +62,33 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
     return F.zip_with(a, b, lambda x, y: x + F.lit(sign) * y)
 
 
-def lanes(sketched: Column) -> Column:
-    """The 128 signed lanes: twice the count of 1 bits less the number of pieces."""
-    packed = F.slice(sketched, 2, 64)
-    high = F.transform(packed, lambda x: F.shiftrightunsigned(x, 32) * 2 - sketched[0])
-    low = F.transform(packed, lambda x: x.bitwiseAND(F.lit(_LOW)) * 2 - sketched[0])
+def wrapped(sketched: Column) -> Column:
+    """The fingerprint of a sketch, in its layout: the number of pieces, the counts of 1 bits modulo 2**16, the sums modulo 2**32."""
+    counts = F.transform(F.slice(sketched, 2, 64), lambda x: x.bitwiseAND(F.lit(0x0000FFFF0000FFFF)))
+    sums = F.transform(F.slice(sketched, 66, SUMS), lambda x: x.bitwiseAND(F.lit(_LOW)))
+    return F.concat(F.slice(sketched, 1, 1), counts, sums)
+
+
+def lanes(print_: Column) -> Column:
+    """The 128 signed lanes of a fingerprint: twice the count of 1 bits less the number of pieces, modulo 2**16 from -2**15 on."""
+
+    def signed(count: Column) -> Column:
+        return (count * 2 - print_[0] + 0x8000).bitwiseAND(F.lit(0xFFFF)) - 0x8000
+
+    packed = F.slice(print_, 2, 64)
+    high = F.transform(packed, lambda x: signed(F.shiftrightunsigned(x, 32)))
+    low = F.transform(packed, lambda x: signed(x.bitwiseAND(F.lit(_LOW))))
     return F.concat(low, high)
 
 
-def text_form(sketched: Column) -> Column:
-    """The fingerprint as text: the number of pieces, the counts of 1 bits modulo 2**16 (four lanes to a number), the sums modulo 2**32."""
-    mask = F.lit(0x0000FFFF0000FFFF)
-    wide = F.zip_with(F.slice(sketched, 2, 32), F.slice(sketched, 34, 32), lambda x, y: x.bitwiseAND(mask).bitwiseOR(F.shiftleft(y.bitwiseAND(mask), 16)))
-    sums = F.transform(F.slice(sketched, 66, SUMS), lambda x: x.bitwiseAND(F.lit(_LOW)))
-    return F.array_join(F.concat(F.slice(sketched, 1, 1), wide, sums).cast("array<string>"), ",")
+def text_form(print_: Column) -> Column:
+    """A fingerprint as text: the number of pieces, the counts of 1 bits (four lanes to a number), the sums."""
+    wide = F.zip_with(F.slice(print_, 2, 32), F.slice(print_, 34, 32), lambda x, y: x.bitwiseOR(F.shiftleft(y, 16)))
+    return F.array_join(F.concat(F.slice(print_, 1, 1), wide, F.slice(print_, 66, SUMS)).cast("array<string>"), ",")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1, from two sketches alone; 1 where they are equal."""
+    """0 to 1, from two fingerprints alone; 1 where they are equal."""
 
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: (p * q).cast("double")), F.lit(0.0), lambda acc, v: acc + v)
@@ -85,6 +99,17 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)), 6))
 
 
+def _place(splits: list, value: Column) -> Column:
+    """How many of the sorted splits are at most value: first among every step-th one, then among those between two of them."""
+    if not splits:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(splits)))
+    groups = [splits[i : i + step] for i in range(0, len(splits), step)]
+    before = F.size(F.filter(F.lit([g[0] for g in groups]), lambda s: s <= value))
+    inner = F.element_at(F.lit(groups), F.greatest(before, F.lit(1)))
+    return (F.greatest(before - 1, F.lit(0)) * step + F.size(F.filter(inner, lambda s: s <= value))).cast("int")
+
+
 def with_next(rows: DataFrame, order: str, tie: str, derived: dict[str, Column], parts: int) -> DataFrame:
     """Adds the derived columns, and for these and the tie column ``next_<c>``: that of the next row by (order, tie), after the last the first's.
 
@@ -94,8 +119,7 @@ def with_next(rows: DataFrame, order: str, tie: str, derived: dict[str, Column],
     spark = rows.sparkSession
     steps = [i / parts for i in range(1, parts)]
     found = rows.agg(F.percentile_approx(order, steps, 10 * parts).alias("q")).first()["q"] if steps else None
-    splits = sorted(set(found or []))
-    bucket = F.size(F.filter(F.array(*map(F.lit, splits)), lambda s: s <= F.col(order))) if splits else F.lit(0)
+    bucket = _place(sorted(set(found or [])), F.col(order))
     placed = rows.withColumn("bucket_", F.when(F.col(order).isNull(), F.lit(0)).otherwise(bucket))
     # at most one row for each of the buckets: the id that begins it
     heads = sorted((r["bucket_"], r["id_"]) for r in placed.groupBy("bucket_").agg(F.min(F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("id_")))["id_"].alias("id_")).collect())
@@ -111,18 +135,19 @@ def with_next(rows: DataFrame, order: str, tie: str, derived: dict[str, Column],
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The fingerprint of every text and of its edited text (its last quarter replaced from the next document), and their likeness."""
-    rows = with_next(id_and_text(docs, id_col, text_col), "doc_id", "text", {"sketch": sketch(F.col("text"))}, 2 * shuffle_partitions(docs.sparkSession))
+    whole = id_and_text(docs, id_col, text_col)
+    rows = with_next(whole, "doc_id", "text", {"print": wrapped(sketch(F.col("text")))}, parts_for(whole, PART_BYTES))
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
-    rows = rows.withColumn("edited_sketch", sketch(F.col("edited")))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "print", "next_print")
+    rows = rows.withColumn("edited_print", wrapped(sketch(F.col("edited"))))
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        text_form(F.col("sketch")).alias("fingerprint"),
-        text_form(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        text_form(F.col("print")).alias("fingerprint"),
+        text_form(F.col("edited_print")).alias("edited_fingerprint"),
+        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
     )

@@ -3,7 +3,7 @@
 One file image holds the ids of consecutive documents:
 
     "SLTK" | u32 mode | u32 block | u64 start | u64 n_ids | u32 n_docs | u32 n_chunks
-    doc ids (i64 each) | ids of each document (u64 each) | chunk index (u64 byte offset, u32 ids, u32 planes each)
+    doc ids (i64 each) | which of these are not null (a bit each, in whole bytes) | ids of each document (u64 each) | chunk index (u64 byte offset, u32 ids, u32 planes each)
     chunks: u32 length of each plane, then the planes
 
 all little-endian.  ``start`` counts the ids of the image's partition that lie
@@ -20,7 +20,8 @@ their own, and what lies between them is split like a text, as the library does;
 where added tokens also take spaces, need whole words or are normalized, it
 encodes texts that hold one as a whole.
 
-Nulls and edge cases: a null text is empty and has only the end id.  Null ids
+Nulls and edge cases: a null text is empty and has only the end id.  Ids are
+whole numbers; null ones
 sort first and repeated ids by text; each row is a document of its own.  Extra
 columns are ignored.  An empty table gives no file and no rows.
 """
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytebpe
-from .shared import cut, id_and_text, shuffle_partitions
+from .shared import cut, id_and_text, parts_for, whole_ids
 from .textkernel import slices
 
 MAGIC = b"SLTK"
@@ -50,7 +51,8 @@ BLOCK = 1 << 16
 IMAGE_IDS = 1 << 20
 BYTE_PLANES, BIT_PLANES = 0, 1
 LEVEL = 3
-NO_ID = -(1 << 63)  # stands for a null id
+#: Files that one range of ids takes about.
+PART_BYTES = 32 << 20
 
 
 def to_planes(ids: np.ndarray, mode: int) -> list[bytes]:
@@ -76,7 +78,7 @@ def from_planes(planes: list[bytes], n: int, mode: int) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
-def write_image(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, start: int, mode: int = BYTE_PLANES, block: int = BLOCK) -> bytes:
+def write_image(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, start: int, mode: int = BYTE_PLANES, block: int = BLOCK, known: np.ndarray | None = None) -> bytes:
     pack = zstandard.ZstdCompressor(level=LEVEL)
     chunks, index, at = [], [], 0
     for lo in range(0, len(ids), block):
@@ -87,7 +89,8 @@ def write_image(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, start:
         chunks.append(chunk)
         at += len(chunk)
     head = HEAD.pack(MAGIC, mode, block, start, len(ids), len(doc_ids), len(chunks))
-    return b"".join((head, doc_ids.astype("<i8").tobytes(), sizes.astype("<u8").tobytes(), *index, *chunks))
+    known = np.packbits(np.ones(len(doc_ids), dtype=bool) if known is None else known)
+    return b"".join((head, doc_ids.astype("<i8").tobytes(), known.tobytes(), sizes.astype("<u8").tobytes(), *index, *chunks))
 
 
 class Image:
@@ -99,6 +102,9 @@ class Image:
             raise ValueError("not a token file")
         at = HEAD.size
         self.doc_ids = np.frombuffer(raw, "<i8", docs, at)
+        bits = -(-docs // 8)
+        self.known = np.unpackbits(np.frombuffer(raw, np.uint8, bits, at + 8 * docs), count=docs).astype(bool)
+        at += bits
         self.sizes = np.frombuffer(raw, "<u8", docs, at + 8 * docs).astype(np.int64)
         self.index = [struct.unpack_from("<QII", raw, at + 16 * docs + 16 * k) for k in range(chunks)]
         self.raw, self.data = raw, at + 16 * docs + 16 * chunks
@@ -214,30 +220,32 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, mode: int = BYTE_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part = _codec(path, specials), TaskContext.get().partitionId()
-        docs_, sizes, parts, have, start, seq = [], [], [], 0, 0, 0
+        docs_, known, sizes, parts, have, start, seq = [], [], [], [], 0, 0, 0
 
         def image() -> pa.RecordBatch:
-            raw = write_image(np.concatenate(docs_), np.concatenate(sizes), np.concatenate(parts), start, mode)
+            raw = write_image(np.concatenate(docs_), np.concatenate(sizes), np.concatenate(parts), start, mode, known=np.concatenate(known))
             return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "start": [start], "n_ids": [have], "image": [raw]})
 
         for batch in batches:
-            keys = batch.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            valid = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            keys = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in slices(batch.column("text"), 1 << 20):
                 ids, ends = own.encode(data, offsets)
                 whole = np.insert(ids, ends, np.uint32(end_id))
                 docs_.append(keys[lo:hi])
+                known.append(valid[lo:hi])
                 sizes.append(np.diff(np.concatenate(([0], ends))) + 1)
                 parts.append(whole)
                 have += len(whole)
                 if have >= IMAGE_IDS:
                     yield image()
                     start, seq, have = start + have, seq + 1, 0
-                    docs_, sizes, parts = [], [], []
+                    docs_, known, sizes, parts = [], [], [], []
         if have:
             yield image()
 
-    rows = id_and_text(docs, id_col, text_col)
-    ordered = rows.repartitionByRange(2 * shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = whole_ids(id_and_text(docs, id_col, text_col))
+    ordered = rows.repartitionByRange(parts_for(rows, PART_BYTES), "doc_id").sortWithinPartitions("doc_id", "text")
     return cut(ordered.mapInArrow(run, "part long, seq long, start long, n_ids long, image binary"), "tokens")
 
 
@@ -251,7 +259,7 @@ def read_token_files(images: DataFrame) -> DataFrame:
                 ends = np.cumsum(image.sizes)
                 raw_ids = memoryview(image.ids().astype("<u4")).cast("B")
                 cuts = (np.concatenate(([0], ends)) * 4).tolist()
-                keys = pa.array(image.doc_ids, pa.int64(), mask=image.doc_ids == NO_ID)
+                keys = pa.array(image.doc_ids, pa.int64(), mask=~image.known)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part] * len(keys), pa.int64()),
