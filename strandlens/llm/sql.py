@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import mixing
-from .secret_scan import ACCESS, ASSIGN_LEFT, ASSIGN_VALUE, COPIED_OWNERS, HEX, LIVE_CHARACTERS
+from .secret_scan import ACCESS, ASSIGN_LEFT, ASSIGN_VALUE, COPIED_OWNERS, COPIED_REPOS, HEX, LIVE_CHARACTERS
 
 
 def _quoted(pattern: str) -> str:
@@ -12,26 +12,31 @@ def _quoted(pattern: str) -> str:
 
 def _kind(number: int, pattern: str, least: int, left: str) -> str:
     value = f"regexp_replace(hit, '^{_quoted(left)}', '')" if left else "hit"
-    return f"""SELECT doc_id, owner, {number} AS kind, e - length(hit) AS s, e, e - length(v) AS vs, v FROM (
-      SELECT doc_id, owner, hit, {value} AS v, e FROM (
-        SELECT doc_id, owner, regexp_extract(piece, '{_quoted(pattern)}') AS hit, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS e
-        FROM (SELECT doc_id, owner, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (
-          SELECT doc_id, split_part(coalesce(source, ''), '/', 1) AS owner, regexp_extract_all(coalesce(text, ''), '(?s).*?(?:{_quoted(pattern)})', 0) AS p FROM documents))))
+    return f"""SELECT doc_id, repo, body, {number} AS kind, e - length(hit) AS s, e, e - length(v) AS vs, v FROM (
+      SELECT doc_id, repo, body, hit, {value} AS v, e FROM (
+        SELECT doc_id, repo, body, regexp_extract(piece, '{_quoted(pattern)}') AS hit, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS e
+        FROM (SELECT doc_id, repo, body, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (
+          SELECT doc_id, coalesce(source, '') AS repo, md5(coalesce(text, '')) AS body, regexp_extract_all(coalesce(text, ''), '(?s).*?(?:{_quoted(pattern)})', 0) AS p FROM documents))))
     WHERE length(v) >= {least}"""
 
 
 NAMES = "['assign', 'access', 'hex', 'live'][kind + 1] || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT)"
 SECRETS = f"""
 WITH found AS ({_kind(0, ASSIGN_LEFT + ASSIGN_VALUE, 12, ASSIGN_LEFT)} UNION ALL {_kind(1, ACCESS, 18, "")} UNION ALL {_kind(2, HEX, 16, "")}),
-owned AS (SELECT v, count(DISTINCT owner) AS n FROM found GROUP BY 1),
-judged AS (SELECT f.*, n < {COPIED_OWNERS} AND len(list_distinct(string_split(v, ''))) >= {LIVE_CHARACTERS} AS live, n >= {COPIED_OWNERS} AS copied FROM found f JOIN owned USING (v)),
+texts AS (SELECT v, count(DISTINCT body) AS texts FROM found GROUP BY 1),
+repos AS (SELECT v, count(*) AS n, max(held) AS most FROM (SELECT v, repo, count(DISTINCT body) AS held FROM found GROUP BY 1, 2) GROUP BY 1),
+owners AS (SELECT v, count(*) AS n, max(held) AS most FROM (SELECT v, split_part(repo, '/', 1) AS owner, count(DISTINCT body) AS held FROM found GROUP BY 1, 2) GROUP BY 1),
+held AS (SELECT v, least(o.n, texts - o.most + 1) AS n_owners, least(r.n, texts - r.most + 1) AS n_repos FROM texts JOIN owners o USING (v) JOIN repos r USING (v)),
+owned AS (SELECT *, n_owners >= {COPIED_OWNERS} AND n_repos >= {COPIED_REPOS} AS copied FROM held),
+judged AS (SELECT f.*, n_owners, n_repos, NOT copied AND len(list_distinct(string_split(v, ''))) >= {LIVE_CHARACTERS} AS live, copied FROM found f JOIN owned USING (v)),
 spans AS (SELECT doc_id, kind, s, e FROM judged UNION SELECT doc_id, 3, vs, e FROM judged WHERE live),
 base AS (SELECT doc_id, string_agg({NAMES}, ',' ORDER BY s, kind) AS t FROM judged GROUP BY 1),
 every AS (SELECT doc_id, string_agg({NAMES}, ',' ORDER BY s, kind, e) AS t FROM spans GROUP BY 1),
 counts AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
-  count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE copied) AS n_copied FROM judged GROUP BY 1)
+  count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE copied) AS n_copied, max(n_owners) AS most_owners, max(n_repos) AS most_repos FROM judged GROUP BY 1)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base.t, '')) AS base_sha256,
-  coalesce(every.t, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+  coalesce(every.t, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied,
+  coalesce(most_owners, 0) AS most_owners, coalesce(most_repos, 0) AS most_repos
 FROM documents d LEFT JOIN base ON base.doc_id = d.doc_id LEFT JOIN every ON every.doc_id = d.doc_id LEFT JOIN counts ON counts.doc_id = d.doc_id
 """
 
