@@ -19,7 +19,8 @@ Nulls and edge cases: null and empty texts, and texts without words, have the
 empty set and are linked with nothing.  A text of fewer words than a shingle is
 one shingle.  Rows with one id are one document: they share its component, and
 each is returned with the size of its own set.  A null id is linked with
-nothing, is kept, and has a null component.  Extra columns are ignored.
+nothing, is kept, and has a null component.  Ids are whole numbers.  Extra columns are
+ignored.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, id_and_text
+from .shared import cut, drop, fresh, id_and_text, whole_ids
 from .textkernel import Words, mix64, ngram_hashes, slices
 
 BANDS, ROWS = 64, 8
@@ -228,7 +229,7 @@ def linked(groups: DataFrame, words: int, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept: the smallest id reachable over links of percent / 100 or more."""
-    rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = whole_ids(id_and_text(docs, id_col, text_col))
     signed = cut(signatures(rows, words), "signatures")
     named = signed.filter(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
     sets = cut(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.first("n_shingles").alias("n_shingles")), "sets")
@@ -236,6 +237,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     heads = cut(buckets.groupBy("key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "head"), "heads")
     candidates = buckets.join(heads, "key").filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     family = components(candidates).withColumnRenamed("id", "rep").withColumnRenamed("component", "family")
+    drop(heads)
     sized = cut(family.join(sets.groupBy("rep").agg(F.sum("n_shingles").alias("n")), "rep"), "families")
     blocks = cut(sized.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks")), "blocks")
     dealt = sized.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -258,16 +260,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, of the documents that are kept; of rows with one id the one with the least text.
+    """The rows, with all their columns, of the documents that are kept.
 
-    Rows with a null id all stay.
+    Of rows with one id and one text the first in the order of all their columns stays; rows with one id and different
+    texts all stay, as do rows with a null id.  Columns may have any names.
     """
     found = near_duplicates(docs, words, percent, id_col, text_col)
-    gone = cut(found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_")).distinct(), "gone")
-    again = cut(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("again_")), "again")
-    left = docs.join(gone, F.col(id_col) == F.col("gone_"), "left_anti")
+    gone_, again_, row_, nth_, id_, text_ = fresh(docs.columns, "gone_", "again_", "row_", "nth_", "id_", "text_")
+    gone = cut(found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone_)).distinct(), "gone")
+    again = cut(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(again_)), "again")
+    left = docs.join(gone, F.col(id_col) == F.col(gone_), "left_anti")
     if again.isEmpty():
         return left
-    order = Window.partitionBy(id_col).orderBy(F.col(text_col))
-    twice = left.join(again, F.col(id_col) == F.col("again_"), "left_semi").withColumn("nth_", F.row_number().over(order)).filter("nth_ = 1").drop("nth_")
-    return left.join(again, F.col(id_col) == F.col("again_"), "left_anti").unionByName(twice)
+    order = Window.partitionBy(id_, text_).orderBy(F.to_json(row_))
+    twice = left.join(again, F.col(id_col) == F.col(again_), "left_semi").select(F.struct("*").alias(row_), F.col(id_col).alias(id_), F.col(text_col).alias(text_))
+    twice = twice.withColumn(nth_, F.row_number().over(order)).filter(F.col(nth_) == 1).select(f"{row_}.*")
+    return left.join(again, F.col(id_col) == F.col(again_), "left_anti").unionByName(twice)
