@@ -141,6 +141,32 @@ def test_copies_of_a_text_keep_its_secrets_live(spark):
     assert {(r["n_live"], r["n_copied"]) for r in secret_scan.find_secrets(one, owner_col="owner").collect()} == {(1, 0)}
 
 
+def test_many_secrets_in_one_text(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "BLOCK", 7)
+    texts = [" ".join(f"{i:020x}é" for i in range(n)) + " token: abcdefghijklmnop" for n in (0, 6, 7, 8, 50)]
+    for i, t in enumerate(texts):
+        spans = base_spans(t)
+        r = secret_scan.find_secrets(make(spark, [t])).first()
+        text = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in spans)
+        assert (r["n_assign"], r["n_hex"], r["base_sha256"]) == (1, (0, 6, 7, 8, 50)[i], hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_redaction_of_odd_rows(spark):
+    docs = make(spark, [SECRETS[0], SECRETS[0], SECRETS[1], None], ids=[None, 7, 7, 7])
+    docs = docs.withColumnsRenamed({"lang": "live_", "part": "place_", "key": "new_", "row": "place"}).withColumn("live", F.lit(3))
+    out = secret_scan.redact(docs)
+    assert out.columns == docs.columns and [r["new_"] for r in out.collect()] == ["k"] * 4
+    found = [r["text"] for r in out.collect()]
+    assert sum("[SECRET]" in (t or "") for t in found) == 3 and found.count(None) == 1
+    assert secret_scan.redact(docs.limit(0)).count() == 0
+
+
+def test_owners_and_repositories(spark):
+    docs = make(spark, ["x password=ExampleKey12345", "y password=ExampleKey12345", "z password=ExampleKey12345"], sources=["a/x", "a/y", "a/z"])
+    found = secret_scan.find_secrets(docs).collect()
+    assert {(r["most_owners"], r["most_repos"], r["n_live"], r["n_copied"]) for r in found} == {(1, 3, 1, 0)}
+
+
 def test_redaction(spark):
     docs = make(spark, SECRETS, sources=[f"s{i}" for i in range(len(SECRETS))])
     out = {r["doc_id"]: r for r in secret_scan.redact(docs).collect()}
@@ -183,6 +209,83 @@ def test_classifiers(spark, kind):
     assert kind.score(docs.limit(0), kind.fit(docs.limit(0), labels)).count() == 0
 
 
+def scalar_features(text):
+    """(kind, content) of every word, stem and pair, in plain Python."""
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())
+    words = [w.lower() if w.isascii() else bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in words]
+    stems = [w[:k] for w in words for k in toxicity.STEMS if len(w) > k]
+    return Counter(words) + Counter(stems), [Counter(zip(words, words[g:])) for g in (1, 2)]
+
+
+def test_toxicity_features():
+    texts = ["", None, "One two, TWO-three ünIversity", "a" * 200 + " b", "x", corpus()[3]]
+    data, offsets = textkernel.text_buffer(pa.array(texts))
+    doc, at = toxicity.features(data, offsets)
+    seen = {}
+    for i, t in enumerate(texts):
+        single, pairs = scalar_features(t)
+        counts = Counter(at[doc == i].tolist())
+        assert sum(counts.values()) == sum(single.values()) + sum(sum(p.values()) for p in pairs)
+        for w in single:
+            one = textkernel.range_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))
+            k = int(one[0] >> np.uint64(64 - toxicity.BITS))
+            assert counts[k] >= single[w] and seen.setdefault(w, k) == k
+
+
+def test_ftrl_equals_a_scalar_learner():
+    rng = random.Random(7)
+    p = toxicity.Ftrl(l1=0.3, epochs=3)
+    examples = [(np.array(sorted(rng.sample(range(30), rng.randint(1, 9)))), int(rng.random() < 0.3)) for _ in range(40)]
+    z, n, bias, bias_n = [0.0] * 30, [0.0] * 30, 0.0, 1.0
+    order = np.random.default_rng(11)
+    ones = sum(y for _, y in examples)
+    heavier = min(p.most_weight, max(1.0, (40 - ones) / ones))
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= p.l1 else -(z[i] - math.copysign(p.l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + p.l2)
+
+    for _ in range(p.epochs):
+        for k in order.permutation(40):
+            at, y = examples[k]
+            w = {int(i): weight(int(i)) for i in at}
+            g = (1 / (1 + math.exp(-(bias + sum(w.values())))) - y) * (heavier if y else 1.0)
+            for i, wi in w.items():
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / p.alpha * wi
+                n[i] += g * g
+            bias_n += g * g
+            bias -= 0.1 * g / math.sqrt(bias_n)
+    kept, weights, found = toxicity.learn(examples, p)
+    wanted = {i: weight(i) for i in range(30) if weight(i)}
+    assert kept.tolist() == sorted(wanted) and 0 < len(wanted) < 30
+    assert weights == pytest.approx([wanted[i] for i in sorted(wanted)], rel=1e-9) and found == pytest.approx(bias, rel=1e-9)
+
+
+def test_passages_of_a_text():
+    text = " ".join(f"w{i % 50}" for i in range(passages.PASSAGE + 30)) + "  x"
+    texts = [text, "", "  one two one", "é", " \n "]
+    data, offsets = textkernel.text_buffer(pa.array(texts))
+    x, first = passages.encode(data, offsets)
+    assert first.tolist() == [0, 2, 3, 4, 5, 6] and x.shape == (6, passages.WIDTH)
+    for i, t in enumerate(texts):  # what a document gives doesn't depend on its neighbours
+        alone, _ = passages.encode(*textkernel.text_buffer(pa.array([t])))
+        assert alone == pytest.approx(x[first[i] : first[i + 1]])
+    words = WORD.findall(text)
+    parts = [words[: passages.PASSAGE], words[passages.PASSAGE :]]
+    at = passages.CLASSES
+    for k, part in enumerate(parts):
+        sizes = [len(w) for w in part]
+        wanted = [math.log1p(len(part)) / 4, sum(sizes) / len(part) / 8, sum(s * s for s in sizes) / len(part) / 100, 0.0, len(set(part)) / len(part)]
+        assert x[k, at : at + 5].tolist() == pytest.approx(wanted, rel=1e-5)
+    model = passages.Attention.fresh(3)
+    scores, *_ = model.forward(x, first)
+    w = model.w
+    for i in range(4):  # gated attention by hand
+        h = np.maximum(x[first[i] : first[i + 1]] @ w["W"] + w["b"], 0)
+        a = (np.tanh(h @ w["V"]) / (1 + np.exp(-(h @ w["U"])))) @ w["a"]
+        a = np.exp(a - a.max()) / np.exp(a - a.max()).sum()
+        assert scores[i] == pytest.approx(1 / (1 + np.exp(-(a @ h @ w["c"] + w["d"]))).item(), rel=1e-4)
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(1)
     x, first, y = rng.standard_normal((7, passages.WIDTH)), np.array([0, 3, 4, 7]), np.array([1.0, 0.0, 1.0])
@@ -233,7 +336,13 @@ def test_near_duplicates_of_odd_rows(spark):
     docs = make(spark, [long, long, other, long + " x", None, long], ids=[5, 5, 5, 9, 2, None])
     found = sorted((r["doc_id"] or -1, r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs).collect())
     assert found == [(-1, None, True), (2, 2, True), (5, 5, True), (5, 5, True), (5, 5, True), (9, 5, False)]
-    assert sorted(str(r["doc_id"]) for r in neardup.one_of_each(docs).collect()) == ["2", "5", "None"]
+    # of the rows with id 5 the two equal ones are one, the other text stays
+    assert sorted((str(r["doc_id"]), r["text"]) for r in neardup.one_of_each(docs).collect() if r["text"]) == [("5", other), ("5", long), ("None", long)]
+    clashing = docs.withColumnsRenamed({"lang": "gone_", "part": "again_", "key": "nth_", "label": "row_", "row": "id_"})
+    kept = neardup.one_of_each(clashing)
+    assert kept.columns == clashing.columns and kept.count() == 4 and {r["nth_"] for r in kept.collect()} == {"k"}
+    with pytest.raises(TypeError, match="whole numbers"):
+        neardup.near_duplicates(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
@@ -293,10 +402,17 @@ def sketch(t):
     return n, ones, sums
 
 
+def text_form(s):
+    n, ones, sums = s
+    side = [[(ones[64 * k + j] & 0xFFFF) | (ones[64 * k + 32 + j] & 0xFFFF) << 32 for j in range(32)] for k in (0, 1)]
+    wide = [a | b << 16 for a, b in zip(*side)]
+    return ",".join(str(x - (1 << 64) if x >> 63 else x) for x in (n, *wide, *(v & 0xFFFFFFFF for v in sums)))
+
+
 def likeness(a, b):
-    if a == b:
+    if text_form(a) == text_form(b):
         return 1.0
-    u, v = ([2 * x - s[0] for x in s[1]] for s in (a, b))
+    u, v = ([(2 * (x & 0xFFFF) - s[0] + 0x8000) % 0x10000 - 0x8000 for x in s[1]] for s in (a, b))
     norm = math.sqrt(sum(x * x for x in u) * sum(y * y for y in v))
     return round(max(0.0, min(1.0, sum(x * y for x, y in zip(u, v)) / norm)), 6) if norm else 0.0
 
@@ -312,7 +428,7 @@ def test_fingerprints(spark):
         assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
         assert r["near_edited"] == pytest.approx(likeness(sketch(t), sketch(edited)), abs=2e-6)
         assert r["near_next"] == pytest.approx(likeness(sketch(t), sketch(after)), abs=2e-6)
-        assert int(r["fingerprint"].split(",")[0]) == sketch(t)[0]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (text_form(sketch(t)), text_form(sketch(edited)))
     by_text = defaultdict(set)
     for i, t in enumerate(texts):
         by_text[t].add(found[i]["fingerprint"])
@@ -322,6 +438,23 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint_edits(make(spark, ["a", "b", "c"], ids=[None, 3, 3])).count() == 3
 
 
+def test_fingerprints_of_very_many_pieces(spark):
+    long = "".join(f"{i % 700}.\n" for i in range(70_000))
+    found = fingerprints.fingerprint_edits(make(spark, [long, long[: len(long) // 2] + "tail"])).orderBy("doc_id").first()
+    a = sketch(long)
+    edited = long[: len(long) - len(long) // 4] + (long[: len(long) // 2] + "tail")[: len(long) // 4]
+    assert a[0] > 1 << 16 and found["fingerprint"] == text_form(a)
+    assert found["near_edited"] == pytest.approx(likeness(a, sketch(edited)), abs=2e-6)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 99])
+def test_places_among_splits(spark, n):
+    splits = [3 * i for i in range(n)]
+    values = [-1, 0, 1, 2, 3, 29, 30, 296, 297, 500]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert [r[0] for r in df.select(fingerprints._place(splits, F.col("v"))).collect()] == [sum(s <= v for s in splits) for v in values]
+
+
 def test_fingerprints_add_up_in_any_order(spark):
     df = spark.createDataFrame([("one.\ntwo.\nthree.\n", "three.\none.\ntwo.\n", "one.\n", "two.\nthree.\n")], "a string, b string, c string, d string")
     s = {c: fingerprints.sketch(F.col(c)) for c in "abcd"}
@@ -360,7 +493,10 @@ def test_token_files(spark, monkeypatch):
         start += len(ids)
     empty = tokenfiles.read_token_files(tokenfiles.write_token_files(docs.limit(0), P.path("byte_bpe_50k.json"), 2))
     assert empty.count() == 0
-    assert tokenfiles.read_token_files(tokenfiles.write_token_files(make(spark, ["a", "b"], ids=[None, None]), P.path("byte_bpe_50k.json"), 2)).count() == 2
+    odd = tokenfiles.read_token_files(tokenfiles.write_token_files(make(spark, ["a", "b", "c"], ids=[None, None, -(1 << 63)]), P.path("byte_bpe_50k.json"), 2))
+    assert sorted((r["doc_id"] or 0, r["start"]) for r in odd.collect()) == [(-(1 << 63), 4), (0, 0), (0, 2)]
+    with pytest.raises(TypeError, match="whole numbers"):
+        tokenfiles.write_token_files(docs.withColumn("doc_id", F.col("doc_id").cast("string")), P.path("byte_bpe_50k.json"), 2)
 
 
 def test_token_files_with_added_tokens(spark, tmp_path):
@@ -413,6 +549,11 @@ def test_mixing(spark):
     again = mixing.mix(docs, m).collect()
     assert sorted((r["doc_id"], r["pass_"]) for r in again) == sorted(copies)
     assert mixing.mix(docs.limit(0), m).count() == 0
+    clashing = docs.withColumnsRenamed({"lang": "key_", "part": "pass_", "key": "source_", "label": "block_", "row": "row_"})
+    out = mixing.mix(clashing, m)
+    assert out.columns == [*clashing.columns, "pass__"] and {(r["key_"], r["pass_"], r["source_"], r["block_"], r["row_"]) for r in out.collect()} == {("en", 1, "k", 0, 7)}
+    twice = Counter((r["doc_id"], r["pass_"]) for r in mixing.mix(docs.union(docs.filter("doc_id = 5")), m).filter("doc_id = 5").collect())
+    assert set(twice.values()) <= {2}
     assert mixing.mix(make(spark, [None, ""]), m).count() == 2
 
 
@@ -474,7 +615,31 @@ def test_decoders():
     assert (a[0xD5], a[0x55], a[0xAA], a[0x2A]) == (8, -8, 32256, -32256)
     pcm = telephony.double_rate(np.array([100] * 8, dtype=np.int16), np.array([0, 3, 8]))
     assert pcm.tolist() == [100] * 16
-    assert telephony.decode_media([None, b"RIFF", telephony.wave(telephony.PCM, b"\0\0", 1)]) == [None, None, None]
+    fast = telephony.wave(telephony.MULAW, b"\0\0", 2).replace((8000).to_bytes(4, "little"), (16000).to_bytes(4, "little"), 1)
+    assert telephony.decode_media([None, b"RIFF", telephony.wave(telephony.PCM, b"\0\0", 1), fast]) == [None] * 4
+
+
+def test_doubled_rate_equals_a_scalar_filter():
+    rng = np.random.default_rng(5)
+    samples, bounds = rng.integers(-32768, 32768, 60).astype(np.int16), [0, 1, 3, 20, 60]
+    wanted = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        clip = samples[a:b].tolist()
+        for i, x in enumerate(clip):
+            between = sum(float(t) * clip[min(max(i + k, 0), len(clip) - 1)] for k, t in zip(range(-2, 4), telephony.HALF_BAND))
+            wanted += [x, max(-32768, min(32767, round(between)))]
+    found = telephony.double_rate(samples, np.array(bounds)).tolist()
+    assert max(abs(x - y) for x, y in zip(found, wanted, strict=True)) <= 1
+
+
+def test_media_that_are_malformed(spark):
+    raw = telephony.to_wave(b"x" * 192)
+    rows = [(1, 5, None), (2, 5, b""), (3, 5, raw[:40]), (4, 5, raw), (5, 5, b"RIFF" + b"\0" * 60)]
+    found = {r["doc_id"]: r for r in telephony.describe_media(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")).collect()}
+    assert [found[i]["payload_bytes"] for i in range(1, 6)] == [None, None, None, 192, None]
+    assert [found[i]["media_bytes"] for i in range(1, 6)] == [None, 0, 40, len(raw), 64] and found[4]["feature"] and not found[3]["feature"]
+    pcm = {r["id"]: r["pcm"] for r in telephony.decode_column(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary"), "doc_id", "media").collect()}
+    assert [pcm[i] is None for i in range(1, 6)] == [True, True, True, False, True]
 
 
 def test_media(spark):
@@ -488,6 +653,11 @@ def test_media(spark):
         r = found[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
         assert (r["media_bytes"], r["media_sha256"]) == (len(stored[i]), hashlib.sha256(stored[i]).hexdigest())
+        (samples,) = telephony.decode_media([stored[i]])
+        codec, n, loud, peak, crossings, crc = r["feature"].split(":")
+        values = samples.astype(int).tolist()
+        assert (int(n), int(peak), int(crc)) == (len(values), max(map(abs, values)), zlib.crc32(samples.astype("<i2").tobytes()))
+        assert int(crossings) == sum((x < 0) != (y < 0) for x, y in zip(values, values[1:])) and float(loud) == pytest.approx(math.sqrt(sum(x * x for x in values) / len(values)), abs=1e-3)
     assert {r["feature"].split(":")[0] for r in found.values()} == {"6", "7", "17"}
     pcm = {r["id"]: r for r in telephony.decode_column(media, "doc_id", "media").collect()}
     assert all(pcm[i]["n_samples"] == int(found[i]["feature"].split(":")[1]) == len(pcm[i]["pcm"]) // 2 for i in found)
