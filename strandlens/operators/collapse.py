@@ -11,7 +11,7 @@ from ..session import keep_checkpoints
 from .flags import SAMPLE, with_above_cutoff, with_proportion
 
 
-def collapse_to_parent(df: DataFrame, transitive: bool = False, most_rounds: int = 6) -> DataFrame:
+def collapse_to_parent(df: DataFrame, transitive: bool = False) -> DataFrame:
     """Each sample's children are added to their parents' rows and dropped; proportion and cutoff follow.
 
     A sample's parents are in putative_parent if any row there has one, else in ldist_samp_lvl; samples with neither stay as
@@ -25,7 +25,7 @@ def collapse_to_parent(df: DataFrame, transitive: bool = False, most_rounds: int
         chosen = F.when(F.max(F.col(c).isNotNull()).over(sample), F.col(c)).otherwise(chosen)
     rows = df.withColumn("parent_", base_name(chosen)).withColumn("any_", F.max(F.col("parent_").isNotNull()).over(sample))
     if transitive:
-        rows = rows.drop("parent_").join(root_parents(rows.filter("parent_ IS NOT NULL").select(*SAMPLE, "bc_name", "parent_"), most_rounds), [*SAMPLE, "bc_name"], "left")
+        rows = rows.drop("parent_").join(root_parents(rows.filter("parent_ IS NOT NULL").select(*SAMPLE, "bc_name", "parent_")), [*SAMPLE, "bc_name"], "left")
     gained = rows.filter("parent_ IS NOT NULL").groupBy(*SAMPLE, F.col("parent_").alias("bc_name")).agg(F.sum("bc_count").alias("gained_"))
     kept = rows.filter("parent_ IS NULL").join(gained, [*SAMPLE, "bc_name"], "left")
     kept = kept.withColumn("bc_count", F.col("bc_count") + F.coalesce("gained_", F.lit(0)))
@@ -36,20 +36,28 @@ def collapse_to_parent(df: DataFrame, transitive: bool = False, most_rounds: int
     return new.select(*df.columns)
 
 
-def root_parents(links: DataFrame, most_rounds: int) -> DataFrame:
+def root_parents(links: DataFrame) -> DataFrame:
     """sample, bc_name, parent_ with every parent replaced by the last of its line; each round doubles the length covered.
 
-    A round's table is a checkpoint, so that plans don't grow with the rounds.
+    A round's table is a checkpoint, so that plans don't grow with the rounds.  A line that comes back to itself has no
+    last parent and raises.
     """
     keep_checkpoints(links.sparkSession)
     links = links.dropDuplicates([*SAMPLE, "bc_name"]).checkpoint()
-    for _ in range(most_rounds):
+    longest, reach = None, 1
+    while True:
         up = links.select(*SAMPLE, F.col("bc_name").alias("parent_"), F.col("parent_").alias("up_"))
         joined = links.join(up, [*SAMPLE, "parent_"], "left").checkpoint()
         if joined.filter("up_ IS NOT NULL AND up_ <> parent_").isEmpty():
-            break
+            if not links.filter("parent_ = bc_name").isEmpty():
+                raise ValueError("parents that are each other's children")
+            return links
+        # a round covers lines twice as long, so it must end before more links than there are
+        longest = links.count() if longest is None else longest
+        if reach > longest:
+            raise ValueError("parents that are each other's children")
+        reach *= 2
         links = joined.select(*SAMPLE, "bc_name", F.coalesce("up_", "parent_").alias("parent_"))
-    return links
 
 
 def lost_reads(df: DataFrame) -> DataFrame:

@@ -17,10 +17,6 @@ def merge_indexes(counts: DataFrame, assigned: DataFrame) -> DataFrame:
     return counts.join(named, "idx_seq").groupBy("idx_name", "bc_seq").agg(F.sum("bc_count").alias("bc_count"))
 
 
-def run_totals(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("bc_seq").agg(F.sum("bc_count").alias("total"))
-
-
 def index_summary(expected: DataFrame, before: DataFrame, after: DataFrame, names: DataFrame) -> DataFrame:
     """idx_name, n_reads, n_bc (both before quality control), n_bc_named, n_reads_ac of every expected index.
 
@@ -61,9 +57,14 @@ def first_filled(df: DataFrame, keys: list[str], columns: list[str], order: str)
 
 
 def group_counts(df: DataFrame) -> DataFrame:
-    """Adds n_groups and n_samps: how many groups and samples have a barcode of this name."""
-    per = df.groupBy("bc_name").agg(F.count_distinct("samp_group").alias("n_groups"), F.count_distinct("samp_name").alias("n_samps"))
-    return df.join(per, "bc_name", "left")
+    """Adds n_groups and n_samps: how many groups and samples have a barcode of this name.
+
+    Every run numbers its discovered barcodes (BC.N) anew, so those are the same barcode only with the same sequence.
+    """
+    own = F.when(F.col("bc_name").startswith("BC."), F.col("bc_seq"))
+    rows = df.withColumn("own_", F.coalesce(own, F.lit("")))
+    per = rows.groupBy("bc_name", "own_").agg(F.count_distinct("samp_group").alias("n_groups"), F.count_distinct("samp_name").alias("n_samps"))
+    return rows.join(per, ["bc_name", "own_"], "left").drop("own_")
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:

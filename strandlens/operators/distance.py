@@ -2,8 +2,12 @@
 
 Two texts within Levenshtein (or Hamming) distance d have a common form after
 at most d deletions from either, so for small d the join is an equi-join on
-deletion forms followed by an exact check.  Whatever keys the caller gives
-(sample, profile) are part of the equi-join, so one join serves all groups.
+deletion forms followed by an exact check.  For larger d a text is cut into d + 1
+segments: d edits leave one of them as it is, at most d places from where it was,
+so the join is an equi-join on (length, segment number, segment).  The other
+metrics bound the Levenshtein distance and go the same way.  Whatever keys the
+caller gives (sample, profile) are part of the equi-join, so one join serves all
+groups.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.reads import hamming
+from ..session import settled
 
 #: Distances up to this use deletion forms; beyond it the number of forms grows too fast.
 MOST_DELETIONS = 2
@@ -59,6 +64,9 @@ def _common_subsequence(a: str, b: str) -> int:
     return row[-1]
 
 
+#: A distance of r by a metric is at most so many times r Levenshtein edits: deletions and insertions are edits; where only the
+#: longer text's rest counts, there are at most as many insertions as deletions; a swap is two edits.
+EDITS = {"levenshtein": 1, "indel": 1, "lcsseq": 2, "osa": 2}
 #: Distances beside Levenshtein and Hamming, by name.
 PYTHON_METRICS: dict[str, Callable[[str, str], int]] = {
     "indel": lambda a, b: len(a) + len(b) - 2 * _common_subsequence(a, b),
@@ -94,6 +102,39 @@ def distance(metric: str | Callable[[str, str], int], left: Column, right: Colum
     return found if limit is None else F.when(found <= limit, found)
 
 
+def segments(seq: Column, d: int) -> Column:
+    """array<(length, number, segment)>: the d + 1 segments of a text, as even as they go, longer ones last."""
+    n = F.length(seq)
+    size, longer = F.floor(n / (d + 1)).cast("int"), n % (d + 1)
+
+    def segment(i: Column) -> Column:
+        # segments from number d + 1 - longer on have one more
+        start = i * size + F.greatest(i - (d + 1 - longer), F.lit(0)) + 1
+        return F.struct(n.alias("length"), i.alias("number"), F.substring(seq, start, size + (i >= d + 1 - longer).cast("int")).alias("segment"))
+
+    return F.transform(F.array(*map(F.lit, range(d + 1))), segment)
+
+
+def segment_probes(seq: Column, d: int, shift: bool = True) -> Column:
+    """array<(length, number, segment)> of which a text within d edits (substitutions only, without shift) of seq has one."""
+    n = F.length(seq)
+    lengths = F.sequence(F.greatest(n - d, F.lit(0)), n + d) if shift else F.array(n)
+    moves = F.array(*map(F.lit, range(-d, d + 1))) if shift else F.array(F.lit(0))
+
+    def of_length(length: Column) -> Column:
+        size, longer = F.floor(length / (d + 1)).cast("int"), length % (d + 1)
+
+        def of_segment(i: Column) -> Column:
+            start = i * size + F.greatest(i - (d + 1 - longer), F.lit(0)) + 1
+            many = size + (i >= d + 1 - longer).cast("int")
+            places = F.filter(F.transform(moves, lambda m: start + m), lambda p: (p >= 1) & (p + many - 1 <= n))
+            return F.transform(places, lambda p: F.struct(length.alias("length"), i.alias("number"), F.substring(seq, p, many).alias("segment")))
+
+        return F.flatten(F.transform(F.array(*map(F.lit, range(d + 1))), of_segment))
+
+    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+
+
 def distance_join(
     queries: DataFrame,
     refs: DataFrame,
@@ -119,20 +160,36 @@ def distance_join(
     keys = list(keys)
     q = queries.select(*keys, F.col(query[0]).alias("query_id"), F.col(query[1]).alias("query_seq")).dropna().distinct()
     r = refs.select(*keys, F.col(ref[0]).alias("ref_id"), F.col(ref[1]).alias("ref_seq")).dropna().distinct()
-    named = isinstance(metric, str) and metric.lower() in ("levenshtein", "hamming")
-    if named and radius <= MOST_DELETIONS:
+    name = metric.lower() if isinstance(metric, str) else None
+    if scope == "min" and radius > 1 and name in ("levenshtein", "hamming") and not exclude_same_id:
+        # the nearest of most queries are within less than the radius: only the others are looked for further
+        inner = distance_join(q, r, radius - 1, keys, "min", tie, metric)
+        kept = settled(inner)
+        rest = q.join(kept.select(*keys, "query_id", "query_seq").distinct(), [*keys, "query_id", "query_seq"], "left_anti")
+        outer = distance_join(rest, r, radius, keys, "exact", tie, metric)
+        if tie != "all":
+            first = Window.partitionBy(*keys, "query_id", "query_seq").orderBy("ref_id")
+            outer = outer.withColumn("rank_", F.row_number().over(first)).filter("rank_ = 1").drop("rank_")
+        return kept.unionByName(outer)
+    if name in ("levenshtein", "hamming") and radius <= MOST_DELETIONS:
         if radius == 0:
             pairs = q.join(r.withColumn("query_seq", F.col("ref_seq")), [*keys, "query_seq"]).withColumn("dist", F.lit(0))
         else:
             left = q.withColumn("form", F.explode(deletion_forms(F.col("query_seq"), radius)))
             right = r.withColumn("form", F.explode(deletion_forms(F.col("ref_seq"), radius)))
             near = left.join(right, [*keys, "form"])
-            if metric.lower() == "hamming":
+            if name == "hamming":
                 near = near.filter(F.length("query_seq") == F.length("ref_seq"))
             # each pair meets once for every common form: keep one before anything is counted
             pairs = near.withColumn("dist", distance(metric, F.col("query_seq"), F.col("ref_seq"), radius)).filter("dist IS NOT NULL").drop("form").distinct()
+    elif name == "hamming" or name in EDITS:
+        edits = radius * EDITS.get(name, 1)
+        left = q.withColumn("part", F.explode(segment_probes(F.col("query_seq"), edits, name != "hamming")))
+        right = r.withColumn("part", F.explode(segments(F.col("ref_seq"), edits)))
+        met = left.join(right, [*keys, "part"]).drop("part").distinct()
+        pairs = met.withColumn("dist", distance(metric, F.col("query_seq"), F.col("ref_seq"), radius)).filter("dist IS NOT NULL")
     else:
-        # metrics without such a filter: all pairs of a key, the references being the side that is held
+        # nothing is known of a metric of the caller's own: all pairs of a key
         both = q.join(r, keys) if keys else q.crossJoin(r)
         pairs = both.withColumn("dist", distance(metric, F.col("query_seq"), F.col("ref_seq"), radius)).filter("dist IS NOT NULL")
     if exclude_same_id:

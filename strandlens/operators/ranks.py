@@ -9,6 +9,8 @@ in its group plus the sizes of the groups and ranges before.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,22 +18,28 @@ RANGES = 64
 TIE_PREFIX = 6
 
 
-def global_rank(df: DataFrame, by: str, tie: str, rank: str = "rank") -> DataFrame:
-    """Rank 1, 2, ... by `by` descending (a number), then by `tie` ascending (text), which must differ between rows."""
+def global_rank(df: DataFrame, by: str, tie: str, rank: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
+    """Rank 1, 2, ... by `by` descending (a number), then by `tie` ascending (text), which must differ between rows.
+
+    With keys, each of their values has ranks of its own; a few values may share all rows.  Keys must not be null.
+    """
+    keys = list(keys)
     steps = [i / RANGES for i in range(1, RANGES)]
     cuts = df.agg(F.percentile_approx(by, steps, 1000).alias("q")).first()["q"] or []
     splits = sorted(set(cuts))
     place = F.size(F.filter(F.array(*map(F.lit, splits)), lambda s: s > F.col(by))) if splits else F.lit(0)
     rows = df.withColumn("range_", place).withColumn("start_", F.substring(tie, 1, TIE_PREFIX))
-    group = ["range_", by, "start_"]
+    group = [*keys, "range_", by, "start_"]
     sizes = rows.groupBy(*group).count()
-    inside = Window.partitionBy("range_").orderBy(F.col(by).desc(), "start_").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, "range_").orderBy(F.col(by).desc(), "start_").rowsBetween(Window.unboundedPreceding, -1)
     groups = sizes.withColumn("groups_", F.coalesce(F.sum("count").over(inside), F.lit(0))).drop("count")
-    ranges = sizes.groupBy("range_").agg(F.sum("count").alias("count"))
-    ahead = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)  # over at most RANGES rows
+    ranges = sizes.groupBy(*keys, "range_").agg(F.sum("count").alias("count"))
+    ahead = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)  # over at most RANGES rows
     ranges = ranges.withColumn("ranges_", F.coalesce(F.sum("count").over(ahead), F.lit(0))).drop("count")
     ranked = rows.withColumn("within_", F.row_number().over(Window.partitionBy(*group).orderBy(tie)))
-    ranked = ranked.join(groups, group).join(F.broadcast(ranges), "range_")
+    ranked = ranked.join(groups, group)
+    # at most RANGES rows, without keys
+    ranked = ranked.join(ranges, [*keys, "range_"]) if keys else ranked.join(F.broadcast(ranges), "range_")
     return ranked.withColumn(rank, (F.col("within_") + F.col("groups_") + F.col("ranges_")).cast("long")).drop("range_", "start_", "within_", "groups_", "ranges_")
 
 

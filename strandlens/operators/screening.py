@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import share
 from ..functions.reads import beside, between, find_anchors, masked, mean_quality, padded, padded_quality, reverse_complement
 from ..profiles import ReadProfile
+from ..session import settled
 from .distance import distance_join
+from .ranks import global_rank
 
 OUTCOMES = ("total_reads", "profile_not_found", "quality_filtered", "profile_ambiguous", "stock_unknown", "stock_ambiguous", "stock_assigned")
 
@@ -137,9 +138,9 @@ def resolve(classified: DataFrame, refs: DataFrame, most: int = 0) -> DataFrame:
 
     Reads are counted first, so each distinct (profile, barcode) is matched once, however many reads have it.
     """
-    # kept, since several reports read it, and so that a report's filter isn't moved below the count, where it would
+    # settled, since several reports read it, and so that a report's filter isn't moved below the count, where it would
     # evaluate all anchors of every read once more
-    counted = classified.groupBy("profile_outcome", "hits").agg(F.count(F.lit(1)).alias("bc_count")).persist(StorageLevel.MEMORY_AND_DISK)
+    counted = settled(classified.groupBy("profile_outcome", "hits").agg(F.count(F.lit(1)).alias("bc_count")))
     names = F.array_sort(F.transform("hits", lambda h: h["profile"]))
     rows = counted.select("profile_outcome", names.alias("profiles"), "bc_count", F.explode_outer("hits").alias("hit"))
     rows = rows.select("profile_outcome", "profiles", "bc_count", "hit.profile", F.col("hit.structure").alias("structure"), "hit.bc_seq")
@@ -211,9 +212,13 @@ def named_barcodes(resolved: DataFrame, total: int | None = None, ambiguous: boo
     n = F.coalesce(F.size("ref_match"), F.lit(0))
     kind = F.when((n == 1) & (F.col("ldist") == 0), "exact").when(n > 1, "Multi").otherwise("Unique")
     rows = rows.withColumn("kind_", kind)
-    order = Window.partitionBy(*group, "kind_").orderBy(F.col("bc_count").desc(), "bc_seq", "index_structure")
-    name = F.when(F.col("kind_") == "exact", F.col("ref_match")[0]).otherwise(F.concat_ws(".", "kind_", F.row_number().over(order).cast("string")))
-    whole = F.sum("bc_count").over(Window.partitionBy(*group))
+    # a profile may have most barcodes of a run, so ranks and totals don't gather a profile in one task
+    rows = settled(rows.withColumns({"group_": F.concat_ws("/", *group), "tie_": F.concat_ws("\x01", "bc_seq", "index_structure")}))
+    rows = global_rank(rows, "bc_count", "tie_", "rank_", ["group_", "kind_"])
+    totals = rows.groupBy("group_").agg(F.sum("bc_count").alias("whole_"))
+    rows = rows.join(totals, "group_")
+    name = F.when(F.col("kind_") == "exact", F.col("ref_match")[0]).otherwise(F.concat_ws(".", "kind_", F.col("rank_").cast("string")))
+    whole = F.col("whole_")
     stock = F.array_join("stock", "/")
     rows = rows.withColumn("bc_name", name).withColumn("proportion", share(F.col("bc_count"), whole)).withColumn("proportion_all_reads", share(F.col("bc_count"), F.lit(total)))
     out = [F.array_join("profiles", "/").alias("profiles")] if ambiguous else []

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.labels import fixed_name, legacy_distance
+from ..functions.labels import date_text, fixed_name, label_text, legacy_distance
 from ..operators.collapse import collapse_to_parent
 from ..operators.counting import latest_rows
 from ..operators.flags import above_only, with_index_share, with_multi_index, with_short_flag
@@ -15,8 +15,8 @@ from ..operators.parents import flag_parents
 from ..operators.ranks import rename_unique
 from ..schema import REMADE, conform
 from ..session import settled
-from ..sources.runinfo import runs_from_sheet, samples_from_sheet
-from ..sources.workbook import find_workbooks, header_table, listed_workbooks, read_cells, sample_blocks
+from ..sources.runinfo import raw_metadata, runinfo_from_long, runs_from_sheet, samples_from_sheet
+from ..sources.workbook import WorkbookError, find_workbooks, header_table, listed_workbooks, read_cells, sample_blocks, unusable
 from .parse import union_runs
 
 #: Where a row came from; later columns break ties.
@@ -45,20 +45,47 @@ def base_rows(spark: SparkSession, path: str) -> DataFrame:
     return conform(old).withColumns({"source_": F.lit("csv"), "source_note_": F.lit(f"base_csv: {name}"), "source_rank_": F.lit(0), "source_time_": F.lit(float("-inf")), "source_order_": F.lit(-1)})
 
 
-def workbook_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """The samples of all result workbooks under a folder (or named in a .txt file), each matched to exactly one row of its own metadata sheet."""
+def workbook_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The cells of all result workbooks under a folder (or named in a .txt file); those that can't be used raise together."""
     books = listed_workbooks(spark, folder) if folder.endswith(".txt") else find_workbooks(spark, folder)
-    cells = read_cells(books).persist()
+    cells = settled(read_cells(books))
+    # a row or two for each workbook that fails
+    failures = [(r["file"], r["reason"]) for r in unusable(cells).collect()]
+    usable = cells.filter(~F.col("file").isin([f for f, _ in failures])) if failures else cells
+    if not usable.isEmpty():
+        failures += [(r["file"], r["reason"]) for r in _unmatched(usable).collect()]
+    if failures:
+        raise WorkbookError(sorted(failures))
+    return cells
+
+
+def _sheet_samples(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(metadata table, its samples, the sample blocks with clean keys) of workbooks."""
     heads = [r["value"] for r in cells.filter("sheet_no = 0 AND row = 0").select(F.trim("value").alias("value")).distinct().collect()]
     table = header_table(cells, sorted(heads))
     dual = "(F Barcode)" in heads
-    samples = samples_from_sheet(table, dual)
-    runs = runs_from_sheet(table, cells).drop("run_number")
     blocks = sample_blocks(cells).drop("input")
-    from ..functions.labels import date_text, label_text
-
     blocks = blocks.withColumn("samp_group", label_text(F.col("samp_group"))).withColumn("samp_date", date_text(F.col("samp_date"))).drop("sheet", "block", "row", "brk", "first", "width")
-    key = ["file", "samp_group", "samp_name", "samp_date"]
+    return table, samples_from_sheet(table, dual), blocks
+
+
+BLOCK_KEY = ["file", "samp_group", "samp_name", "samp_date"]
+
+
+def _unmatched(cells: DataFrame) -> DataFrame:
+    """file, reason of sample blocks that don't match exactly one row of metadata."""
+    _, samples, blocks = _sheet_samples(cells)
+    found = blocks.select(*BLOCK_KEY).distinct().join(samples.groupBy(*BLOCK_KEY).agg(F.count(F.lit(1)).alias("n")), BLOCK_KEY, "left")
+    wrong = found.filter(F.coalesce("n", F.lit(0)) != 1)
+    name = F.concat_ws(" ", "samp_group", "samp_name", "samp_date")
+    return wrong.select("file", F.concat(F.lit("sample "), name, F.lit(" has "), F.coalesce("n", F.lit(0)).cast("string"), F.lit(" rows of metadata")).alias("reason"))
+
+
+def workbook_rows(cells: DataFrame) -> DataFrame:
+    """The samples of workbooks, each matched to exactly one row of its own metadata sheet."""
+    table, samples, blocks = _sheet_samples(cells)
+    runs = runs_from_sheet(table, cells).drop("run_number")
+    key = BLOCK_KEY
     one = samples.groupBy(*key).agg(F.count(F.lit(1)).alias("n_"), F.first(F.struct(*(c for c in samples.columns if c not in key))).alias("s_"))
     joined = blocks.join(one, key, "left")
     bad = F.raise_error(F.concat(F.lit("a sample block doesn't match one row of metadata: "), "file")).cast("int")
@@ -86,7 +113,7 @@ def dedup_samples(rows: DataFrame) -> DataFrame:
     sets = best.groupBy("sample_id").agg(F.count_distinct(F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in METADATA))).alias("sets_"))
     checked = best.join(sets, "sample_id")
     bad = F.raise_error(F.concat(F.lit("a sample with several sets of metadata: "), "sample_id")).cast("string")
-    return checked.withColumn("sample_id", F.when(F.col("sets_") == 1, F.col("sample_id")).otherwise(bad)).drop("sets_", "source_", *RANK)
+    return checked.withColumn("sample_id", F.when(F.col("sets_") == 1, F.col("sample_id")).otherwise(bad)).drop("sets_", "source_", *RANK[1:])
 
 
 def core_quality(rows: DataFrame) -> DataFrame:
@@ -114,14 +141,52 @@ def final_order(df: DataFrame) -> DataFrame:
     return df.select(*first, *(c for c in df.columns if c not in first)).orderBy(*first, "sample_id", F.col("bc_count").desc(), "bc_seq")
 
 
-def compile_runs(spark: SparkSession, workbooks: str | None = None, base_csv: str | None = None, settings: CompileSettings = CompileSettings()) -> tuple[DataFrame, DataFrame]:
-    """(all rows, rows above the cutoff) of workbooks and a former compilation."""
-    parts = [workbook_rows(spark, workbooks)] if workbooks else []
+@dataclass
+class Compiled:
+    """All rows, those above the cutoff, the metadata of every run with its samples and sources, and the number of runs."""
+
+    every: DataFrame
+    above: DataFrame
+    runinfo: DataFrame
+    runs: int
+
+
+def series_metadata(cells: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """run_name, run_number, the columns of the runs' metadata sheets, sample_id and source; runs without a sheet get theirs from their rows."""
+    parts = []
+    if cells is not None:
+        table, samples, _ = _sheet_samples(cells)
+        heads = table.columns
+        raw = raw_metadata(cells, "(F Barcode)" in heads)
+        names = runs_from_sheet(table, cells).select("file", "run_name", "run_number")
+        ids = samples.select("file", "idx_name", "sample_id").dropDuplicates(["file", "idx_name"])
+        own = F.col("own_") if "sample_id" in raw.columns else F.lit(None).cast("string")
+        raw = raw.withColumnRenamed("sample_id", "own_") if "sample_id" in raw.columns else raw
+        full = raw.join(ids, ["file", "idx_name"], "left").join(names, "file", "left").withColumn("sample_id", F.coalesce(own, "sample_id"))
+        sheet = [c for c in raw.columns if c not in ("file", "row", "idx_name", "Run Number", "own_")]
+        full = full.filter(F.coalesce(*(F.col(f"`{c}`") for c in sheet)).isNotNull()) if sheet else full
+        parts.append(full.select("run_name", "run_number", *(F.col(f"`{c}`") for c in sheet), "sample_id", "file", "row"))
+    lone = rows.filter("source_rank_ = 0")
+    runs, samples = runinfo_from_long(lone)
+    made = samples.join(runs, "run_id").select(
+        "run_name", "run_number", F.col("samp_group").alias("Animal"), F.col("samp_name").alias("Sample"), F.col("samp_date").alias("Date"), F.col("p5_name").alias("Barcodes"),
+        F.col("p7_name").alias("(F Barcode)"), F.col("input").cast("string").alias("Input TOTAL PER BARCODE"), "sample_id", F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("row"))
+    parts.append(made)
+    sources = rows.groupBy("sample_id").agg(F.max("source_note_").alias("source"))
+    return union_runs(parts).join(sources, "sample_id", "left")
+
+
+def compile_runs(spark: SparkSession, workbooks: str | None = None, base_csv: str | None = None, settings: CompileSettings = CompileSettings()) -> Compiled:
+    """Workbooks and a former compilation as one series of runs."""
+    cells = workbook_cells(spark, workbooks) if workbooks else None
+    parts = [workbook_rows(cells)] if cells is not None else []
     parts += [base_rows(spark, base_csv)] if base_csv else []
     if not parts:
         raise ValueError("nothing to compile: give a folder of workbooks or a CSV")
-    df = settled(core_quality(settled(dedup_samples(union_runs(parts)))))
+    rows = settled(dedup_samples(union_runs(parts)))
+    df = settled(core_quality(rows.drop("source_rank_")))
     if settings.collapse_to_parent:
         df = settled(collapse_to_parent(df))
     df = distance_levels(df, settings)
-    return final_order(df), above_only(df)
+    runs = rows.agg(F.count_distinct("run_id")).first()[0]
+    return Compiled(final_order(df), above_only(df), series_metadata(cells, rows), runs)

@@ -91,6 +91,8 @@ def parse_run(reads: DataFrame, samples: DataFrame, p5: DataFrame, refs: DataFra
         raise ValueError(f"expected indexes that share a sequence: {[r['idx_seq'] for r in shared]}")
     seen = settled(seen)
     counts = settled(merge_indexes(seen, assign_unique_best(seen, expected, settings.index_distance)))
+    if counts.isEmpty():
+        raise ValueError("no read has an expected index: check the primer tables and the names of indexes in the metadata")
     named = name_barcodes(counts, refs, settings.discover)
     rows = with_samples(named, samples).withColumn("filename", F.lit(filename))
     long = settled(conform(quality_control(rows, settings), run_name=run_name, run_date=run_date))

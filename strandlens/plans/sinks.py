@@ -6,14 +6,19 @@ refuses more than ``MOST_ROWS`` rows, which is a spreadsheet's own limit.
 
 from __future__ import annotations
 
+import datetime
 import os
+import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..functions.labels import output_stem  # noqa: F401  (names of result files)
+from ..functions.labels import shown_flag, shown_number
+from ..operators.collapse import collapse_to_parent
+from ..operators.counting import distinct_groups, group_counts, repeated_keys
+from ..session import settled
 from ..sources.workbook import write_workbook
-from .compile import PRIVATE
+from .compile import PRIVATE, Compiled
 from .parse import ParsedRun
 from .screen import ScreenedRun
 from .views import COMPILE_COLUMNS, contamination_wide, counted_rows, matrix_wide, sidelong_headers, sidelong_rows
@@ -21,6 +26,11 @@ from .views import COMPILE_COLUMNS, contamination_wide, counted_rows, matrix_wid
 MOST_ROWS = 1_048_576
 BODY = ("bc_name", "bc_seq", "bc_count", "proportion", "putative_parent", "x_idx", "short_bc")
 HEADER = ("run_number", "run_name", "run_date", "samp_group", "samp_name", "samp_date", "input")
+#: Headings of the older form, in the order of BODY, and of its totals.
+OLD_BODY = ("Barcode", "Sequence", "Counts", "Proportion", "Hamming Dist to Another Sequence", "Multi-group share", "Short barcode?")
+OLD_TOTALS = ("Sequencer Input", "Total # Sequences", "# of Barcodes (Excluding Uniques)", "Proportion Uniques")
+#: Fixed value: what the older form has where a barcode has no parent.
+OLD_NO_PARENT = "NA-NA"
 
 
 def write_long(df: DataFrame, path: str, form: str = "csv") -> None:
@@ -37,11 +47,28 @@ def grid(df: DataFrame) -> list[list[object]]:
     return [list(df.columns), *(list(r) for r in rows)]
 
 
-def sidelong_grid(df: DataFrame) -> list[list[object]]:
-    """One group's samples side by side: header lines, a blank line, then the body with a blank line between row groups."""
+def _line(values: list[object] | tuple[object, ...]) -> list[object]:
+    return [*values, *[None] * (len(BODY) - len(values))]
+
+
+def _head(h: Row, legacy: bool) -> list[list[object]]:
+    """The lines above a sample's body: its header, a blank line and the headings."""
+    if not legacy:
+        return [*(_line((k, h[k])) for k in HEADER), _line(()), list(BODY)]
+    names = (h["samp_group"], h["samp_name"], h["samp_date"])
+    return [_line(names + names), _line(OLD_TOTALS), _line((h["input"], h["total_sequences"], h["named_barcodes"], h["proportion_unique"])), _line(()), list(OLD_BODY)]
+
+
+def sidelong_grid(df: DataFrame, legacy: bool = False) -> list[list[object]]:
+    """One group's samples side by side: header lines, a blank line, then the body with a blank line between row groups.
+
+    legacy: the older headers, headings and texts.
+    """
     heads = {r["sample_id"]: r for r in sidelong_headers(df).collect()}
     bodies: dict[str, list[list[object]]] = {}
     rows = sidelong_rows(df)
+    if legacy:
+        rows = rows.withColumns({"x_idx": shown_number(F.col("x_idx")), "short_bc": shown_flag(F.col("short_bc")), "putative_parent": F.coalesce("putative_parent", F.lit(OLD_NO_PARENT))})
     # a sample's lines: headers, two lines, the body and its spacers; checked before rows come to the driver
     lines = F.count(F.lit(1)) + F.count_if("spacer_before") + len(HEADER) + 2
     longest = rows.groupBy("sample_id").agg(lines.alias("lines")).agg(F.max("lines")).first()[0]
@@ -51,13 +78,10 @@ def sidelong_grid(df: DataFrame) -> list[list[object]]:
         body = bodies.setdefault(r["sample_id"], [])
         if r["spacer_before"]:
             body.append([None] * len(BODY))
-        body.append([("Yes" if r["short_bc"] else "") if c == "short_bc" else r[c] for c in BODY])
+        body.append([r[c] for c in BODY])
     out: list[list[object]] = []
     order = sorted(bodies, key=lambda s: (str(heads[s]["samp_name"]), str(heads[s]["samp_date"]), s))
-    blocks = []
-    for s in order:
-        head = [[k, heads[s][k]] + [None] * (len(BODY) - 2) for k in HEADER]
-        blocks.append([*head, [None] * len(BODY), list(BODY), *bodies[s]])
+    blocks = [[*_head(heads[s], legacy), *bodies[s]] for s in order]
     for i in range(max(map(len, blocks), default=0)):
         line: list[object] = []
         for b in blocks:
@@ -66,20 +90,54 @@ def sidelong_grid(df: DataFrame) -> list[list[object]]:
     return out
 
 
-def write_parse_workbook(run: ParsedRun, raw: DataFrame, folder: str, name: str, discover: bool = False, settings: dict[str, object] | None = None) -> str:
-    """Run metadata with summary and notes, then samples and matrix of each group, then the settings."""
-    info = raw.join(run.summary.drop("input"), "idx_name", "left").join(run.notes, "idx_name", "left")
-    sheets = {"runinfo": grid(info)}
-    for (group,) in run.long.select("samp_group").distinct().orderBy("samp_group").collect():
-        part = run.long.filter(F.col("samp_group") == group)
-        sheets[f"{group} samples"] = sidelong_grid(part)
-        sheets[f"{group} matrix"] = grid(matrix_wide(counted_rows(part)))
-    sheets["settings"] = [["setting", "value"], *([k, str(v)] for k, v in (settings or {}).items())]
+def groups_of(df: DataFrame) -> list[str]:
+    """The groups of a table, in order; a run has as many as it has animals."""
+    return [r["samp_group"] for r in distinct_groups(df).orderBy("samp_group").collect()]
+
+
+def parse_runinfo(run: ParsedRun, raw: DataFrame) -> DataFrame:
+    """The metadata rows as they were, with what was found for each index and the notes."""
+    shown = raw.drop("file", "row")
+    found = run.summary.select("idx_name", "n_reads", "n_bc", "n_bc_named", "n_reads_ac", "count_to_input_ratio")
+    rows = raw.join(found, "idx_name", "left").join(run.notes.withColumnRenamed("note", "notes"), "idx_name", "left")
+    order = ["row"] if "row" in raw.columns else []
+    return rows.orderBy(*order, "idx_name").select(*shown.columns, *found.columns[1:], "notes")
+
+
+def write_parse_workbook(run: ParsedRun, raw: DataFrame, folder: str, name: str, discover: bool = False, settings: dict[str, object] | None = None, collapse: bool = True, matrix_above_only: bool = False, legacy: bool = False, expected_groups: list[str] | None = None) -> str:
+    """Run metadata with summary and notes, then samples and matrix of each group, then the settings.
+
+    collapse: children are added to their parents, and the rows as they were come in a raw sheet of each group.
+    matrix_above_only: matrices of the rows that count, else of all.  Expected groups without any row are warned of.
+    """
+    groups = groups_of(run.long)
+    missing = sorted(set(expected_groups or []) - set(groups))
+    if missing:
+        warnings.warn(f"no barcodes found for {', '.join(missing)}", stacklevel=2)
+    table = settled(collapse_to_parent(run.long)) if collapse else run.long
+    if groups_of(table) != groups:
+        raise ValueError(f"groups of the data ({groups}) and of its tables ({groups_of(table)}) differ")
+    sheets = {"runinfo": grid(parse_runinfo(run, raw))}
+    for group in groups:
+        part = table.filter(F.col("samp_group") == group)
+        if collapse:
+            sheets[f"{group} raw"] = sidelong_grid(run.long.filter(F.col("samp_group") == group), legacy)
+        sheets[f"{group} samples"] = sidelong_grid(part, legacy)
+        sheets[f"{group} matrix"] = grid(matrix_wide(counted_rows(part) if matrix_above_only else part))
+    sheets["settings"] = settings_rows(settings)
     path = os.path.join(folder, f"{name}_{'Discovery' if discover else 'Analysis'}.xlsx")
     write_workbook(path, sheets)
     return path
 
 
+def settings_rows(settings: dict[str, object] | None) -> list[list[object]]:
+    """Key and value of each setting, then when and by which version."""
+    from .. import __version__
+
+    rows = [[k, "" if v is None else str(v)] for k, v in (settings or {}).items()]
+    return [["setting", "value"], *rows, ["version", __version__], ["analysis date", datetime.datetime.now().strftime("%Y-%m-%d %H:%M:%S")]]
+
+
 def write_screen_workbook(run: ScreenedRun, path: str, settings: dict[str, object] | None = None) -> None:
     """The summary tables below each other, then barcodes by profile, ambiguous barcodes and settings."""
     summary: list[list[object]] = []
@@ -89,21 +147,26 @@ def write_screen_workbook(run: ScreenedRun, path: str, settings: dict[str, objec
     for (profile,) in run.barcodes.select("profile").distinct().orderBy("profile").collect():
         sheets[profile] = grid(run.barcodes.filter(F.col("profile") == profile).drop("profile").orderBy(F.col("bc_count").desc(), "bc_name"))
     sheets["ambiguous barcodes"] = grid(run.ambiguous_barcodes.orderBy("profiles", "profile", F.col("bc_count").desc(), "bc_name"))
-    sheets["settings"] = [["setting", "value"], *([k, str(v)] for k, v in (settings or {}).items())]
+    sheets["settings"] = settings_rows(settings)
     write_workbook(path, sheets)
 
 
-def write_compiled(every: DataFrame, above: DataFrame, folder: str, prefix: str, contamination: bool = False) -> tuple[str, str]:
-    """{prefix}_all as CSV, and {prefix}_above_cutoff.xlsx: all rows of all samples, each group's samples and matrix, and if asked for the
-    full matrix and the contamination report."""
+def write_compiled(found: Compiled, folder: str, prefix: str, contamination: bool = False) -> tuple[str, str]:
+    """{prefix}_all as CSV, and {prefix}_above_cutoff.xlsx: the runs' metadata, all rows of all samples, each group's samples and matrix,
+    and if asked for the full matrix and the contamination report."""
     table = os.path.join(folder, f"{prefix}_all.csv")
-    write_long(every, table)
-    above = above.drop(*PRIVATE)
-    sheets = {"all_samples": grid(above.orderBy("samp_group", "samp_name", "samp_date", "sample_id", F.col("bc_count").desc(), "bc_seq"))}
+    write_long(found.every, table)
+    above = found.above.drop(*PRIVATE)
+    twice = repeated_keys(above, ["samp_group", "bc_name", "bc_seq", *COMPILE_COLUMNS]).limit(5).collect()
+    if twice:
+        raise ValueError(f"rows of one sample and barcode: {[(r['samp_name'], r['bc_name']) for r in twice]}")
+    info = grid(found.runinfo.orderBy("run_name", "file", "row", "sample_id").drop("file", "row"))
+    sheets = {"runinfo": info} if len(info) > 1 else {}
+    sheets["all_samples"] = grid(above.orderBy("samp_group", "samp_name", "samp_date", "sample_id", F.col("bc_count").desc(), "bc_seq"))
     if contamination:
-        sheets["full_matrix"] = grid(matrix_wide(above, ("samp_group", *COMPILE_COLUMNS), ("bc_name", "bc_seq", "ldist_all")))
+        sheets["full_matrix"] = grid(matrix_wide(group_counts(above), ("samp_group", *COMPILE_COLUMNS), ("bc_name", "bc_seq", "ldist_all", "n_groups", "n_samps")))
         sheets["contam_report"] = grid(contamination_wide(above))
-    for (group,) in above.select("samp_group").distinct().orderBy("samp_group").collect():
+    for group in groups_of(above):
         part = above.filter(F.col("samp_group") == group)
         sheets[f"{group} samples"] = sidelong_grid(part)
         sheets[f"{group} matrix"] = grid(matrix_wide(part, COMPILE_COLUMNS))

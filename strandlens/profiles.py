@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
 
 
@@ -107,6 +108,20 @@ def stock_profile(stock: str, dual: bool = False) -> tuple[Stock, ReadProfile]:
     return found, profile if dual else replace(profile, dual=None)
 
 
+def read_profile(path: str, dual: bool = False) -> tuple[Stock, ReadProfile]:
+    """A stock and profile of the caller's own, from a JSON file: the fields of ReadProfile (dual those of DualIndex), reference or discover."""
+    with open(path) as f:
+        given = json.load(f)
+    stock = Stock(given["name"], given["name"], given.pop("reference", None), bool(given.pop("discover", False)))
+    if stock.fasta is None and not stock.discover:
+        raise ValueError("a profile needs a reference, or discover")
+    second = given.pop("dual", None)
+    if dual and second is None:
+        raise ValueError(f"profile {stock.name} has no second index")
+    core = given.pop("core", None)
+    return stock, ReadProfile(**given, core=tuple(core) if core else None, dual=DualIndex(**second) if dual else None)
+
+
 def screen_stocks() -> list[Stock]:
     """Stocks with a reference that screening matches against."""
     return [s for s in STOCKS.values() if s.fasta and s.name not in SCREEN_EXCLUDED]

@@ -21,12 +21,26 @@ def session(name: str = "strandlens", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def keep_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go where spark.checkpoint.dir says; only where nothing is set (tests) to a new local folder."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; a new local one only where that is unset and Spark runs on this machine alone (tests)."""
     import tempfile
 
-    if spark.conf.get("spark.checkpoint.dir", None) is None and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandlens-"))
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not found and current.isDefined():
+        found = current.get()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="strandlens-")
+    if not current.isDefined():
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def keep_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go to the shared folder."""
+    shared_folder(spark)
 
 
 def settled(df: DataFrame) -> DataFrame:

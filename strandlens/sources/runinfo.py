@@ -41,16 +41,31 @@ def samples_from_sheet(table: DataFrame, dual: bool = False, keys: tuple[str, ..
     return rows.withColumn("sample_id", joined_id(F.col("samp_group"), F.col("samp_name"), F.col("samp_date"), F.col("run_number")))
 
 
-def read_samples(spark: SparkSession, path: str, dual: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(samples, runs) of a run's metadata, a workbook's first sheet or a CSV with the same columns."""
+def raw_metadata(cells: DataFrame, dual: bool = False) -> DataFrame:
+    """file, row, idx_name and the columns of each metadata sheet as they are, in the order of the first sheet that has them;
+    dates are ISO text, rows without any value go."""
+    top = cells.filter("sheet_no = 0 AND row = 0").select(F.trim("value").alias("name"), "col").groupBy("name").agg(F.min("col").alias("col"))
+    heads = [r["name"] for r in top.orderBy("col", "name").collect() if r["name"]]  # headings of small sheets
+    table = header_table(cells, sorted(heads))
+    barcode = F.col("Barcodes") if "Barcodes" in heads else F.lit(None).cast("string")
+    p7 = F.col("(F Barcode)") if "(F Barcode)" in heads else F.lit(None).cast("string")
+    shown = [date_text(F.col("Date")).alias("Date") if h == "Date" else F.col(f"`{h}`") for h in heads]
+    return table.select("file", "row", F.when(filled(barcode), index_key(barcode, p7, dual)).alias("idx_name"), *shown)
+
+
+def sheet_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The cells of a run's metadata: a workbook's first sheet, or a CSV with the same columns."""
     if path.lower().endswith(".xlsx"):
         files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("modificationTime").alias("modified"), "content")
-        cells = read_cells(files)
-    else:
-        table = spark.read.csv(path, header=True)
-        lines = [table.columns, *(list(r) for r in table.collect())]  # one run's sheet
-        flat = [("sheet", None, 0, "info", r, c, str(v)) for r, line in enumerate(lines) for c, v in enumerate(line) if v is not None]
-        cells = spark.createDataFrame(flat, CELLS)
+        return read_cells(files)
+    table = spark.read.csv(path, header=True)
+    lines = [table.columns, *(list(r) for r in table.collect())]  # one run's sheet
+    return spark.createDataFrame([("sheet", None, 0, "info", r, c, str(v)) for r, line in enumerate(lines) for c, v in enumerate(line) if v is not None], CELLS)
+
+
+def read_samples(spark: SparkSession, path: str, dual: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(samples, runs) of a run's metadata, a workbook's first sheet or a CSV with the same columns."""
+    cells = sheet_cells(spark, path)
     heads = sorted(r[0] for r in cells.filter("sheet_no = 0 AND row = 0").select(F.trim("value")).distinct().collect())
     table = header_table(cells, heads)
     return samples_from_sheet(table, dual), runs_from_sheet(table, cells)

@@ -127,13 +127,32 @@ def newest_by_name(files: DataFrame) -> DataFrame:
     return files.groupBy("filename").agg(F.max(F.struct("modified", "path")).alias("last")).select("last.path", "filename", "last.modified")
 
 
+#: The columns that every metadata sheet has.
+NEEDED = ("Run Number", "Animal", "Sample", "Date", "Barcodes", "Input TOTAL PER BARCODE")
+
+
+class WorkbookError(ValueError):
+    """Workbooks that can't be used: `failures` has (file, reason) of each."""
+
+    def __init__(self, failures: list[tuple[str, str]]):
+        self.failures = failures
+        super().__init__("; ".join(f"{file}: {reason}" for file, reason in failures))
+
+
+#: The sheet number of the one cell that an unreadable workbook gives: the reason.
+UNREADABLE = -1
+
+
 def read_cells(books: DataFrame) -> DataFrame:
-    """Cells of books(filename, modified, content)."""
+    """Cells of books(filename, modified, content); of a file that is no workbook one cell with the reason, in sheet UNREADABLE."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, modified, raw in frame.itertuples(index=False):
-                rows = [(name, modified, n, s, r, c, v) for n, s, r, c, v in cells_of(bytes(raw))]
+                try:
+                    rows = [(name, modified, n, s, r, c, v) for n, s, r, c, v in cells_of(bytes(raw))]
+                except Exception as e:
+                    rows = [(name, modified, UNREADABLE, None, 0, 0, f"not a workbook ({type(e).__name__}: {e})")]
                 yield pd.DataFrame(rows, columns=["file", "modified", "sheet_no", "sheet", "row", "col", "value"])
 
     return books.select("filename", "modified", "content").mapInPandas(run, CELLS)
@@ -154,7 +173,7 @@ def value_below(cells: DataFrame, label: str) -> DataFrame:
     return marked.join(first, "file").filter("row = at + 1").select("file", F.trim("value").alias("value"))
 
 
-#: The accepted places of the blank row and widths of a block, and where each keeps group, name, date and input.
+#: The accepted places of the blank row and widths of a block, and where each keeps group, name, date and input.
 LAYOUTS = {(3, 6): ((0, 0), (0, 1), (0, 2), (2, 0)), (3, 7): ((0, 0), (0, 1), (0, 2), (2, 0)), (7, 7): ((3, 1), (4, 1), (5, 1), (6, 1)), (8, 7): ((4, 1), (5, 1), (6, 1), (7, 1))}
 #: Headings of present and former workbooks, and what they are called here.
 HEADINGS = {
@@ -188,9 +207,8 @@ def block_numbers(cells: DataFrame) -> DataFrame:
     return rows.withColumn("first", F.min("col").over(Window.partitionBy("file", "sheet", "block"))).drop("gap")
 
 
-def sample_blocks(cells: DataFrame) -> DataFrame:
-    """The side-by-side tables of all 'samples' sheets: file, sheet, block, row, group, name, date, input and FIELDS, with
-    above_cutoff (rows before a block's first blank row).  A sheet in no known layout raises."""
+def _block_heads(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cells of the 'samples' sheets, their block headings with the blank row, the width, and whether that layout is known)."""
     key = ["file", "sheet"]
     some = cells.filter((F.col("sheet_no") > 0) & F.lower("sheet").contains("samples") & (F.trim("value") != "")).select("file", "sheet", "row", "col", "value")
     used = some.groupBy(*key).agg(F.sort_array(F.collect_set("row")).alias("rows"))
@@ -203,8 +221,28 @@ def sample_blocks(cells: DataFrame) -> DataFrame:
     known = F.lit(False)
     for r, c in LAYOUTS:
         known = known | ((F.col("brk") == r) & (F.col("width") == c))
+    return some, heads.withColumn("known", known)
+
+
+def unusable(cells: DataFrame) -> DataFrame:
+    """file, reason of workbooks that can't be read, lack a column of metadata, or have a samples sheet in no known layout: a
+    few rows a workbook."""
+    unread = cells.filter(F.col("sheet_no") == UNREADABLE).select("file", F.col("value").alias("reason"))
+    _, heads = _block_heads(cells)
+    strange = heads.filter(~F.col("known")).groupBy("file", "sheet").agg(F.first("width")).select("file", F.concat(F.lit("unknown layout in sheet "), "sheet").alias("reason"))
+    heads = cells.filter("sheet_no = 0 AND row = 0").groupBy("file").agg(F.collect_set(F.trim("value")).alias("have"))
+    lacking = F.array_except(F.array(*map(F.lit, NEEDED)), "have")
+    short = heads.filter(F.size(lacking) > 0).select("file", F.concat(F.lit("no metadata column "), F.array_join(lacking, ", ")).alias("reason"))
+    return unread.unionByName(strange).unionByName(short)
+
+
+def sample_blocks(cells: DataFrame) -> DataFrame:
+    """The side-by-side tables of all 'samples' sheets: file, sheet, block, row, group, name, date, input and FIELDS, with
+    above_cutoff (rows before a block's first blank row).  A sheet in no known layout raises."""
+    key = ["file", "sheet"]
+    some, heads = _block_heads(cells)
     bad = F.raise_error(F.concat(F.lit("unknown layout in sheet "), "sheet", F.lit(" of "), "file"))
-    heads = heads.withColumn("brk", F.when(known, F.col("brk")).otherwise(bad.cast("int")))
+    heads = heads.withColumn("brk", F.when(F.col("known"), F.col("brk")).otherwise(bad.cast("int"))).drop("known")
 
     def meta(i: int) -> Column:
         out = F.lit(None)

@@ -96,21 +96,67 @@ def test_parse_then_compile(spark, tmp_path, samples):
     books = tmp_path / "books"
     books.mkdir()
     workbook.write_workbook(str(books / "R_Analysis.xlsx"), {"runinfo": [heads, *(list(r) for r in raw.collect())], "A1 samples": sinks.sidelong_grid(run.long)})
-    every, above = compiled.compile_runs(spark, workbooks=str(books), settings=compiled.CompileSettings(group_level=True, contamination=True))
+    series = compiled.compile_runs(spark, workbooks=str(books), settings=compiled.CompileSettings(group_level=True, contamination=True))
+    every, above = series.every, series.above
     kept = {(r["idx_name"], r["bc_name"]): r["bc_count"] for r in every.collect()}
     assert kept == {("P5.1", "M.1"): 65, ("P5.2", "M.2"): 33}
     assert all(abs(r["proportion"] - 1) < 1e-9 for r in above.collect())
     sinks.write_long(every, str(tmp_path / "base"))
-    again, _ = compiled.compile_runs(spark, workbooks=str(books), base_csv=str(tmp_path / "base"))
+    info = {r["sample_id"]: r for r in series.runinfo.collect() if r["sample_id"]}
+    assert series.runs == 1 and {(r["run_name"], r["run_number"], r["Sample"], r["source"]) for r in info.values()} == {("R", "7", "s1", "analysis: R_Analysis.xlsx"), ("R", "7", "s2", "analysis: R_Analysis.xlsx")}
+    again = compiled.compile_runs(spark, workbooks=str(books), base_csv=str(tmp_path / "base")).every
     assert again.count() == 2 and {r["source_note_"] for r in again.collect()} == {"analysis: R_Analysis.xlsx"}
-    only, _ = compiled.compile_runs(spark, base_csv=str(tmp_path / "base"))
-    assert only.count() == 2
-    path = sinks.write_parse_workbook(run, samples, str(tmp_path), "R")
-    assert {c[1] for c in workbook.cells_of(open(path, "rb").read())} == {"runinfo", "A1 samples", "A1 matrix", "settings"}
+    only = compiled.compile_runs(spark, base_csv=str(tmp_path / "base"))
+    assert only.every.count() == 2 and {(r["Animal"], r["Sample"], r["Barcodes"], r["source"]) for r in only.runinfo.collect()} == {("A1", "s1", "P5.1", "base_csv: base"), ("A1", "s2", "P5.2", "base_csv: base")}
+    check_parse_workbooks(run, raw.withColumn("idx_name", F.when(F.col("Barcodes") != "Barcodes", F.col("Barcodes"))), tmp_path)
+    (books / "broken_Analysis.xlsx").write_bytes(b"no zip")
+    workbook.write_workbook(str(books / "odd_Analysis.xlsx"), {"runinfo": [heads[:4]], "A1 samples": sinks.sidelong_grid(run.long)})
+    others = [["Run Number", "Animal", "Sample", "Date", "Barcodes", "Input TOTAL PER BARCODE"], ["7", "A9", "s1", "2020-01-02", "P5.1", "100"]]
+    workbook.write_workbook(str(books / "other_Analysis.xlsx"), {"runinfo": others, "A1 samples": sinks.sidelong_grid(run.long)})
+    with pytest.raises(workbook.WorkbookError) as failed:
+        compiled.compile_runs(spark, workbooks=str(books))
+    assert {f for f, _ in failed.value.failures} == {"broken_Analysis.xlsx", "odd_Analysis.xlsx", "other_Analysis.xlsx"}
+    with pytest.raises(ValueError, match="expected index"):
+        parse_run(reads_, samples, p5.withColumn("seq", F.lit("TATATATA")).filter("idx = 'P5.1'"), known, ParseSettings(profile))
     wide = views.matrix_wide(views.counted_rows(run.long))
     assert wide.count() == 2 and len(wide.columns) == 4
 
 
+def sheet_rows(path, sheet):
+    """The rows of a sheet, as lists with the empty text where a cell is."""
+    rows = {}
+    for _, name, r, c, v in workbook.cells_of(open(path, "rb").read()):
+        if name == sheet:
+            rows.setdefault(r, {})[c] = v
+    width = 1 + max(c for row in rows.values() for c in row)
+    return [[rows.get(r, {}).get(c, "") for c in range(width)] for r in range(1 + max(rows))]
+
+
+def check_parse_workbooks(run, raw, folder):
+    path = sinks.write_parse_workbook(run, raw, str(folder), "R", settings={"stock": "239M"})
+    assert {c[1] for c in workbook.cells_of(open(path, "rb").read())} == {"runinfo", "A1 raw", "A1 samples", "A1 matrix", "settings"}
+    samples, whole = sheet_rows(path, "A1 samples"), sheet_rows(path, "A1 raw")
+    assert samples[6][:2] == ["input", "100.0"] and [r[1] for r in samples if r[0] == "samp_name"] == ["s1"]
+    assert sum("Unique.1" in r for r in whole) == 1 and sum("Unique.1" in r for r in samples) == 0
+    assert any("33" in r for r in samples) and not any("33" in r for r in whole)
+    info = sheet_rows(path, "runinfo")
+    assert info[0][:6] == raw.columns[:6] and {"n_reads", "n_bc", "n_bc_named", "n_reads_ac", "count_to_input_ratio", "notes"} <= set(info[0])
+    reads_at, barcode = info[0].index("n_reads"), info[0].index("Barcodes")
+    assert {(r[barcode], r[reads_at]) for r in info[1:] if r[barcode]} == {("P5.1", "65"), ("P5.2", "33")}
+    assert ["stock", "239M"] in sheet_rows(path, "settings") and len(sheet_rows(path, "A1 matrix")) == 3
+    with pytest.warns(UserWarning, match="no barcodes found for A7"):
+        path = sinks.write_parse_workbook(run, raw, str(folder), "S", collapse=False, legacy=True, expected_groups=["A1", "A7"])
+    old = sheet_rows(path, "A1 samples")
+    assert old[0][:6] == ["A1", "s1", "2020-01-02"] * 2 and old[1][0] == "Sequencer Input" and old[2][:4] == ["100.0", "65", "1", "0.0"] and old[4][0] == "Barcode"
+    assert any("NA-NA" in r for r in old) and len(sheet_rows(path, "A1 matrix")) == 4
+    book = [{"filename": "S", "modified": None, "content": bytearray(open(path, "rb").read())}]
+    spark = run.long.sparkSession
+    back = workbook.sample_blocks(workbook.read_cells(spark.createDataFrame(book, "filename string, modified timestamp, content binary")))
+    assert {(r["samp_name"], r["bc_name"], r["bc_count"]) for r in back.collect()} == {("s1", "M.1", "65"), ("s2", "M.2", "30"), ("s2", "Unique.1", "3")}
+    path = sinks.write_parse_workbook(run, raw, str(folder), "T", collapse=False, matrix_above_only=True)
+    assert len(sheet_rows(path, "A1 matrix")) == 3
+
+
 def test_sidelong_grid_keeps_every_sample(spark, monkeypatch):
     rows = [("A", f"s{i}", "2020-01-02", f"B.{k}", "ACGT"[k % 4] * (k + 1), 10 - k, 0.1, True) for i in range(4) for k in range(5)]
     df = conform(spark.createDataFrame(rows, "samp_group string, samp_name string, samp_date string, bc_name string, bc_seq string, bc_count long, proportion double, above_cutoff boolean"))
@@ -127,7 +173,14 @@ def test_sidelong_grid_keeps_every_sample(spark, monkeypatch):
 def test_compiled_workbook_has_every_row(spark, tmp_path):
     rows = [("7", "f", f"P5.{i}", "A", f"s{i}", "2020-01-02", f"B.{k}", "ACGT"[k] * 5, 10 - k, 0.25, True) for i in range(2) for k in range(4)]
     df = conform(spark.createDataFrame(rows, "run_number string, filename string, idx_name string, samp_group string, samp_name string, samp_date string, bc_name string, bc_seq string, bc_count long, proportion double, above_cutoff boolean"))
-    _, path = sinks.write_compiled(df, df, str(tmp_path), "C")
+    df = df.withColumn("ldist_all", F.lit(None).cast("string"))
+    info = spark.createDataFrame([("R", "7", "A", "f", 1, "s")], "run_name string, run_number string, Animal string, file string, row int, sample_id string")
+    _, path = sinks.write_compiled(compiled.Compiled(df, df, info, 1), str(tmp_path), "C", contamination=True)
+    assert sheet_rows(path, "runinfo") == [["run_name", "run_number", "Animal", "sample_id"], ["R", "7", "A", "s"]]
+    full = sheet_rows(path, "full_matrix")
+    assert full[0][:5] == ["bc_name", "bc_seq", "ldist_all", "n_groups", "n_samps"] and len(full) == 5 and full[1][3:5] == ["1", "2"]
+    with pytest.raises(ValueError, match="one sample and barcode"):
+        sinks.write_compiled(compiled.Compiled(df, df.union(df), info, 1), str(tmp_path), "C")
     lines = {}
     for _, sheet, r, _, v in workbook.cells_of(open(path, "rb").read()):
         if sheet == "all_samples":
