@@ -18,7 +18,7 @@ from .operators import counting, distance, flags, parents, ranks, screening
 from .operators.collapse import collapse_ambiguous, collapse_to_parent
 from .plans import compile as compiled
 from .plans import views
-from .profiles import PROFILES
+from .profiles import PROFILES, ReadProfile
 from .schema import conform
 from .sources import refs as references
 from .sources import runinfo, workbook
@@ -187,14 +187,14 @@ def sheet_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- parents and collapse
 
 
-def _parents_sql(keys: str, rows: str = "obs") -> str:
+def _parents_sql(keys: str, rows: str = "obs", size: int = 8) -> str:
     """The best parent of each (keys, name), for edit distance 1."""
     on = " AND ".join(f"q.{k} = r.{k}" for k in keys.split(", ")) if keys else "true"
     keyed = ", ".join(f"q.{k}" for k in keys.split(", ")) + ", " if keys else ""
     return f"""hits AS (SELECT {keyed}q.bc_name, q.bc_seq, r.bc_name AS ref_name, r.bc_seq AS ref_seq, r.bc_count AS ref_count, q.bc_count
     FROM {rows} q JOIN {rows} r ON {on} AND r.bc_name NOT LIKE 'Unique%' AND levenshtein(q.bc_seq, r.bc_seq) <= 1 AND q.bc_name <> r.bc_name
     WHERE q.bc_name LIKE 'Unique%' OR r.bc_count > q.bc_count),
-  parent AS (SELECT *, ref_name || '_' || (SELECT string_agg(i || substr(bc_seq, i, 1), '-' ORDER BY i) FROM range(1, 9) t(i) WHERE substr(bc_seq, i, 1) <> substr(ref_seq, i, 1)) AS putative_parent FROM hits
+  parent AS (SELECT *, ref_name || '_' || (SELECT string_agg(i || substr(bc_seq, i, 1), '-' ORDER BY i) FROM range(1, {size + 1}) t(i) WHERE substr(bc_seq, i, 1) <> substr(ref_seq, i, 1)) AS putative_parent FROM hits
     QUALIFY row_number() OVER (PARTITION BY {keys + ', ' if keys else ''}bc_name, bc_seq ORDER BY ref_count DESC, ref_seq, ref_name) = 1)"""
 
 
@@ -264,14 +264,17 @@ def collapse_ambig(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- distance joins
 
-_SEQS = f"q AS (SELECT p_partkey AS query_id, {dna_sql('p_partkey', 8)} AS query_seq FROM part WHERE p_size % 2 = 0), r AS (SELECT p_partkey AS ref_id, {dna_sql('p_partkey', 8)} AS ref_seq FROM part WHERE p_size % 2 = 1), near AS (SELECT *, levenshtein(query_seq, ref_seq)::INT AS dist FROM q, r WHERE levenshtein(query_seq, ref_seq) <= {{d}})"
+# every part against every other one
+_SEQS = f"q AS (SELECT p_partkey AS query_id, {dna_sql('p_partkey', 8)} AS query_seq FROM part), r AS (SELECT query_id AS ref_id, query_seq AS ref_seq FROM q), near AS (SELECT *, levenshtein(query_seq, ref_seq)::INT AS dist FROM q, r WHERE query_id <> ref_id AND abs(length(query_seq) - length(ref_seq)) <= {{d}} AND levenshtein(query_seq, ref_seq) <= {{d}})"
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    part = table(spark, sf_dir, "part")
-    q = part.filter("p_size % 2 = 0").select(F.col("p_partkey").alias("query_id"), dna(F.col("p_partkey"), 8).alias("query_seq"))
-    r = part.filter("p_size % 2 = 1").select(F.col("p_partkey").alias("ref_id"), dna(F.col("p_partkey"), 8).alias("ref_seq"))
-    return q, r
+    q = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("query_id"), dna(F.col("p_partkey"), 8).alias("query_seq"))
+    return q, q.toDF("ref_id", "ref_seq")
+
+
+def _near(spark: SparkSession, sf_dir: str, radius: int, **options) -> DataFrame:
+    return distance.distance_join(*_sides(spark, sf_dir), radius, exclude_same_id=True, **options)
 
 
 def _edges(df: DataFrame) -> DataFrame:
@@ -280,33 +283,73 @@ def _edges(df: DataFrame) -> DataFrame:
 
 @query(f"WITH {_SEQS.format(d=1)} SELECT query_id, ref_id, dist FROM near")
 def dist_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _edges(distance.distance_join(*_sides(spark, sf_dir), 1))
+    return _edges(_near(spark, sf_dir, 1))
 
 
 @query(f"WITH {_SEQS.format(d=2)} SELECT query_id, ref_id, dist FROM near QUALIFY rank() OVER (PARTITION BY query_id ORDER BY dist) = 1")
 def dist_min_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _edges(distance.distance_join(*_sides(spark, sf_dir), 2, scope="min"))
+    return _edges(_near(spark, sf_dir, 2, scope="min"))
 
 
 @query(f"WITH {_SEQS.format(d=2)} SELECT query_id, ref_id, dist FROM near QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY dist, ref_id) = 1")
 def dist_min_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _edges(distance.distance_join(*_sides(spark, sf_dir), 2, scope="min", tie="min_id"))
+    return _edges(_near(spark, sf_dir, 2, scope="min", tie="min_id"))
 
 
 @query(f"WITH {_SEQS.format(d=2)} SELECT query_id, ref_id, dist FROM near WHERE dist = 2")
 def dist_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _edges(distance.distance_join(*_sides(spark, sf_dir), 2, scope="exact"))
+    return _edges(_near(spark, sf_dir, 2, scope="exact"))
 
 
 @query(f"WITH {_SEQS.format(d=1)} SELECT query_id, string_agg(ref_id || ':' || dist, ',' ORDER BY dist, ref_id) AS neighbours FROM near GROUP BY 1")
 def dist_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = distance.as_pairs(distance.distance_join(*_sides(spark, sf_dir), 1))
+    rows = distance.as_pairs(_near(spark, sf_dir, 1))
     return rows.select("query_id", F.array_join(F.transform("neighbours", lambda n: F.concat_ws(":", n["ref_id"].cast("string"), n["dist"].cast("string"))), ",").alias("neighbours"))
 
 
-@query(f"WITH {_SEQS.format(d=2)} SELECT query_id, ref_id, hamming(query_seq, ref_seq)::INT AS dist FROM q, r WHERE hamming(query_seq, ref_seq) <= 1")
+@query(f"WITH {_SEQS.format(d=2)} SELECT query_id, ref_id, hamming(query_seq, ref_seq)::INT AS dist FROM q, r WHERE query_id <> ref_id AND hamming(query_seq, ref_seq) <= 1")
 def dist_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _edges(distance.distance_join(*_sides(spark, sf_dir), 1, metric="hamming"))
+    return _edges(_near(spark, sf_dir, 1, metric="hamming"))
+
+
+@query(f"WITH {_SEQS.format(d=1)}, m AS (SELECT query_id, string_agg(ref_id || '=' || dist, ',' ORDER BY ref_id) AS as_map, string_agg(CAST(ref_id AS VARCHAR), ',' ORDER BY dist, ref_id) AS ids, string_agg(CAST(dist AS VARCHAR), ',' ORDER BY dist, ref_id) AS dists FROM near GROUP BY 1) SELECT * FROM m")
+def dist_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map and parallel forms of one result."""
+    edges = _near(spark, sf_dir, 1)
+    text = F.transform(F.array_sort(F.map_entries("neighbours")), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"].cast("string")))
+    maps = distance.as_map(edges).select("query_id", F.array_join(text, ",").alias("as_map"))
+    lists = distance.as_parallel(edges).select("query_id", *(F.array_join(F.col(c).cast("array<string>"), ",").alias(n) for c, n in (("ref_ids", "ids"), ("dists", "dists"))))
+    return maps.join(lists, "query_id")
+
+
+_LONGER = f"a AS (SELECT s_suppkey AS id, {dna_sql('s_suppkey * 7919', 12)} AS seq FROM supplier), near AS (SELECT x.id AS query_id, y.id AS ref_id, levenshtein(x.seq, y.seq)::INT AS dist FROM a x, a y WHERE x.id <> y.id AND levenshtein(x.seq, y.seq) <= 4)"
+
+
+@query(f"WITH {_LONGER} SELECT * FROM near")
+def dist_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A radius beyond the deletion forms, through an index of references."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), dna(F.col("s_suppkey") * 7919, 12).alias("seq"))
+    return _edges(distance.RefIndex(s, "id", "seq").query(s, "id", "seq", 4, exclude_same_id=True))
+
+
+# the longest common subsequence by the usual recurrence, row by row
+_LCS = f"""WITH RECURSIVE a AS (SELECT s_suppkey AS id, {dna_sql('s_suppkey * 7919 % 4096', 6)} AS seq FROM supplier),
+p AS (SELECT x.id AS q, y.id AS r, x.seq AS s, y.seq AS t FROM a x, a y WHERE x.id <> y.id),
+walk AS (SELECT q, r, s, t, 0 AS i, [0, 0, 0, 0, 0, 0, 0] AS line FROM p
+  UNION ALL SELECT q, r, s, t, i + 1, list_reduce(list_prepend([0], list_transform(range(1, 7), lambda j: [CASE WHEN substr(s, i + 1, 1) = substr(t, j, 1) THEN line[j] + 1 ELSE line[j + 1] END])), lambda x, y: list_append(x, greatest(x[-1], y[1]))) FROM walk WHERE i < 6)
+SELECT q AS query_id, r AS ref_id, (12 - 2 * line[7])::INT AS dist FROM walk WHERE i = 6 AND 12 - 2 * line[7] <= 2"""
+
+
+@query(_LCS)
+def dist_indel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), dna(F.col("s_suppkey") * 7919 % 4096, 6).alias("seq"))
+    return _edges(distance.RefIndex(s, "id", "seq", "indel").query(s, "id", "seq", 2, exclude_same_id=True))
+
+
+@query("SELECT 0::BIGINT AS identity, 0::BIGINT AS symmetry, 0::BIGINT AS triangle")
+def metric_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = distance.probe_metric(table(spark, sf_dir, "part").select(dna(F.col("p_partkey"), 8).alias("s")), "s", "levenshtein")
+    return spark.createDataFrame([tuple(found[k] for k in ("identity", "symmetry", "triangle"))], "identity long, symmetry long, triangle long")
 
 
 @query(f"WITH e AS (SELECT s_name AS idx_name, {dna_sql('s_suppkey * 97 % 65536', 8)} AS idx_seq FROM supplier), o AS (SELECT DISTINCT {dna_sql('p_partkey * 31 % 65536', 8)} AS idx_seq FROM part), m AS (SELECT o.idx_seq, e.idx_name, levenshtein(o.idx_seq, e.idx_seq)::INT AS dist FROM o, e WHERE levenshtein(o.idx_seq, e.idx_seq) <= 1), b AS (SELECT * FROM m QUALIFY rank() OVER (PARTITION BY idx_seq ORDER BY dist) = 1), one AS (SELECT idx_seq, min(idx_name) AS idx_name, min(dist) AS dist FROM b GROUP BY 1 HAVING count(*) = 1) SELECT o.idx_seq, idx_name, dist FROM o LEFT JOIN one USING (idx_seq)")
@@ -318,7 +361,7 @@ def idx_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_SEQS.format(d=1)} SELECT query_seq, ref_seq, CASE WHEN length(query_seq) <> length(ref_seq) OR levenshtein(query_seq, ref_seq) < hamming(query_seq, ref_seq) THEN 'indel' ELSE (SELECT string_agg(i || substr(query_seq, i, 1), '-' ORDER BY i) FROM range(1, 9) t(i) WHERE substr(query_seq, i, 1) <> substr(ref_seq, i, 1)) END AS suffix FROM near")
 def substitution_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = distance.distance_join(*_sides(spark, sf_dir), 1)
+    near = _near(spark, sf_dir, 1)
     return near.select("query_seq", "ref_seq", reads.substitution_suffix(F.col("ref_seq"), F.col("query_seq")).alias("suffix"))
 
 
@@ -429,13 +472,27 @@ def matrix_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
 _COUNTED = f"{OBS}, per AS (SELECT bc_name, count(DISTINCT samp_group) AS n_groups, count(DISTINCT samp_name) AS n_samps FROM obs WHERE above_cutoff GROUP BY 1), kept AS (SELECT * FROM obs JOIN per USING (bc_name) WHERE above_cutoff)"
 
 
-@query(f"WITH {_COUNTED}, k2 AS (SELECT *, samp_group || '|' || samp_date AS col_key FROM kept), s AS (SELECT bc_name, bc_seq, ldist_all, n_groups, n_samps, col_key, max(proportion) AS p FROM k2 GROUP BY ALL), g AS (SELECT * FROM (SELECT DISTINCT bc_name, bc_seq, ldist_all, n_groups, n_samps FROM s), (SELECT DISTINCT col_key FROM s)) SELECT g.bc_name, g.bc_seq, g.ldist_all, g.n_groups, g.n_samps, g.col_key, round(coalesce(s.p, 0), {PLACES}) AS proportion FROM g LEFT JOIN s ON g.bc_name = s.bc_name AND g.bc_seq = s.bc_seq AND g.col_key = s.col_key AND g.ldist_all IS NOT DISTINCT FROM s.ldist_all")
+@query(f"WITH {_COUNTED} SELECT bc_name, bc_seq, ldist_all, n_groups, n_samps, concat_ws('|', samp_group, samp_name, samp_date, run_number, filename, coalesce(CAST(input AS VARCHAR), '')) AS col_key, round(proportion, {PLACES}) AS proportion FROM kept")
 def full_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = counting.group_counts(obs(spark, sf_dir).filter("above_cutoff"))
-    keys = ["bc_name", "bc_seq", "ldist_all", "n_groups", "n_samps"]
-    # samples of a group and date are put together, so that the grid stays as small as the groups
-    one = rows.groupBy(*keys, "samp_group", "samp_date").agg(F.max("proportion").alias("proportion"))
-    return views.matrix_long(one, ("samp_group", "samp_date"), tuple(keys), group=None).select(*keys, "col_key", rounded("proportion"))
+    return views.full_matrix(obs(spark, sf_dir).filter("above_cutoff")).select("bc_name", "bc_seq", "ldist_all", "n_groups", "n_samps", "col_key", rounded("proportion"))
+
+
+@query(f"WITH {_COUNTED}, cells AS (SELECT *, samp_date AS col_key FROM kept) SELECT bc_name, bc_seq, col_key, count(*) AS n FROM cells GROUP BY ALL HAVING count(*) > 1")
+def repeated_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = obs(spark, sf_dir).filter("above_cutoff").withColumn("col_key", F.col("samp_date"))
+    return counting.repeated_keys(rows, ["bc_name", "bc_seq", "col_key"])
+
+
+@query(f"WITH {OBS} SELECT DISTINCT samp_group FROM obs")
+def sample_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counting.distinct_groups(obs_counts(spark, sf_dir))
+
+
+@query("SELECT o_custkey, arg_min(o_orderstatus, o_orderkey) FILTER (WHERE o_orderkey % 3 <> 0) AS o_orderstatus, arg_min(o_orderpriority, o_orderkey) FILTER (WHERE o_orderkey % 5 = 0) AS o_orderpriority FROM orders GROUP BY 1")
+def first_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    rows = o.select("o_custkey", "o_orderkey", F.when(key % 3 != 0, F.col("o_orderstatus")).alias("o_orderstatus"), F.when(key % 5 == 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    return counting.first_filled(rows, ["o_custkey"], ["o_orderstatus", "o_orderpriority"], "o_orderkey")
 
 
 @query(f"WITH {_COUNTED}, a AS (SELECT bc_name, bc_seq, n_groups, ldist_all, short_bc, samp_group, count(DISTINCT samp_name) AS n_samp_per_group, sum(proportion * coalesce(input, 1)) AS adj FROM kept GROUP BY ALL), t AS (SELECT *, sum(adj) OVER (PARTITION BY samp_group) AS total FROM a) SELECT bc_name, bc_seq, n_groups, ldist_all, short_bc, samp_group, n_samp_per_group, round(adj, 6) AS group_adj_count, round(adj / total, {PLACES}) AS group_prop FROM t WHERE n_groups > 1")
@@ -447,7 +504,10 @@ def contam_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- reads
 
 M, X = PROFILES["M"], PROFILES["X"]
-_RC_BC, _RC_P7 = reads.revcomp_text(M.ref_bc), reads.revcomp_text(M.dual.ref_p7)
+SL8, EPI, PRE, POST = (PROFILES[n] for n in ("SL8_bc", "SL8_epi", "pre_VIF", "post_VIF"))
+_RC = reads.revcomp_text
+LEAST = 15
+MASK = 20
 
 
 def _changed(anchor: str, *at: int) -> str:
@@ -455,51 +515,93 @@ def _changed(anchor: str, *at: int) -> str:
 
 
 _P5 = {1: _changed(M.ref_p5, 4), 2: _changed(M.ref_p5, 4, 9)}
-READS = f"""raw AS (SELECT l_orderkey AS rid, l_linenumber AS line, l_partkey, {dna_sql('l_suppkey * 97 % 65536', 8)} AS idx, {dna_sql('l_partkey * 1048583', 34)} AS bc34,
+_GAP = "TTGACA"
+
+
+def rc_sql(text: str) -> str:
+    return f"reverse(translate({text}, 'ACGT', 'TGCA'))"
+
+
+# One of ten forms of a read, by its key: all profiles, with and without a second index, and reads that fit two profiles.
+# Barcodes of line 2 differ from their part's in one base.
+READS = f"""raw AS (SELECT l_orderkey AS rid, l_linenumber AS line, {dna_sql('l_suppkey * 97 % 65536', 8)} AS idx, {dna_sql('l_partkey * 1048583', 34)} AS whole,
     CASE l_linenumber WHEN 7 THEN '{_P5[1]}' WHEN 6 THEN '{_P5[2]}' ELSE '{M.ref_p5}' END AS p5 FROM lineitem),
-seqs AS (SELECT *, CASE WHEN rid % 10 = 0 THEN 'ACGT' || idx || '{X.ref_p5}' || substr(bc34 || bc34, 1, 45) || 'TTGACA'
-    WHEN rid % 10 = 1 THEN 'ACGT' || idx || p5 || 'TTGACA' || '{_RC_BC}' || substr(reverse(translate(bc34, 'ACGT', 'TGCA')), 1, CASE WHEN line = 5 THEN 30 ELSE 34 END) || '{_RC_P7}' || reverse(translate(idx, 'ACGT', 'TGCA'))
-    WHEN line = 4 THEN idx || p5 || 'TTGACA' || '{_RC_BC}'
-    ELSE 'ACGT' || idx || p5 || 'TTGACA' || '{_RC_BC}' || reverse(translate(bc34, 'ACGT', 'TGCA')) || 'GGCC' END AS seq FROM raw),
-reads AS (SELECT rid, line, seq, repeat(chr(CAST(33 + (line * 7 + rid) % 41 AS INT)), length(seq)) AS qual FROM seqs)"""
+edited AS (SELECT *, CASE WHEN line = 2 THEN substr(whole, 1, 9) || translate(substr(whole, 10, 1), 'ACGT', 'CGTA') || substr(whole, 11) ELSE whole END AS bc34 FROM raw),
+seqs AS (SELECT rid, line, CASE rid % 10
+    WHEN 0 THEN 'ACGT' || idx || '{X.ref_p5}' || substr(bc34 || bc34, 1, 45) || '{_GAP}'
+    WHEN 1 THEN 'ACGT' || idx || p5 || '{_GAP}{_RC(M.ref_bc)}' || substr({rc_sql('bc34')}, 1, CASE WHEN line = 5 THEN 30 ELSE 34 END) || '{_RC(M.dual.ref_p7)}' || {rc_sql('idx')}
+    WHEN 2 THEN 'ACGT' || idx || '{EPI.ref_p5}{_GAP}' || {rc_sql('substr(bc34, 1, 24)')} || '{_RC(EPI.ref_bc)}GGCC'
+    WHEN 3 THEN 'ACGT' || idx || p5 || 'TT' || idx || '{SL8.ref_p5}{_GAP}{_RC(M.ref_bc)}' || {rc_sql('bc34')} || 'GGCC'
+    WHEN 4 THEN 'ACGT' || idx || '{PRE.ref_p5}{_GAP}{_RC(PRE.ref_bc)}' || {rc_sql('bc34')} || '{_RC(PRE.dual.ref_p7)}' || {rc_sql('idx')}
+    WHEN 5 THEN 'ACGT' || idx || '{X.ref_p5}' || substr(bc34 || bc34, 1, 45) || '{X.dual.ref_p7}' || idx || 'GG'
+    WHEN 6 THEN 'ACGT' || idx || '{SL8.ref_p5}{_GAP}{_RC(SL8.ref_bc)}' || {rc_sql('bc34')} || 'GGCC'
+    WHEN 7 THEN 'ACGT' || idx || '{POST.ref_p5}{_GAP}{_RC(POST.ref_bc)}' || {rc_sql('bc34')} || 'GG'
+    ELSE CASE WHEN line = 4 THEN idx || p5 || '{_GAP}{_RC(M.ref_bc)}' ELSE 'ACGT' || idx || p5 || '{_GAP}{_RC(M.ref_bc)}' || {rc_sql('bc34')} || 'GGCC' END END AS seq FROM edited),
+reads AS (SELECT rid, line, seq, list_aggregate(list_transform(range(0, length(seq)), lambda i: chr((33 + (line * 7 + rid) % 36 + i * 5 % 6)::INT)), 'string_agg', '') AS qual FROM seqs)"""
 
 
 def read_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = table(spark, sf_dir, "lineitem")  # noqa: E741
     rid, line = F.col("l_orderkey"), F.col("l_linenumber")
-    idx, bc = dna(F.col("l_suppkey") * 97 % 65536, 8), dna(F.col("l_partkey") * 1048583, 34)
+    idx, whole = dna(F.col("l_suppkey") * 97 % 65536, 8), dna(F.col("l_partkey") * 1048583, 34)
+    bc = F.when(line == 2, F.concat(F.substring(whole, 1, 9), F.translate(F.substring(whole, 10, 1), "ACGT", "CGTA"), F.substring(whole, 11, 24))).otherwise(whole)
     p5 = F.when(line == 7, _P5[1]).when(line == 6, _P5[2]).otherwise(M.ref_p5)
-    back = reads.reverse_complement(bc)
-    seq = (
-        F.when(rid % 10 == 0, F.concat(F.lit("ACGT"), idx, F.lit(X.ref_p5), F.substring(F.concat(bc, bc), 1, 45), F.lit("TTGACA")))
-        .when(rid % 10 == 1, F.concat(F.lit("ACGT"), idx, p5, F.lit("TTGACA" + _RC_BC), F.substring(back, F.lit(1), F.when(line == 5, 30).otherwise(34)), F.lit(_RC_P7), reads.reverse_complement(idx)))
-        .when(line == 4, F.concat(idx, p5, F.lit("TTGACA" + _RC_BC)))
-        .otherwise(F.concat(F.lit("ACGT"), idx, p5, F.lit("TTGACA" + _RC_BC), back, F.lit("GGCC")))
-    )
+    back, long = reads.reverse_complement(bc), F.substring(F.concat(bc, bc), 1, 45)
+
+    def text(*parts: str | Column) -> Column:
+        return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+
+    forms = {
+        0: text("ACGT", idx, X.ref_p5, long, _GAP),
+        1: text("ACGT", idx, p5, _GAP + _RC(M.ref_bc), F.substring(back, F.lit(1), F.when(line == 5, 30).otherwise(34)), _RC(M.dual.ref_p7), reads.reverse_complement(idx)),
+        2: text("ACGT", idx, EPI.ref_p5 + _GAP, reads.reverse_complement(F.substring(bc, 1, 24)), _RC(EPI.ref_bc) + "GGCC"),
+        3: text("ACGT", idx, p5, "TT", idx, SL8.ref_p5 + _GAP + _RC(M.ref_bc), back, "GGCC"),
+        4: text("ACGT", idx, PRE.ref_p5 + _GAP + _RC(PRE.ref_bc), back, _RC(PRE.dual.ref_p7), reads.reverse_complement(idx)),
+        5: text("ACGT", idx, X.ref_p5, long, X.dual.ref_p7, idx, "GG"),
+        6: text("ACGT", idx, SL8.ref_p5 + _GAP + _RC(SL8.ref_bc), back, "GGCC"),
+        7: text("ACGT", idx, POST.ref_p5 + _GAP + _RC(POST.ref_bc), back, "GG"),
+    }
+    seq = F.when(line == 4, text(idx, p5, _GAP + _RC(M.ref_bc))).otherwise(text("ACGT", idx, p5, _GAP + _RC(M.ref_bc), back, "GGCC"))
+    for k, form in forms.items():
+        seq = F.when(rid % 10 == k, form).otherwise(seq)
     rows = l.select(rid.alias("rid"), line.alias("line"), seq.alias("seq"))
-    return rows.withColumn("qual", F.repeat(F.char((33 + (F.col("line") * 7 + F.col("rid")) % 41).cast("int")), F.length("seq")))
+    first = 33 + (F.col("line") * 7 + F.col("rid")) % 36
+    codes = F.transform(F.sequence(F.lit(0), F.length("seq") - 1), lambda i: F.char((first + i * 5 % 6).cast("int")))
+    return rows.withColumn("qual", F.array_join(codes, ""))
 
 
 def find_sql(seq: str, anchor: str, mismatches: int = 1) -> str:
-    return f"coalesce(list_filter(range(1, length({seq}) - {len(anchor) - 2}), lambda i: hamming(substr({seq}, i, {len(anchor)}), '{anchor}') <= {mismatches})[1], 0)::INT"
+    """Where an anchor begins; only texts with one of its pieces as it is are looked through, which any hit has."""
+    size = -(-len(anchor) // (mismatches + 1))
+    has = " OR ".join(f"contains({seq}, '{anchor[i : i + size]}')" for i in range(0, len(anchor), size))
+    return f"CASE WHEN {has} THEN coalesce(list_filter(range(1, length({seq}) - {len(anchor) - 2}), lambda i: hamming(substr({seq}, i, {len(anchor)}), '{anchor}') <= {mismatches})[1], 0)::INT ELSE 0 END"
+
+
+def total_sql(qual: str) -> str:
+    return f"list_sum(list_transform(string_split({qual}, ''), lambda c: ascii(c) - 33))"
 
 
 def mean_sql(qual: str) -> str:
-    # every base of a read has the same quality here, so the first one is the mean
-    return f"CASE WHEN {qual} = '' THEN 0.0 ELSE (ascii(substr({qual}, 1, 1)) - 33)::DOUBLE END"
+    return f"CASE WHEN {qual} = '' THEN 0.0 ELSE ({total_sql(qual)} / length({qual}))::DOUBLE END"
+
+
+def beside_sql(text: str, at: str, anchor: str, direction: str, size: int) -> str:
+    if direction == "upstream":
+        return f"CASE WHEN {at} > {size} THEN substr({text}, {at} - {size}, {size}) END"
+    return f"CASE WHEN {at} > 0 THEN substr({text}, {at} + {len(anchor)}, {size}) END"
 
 
-@query(f"WITH {READS} SELECT rid, line, list_avg(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) AS mean_quality FROM reads")
+@query(f"WITH {READS} SELECT rid, line, round(list_avg(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)), {PLACES}) AS mean_quality FROM reads")
 def fq_phred_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_rows(spark, sf_dir).select("rid", "line", reads.mean_quality(F.col("qual")).alias("mean_quality"))
+    return read_rows(spark, sf_dir).select("rid", "line", F.round(reads.mean_quality(F.col("qual")), PLACES).alias("mean_quality"))
 
 
-@query(f"WITH {READS} SELECT rid, line, CASE WHEN ascii(substr(qual, 1, 1)) - 33 < 20 THEN repeat('N', length(seq)) ELSE seq END AS masked FROM reads")
+@query(f"WITH {READS} SELECT rid, line, list_aggregate(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN ascii(substr(qual, i, 1)) - 33 < {MASK} THEN 'N' ELSE substr(seq, i, 1) END), 'string_agg', '') AS masked FROM reads")
 def fq_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_rows(spark, sf_dir).select("rid", "line", reads.masked(F.col("seq"), F.col("qual"), 20).alias("masked"))
+    return read_rows(spark, sf_dir).select("rid", "line", reads.masked(F.col("seq"), F.col("qual"), MASK).alias("masked"))
 
 
-@query(f"WITH {READS} SELECT rid, line, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM reads")
+@query(f"WITH {READS} SELECT rid, line, {rc_sql('seq')} AS rc FROM reads")
 def fq_revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rows(spark, sf_dir).select("rid", "line", reads.reverse_complement(F.col("seq")).alias("rc"))
 
@@ -516,31 +618,79 @@ def fq_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("rid", "line", *sides)
 
 
-_SINGLE = f"""rc AS (SELECT *, reverse(translate(seq, 'ACGT', 'TGCA')) AS s FROM reads),
-spots AS (SELECT *, {find_sql('seq', M.ref_p5)} AS p5_at, {find_sql('s', M.ref_bc)} AS bc_at, {find_sql('s', M.dual.ref_p7)} AS p7_at FROM rc),
-single AS (SELECT *, CASE WHEN p5_at > 8 THEN substr(seq, p5_at - 8, 8) END AS p5_seq, CASE WHEN bc_at > 34 THEN substr(s, bc_at - 34, 34) END AS bc_seq, {mean_sql('qual')} AS q FROM spots)"""
-
-
-@query(f"WITH {READS}, {_SINGLE} SELECT rid, line, p5_seq, bc_seq, CASE WHEN bc_seq IS NOT NULL THEN q END AS bc_q FROM single")
+def parsed_sql(p: ReadProfile, k: str = "") -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """(places, segments, results) of a read structure as SQL expressions by name, over (seq, qual, s, rq); each uses those before."""
+    s, q = ("s", "rq") if p.strand == "rev" else ("seq", "qual")
+    places = {f"p5_at{k}": find_sql("seq", p.ref_p5), f"bc_at{k}": find_sql(s, p.ref_bc)}
+    parts = {f"{n}{k}": beside_sql(t, f"p5_at{k}", p.ref_p5, p.dir_p5, p.len_p5) for n, t in (("p5_seq", "seq"), ("p5_qual", "qual"))}
+    bc = {n: beside_sql(t, f"bc_at{k}", p.ref_bc, p.dir_bc, p.len_bc) for n, t in (("bc_seq", s), ("bc_qual", q))}
+    if p.dual is None:
+        parts |= {f"p7_seq{k}": "NULL::VARCHAR", f"p7_qual{k}": "NULL::VARCHAR", f"bc{k}": bc["bc_seq"], f"bcq{k}": bc["bc_qual"]}
+        results = {f"bc_seq{k}": f"bc{k}", f"bc_q{k}": mean_sql(f"bcq{k}")}
+    else:
+        d = p.dual
+        places[f"p7_at{k}"] = find_sql(s, d.ref_p7)
+        p7 = [beside_sql(t, f"p7_at{k}", d.ref_p7, d.dir_p7, d.len_p7) for t in (s, q)]
+        parts |= {f"p7_seq{k}": rc_sql(f"({p7[0]})") if d.beside_bc else p7[0], f"p7_qual{k}": p7[1]}
+        seen = f"{p7[0].replace('CASE WHEN ', '').split(' THEN ')[0]}"
+        if d.beside_bc:
+            parts |= {f"bc{k}": f"CASE WHEN {seen} THEN {bc['bc_seq']} END", f"bcq{k}": f"CASE WHEN {seen} THEN {bc['bc_qual']} END"}
+            results = {f"bc_seq{k}": f"bc{k}", f"bc_q{k}": mean_sql(f"bcq{k}")}
+        else:
+            after = f"(p7_at{k} + {len(d.ref_p7)})"
+            inside = f"{seen} AND bc_at{k} > 0 AND {after} <= bc_at{k}"
+            parts |= {f"bc{k}": f"CASE WHEN {inside} THEN substr(s, {after}, bc_at{k} - {after}) END", f"bcq{k}": f"CASE WHEN {inside} THEN substr(rq, {after}, bc_at{k} - {after}) END"}
+            results = {f"bc_seq{k}": f"bc{k}", f"bc_q{k}": mean_sql(f"bcq{k}")}
+            if d.fill:
+                short = f"greatest({p.len_bc} - length(bc{k}), 0)"
+                total = f"CASE WHEN bc{k} = '' THEN 0 ELSE {total_sql(f'bcq{k}')} END"
+                results = {f"bc_seq{k}": f"right('{d.fill}', {short}::BIGINT) || bc{k}", f"bc_q{k}": f"(({total}) + {reads.FILL_QUALITY} * {short})::DOUBLE / ({short} + length(bc{k}))"}
+    return places, parts, results | {f"p5_q{k}": mean_sql(f"p5_qual{k}")}
+
+
+def _chain(steps: list[dict[str, str]], start: str = "turned") -> str:
+    """Each step's expressions as one more table, the last called parsed."""
+    out, before = [], start
+    for i, step in enumerate(steps):
+        name = "parsed" if i == len(steps) - 1 else f"step{i}"
+        out.append(f"{name} AS (SELECT *, {', '.join(f'{e} AS {n}' for n, e in step.items())} FROM {before})")
+        before = name
+    return ", ".join(out)
+
+
+_TURNED = f"turned AS (SELECT *, {rc_sql('seq')} AS s, reverse(qual) AS rq FROM reads)"
+_SINGLE = f"{_TURNED}, {_chain(list(parsed_sql(replace(M, dual=None))))}"
+_DUAL = f"{_TURNED}, {_chain(list(parsed_sql(M)))}"
+
+
+@query(f"WITH {READS}, {_SINGLE} SELECT rid, line, p5_seq, bc_seq, round(bc_q, {PLACES}) AS bc_q FROM parsed")
 def fq_profile_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return screening.parse_reads(read_rows(spark, sf_dir), replace(M, dual=None)).select("rid", "line", "p5_seq", "bc_seq", "bc_q")
-
+    return screening.parse_reads(read_rows(spark, sf_dir), replace(M, dual=None)).select("rid", "line", "p5_seq", "bc_seq", rounded("bc_q"))
 
-_FILL = M.dual.fill
-_SPAN = f"substr(s, p7_at + {len(M.dual.ref_p7)}, bc_at - p7_at - {len(M.dual.ref_p7)})"
-_DUAL = f"""{_SINGLE}, span AS (SELECT *, CASE WHEN p7_at > 8 THEN substr(s, p7_at - 8, 8) END AS p7_seq, CASE WHEN p7_at > 8 AND bc_at > 0 AND p7_at + {len(M.dual.ref_p7)} <= bc_at THEN {_SPAN} END AS part FROM single),
-dual AS (SELECT * EXCLUDE (bc_seq), CASE WHEN length(part) < 34 THEN right('{_FILL}', (34 - length(part))::BIGINT) || part ELSE part END AS bc_seq FROM span)"""
 
-
-@query(f"WITH {READS}, {_DUAL} SELECT rid, line, p5_seq, p7_seq, bc_seq, round(CASE WHEN part IS NOT NULL THEN (30 * greatest(34 - length(part), 0) + q * length(part)) / (greatest(34 - length(part), 0) + length(part)) END, {PLACES}) AS bc_q FROM dual")
+@query(f"WITH {READS}, {_DUAL} SELECT rid, line, p5_seq, p7_seq, bc_seq, round(bc_q, {PLACES}) AS bc_q FROM parsed")
 def fq_profile_dual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screening.parse_reads(read_rows(spark, sf_dir), M).select("rid", "line", "p5_seq", "p7_seq", "bc_seq", rounded("bc_q"))
 
 
-@query(f"WITH {READS}, {_SINGLE} SELECT p5_seq AS idx_seq, bc_seq, count(*) AS bc_count FROM single WHERE p5_seq IS NOT NULL AND bc_seq IS NOT NULL AND q >= 15 GROUP BY 1, 2")
+@query(f"WITH {READS}, {_TURNED}, {_chain(list(parsed_sql(X)))} SELECT rid, line, p5_seq, p7_seq, bc_seq, round(bc_q, {PLACES}) AS bc_q FROM parsed")
+def fq_profile_beside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return screening.parse_reads(read_rows(spark, sf_dir), X).select("rid", "line", "p5_seq", "p7_seq", "bc_seq", rounded("bc_q"))
+
+
+@query(f"WITH {READS}, {_SINGLE} SELECT p5_seq AS idx_seq, bc_seq, count(*) AS bc_count FROM parsed WHERE p5_q >= {LEAST} AND bc_q >= {LEAST} GROUP BY 1, 2")
 def fq_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = screening.parse_reads(read_rows(spark, sf_dir), replace(M, dual=None))
-    return counting.count_barcodes(screening.passing(parsed, 15))
+    return counting.count_barcodes(screening.passing(parsed, LEAST))
+
+
+_PASSING = f"WITH {READS}, {_DUAL}, good AS (SELECT p5_seq || CASE WHEN {mean_sql('p7_qual')} >= {LEAST} THEN p7_seq ELSE '{'N' * M.dual.len_p7}' END AS idx_seq, bc_seq FROM parsed WHERE p5_q >= {LEAST} AND bc_q >= {LEAST})"
+
+
+@query(f"{_PASSING} SELECT idx_seq, bc_seq, count(*) AS bc_count FROM good GROUP BY 1, 2")
+def fq_count_dual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = screening.parse_reads(read_rows(spark, sf_dir), M)
+    return counting.count_barcodes(screening.passing(parsed, LEAST, M.dual.len_p7))
 
 
 @query(f"SELECT p_partkey, unnest(list_transform(range(1, 7), lambda i: substr({dna_sql('p_partkey', 8)}, i, 3))) AS part FROM part")
@@ -550,36 +700,66 @@ def seq_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- screening
 
-_SCREENED = [replace(M, core=None), X]
-_XAT = f"x_at AS (SELECT *, {find_sql('seq', X.ref_p5)} AS x5, {find_sql('seq', X.dual.ref_p7)} AS x7 FROM dual)"
-_CLASS = f"""{_DUAL}, {_XAT},
-kinds AS (SELECT rid, line, q,
-    CASE WHEN p7_seq IS NOT NULL THEN 'dual' ELSE 'single' END AS m_kind,
-    CASE WHEN p7_seq IS NOT NULL THEN bc_seq ELSE CASE WHEN bc_at > 34 THEN substr(s, bc_at - 34, 34) END END AS m_bc, p5_seq AS m_p5,
-    CASE WHEN x5 > 0 THEN substr(seq, x5 + {len(X.ref_p5)}, 45) END AS x_bc, CASE WHEN x5 > 8 THEN substr(seq, x5 - 8, 8) END AS x_p5 FROM x_at),
-found AS (SELECT *, m_p5 IS NOT NULL AND m_bc IS NOT NULL AS m_ok, x_p5 IS NOT NULL AND x_bc IS NOT NULL AS x_ok FROM kinds),
-outcomes AS (SELECT *, CASE WHEN q >= 15 AND m_ok AND x_ok THEN 'profile_ambiguous' WHEN q >= 15 AND (m_ok OR x_ok) THEN 'profile_classified' WHEN m_ok OR x_ok THEN 'quality_filtered' ELSE 'profile_not_found' END AS po FROM found),
-counted AS (SELECT po, CASE WHEN po = 'profile_classified' THEN CASE WHEN m_ok THEN 'M' ELSE 'X' END END AS profile, CASE WHEN m_ok THEN m_kind ELSE 'single' END AS structure, CASE WHEN m_ok THEN m_bc ELSE x_bc END AS bc_seq, count(*) AS n FROM outcomes GROUP BY ALL),
-refs AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'M' ELSE 'X' END AS profile, 'stock' || p_partkey % 3 AS stock, 'R.' || p_partkey AS ref_name, CASE WHEN p_partkey % 2 = 0 THEN {dna_sql('p_partkey * 1048583', 34)} ELSE substr({dna_sql('p_partkey * 1048583', 34)} || {dna_sql('p_partkey * 1048583', 34)}, 1, 45) END AS ref_seq FROM part WHERE p_partkey % 7 <> 0),
-matched AS (SELECT c.*, r.ref_name, r.stock FROM counted c LEFT JOIN refs r ON c.po = 'profile_classified' AND r.profile = c.profile AND r.ref_seq = c.bc_seq),
-resolved AS (SELECT *, CASE WHEN po <> 'profile_classified' THEN po WHEN stock IS NULL THEN 'stock_unknown' ELSE 'stock_assigned' END AS outcome FROM matched),
-total AS (SELECT sum(n) AS total FROM resolved)"""
+_KINDS = list(PROFILES.values())
+STOCK_EDITS = 1
+
+
+def _class_sql() -> str:
+    """counted, resolved and total of a screening run over all profiles."""
+    steps: list[dict[str, str]] = [{}, {}, {}]
+    hits = []
+    for i, p in enumerate(_KINDS):
+        forms = [(f"_s{i}", replace(p, dual=None)), *([(f"_d{i}", p)] if p.dual else [])]
+        for k, form in forms:
+            for step, more in zip(steps, parsed_sql(form, k), strict=True):
+                step |= more
+        ok = {k: f"(p5_seq{k} IS NOT NULL AND bc_seq{k} IS NOT NULL)" for k, _ in forms}
+        good = {k: f"coalesce({ok[k]} AND p5_q{k} >= {LEAST} AND bc_q{k} >= {LEAST}, false)" for k, _ in forms}
+        hit = {k: f"{{'profile': '{p.name}', 'structure': '{'dual' if k[1] == 'd' else 'single'}', 'bc_seq': bc_seq{k}, 'found': {ok[k]}, 'good': {good[k]}}}" for k, _ in forms}
+        one = hit[f"_s{i}"]
+        hits.append(f"CASE WHEN p7_seq_d{i} IS NOT NULL THEN {hit[f'_d{i}']} ELSE {one} END" if p.dual else one)
+    part = dna_sql("p_partkey * 1048583", 34)
+    names = ", ".join(f"'{p.name}'" for p in _KINDS)
+    return f"""{_TURNED}, {_chain(steps)},
+judged AS (SELECT list_filter([{', '.join(hits)}], lambda h: h.good) AS good, len(list_filter([{', '.join(hits)}], lambda h: h.found)) > 0 AS any_ FROM parsed),
+counted AS (SELECT good, any_, count(*) AS n FROM judged GROUP BY ALL),
+outcomes AS (SELECT *, CASE WHEN len(good) > 1 THEN 'profile_ambiguous' WHEN len(good) = 1 THEN 'profile_classified' WHEN any_ THEN 'quality_filtered' ELSE 'profile_not_found' END AS po FROM counted),
+listed AS (SELECT po, n, list_sort(list_transform(good, lambda h: h.profile)) AS profiles, unnest(CASE WHEN len(good) = 0 THEN [NULL] ELSE good END) AS h FROM outcomes),
+flat AS (SELECT po, profiles, h.profile AS profile, h.structure AS structure, h.bc_seq AS bc_seq, sum(n)::BIGINT AS n FROM listed GROUP BY ALL),
+kinds AS (SELECT *, [{names}][p_partkey % {len(_KINDS)} + 1] AS profile, {part} AS b FROM part),
+refs AS (SELECT profile, 'stock' || p_partkey % 3 AS stock, 'R.' || p_partkey AS ref_name, CASE profile WHEN 'X' THEN substr(b || b, 1, 45) WHEN 'SL8_epi' THEN substr(b, 1, 24) ELSE b END AS ref_seq FROM kinds
+  UNION ALL SELECT profile, 'other', 'Q.' || p_partkey, CASE profile WHEN 'X' THEN substr(b || b, 1, 45) WHEN 'SL8_epi' THEN substr(b, 1, 24) ELSE b END FROM kinds WHERE p_partkey % 5 = 0),
+asked AS (SELECT DISTINCT profile, bc_seq FROM flat WHERE bc_seq IS NOT NULL AND profile IS NOT NULL),
+exact AS (SELECT a.*, ref_name AS name, stock, 0 AS dist FROM asked a JOIN refs r ON r.profile = a.profile AND r.ref_seq = a.bc_seq),
+near AS (SELECT a.*, ref_name || '_' || CASE WHEN length(ref_seq) <> length(bc_seq) THEN 'indel' ELSE (SELECT string_agg(i || substr(bc_seq, i, 1), '-' ORDER BY i) FROM range(1, 46) t(i) WHERE substr(bc_seq, i, 1) <> substr(ref_seq, i, 1)) END AS name, stock, 1 AS dist
+  FROM (SELECT * FROM asked WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.profile = asked.profile AND e.bc_seq = asked.bc_seq)) a JOIN refs r ON r.profile = a.profile AND abs(length(ref_seq) - length(bc_seq)) <= {STOCK_EDITS} AND (substr(ref_seq, 1, 12) = substr(bc_seq, 1, 12) OR right(ref_seq, 12) = right(bc_seq, 12)) AND levenshtein(ref_seq, bc_seq) <= {STOCK_EDITS}),
+matched AS (SELECT profile, bc_seq, list_sort(list_distinct(list(name))) AS ref_match, list_sort(list_distinct(list(stock))) AS stock, min(dist) AS ldist FROM (FROM exact UNION ALL FROM near) GROUP BY 1, 2),
+resolved AS (SELECT f.*, ref_match, stock, ldist, CASE WHEN po <> 'profile_classified' THEN po WHEN stock IS NULL THEN 'stock_unknown' WHEN len(stock) > 1 THEN 'stock_ambiguous' ELSE 'stock_assigned' END AS outcome FROM flat f LEFT JOIN matched m ON m.profile = f.profile AND m.bc_seq = f.bc_seq),
+once AS (SELECT * FROM resolved WHERE coalesce(profile = profiles[1], true)),
+total AS (SELECT sum(n) AS total FROM once)"""
+
+
+_CLASS = _class_sql()
+
+
+def screen_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part's barcode, dealt to the profiles; a fifth of them in two stocks."""
+    key = F.col("p_partkey")
+    bc = dna(key * 1048583, 34)
+    profile = F.element_at(F.array(*(F.lit(p.name) for p in _KINDS)), (key % len(_KINDS) + 1).cast("int"))
+    seq = F.when(profile == "X", F.substring(F.concat(bc, bc), 1, 45)).when(profile == "SL8_epi", F.substring(bc, 1, 24)).otherwise(bc)
+    part = table(spark, sf_dir, "part")
+    number = key.cast("string")
+    own = part.select(profile.alias("profile"), F.concat(F.lit("stock"), (key % 3).cast("string")).alias("stock"), F.concat(F.lit("R."), number).alias("ref_name"), seq.alias("ref_seq"))
+    other = part.filter(key % 5 == 0).select(profile.alias("profile"), F.lit("other").alias("stock"), F.concat(F.lit("Q."), number).alias("ref_name"), seq.alias("ref_seq"))
+    return own.unionByName(other)
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    bc = dna(key * 1048583, 34)
-    part = table(spark, sf_dir, "part").filter("p_partkey % 7 <> 0")
-    refs = part.select(
-        F.when(key % 2 == 0, "M").otherwise("X").alias("profile"),
-        F.concat(F.lit("stock"), (key % 3).cast("string")).alias("stock"),
-        F.concat(F.lit("R."), key.cast("string")).alias("ref_name"),
-        F.when(key % 2 == 0, bc).otherwise(F.substring(F.concat(bc, bc), 1, 45)).alias("ref_seq"),
-    )
-    return screening.resolve(screening.classify(read_rows(spark, sf_dir), _SCREENED, 15), refs)
+    return screening.resolve(screening.classify(read_rows(spark, sf_dir), _KINDS, LEAST), screen_refs(spark, sf_dir), STOCK_EDITS)
 
 
-@query(f"WITH {READS}, {_CLASS}, o AS (SELECT outcome, sum(n) AS n FROM resolved GROUP BY 1 UNION ALL SELECT 'total_reads', total FROM total), d AS (SELECT unnest(['total_reads', 'profile_not_found', 'quality_filtered', 'profile_ambiguous', 'stock_unknown', 'stock_ambiguous', 'stock_assigned']) AS outcome) SELECT outcome, coalesce(n, 0)::BIGINT AS read_count, round(coalesce(n, 0) / total, {PLACES}) AS proportion_all_reads FROM d LEFT JOIN o USING (outcome), total")
+@query(f"WITH {READS}, {_CLASS}, o AS (SELECT outcome, sum(n) AS n FROM once GROUP BY 1 UNION ALL SELECT 'total_reads', total FROM total), d AS (SELECT unnest(['total_reads', 'profile_not_found', 'quality_filtered', 'profile_ambiguous', 'stock_unknown', 'stock_ambiguous', 'stock_assigned']) AS outcome) SELECT outcome, coalesce(n, 0)::BIGINT AS read_count, round(coalesce(n, 0) / total, {PLACES}) AS proportion_all_reads FROM d LEFT JOIN o USING (outcome), total")
 def screen_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screening.summary(_resolved(spark, sf_dir)).select("outcome", "read_count", rounded("proportion_all_reads"))
 
@@ -589,18 +769,34 @@ def screen_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screening.profile_counts(_resolved(spark, sf_dir)).select("profile", "index_structure", "read_count", rounded("proportion_all_reads"), rounded("proportion_profile_classified"))
 
 
-@query(f"WITH {READS}, {_CLASS}, p AS (SELECT profile, stock, 0 AS ldist, sum(n)::BIGINT AS read_count FROM resolved WHERE outcome = 'stock_assigned' GROUP BY 1, 2) SELECT p.*, round(read_count / total, {PLACES}) AS proportion_all_reads, round(read_count / sum(read_count) OVER (), {PLACES}) AS proportion_stock_assigned FROM p, total")
+@query(f"WITH {READS}, {_CLASS}, p AS (SELECT profile, stock[1] AS stock, ldist, sum(n)::BIGINT AS read_count FROM resolved WHERE outcome = 'stock_assigned' GROUP BY 1, 2, 3) SELECT p.*, round(read_count / total, {PLACES}) AS proportion_all_reads, round(read_count / sum(read_count) OVER (), {PLACES}) AS proportion_stock_assigned FROM p, total")
 def screen_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screening.stock_counts(_resolved(spark, sf_dir)).select("profile", "stock", "ldist", "read_count", rounded("proportion_all_reads"), rounded("proportion_stock_assigned"))
 
 
-@query(f"WITH {READS}, {_CLASS} SELECT 'profile' AS ambiguity_type, 'M/X' AS labels, sum(n)::BIGINT AS read_count FROM resolved WHERE outcome = 'profile_ambiguous' HAVING count(*) > 0")
+@query(f"""WITH {READS}, {_CLASS}, a AS (SELECT 'profile' AS ambiguity_type, array_to_string(profiles, '/') AS labels, NULL::INT AS ldist, n FROM once WHERE outcome = 'profile_ambiguous'
+  UNION ALL SELECT 'stock', array_to_string(stock, '/'), ldist, n FROM resolved WHERE outcome = 'stock_ambiguous')
+SELECT ambiguity_type, labels, ldist, sum(n)::BIGINT AS read_count, round(sum(n) / any_value(total), {PLACES}) AS proportion_all_reads FROM a, total GROUP BY 1, 2, 3""")
 def screen_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return screening.ambiguous_counts(_resolved(spark, sf_dir)).select("ambiguity_type", "labels", "read_count")
+    return screening.ambiguous_counts(_resolved(spark, sf_dir)).select("ambiguity_type", "labels", "ldist", "read_count", rounded("proportion_all_reads"))
+
+
+def _barcodes_sql(ambiguous: bool) -> str:
+    group = "profiles, profile" if ambiguous else "profile"
+    po = "profile_ambiguous" if ambiguous else "profile_classified"
+    out = "array_to_string(profiles, '/') AS profiles, profile" if ambiguous else "profile"
+    stock = "coalesce(array_to_string(stock, '/'), '') AS stocks" if ambiguous else "coalesce(array_to_string(stock, '/'), 'Unknown') AS stock"
+    return f"""WITH {READS}, {_CLASS}, b AS (SELECT {group}, structure AS index_structure, bc_seq, ref_match, stock, ldist, sum(n)::BIGINT AS bc_count FROM resolved WHERE po = '{po}' GROUP BY ALL),
+k AS (SELECT *, CASE WHEN len(ref_match) = 1 AND ldist = 0 THEN 'exact' WHEN len(ref_match) > 1 THEN 'Multi' ELSE 'Unique' END AS kind FROM b)
+SELECT {out}, index_structure, CASE WHEN kind = 'exact' THEN ref_match[1] ELSE kind || '.' || row_number() OVER (PARTITION BY {group}, kind ORDER BY bc_count DESC, bc_seq, index_structure) END AS bc_name, bc_seq, bc_count,
+  coalesce(array_to_string(ref_match, '/'), '') AS ref_match, {stock}, ldist, round(bc_count / sum(bc_count) OVER (PARTITION BY {group}), {PLACES}) AS proportion, round(bc_count / total, {PLACES}) AS proportion_all_reads FROM k, total"""
 
 
-@query(f"WITH {READS}, {_CLASS}, b AS (SELECT profile, structure AS index_structure, bc_seq, ref_name, stock, sum(n)::BIGINT AS bc_count FROM resolved WHERE po = 'profile_classified' GROUP BY ALL) SELECT profile, index_structure, coalesce(ref_name, 'Unique.' || row_number() OVER (PARTITION BY profile, ref_name IS NULL ORDER BY bc_count DESC, bc_seq, index_structure)) AS bc_name, bc_seq, bc_count, coalesce(stock, 'Unknown') AS stock, round(bc_count / sum(bc_count) OVER (PARTITION BY profile), {PLACES}) AS proportion FROM b")
+@query(_barcodes_sql(False))
 def screen_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return screening.named_barcodes(_resolved(spark, sf_dir)).select("profile", "index_structure", "bc_name", "bc_seq", "bc_count", "stock", rounded("proportion"))
+    return screening.named_barcodes(_resolved(spark, sf_dir)).withColumns({c: F.round(c, PLACES) for c in ("proportion", "proportion_all_reads")})
 
 
+@query(_barcodes_sql(True))
+def screen_barcodes_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return screening.named_barcodes(_resolved(spark, sf_dir), ambiguous=True).withColumns({c: F.round(c, PLACES) for c in ("proportion", "proportion_all_reads")})

@@ -161,12 +161,12 @@ def distance_join(
     q = queries.select(*keys, F.col(query[0]).alias("query_id"), F.col(query[1]).alias("query_seq")).dropna().distinct()
     r = refs.select(*keys, F.col(ref[0]).alias("ref_id"), F.col(ref[1]).alias("ref_seq")).dropna().distinct()
     name = metric.lower() if isinstance(metric, str) else None
-    if scope == "min" and radius > 1 and name in ("levenshtein", "hamming") and not exclude_same_id:
+    if scope == "min" and radius > 1 and name in ("levenshtein", "hamming"):
         # the nearest of most queries are within less than the radius: only the others are looked for further
-        inner = distance_join(q, r, radius - 1, keys, "min", tie, metric)
+        inner = distance_join(q, r, radius - 1, keys, "min", tie, metric, exclude_same_id)
         kept = settled(inner)
         rest = q.join(kept.select(*keys, "query_id", "query_seq").distinct(), [*keys, "query_id", "query_seq"], "left_anti")
-        outer = distance_join(rest, r, radius, keys, "exact", tie, metric)
+        outer = distance_join(rest, r, radius, keys, "exact", tie, metric, exclude_same_id)
         if tie != "all":
             first = Window.partitionBy(*keys, "query_id", "query_seq").orderBy("ref_id")
             outer = outer.withColumn("rank_", F.row_number().over(first)).filter("rank_ = 1").drop("rank_")
