@@ -64,9 +64,13 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 def wrapped(sketched: Column) -> Column:
     """The fingerprint of a sketch, in its layout: the number of pieces, the counts of 1 bits modulo 2**16, the sums modulo 2**32."""
-    counts = F.transform(F.slice(sketched, 2, 64), lambda x: x.bitwiseAND(F.lit(0x0000FFFF0000FFFF)))
-    sums = F.transform(F.slice(sketched, 66, SUMS), lambda x: x.bitwiseAND(F.lit(_LOW)))
-    return F.concat(F.slice(sketched, 1, 1), counts, sums)
+
+    def of(s: Column) -> Column:
+        counts = F.transform(F.slice(s, 2, 64), lambda x: x.bitwiseAND(F.lit(0x0000FFFF0000FFFF)))
+        sums = F.transform(F.slice(s, 66, SUMS), lambda x: x.bitwiseAND(F.lit(_LOW)))
+        return F.concat(F.slice(s, 1, 1), counts, sums)
+
+    return F.element_at(F.transform(F.array(sketched), of), 1)  # evaluates the sketch once
 
 
 def lanes(print_: Column) -> Column:
