@@ -62,8 +62,8 @@ def find_anchor(seq: Column, anchor: str, mismatches: int = 0) -> Column:
 def find_anchors(seq: Column, anchors: dict[str, tuple[str, bool]], mismatches: int) -> Column:
     """A struct with the start of each anchor, by name; (text, True) looks on the reverse complement.
 
-    All anchors of a batch of reads are compared base by base over the batch's bytes, which takes a small part of what
-    alternations of patterns take.  The function counts as not deterministic, so that the optimizer neither repeats it nor
+    An anchor with at most k bases changed has one of its k + 1 pieces unchanged: eight bytes of each piece are compared with
+    the bytes of a batch of reads at once, and only where one fits, all bases are.  The function counts as not deterministic, so that the optimizer neither repeats it nor
     moves a filter on what is derived from it below.
     """
     wanted = [(n, np.frombuffer(a.encode(), dtype=np.uint8), back) for n, (a, back) in anchors.items()]
@@ -74,8 +74,11 @@ def find_anchors(seq: Column, anchors: dict[str, tuple[str, bool]], mismatches:
         for lo in range(0, len(texts), READS_AT_ONCE):
             part = texts.slice(lo, READS_AT_ONCE)
             data, offsets = _bytes_of(part)
+            sides = {False: (data, offsets), True: (_COMPLEMENT[data[::-1]], len(data) - offsets[::-1])}
+            eights = {back: _eights(sides[back][0]) for back in {b for _, _, b in wanted}}
             for k, (_, anchor, back) in enumerate(wanted):
-                found[k][lo : lo + len(part)] = _first_places(data, offsets, anchor, mismatches, back)
+                places = _first_places(*sides[back], eights[back], anchor, mismatches)
+                found[k][lo : lo + len(part)] = places[::-1] if back else places
         lost = np.asarray(pa.compute.is_null(texts))
         return pa.StructArray.from_arrays([pa.array(f, pa.int32(), mask=lost) for f in found], names=[n for n, _, _ in wanted])
 
@@ -103,20 +106,32 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _first_places(data: np.ndarray, offsets: np.ndarray, anchor: np.ndarray, mismatches: int, back: bool) -> np.ndarray:
-    if back:
-        return _first_places(_COMPLEMENT[data[::-1]], len(data) - offsets[::-1], anchor, mismatches, False)[::-1]
-    out, n = np.zeros(len(offsets) - 1, dtype=np.int32), len(data) - len(anchor) + 1
-    if n > 0:
+def _eights(data: np.ndarray) -> np.ndarray:
+    """At each position the number that its eight bytes make, zeros after the end."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data), "<u8", padded, strides=(1,)).copy()
+
+
+def _first_places(data: np.ndarray, offsets: np.ndarray, eights: np.ndarray, anchor: np.ndarray, mismatches: int) -> np.ndarray:
+    out, n, piece = np.zeros(len(offsets) - 1, dtype=np.int32), len(data) - len(anchor) + 1, len(anchor) // (mismatches + 1)
+    if n <= 0:
+        return out
+    if piece >= 8:
+        some = np.zeros(n, dtype=bool)
+        for start in range(0, piece * (mismatches + 1), piece):
+            some |= eights[start : start + n] == anchor[start : start + 8].copy().view("<u8")[0]
+        at = np.flatnonzero(some)
+        at = at[(data[at[:, None] + np.arange(len(anchor))] != anchor).sum(axis=1) <= mismatches]
+    else:
         wrong = np.zeros(n, dtype=np.uint8)
         for j, c in enumerate(anchor):
             wrong += data[j : j + n] != c
-        hits = np.flatnonzero(wrong <= mismatches)
-        row = np.searchsorted(offsets, hits, side="right") - 1
-        inside = hits + len(anchor) <= offsets[row + 1]
-        hits, row = hits[inside], row[inside]
-        new = np.append(True, row[1:] != row[:-1]) if len(row) else np.zeros(0, bool)
-        out[row[new]] = hits[new] - offsets[row[new]] + 1
+        at = np.flatnonzero(wrong <= mismatches)
+    row = np.searchsorted(offsets, at, side="right") - 1
+    inside = at + len(anchor) <= offsets[row + 1]
+    at, row = at[inside], row[inside]
+    new = np.append(True, row[1:] != row[:-1]) if len(row) else np.zeros(0, bool)
+    out[row[new]] = at[new] - offsets[row[new]] + 1
     return out
 
 

@@ -36,15 +36,18 @@ def test_anchor_and_neighbours(spark):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.text("ACGT", max_size=30), st.text("ACGT", min_size=3, max_size=6), st.integers(1, 3), st.booleans())
-def test_anchor_search_is_the_leftmost_window(seq, anchor, mismatches, back):
+@given(st.text("ACGT", max_size=30), st.text("ACGT", min_size=3, max_size=6) | st.text("ACGT", min_size=16, max_size=40), st.integers(0, 3), st.booleans(), st.lists(st.integers(0, 39), max_size=4), st.text("ACGT", max_size=9))
+def test_anchor_search_is_the_leftmost_window(seq, anchor, mismatches, back, changes, tail):
     import numpy as np
 
+    near = "".join("ACGT"["ACGT".index(c) - 1] if i in changes else c for i, c in enumerate(anchor))
+    seq += (reads.revcomp_text(near) if back else near) + tail
     text = reads.revcomp_text(seq) if back else seq
     hits = [i for i in range(len(text) - len(anchor) + 1) if sum(a != b for a, b in zip(text[i:], anchor, strict=False)) <= mismatches]
     data = np.frombuffer(f"GGGG{seq}TTT".encode(), dtype=np.uint8)
     offsets = np.array([0, 4, 4 + len(seq), len(data)])
-    found = reads._first_places(data, offsets, np.frombuffer(anchor.encode(), dtype=np.uint8), mismatches, back)
+    side = (reads._COMPLEMENT[data[::-1]], len(data) - offsets[::-1]) if back else (data, offsets)
+    found = reads._first_places(*side, reads._eights(side[0]), np.frombuffer(anchor.encode(), dtype=np.uint8), mismatches)
     assert found[1] == (hits[0] + 1 if hits else 0)
 
 

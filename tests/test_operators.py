@@ -30,6 +30,32 @@ def test_distance_join_equals_all_pairs(spark, d):
     assert found == {(x["query_id"], x["ref_id"], x["dist"]) for x in every.collect()}
 
 
+@pytest.mark.parametrize(("metric", "radius"), [("levenshtein", 3), ("levenshtein", 5), ("hamming", 4), ("indel", 3), ("LCSseq", 2), ("osa", 2)])
+def test_longer_distances_equal_all_pairs(spark, metric, radius):
+    rng = random.Random(radius)
+    base = ["".join(rng.choice("ACG") for _ in range(rng.randint(0, 14))) for _ in range(20)]
+    seqs = base + ["".join(c for c in s if rng.random() > 0.15) + rng.choice(["", "A", "CG"]) for s in base] + ["".join(rng.choice("ACG") if rng.random() < 0.2 else c for c in s) for s in base]
+    q = spark.createDataFrame([(i % 2, i, s) for i, s in enumerate(seqs)], "k int, query_id int, query_seq string").coalesce(1)
+    r = q.toDF("k", "ref_id", "ref_seq")
+    found = {(x["query_id"], x["ref_id"], x["dist"]) for x in distance.distance_join(q, r, radius, keys=["k"], metric=metric).collect()}
+    every = q.join(r, "k").filter(F.length("query_seq") == F.length("ref_seq") if metric == "hamming" else F.lit(True))
+    every = every.withColumn("dist", distance.distance(metric, F.col("query_seq"), F.col("ref_seq"))).filter(F.col("dist") <= radius)
+    assert found == {(x["query_id"], x["ref_id"], x["dist"]) for x in every.collect()} and len(found) > 80
+
+
+@pytest.mark.parametrize("tie", ["all", "min_id"])
+def test_nearest_by_rounds_equals_nearest_at_once(spark, tie):
+    rng = random.Random(9)
+    q = spark.createDataFrame([(i, "".join(rng.choice("AC") for _ in range(rng.randint(3, 7)))) for i in range(40)], "query_id int, query_seq string").coalesce(1)
+    r = q.toDF("ref_id", "ref_seq")
+    found = {(x["query_id"], x["ref_id"], x["dist"]) for x in distance.distance_join(q, r, 3, scope="min", tie=tie, exclude_same_id=True).collect()}
+    near = {}
+    for x in q.crossJoin(r).filter("query_id <> ref_id").withColumn("dist", F.levenshtein("query_seq", "ref_seq")).filter("dist <= 3").collect():
+        near.setdefault(x["query_id"], []).append((x["dist"], x["ref_id"]))
+    wanted = {(k, i, d) for k, v in near.items() for d, i in (sorted(v)[:1] if tie == "min_id" else v) if d == min(v)[0]}
+    assert found == wanted
+
+
 def test_nearest_and_shapes(spark):
     refs = spark.createDataFrame([("r1", "apple"), ("r2", "apply"), ("r3", "maple"), ("r4", "snapple")], "ref_id string, ref_seq string")
     q = spark.createDataFrame([("q", "appl")], "query_id string, query_seq string")
@@ -110,6 +136,32 @@ def test_chained_children(spark):
     assert lost_reads(flagged.withColumn("ldist_samp_lvl", F.lit(None).cast("string"))).first()["lost"] == 10
 
 
+def test_a_long_line_of_children(spark):
+    names = [f"N{i}" for i in range(100)]
+    rows = [("s", n, "A" * (i + 1), 1, 10.0, names[i - 1] + "_1A" if i else None) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, LONG + ", putative_parent string").coalesce(1)
+    assert by_name(collapse_to_parent(df, transitive=True), "bc_count") == {"N0": 100}
+    ring = df.withColumn("putative_parent", F.coalesce("putative_parent", F.lit("N99_1A")))
+    with pytest.raises(ValueError, match="each other"):
+        collapse_to_parent(ring, transitive=True).collect()
+
+
+def test_ranks_by_key(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), rng.randint(1, 5), f"t{i:03}") for i in range(200)]
+    found = ranks.global_rank(spark.createDataFrame(rows, "k string, n int, tie string").coalesce(2), "n", "tie", keys=["k"]).collect()
+    for k in "ab":
+        order = sorted((r for r in rows if r[0] == k), key=lambda r: (-r[1], r[2]))
+        assert [r["tie"] for r in sorted((r for r in found if r["k"] == k), key=lambda r: r["rank"])] == [r[2] for r in order]
+        assert sorted(r["rank"] for r in found if r["k"] == k) == list(range(1, len(order) + 1))
+
+
+def test_discovered_names_count_by_sequence(spark):
+    rows = [("BC.1", "AAA", "g1", "s1"), ("BC.1", "CCC", "g2", "s2"), ("M.1", "GGG", "g1", "s1"), ("M.1", "GGT", "g2", "s2")]
+    found = counting.group_counts(spark.createDataFrame(rows, "bc_name string, bc_seq string, samp_group string, samp_name string"))
+    assert {(r["bc_name"], r["n_groups"], r["n_samps"]) for r in found.collect()} == {("BC.1", 1, 1), ("M.1", 2, 2)}
+
+
 def test_core_parents(spark):
     rows = [("s", "P", "TTACGTACTT", 50, 10.0), ("s", "Unique.1", "GGGGACGTACGGGG", 5, 10.0)]
     df = flags.with_above_cutoff(flags.with_proportion(long(spark, rows)))
