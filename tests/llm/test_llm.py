@@ -814,19 +814,96 @@ def test_piece_cache_that_is_full():
 # ---------------------------------------------------------------- pipeline
 
 
+def plain_redaction(rows):
+    """(id, text) of rows(id, text, source) with live values replaced, in plain Python."""
+    held = defaultdict(set)
+    values = {}
+    for i, (_, t, source) in enumerate(rows):
+        text = t or ""
+        found = [(m.start(1), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 12]
+        found += [(m.start(), m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        found += [(m.start(), m.end(), m[0]) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        values[i] = found
+        for *_, v in found:
+            held[v].add((text, source or ""))
+    copied = set()
+    for v, where in held.items():
+        texts, by = {t for t, _ in where}, Counter(o for o, _ in where)
+        if min(len(by), len(texts) - max(by.values()) + 1) >= 2:
+            copied.add(v)
+    out = []
+    for i, (k, t, _) in enumerate(rows):
+        spans = sorted({(a, b) for a, b, v in values[i] if v not in copied and len(set(v)) >= 8})
+        new, at = "", 0
+        for a, b in spans:
+            if a >= at:
+                new += (t or "")[at:a] + "[SECRET]"
+            at = max(at, b)
+        out.append((k, t if not spans else new + (t or "")[at:]))
+    return out
+
+
+def test_pipeline_stages_equal_brute_force(spark, tmp_path):
+    import corpus_pipeline
+    import duckdb
+
+    texts = [*corpus(12, 50), *SECRETS, "one two three four five six", None, ""]
+    texts += [t + " and a password=Zq8Wv7Xu6Yt5Rs" for t in texts[:3] if t]
+    docs = make(spark, texts, sources=[None if i == 5 else f"s{i % 4}" for i in range(len(texts))])
+    labels = spark.createDataFrame([(i, int(len(t or "") > 90), 0) for i, t in enumerate(texts)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    good, single, redacted, mixed, tokens = (f for _, f in corpus_pipeline.STAGES)
+    rows = lambda df: sorted(((r["doc_id"], r["text"], r["source"]) for r in df.collect()), key=str)
+    every = rows(docs)
+
+    weights = passages.fit(docs, labels)
+    model = passages.Attention(weights)
+    kept = []
+    for r in every:  # one document at a time
+        x, first = passages.encode(*textkernel.text_buffer(pa.array([r[1]], pa.string())))
+        if model.forward(x, first)[0][0] >= passages.THRESHOLD:
+            kept.append(r)
+    out = good(spark, docs, str(tmp_path))
+    assert rows(out) == kept and out.columns == docs.columns and 0 < len(kept) < len(every)
+
+    out = single(spark, docs, str(tmp_path))
+    sets = {k: shingles(t, 5) for k, t, _ in every}
+    top = {k: k for k in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    top[a] = top[b] = min(top[a], top[b])
+        if all(top[top[k]] == top[k] for k in top):
+            break
+    assert rows(out) == [r for r in every if top[r[0]] == r[0]] and out.columns == docs.columns
+
+    out = redacted(spark, docs, str(tmp_path))
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(plain_redaction(every), key=str) and out.columns == docs.columns
+    assert sum("[SECRET]" in (r["text"] or "") for r in out.collect()) > 3
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = Counter(r[0] for r in duckdb.sql(mixing.sql(docs=f"'{tmp_path}/documents.parquet/*.parquet'")).fetchall())
+    out = mixed(spark, docs, str(tmp_path))
+    assert Counter(r["doc_id"] for r in out.collect()) == wanted and out.columns == docs.columns
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = {r["doc_id"]: r["ids"] for r in tokens(spark, docs, str(tmp_path)).collect()}
+    assert found == {k: own.encode_ordinary(t or "") for k, t, _ in every}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    names = [n for n, _ in corpus_pipeline.STAGES]
-    assert len(names) == 5
-    good = corpus_pipeline.good_quality(spark, docs, sf).cache()
-    kept = {r["doc_id"] for r in passages.score(docs, passages.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))).filter("predicted = 1").collect()}
-    assert {r["doc_id"] for r in good.collect()} == kept and good.columns == docs.columns
-    single = corpus_pipeline.without_copies(spark, good, sf)
-    wanted = {r["doc_id"] for r in neardup.near_duplicates(good).filter("kept").collect()}
-    assert {r["doc_id"] for r in single.collect()} == wanted and single.columns == docs.columns
-    out = corpus_pipeline.run(spark, sf).collect()
-    assert out and all(r["n_tokens"] == len(r["ids"]) for r in out)
-    assert {r["doc_id"] for r in out} <= wanted
+    assert [len(n) > 0 for n, _ in corpus_pipeline.STAGES] == [True] * 5
+    stage = docs
+    for _, f in corpus_pipeline.STAGES:  # each on what the one before kept
+        stage = f(spark, stage, sf).cache()
+    out = corpus_pipeline.run(spark, sf)
+    assert out.columns == stage.columns and out.count() > 0
+    assert sorted(map(tuple, out.select("doc_id", "n_tokens", "ids_sha256").collect())) == sorted(map(tuple, stage.select("doc_id", "n_tokens", "ids_sha256").collect()))
+    assert all(r["n_tokens"] == len(r["ids"]) for r in out.collect())
+    spark.catalog.clearCache()
