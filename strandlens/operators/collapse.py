@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import base_name
 from ..functions.reads import count_n
-from ..session import keep_checkpoints
+from ..session import keep_checkpoints, settled
 from .flags import SAMPLE, with_above_cutoff, with_proportion
 
 
@@ -26,6 +26,7 @@ def collapse_to_parent(df: DataFrame, transitive: bool = False) -> DataFrame:
     rows = df.withColumn("parent_", base_name(chosen)).withColumn("any_", F.max(F.col("parent_").isNotNull()).over(sample))
     if transitive:
         rows = rows.drop("parent_").join(root_parents(rows.filter("parent_ IS NOT NULL").select(*SAMPLE, "bc_name", "parent_")), [*SAMPLE, "bc_name"], "left")
+    rows = settled(rows)
     gained = rows.filter("parent_ IS NOT NULL").groupBy(*SAMPLE, F.col("parent_").alias("bc_name")).agg(F.sum("bc_count").alias("gained_"))
     kept = rows.filter("parent_ IS NULL").join(gained, [*SAMPLE, "bc_name"], "left")
     kept = kept.withColumn("bc_count", F.col("bc_count") + F.coalesce("gained_", F.lit(0)))
@@ -81,6 +82,7 @@ def collapse_ambiguous(df: DataFrame) -> DataFrame:
     rows = rows.join(able, [*SAMPLE, "parent_"], "left")
     child = (F.col("n_") == 1) & ~F.col("above_cutoff") & F.coalesce("able_", F.lit(False))
     rows = rows.withColumn("child_", child).withColumn("any_", F.max("child_").over(sample))
+    rows = settled(rows)
     gained = rows.filter("child_").groupBy(*SAMPLE, F.col("parent_").alias("bc_name")).agg(F.sum("bc_count").alias("gained_"))
     kept = rows.filter("NOT any_ OR n_ = 0").join(gained, [*SAMPLE, "bc_name"], "left")
     kept = kept.withColumn("bc_count", F.col("bc_count") + F.coalesce("gained_", F.lit(0))).withColumn("old_", F.col("proportion"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.reads import substitution_suffix, windows
+from ..session import settled
 from .distance import distance_join
 from .flags import is_unique
 
@@ -47,6 +48,7 @@ def flag_parents(df: DataFrame, keys: Sequence[str] = ("sample_id",), radius: in
     (start, length), unique barcodes without any neighbour are searched again: every window against the references' cores.
     """
     keys = list(keys)
+    df = settled(df)  # read for the barcodes, the references and the result
     rows = adjusted_counts(df, keys) if aggregated else df.select(*keys, "bc_name", "bc_seq", "bc_count")
     rows = rows.filter(F.col("bc_name").isNotNull() & F.col("bc_seq").isNotNull()).groupBy(*keys, "bc_name", "bc_seq").agg(F.max("bc_count").alias("bc_count"))
     refs = rows.filter(~is_unique(F.col("bc_name")))

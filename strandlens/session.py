@@ -44,6 +44,8 @@ def keep_checkpoints(spark: SparkSession) -> None:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the checkpoint folder, for tables that several later branches read."""
+    """df computed once and kept in the checkpoint folder, for tables that several later branches read; what is kept already stays."""
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRDD":
+        return df
     keep_checkpoints(df.sparkSession)
     return df.checkpoint()
