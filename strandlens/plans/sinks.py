@@ -60,7 +60,12 @@ def _head(h: Row, legacy: bool) -> list[list[object]]:
 
 
 def sidelong_grid(df: DataFrame, legacy: bool = False) -> list[list[object]]:
-    """One group's samples side by side: header lines, a blank line, then the body with a blank line between row groups.
+    """The samples of a table of one group, as `sidelong_grids` has them."""
+    return next(iter(sidelong_grids(df, legacy).values()), [])
+
+
+def sidelong_grids(df: DataFrame, legacy: bool = False) -> dict[str, list[list[object]]]:
+    """By group, its samples side by side: header lines, a blank line, then the body with a blank line between row groups.
 
     legacy: the older headers, headings and texts.
     """
@@ -79,14 +84,14 @@ def sidelong_grid(df: DataFrame, legacy: bool = False) -> list[list[object]]:
         if r["spacer_before"]:
             body.append([None] * len(BODY))
         body.append([r[c] for c in BODY])
-    out: list[list[object]] = []
-    order = sorted(bodies, key=lambda s: (str(heads[s]["samp_name"]), str(heads[s]["samp_date"]), s))
-    blocks = [[*_head(heads[s], legacy), *bodies[s]] for s in order]
-    for i in range(max(map(len, blocks), default=0)):
-        line: list[object] = []
-        for b in blocks:
-            line += (b[i] if i < len(b) else [None] * len(BODY)) + [None]
-        out.append(line)
+    groups: dict[str, list[list[list[object]]]] = {}
+    for s in sorted(bodies, key=lambda s: (str(heads[s]["samp_group"]), str(heads[s]["samp_name"]), str(heads[s]["samp_date"]), s)):
+        groups.setdefault(heads[s]["samp_group"], []).append([*_head(heads[s], legacy), *bodies[s]])
+    out: dict[str, list[list[object]]] = {}
+    for group, blocks in groups.items():
+        lines_ = out.setdefault(group, [])
+        for i in range(max(map(len, blocks))):
+            lines_.append([v for b in blocks for v in [*(b[i] if i < len(b) else [None] * len(BODY)), None]])
     return out
 
 
@@ -118,11 +123,12 @@ def write_parse_workbook(run: ParsedRun, raw: DataFrame, folder: str, name: str,
     if groups_of(table) != groups:
         raise ValueError(f"groups of the data ({groups}) and of its tables ({groups_of(table)}) differ")
     sheets = {"runinfo": grid(parse_runinfo(run, raw))}
+    whole, shown = sidelong_grids(run.long, legacy) if collapse else {}, sidelong_grids(table, legacy)
     for group in groups:
         part = table.filter(F.col("samp_group") == group)
         if collapse:
-            sheets[f"{group} raw"] = sidelong_grid(run.long.filter(F.col("samp_group") == group), legacy)
-        sheets[f"{group} samples"] = sidelong_grid(part, legacy)
+            sheets[f"{group} raw"] = whole[group]
+        sheets[f"{group} samples"] = shown[group]
         sheets[f"{group} matrix"] = grid(matrix_wide(counted_rows(part) if matrix_above_only else part))
     sheets["settings"] = settings_rows(settings)
     path = os.path.join(folder, f"{name}_{'Discovery' if discover else 'Analysis'}.xlsx")
@@ -166,9 +172,10 @@ def write_compiled(found: Compiled, folder: str, prefix: str, contamination: boo
     if contamination:
         sheets["full_matrix"] = grid(matrix_wide(group_counts(above), ("samp_group", *COMPILE_COLUMNS), ("bc_name", "bc_seq", "ldist_all", "n_groups", "n_samps")))
         sheets["contam_report"] = grid(contamination_wide(above))
+    shown = sidelong_grids(above)
     for group in groups_of(above):
         part = above.filter(F.col("samp_group") == group)
-        sheets[f"{group} samples"] = sidelong_grid(part)
+        sheets[f"{group} samples"] = shown[group]
         sheets[f"{group} matrix"] = grid(matrix_wide(part, COMPILE_COLUMNS))
     path = os.path.join(folder, f"{prefix}_above_cutoff.xlsx")
     write_workbook(path, sheets)

@@ -9,12 +9,12 @@ import os
 import uuid
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import _SINGLE, LEAST, OBS, PLACES, READS, M, _edges, _near, _parents_sql, _SEQS, dna, dna_sql, obs, query, read_rows, rounded, table
+from .catalog import _SEQS, _SINGLE, LEAST, OBS, PLACES, READS, M, _near, _parents_sql, dna, dna_sql, obs, query, read_rows, rounded, table
 from .functions import labels, reads
-from .operators import counting, flags
+from .operators import flags
 from .plans import compile as compiled
 from .plans import sinks
 from .plans.parse import ParsedRun, ParseSettings, parse_run
@@ -233,7 +233,7 @@ def _books(spark: SparkSession, rows: DataFrame) -> str:
         for r in one.select("samp_group", "samp_name", "samp_date", "idx_name", "input").distinct().orderBy("samp_group", "samp_name").collect():
             info.append([run if len(info) == 1 else None, r["samp_group"], r["samp_name"], r["samp_date"], r["idx_name"], r["input"]])
         info += [["Run Name"], [f"name {run}"], ["Date"], [f"{run}-02-03"]]
-        sheets = {f"{g} samples": sinks.sidelong_grid(one.filter(F.col("samp_group") == g)) for g in sinks.groups_of(one)}
+        sheets = {f"{g} samples": grid for g, grid in sinks.sidelong_grids(one).items()}
         workbook.write_workbook(f"{folder}/run_{run}_Analysis.xlsx", {"runinfo": info, **sheets})
     return folder
 
