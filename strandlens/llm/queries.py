@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, passages, toxicity
+from . import centroids, filter_audit, mixing, passages, toxicity
 from .bytebpe import round_trip
 from .fingerprints import fingerprint_edits
+from .main_text import extract
 from .neardup import near_duplicates
 from .secret_scan import find_secrets
 from .shared import cut, documents
@@ -61,5 +62,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+OPERATORS = (op1_secret_scan, op2_toxicity, op3_near_duplicates, op4_multiset_fingerprint, op5_token_files, op6_temperature_mixing, op7_telephony, op8_passage_quality, op9_repeated_passages, op10_byte_bpe, op11_centroid_clusters, op12_main_text, op13_filter_audit)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_near_duplicates, op4_multiset_fingerprint, op5_token_files, op6_temperature_mixing, op7_telephony, op8_passage_quality, op9_repeated_passages, op10_byte_bpe)}
+    return {f.__name__: f for f in OPERATORS}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import centroids, filter_audit, mixing
 from .secret_scan import ACCESS, ASSIGN_LEFT, ASSIGN_VALUE, COPIED_OWNERS, COPIED_REPOS, HEX, LIVE_CHARACTERS
 
 
@@ -65,4 +65,4 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": SECRETS, "op3_near_duplicates": NEAR_DUPLICATES, "op6_temperature_mixing": mixing.sql(), "op9_repeated_passages": REPEATED_PASSAGES}
+    return {"op1_secret_scan": SECRETS, "op3_near_duplicates": NEAR_DUPLICATES, "op6_temperature_mixing": mixing.sql(), "op9_repeated_passages": REPEATED_PASSAGES, "op11_centroid_clusters": centroids.sql(), "op13_filter_audit": filter_audit.sql()}
