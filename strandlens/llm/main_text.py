@@ -136,7 +136,8 @@ def article_level(t: Tag) -> int:
 def lines_of(page: str) -> list[tuple[str, int, int]]:
     """(text, characters of it inside links, level of the article it is in) of every line.
 
-    Outside articles each block tag ends a line, if only an empty one, and sections leave WINDOW empty lines.
+    Outside articles each block tag ends a line, if only an empty one, and sections leave WINDOW empty lines; what is
+    stripped leaves none, so that it doesn't end the text around it.
     """
     tags = tags_of(page)
     ends = ends_of(tags)
@@ -154,7 +155,7 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         nonlocal text, linked
         level = levels[-1][1] if levels else 0
         joined = " ".join(html.unescape("".join(text)).split())
-        if joined or not level:
+        if joined or (gap and not level):
             lines.append((joined, min(linked, len(joined)), level))
         lines.extend([("", 0, 0)] * (gap - 1))
         text, linked = [], 0
@@ -171,7 +172,7 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
                 last = next((k for k in range(n + 1, len(tags)) if tags[k].name and tags[k].name not in INLINE and tags[k].name != "br"), None)
             if last is not None:
                 if t.name not in INLINE:
-                    end(1 if inside else WINDOW)
+                    end(0)
                 own = tags[last].closing and tags[last].name == t.name
                 at, n = (tags[last].stop, last + 1) if own else (tags[last].start, last)
                 while levels and levels[-1][0] < n:
