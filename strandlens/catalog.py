@@ -566,8 +566,8 @@ def read_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         seq = F.when(rid % 10 == k, form).otherwise(seq)
     rows = l.select(rid.alias("rid"), line.alias("line"), seq.alias("seq"))
     first = 33 + (F.col("line") * 7 + F.col("rid")) % 36
-    codes = F.transform(F.sequence(F.lit(0), F.length("seq") - 1), lambda i: F.char((first + i * 5 % 6).cast("int")))
-    return rows.withColumn("qual", F.array_join(codes, ""))
+    six = F.concat(*(F.char((first + i * 5 % 6).cast("int")) for i in range(6)))  # qualities repeat after six bases
+    return rows.withColumn("qual", F.substring(F.repeat(six, (F.length("seq") / 6 + 1).cast("int")), F.lit(1), F.length("seq")))
 
 
 def find_sql(seq: str, anchor: str, mismatches: int = 1) -> str:
@@ -782,14 +782,18 @@ def screen_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _barcodes_sql(ambiguous: bool) -> str:
-    group = "profiles, profile" if ambiguous else "profile"
-    po = "profile_ambiguous" if ambiguous else "profile_classified"
-    out = "array_to_string(profiles, '/') AS profiles, profile" if ambiguous else "profile"
-    stock = "coalesce(array_to_string(stock, '/'), '') AS stocks" if ambiguous else "coalesce(array_to_string(stock, '/'), 'Unknown') AS stock"
-    return f"""WITH {READS}, {_CLASS}, b AS (SELECT {group}, structure AS index_structure, bc_seq, ref_match, stock, ldist, sum(n)::BIGINT AS bc_count FROM resolved WHERE po = '{po}' GROUP BY ALL),
-k AS (SELECT *, CASE WHEN len(ref_match) = 1 AND ldist = 0 THEN 'exact' WHEN len(ref_match) > 1 THEN 'Multi' ELSE 'Unique' END AS kind FROM b)
-SELECT {out}, index_structure, CASE WHEN kind = 'exact' THEN ref_match[1] ELSE kind || '.' || row_number() OVER (PARTITION BY {group}, kind ORDER BY bc_count DESC, bc_seq, index_structure) END AS bc_name, bc_seq, bc_count,
-  coalesce(array_to_string(ref_match, '/'), '') AS ref_match, {stock}, ldist, round(bc_count / sum(bc_count) OVER (PARTITION BY {group}), {PLACES}) AS proportion, round(bc_count / total, {PLACES}) AS proportion_all_reads FROM k, total"""
+    if ambiguous:
+        rows = "SELECT 'profile' AS ambiguity_type, * FROM resolved WHERE po = 'profile_ambiguous' UNION ALL SELECT 'stock', * REPLACE ([profile] AS profiles) FROM resolved WHERE po = 'profile_classified' AND len(stock) > 1"
+        labels, out, stock, whole = "ambiguity_type, profiles, ", "ambiguity_type, array_to_string(profiles, '/') AS profiles, ", "coalesce(array_to_string(stock, '/'), '') AS stocks", ""
+    else:
+        rows = "SELECT * FROM resolved WHERE po = 'profile_classified'"
+        labels, out, stock, whole = "", "", "coalesce(array_to_string(stock, '/'), 'Unknown') AS stock", "PARTITION BY profile"
+    return f"""WITH {READS}, {_CLASS}, wanted AS ({rows}), b AS (SELECT {labels}profile, structure AS index_structure, bc_seq, ref_match, stock, ldist, sum(n)::BIGINT AS bc_count FROM wanted GROUP BY ALL),
+totals AS (SELECT profile, len(ref_match) > 1 AS many, bc_seq, sum(bc_count) AS reads FROM b WHERE NOT coalesce(len(ref_match) = 1 AND ldist = 0, false) GROUP BY ALL),
+places AS (SELECT profile, bc_seq, CASE WHEN many THEN 'Multi.' ELSE 'Unique.' END || row_number() OVER (PARTITION BY profile, coalesce(many, false) ORDER BY reads DESC, bc_seq) AS name FROM totals)
+SELECT {out}b.profile, index_structure, coalesce(name, ref_match[1]) AS bc_name, b.bc_seq, bc_count, CASE WHEN name IS NULL THEN '' ELSE coalesce(array_to_string(ref_match, '/'), '') END AS ref_match, {stock}, ldist,
+  round(bc_count / sum(bc_count) OVER ({whole.replace('profile', 'b.profile')}), {PLACES}) AS proportion, round(bc_count / total, {PLACES}) AS proportion_all_reads
+FROM b LEFT JOIN places p ON p.profile = b.profile AND p.bc_seq = b.bc_seq, total"""
 
 
 @query(_barcodes_sql(False))

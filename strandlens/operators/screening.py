@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import share
-from ..functions.reads import beside, between, find_anchors, masked, mean_quality, padded, padded_quality, reverse_complement
+from ..functions.reads import segments, substitution_suffix
 from ..profiles import ReadProfile
 from ..session import settled
 from .distance import distance_join
@@ -17,51 +20,10 @@ from .ranks import global_rank
 OUTCOMES = ("total_reads", "profile_not_found", "quality_filtered", "profile_ambiguous", "stock_unknown", "stock_ambiguous", "stock_assigned")
 
 
-def anchors_of(profile: ReadProfile) -> dict[str, tuple[str, bool]]:
-    """What has to be found in a read: P5 as it was read, the rest on the profile's strand."""
-    back = profile.strand == "rev"
-    found = {"p5": (profile.ref_p5, False), "bc": (profile.ref_bc, back)}
-    return found | ({"p7": (profile.dual.ref_p7, back)} if profile.dual else {})
-
-
-def parse_reads(reads: DataFrame, profile: ReadProfile, mismatches: int = 1, mask_below: int | None = None, places: dict[str, Column] | None = None) -> DataFrame:
-    """Adds p5_seq, p5_q, p7_seq, p7_q, bc_seq and bc_q to reads(seq, qual): one structure, each anchor searched once.
-
-    The P5 anchor is found on the strand as read; a 'rev' profile turns the read before the rest.  With a second index
-    nothing but P5 is reported unless P7 is found.  places: where the anchors are, if they have been found already.
-    """
-    qual = F.col("qual")
-    seq = masked(F.col("seq"), qual, mask_below) if mask_below else F.col("seq")
-    rows = reads.withColumn("seq_", seq)
-    if places is None:
-        rows = rows.withColumn("at_", find_anchors(F.col("seq_"), anchors_of(profile), mismatches))
-        places = {k: F.col("at_")[k] for k in anchors_of(profile)}
-    p5_at, bc_at = places["p5"], places["bc"]
-    p5 = [beside(F.col(c), p5_at, len(profile.ref_p5), profile.dir_p5, profile.len_p5) for c in ("seq_", "qual")]
-    rows = rows.withColumns({"p5_seq": p5[0], "p5_q": mean_quality(p5[1])})
-    if profile.strand == "rev":
-        rows = rows.withColumns({"s_": reverse_complement(F.col("seq_")), "q_": F.reverse(qual)})
-    else:
-        rows = rows.withColumns({"s_": F.col("seq_"), "q_": qual})
-    s, q = F.col("s_"), F.col("q_")
-    dual = profile.dual
-    none = F.lit(None)
-    if dual is None:
-        bc = [beside(c, bc_at, len(profile.ref_bc), profile.dir_bc, profile.len_bc) for c in (s, q)]
-        rows = rows.withColumns({"p7_seq": none.cast("string"), "p7_q": none.cast("double"), "bc_seq": bc[0], "bc_q": mean_quality(bc[1])})
-    else:
-        p7_at = places["p7"]
-        p7 = [beside(c, p7_at, len(dual.ref_p7), dual.dir_p7, dual.len_p7) for c in (s, q)]
-        p7_seq = reverse_complement(p7[0]) if dual.beside_bc else p7[0]
-        if dual.beside_bc:
-            bc = [beside(c, bc_at, len(profile.ref_bc), profile.dir_bc, profile.len_bc) for c in (s, q)]
-            bc_seq, bc_q = bc[0], mean_quality(bc[1])
-        else:
-            span = [between(c, p7_at, len(dual.ref_p7), bc_at) for c in (s, q)]
-            bc_seq, bc_q = padded(span[0], profile.len_bc, dual.fill), padded_quality(span[1], profile.len_bc, dual.fill)
-        seen = p7[0].isNotNull()
-        rows = rows.withColumns({"p7_seq": p7_seq, "p7_q": mean_quality(p7[1]), "bc_seq": F.when(seen, bc_seq), "bc_q": F.when(seen & bc_seq.isNotNull(), bc_q)})
-    return rows.drop("seq_", "s_", "q_", "at_")
+def parse_reads(reads: DataFrame, profile: ReadProfile, mismatches: int = 1, mask_below: int | None = None) -> DataFrame:
+    """Adds p5_seq, p5_q, p7_seq, p7_q, bc_seq and bc_q to reads(seq, qual), as `segments` cuts them out."""
+    found = segments(F.col("seq"), F.col("qual"), {"one": profile}, mismatches, mask_below)
+    return reads.withColumn("cut_", found).select(*reads.columns, "cut_.one.*")
 
 
 def passing(parsed: DataFrame, least: float, len_p7: int | None = None) -> DataFrame:
@@ -73,44 +35,32 @@ def passing(parsed: DataFrame, least: float, len_p7: int | None = None) -> DataF
     return good.withColumn("idx_seq", F.concat("p5_seq", p7))
 
 
-def _hit(name: str, structure: str, bc: str, ok: Column, found: Column) -> Column:
-    return F.struct(F.lit(name).alias("profile"), F.lit(structure).alias("structure"), F.col(bc).alias("bc_seq"), F.coalesce(found, F.lit(False)).alias("found"), F.coalesce(ok, F.lit(False)).alias("good"))
-
-
 def classify(reads: DataFrame, profiles: Sequence[ReadProfile], least: float = 0, mismatches: int = 1) -> DataFrame:
     """One row for each read: hits (the profiles that fit, with structure and barcode) and profile_outcome.
 
     A profile with a second index is read that way wherever P7 is seen, even if its barcode then fails; else singly.  All
-    profiles are columns of one pass over the reads.
+    profiles are cut out in one pass over the reads.
     """
-    from dataclasses import replace
-
-    # each different anchor is looked for once, all of them in one pass
-    wanted = {a: f"a{i}" for i, a in enumerate(dict.fromkeys(a for p in profiles for a in anchors_of(p).values()))}
-    rows = reads.withColumn("places_", find_anchors(F.col("seq"), {n: a for a, n in wanted.items()}, mismatches))
-    hits, kept = [], list(reads.columns)
+    forms = {f"s{i}": replace(p, dual=None) for i, p in enumerate(profiles)} | {f"d{i}": p for i, p in enumerate(profiles) if p.dual}
+    rows = reads.withColumn("cut_", segments(F.col("seq"), F.col("qual"), forms, mismatches))
+    hits, founds = [], []
     for i, p in enumerate(profiles):
-        places = {k: F.col("places_")[wanted[a]] for k, a in anchors_of(p).items()}
-        rows = parse_reads(rows, replace(p, dual=None), mismatches, places=places)
-        rows = rows.withColumnsRenamed({c: f"{c}_s{i}" for c in ("p5_seq", "p5_q", "p7_seq", "p7_q", "bc_seq", "bc_q")})
 
-        def quality(k: str, found: Column) -> Column:
-            return found & (F.col(f"p5_q_{k}") >= least) & (F.col(f"bc_q_{k}") >= least)
+        def judged(k: str, structure: str) -> tuple[Column, Column]:
+            s = F.col("cut_")[k]
+            found = s["p5_seq"].isNotNull() & s["bc_seq"].isNotNull()
+            good = found & (s["p5_q"] >= least) & (s["bc_q"] >= least)
+            return found, F.when(good, F.struct(F.lit(p.name).alias("profile"), F.lit(structure).alias("structure"), s["bc_seq"].alias("bc_seq")))
 
-        single = F.col(f"p5_seq_s{i}").isNotNull() & F.col(f"bc_seq_s{i}").isNotNull()
-        hit = _hit(p.name, "single", f"bc_seq_s{i}", quality(f"s{i}", single), single)
+        found, hit = judged(f"s{i}", "single")
         if p.dual is not None:
-            rows = parse_reads(rows, p, mismatches, places=places)
-            rows = rows.withColumnsRenamed({c: f"{c}_d{i}" for c in ("p5_seq", "p5_q", "p7_seq", "p7_q", "bc_seq", "bc_q")})
-            double = F.col(f"p5_seq_d{i}").isNotNull() & F.col(f"bc_seq_d{i}").isNotNull()
-            hit = F.when(F.col(f"p7_seq_d{i}").isNotNull(), _hit(p.name, "dual", f"bc_seq_d{i}", quality(f"d{i}", double), double)).otherwise(hit)
+            seen, (found_2, hit_2) = F.col("cut_")[f"d{i}"]["p7_seq"].isNotNull(), judged(f"d{i}", "dual")
+            found, hit = F.when(seen, found_2).otherwise(found), F.when(seen, hit_2).otherwise(hit)
         hits.append(hit)
-    rows = rows.withColumn("all_", F.array(*hits))
-    good = F.filter("all_", lambda h: h["good"])
-    any_found = F.exists("all_", lambda h: h["found"])
-    outcome = F.when(F.size(good) > 1, "profile_ambiguous").when(F.size(good) == 1, "profile_classified").when(any_found, "quality_filtered").otherwise("profile_not_found")
-    plain = F.transform(good, lambda h: F.struct(h["profile"].alias("profile"), h["structure"].alias("structure"), h["bc_seq"].alias("bc_seq")))
-    return rows.select(*kept, plain.alias("hits"), outcome.alias("profile_outcome"))
+        founds.append(found)
+    good = F.array_compact(F.array(*hits))
+    outcome = F.when(F.size("hits") > 1, "profile_ambiguous").when(F.size("hits") == 1, "profile_classified").when(F.col("any_"), "quality_filtered").otherwise("profile_not_found")
+    return rows.select(*reads.columns, good.alias("hits"), reduce(or_, founds).alias("any_")).withColumn("profile_outcome", outcome).drop("any_")
 
 
 def match_stocks(barcodes: DataFrame, refs: DataFrame, most: int = 0) -> DataFrame:
@@ -125,8 +75,6 @@ def match_stocks(barcodes: DataFrame, refs: DataFrame, most: int = 0) -> DataFra
     if most > 0:
         rest = asked.join(exact.select("profile", F.col("query_seq").alias("bc_seq")).distinct(), ["profile", "bc_seq"], "left_anti")
         exact = exact.unionByName(distance_join(rest, named, most, keys=["profile"], scope="min", query=("bc_seq", "bc_seq"), ref=("ref", "ref_seq")))
-    from ..functions.reads import substitution_suffix
-
     name = F.when(F.col("dist") == 0, F.col("ref_id.ref_name")).otherwise(F.concat_ws("_", F.col("ref_id.ref_name"), substitution_suffix(F.col("ref_seq"), F.col("query_seq"))))
     return exact.groupBy("profile", F.col("query_seq").alias("bc_seq")).agg(
         F.array_sort(F.collect_set(name)).alias("ref_match"), F.array_sort(F.collect_set("ref_id.stock")).alias("stock"), F.min("dist").alias("ldist")
@@ -141,7 +89,7 @@ def resolve(classified: DataFrame, refs: DataFrame, most: int = 0) -> DataFrame:
     # settled, since several reports read it, and so that a report's filter isn't moved below the count, where it would
     # evaluate all anchors of every read once more
     counted = settled(classified.groupBy("profile_outcome", "hits").agg(F.count(F.lit(1)).alias("bc_count")))
-    names = F.array_sort(F.transform("hits", lambda h: h["profile"]))
+    names = F.array_sort(F.col("hits")["profile"])
     rows = counted.select("profile_outcome", names.alias("profiles"), "bc_count", F.explode_outer("hits").alias("hit"))
     rows = rows.select("profile_outcome", "profiles", "bc_count", "hit.profile", F.col("hit.structure").alias("structure"), "hit.bc_seq")
     matched = match_stocks(rows, refs, most)
@@ -200,28 +148,48 @@ def ambiguous_counts(resolved: DataFrame, total: int | None = None) -> DataFrame
 
 
 def named_barcodes(resolved: DataFrame, total: int | None = None, ambiguous: bool = False) -> DataFrame:
-    """Barcodes of every profile with names: a single exact match keeps its reference's name, several are Multi.N, the rest
-    Unique.N, numbered by count (ties by sequence) in each profile (for ambiguous reads, in each set of profiles too).
+    """Barcodes of every profile with names, by structure and match.
 
-    A missing stock is 'Unknown', but for ambiguous reads.
+    A single exact match keeps its reference's name and leaves ref_match empty; sequences with several matches are Multi.N,
+    the rest Unique.N.  N is the place of the sequence by its reads in the whole profile, whatever their structures (ties by
+    sequence).  The ambiguous table holds the candidates of reads with several profiles and, once more, the barcodes of
+    several stocks: its N counts both kinds of a profile together, its proportion is of all its rows, and stocks that are
+    missing stay empty, where the other table has 'Unknown' and proportions of the profile.
     """
     total = _total(resolved) if total is None else total
-    part = resolved.filter(F.col("profile_outcome") == ("profile_ambiguous" if ambiguous else "profile_classified"))
-    group = ["profiles", "profile"] if ambiguous else ["profile"]
-    rows = part.groupBy(*group, F.col("structure").alias("index_structure"), "bc_seq", "ref_match", "stock", "ldist").agg(F.sum("bc_count").alias("bc_count"))
+    if ambiguous:
+        stock = resolved.filter("outcome = 'stock_ambiguous'").withColumns({"ambiguity_type": F.lit("stock"), "profiles": F.array("profile")})
+        part = resolved.filter("outcome = 'profile_ambiguous'").withColumn("ambiguity_type", F.lit("profile")).unionByName(stock)
+        labels, whole = ["ambiguity_type", "profiles"], []
+    else:
+        part = resolved.filter("profile_outcome = 'profile_classified'")
+        labels, whole = [], ["profile"]
+    rows = part.groupBy(*labels, "profile", F.col("structure").alias("index_structure"), "bc_seq", "ref_match", "stock", "ldist").agg(F.sum("bc_count").alias("bc_count"))
     n = F.coalesce(F.size("ref_match"), F.lit(0))
     kind = F.when((n == 1) & (F.col("ldist") == 0), "exact").when(n > 1, "Multi").otherwise("Unique")
-    rows = rows.withColumn("kind_", kind)
-    # a profile may have most barcodes of a run, so ranks and totals don't gather a profile in one task
-    rows = settled(rows.withColumns({"group_": F.concat_ws("/", *group), "tie_": F.concat_ws("\x01", "bc_seq", "index_structure")}))
-    rows = global_rank(rows, "bc_count", "tie_", "rank_", ["group_", "kind_"])
-    totals = rows.groupBy("group_").agg(F.sum("bc_count").alias("whole_"))
-    rows = rows.join(totals, "group_")
-    name = F.when(F.col("kind_") == "exact", F.col("ref_match")[0]).otherwise(F.concat_ws(".", "kind_", F.col("rank_").cast("string")))
-    whole = F.col("whole_")
-    stock = F.array_join("stock", "/")
-    rows = rows.withColumn("bc_name", name).withColumn("proportion", share(F.col("bc_count"), whole)).withColumn("proportion_all_reads", share(F.col("bc_count"), F.lit(total)))
-    out = [F.array_join("profiles", "/").alias("profiles")] if ambiguous else []
-    out += ["profile", "index_structure", "bc_name", "bc_count", "proportion", "bc_seq", F.coalesce(F.array_join("ref_match", "/"), F.lit("")).alias("ref_match")]
-    out += [F.coalesce(stock, F.lit("")).alias("stocks") if ambiguous else F.coalesce(stock, F.lit("Unknown")).alias("stock"), "ldist", "proportion_all_reads"]
-    return rows.select(*out)
+    rows = settled(rows.withColumn("kind_", kind))
+    # names at the grain of sequences, rows at that of structures and labels: a profile's sequences are ranked, then joined
+    sequences = rows.filter("kind_ <> 'exact'").groupBy("profile", "kind_", "bc_seq").agg(F.sum("bc_count").alias("reads_"))
+    ranked = global_rank(sequences, "reads_", "bc_seq", "rank_", ["profile", "kind_"]).select("profile", "kind_", "bc_seq", "rank_")
+    rows = rows.join(ranked, ["profile", "kind_", "bc_seq"], "left")
+    if whole:
+        rows = rows.join(rows.groupBy(*whole).agg(F.sum("bc_count").alias("whole_")), whole)
+    else:
+        rows = rows.withColumn("whole_", F.lit(rows.agg(F.sum("bc_count")).first()[0]))
+    exact = F.col("kind_") == "exact"
+    name = F.when(exact, F.col("ref_match")[0]).otherwise(F.concat_ws(".", "kind_", F.col("rank_").cast("string")))
+    stocks = F.array_join("stock", "/")
+    out = ["ambiguity_type", F.array_join("profiles", "/").alias("profiles")] if ambiguous else []
+    return rows.select(
+        *out,
+        "profile",
+        "index_structure",
+        name.alias("bc_name"),
+        "bc_count",
+        share(F.col("bc_count"), F.col("whole_")).alias("proportion"),
+        "bc_seq",
+        F.when(exact, F.lit("")).otherwise(F.coalesce(F.array_join("ref_match", "/"), F.lit(""))).alias("ref_match"),
+        F.coalesce(stocks, F.lit("")).alias("stocks") if ambiguous else F.coalesce(stocks, F.lit("Unknown")).alias("stock"),
+        "ldist",
+        share(F.col("bc_count"), F.lit(total)).alias("proportion_all_reads"),
+    )

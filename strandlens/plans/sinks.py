@@ -151,8 +151,8 @@ def write_screen_workbook(run: ScreenedRun, path: str, settings: dict[str, objec
         summary += [[title], *grid(table), *([] for _ in range(4))]
     sheets = {"summary": summary}
     for (profile,) in run.barcodes.select("profile").distinct().orderBy("profile").collect():
-        sheets[profile] = grid(run.barcodes.filter(F.col("profile") == profile).drop("profile").orderBy(F.col("bc_count").desc(), "bc_name"))
-    sheets["ambiguous barcodes"] = grid(run.ambiguous_barcodes.orderBy("profiles", "profile", F.col("bc_count").desc(), "bc_name"))
+        sheets[profile] = grid(run.barcodes.filter(F.col("profile") == profile).drop("profile").orderBy(F.col("bc_count").desc(), "bc_seq", "index_structure"))
+    sheets["ambiguous barcodes"] = grid(run.ambiguous_barcodes.orderBy("ambiguity_type", F.col("bc_count").desc(), "bc_seq", "profiles", "profile", "index_structure"))
     sheets["settings"] = settings_rows(settings)
     write_workbook(path, sheets)
 
