@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import base_name
 from ..functions.reads import count_n
 from ..session import keep_checkpoints, settled
 from .flags import SAMPLE, with_above_cutoff, with_proportion
+from .totals import with_totals
 
 
 def collapse_to_parent(df: DataFrame, transitive: bool = False) -> DataFrame:
@@ -18,12 +19,12 @@ def collapse_to_parent(df: DataFrame, transitive: bool = False) -> DataFrame:
     they are.  Only one level is added: what a child gained itself is not passed on, and goes with it if it is dropped
     (as do counts whose parent has no row).  With transitive, a child's parent is replaced by that parent's parent first.
     """
-    sample = Window.partitionBy(*SAMPLE)
     own = [c for c in ("putative_parent", "ldist_samp_lvl") if c in df.columns]
-    chosen = F.lit(None).cast("string")
+    rows = with_totals(settled(df), SAMPLE, **{f"has_{c}_": F.max(F.col(c).isNotNull()) for c in own}) if own else df
+    chosen, any_ = F.lit(None).cast("string"), F.lit(False)
     for c in reversed(own):
-        chosen = F.when(F.max(F.col(c).isNotNull()).over(sample), F.col(c)).otherwise(chosen)
-    rows = df.withColumn("parent_", base_name(chosen)).withColumn("any_", F.max(F.col("parent_").isNotNull()).over(sample))
+        chosen, any_ = F.when(F.col(f"has_{c}_"), F.col(c)).otherwise(chosen), any_ | F.col(f"has_{c}_")
+    rows = rows.withColumns({"parent_": base_name(chosen), "any_": any_}).drop(*(f"has_{c}_" for c in own))
     if transitive:
         rows = rows.drop("parent_").join(root_parents(rows.filter("parent_ IS NOT NULL").select(*SAMPLE, "bc_name", "parent_")), [*SAMPLE, "bc_name"], "left")
     rows = settled(rows)
@@ -75,14 +76,12 @@ def collapse_ambiguous(df: DataFrame) -> DataFrame:
     Rows with more than one N always go from a sample that has any N.  A sample in which nothing can be added keeps its
     rows with one N and its proportions.  above_cutoff is left as it was.
     """
-    sample = Window.partitionBy(*SAMPLE)
     rows = df.withColumn("n_", F.coalesce(count_n(F.col("bc_seq")), F.lit(0))).filter("n_ <= 1")
     rows = rows.withColumn("parent_", base_name(F.col("putative_parent")))
     able = rows.filter("above_cutoff").select(*SAMPLE, F.col("bc_name").alias("parent_"), F.lit(True).alias("able_")).distinct()
     rows = rows.join(able, [*SAMPLE, "parent_"], "left")
     child = (F.col("n_") == 1) & ~F.col("above_cutoff") & F.coalesce("able_", F.lit(False))
-    rows = rows.withColumn("child_", child).withColumn("any_", F.max("child_").over(sample))
-    rows = settled(rows)
+    rows = with_totals(settled(rows.withColumn("child_", child)), SAMPLE, any_=F.max("child_"))
     gained = rows.filter("child_").groupBy(*SAMPLE, F.col("parent_").alias("bc_name")).agg(F.sum("bc_count").alias("gained_"))
     kept = rows.filter("NOT any_ OR n_ = 0").join(gained, [*SAMPLE, "bc_name"], "left")
     kept = kept.withColumn("bc_count", F.col("bc_count") + F.coalesce("gained_", F.lit(0))).withColumn("old_", F.col("proportion"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
+from .totals import with_totals
+
 
 def count_barcodes(parsed: DataFrame) -> DataFrame:
     """idx_seq, bc_seq, bc_count; works the same on a stream."""
@@ -73,6 +76,6 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, key: str, rank: list[str]) -> DataFrame:
-    """All rows of each key's highest rank: later columns of the rank break ties of earlier ones."""
-    order = Window.partitionBy(key).orderBy(*(F.col(c).desc() for c in rank))
-    return df.withColumn("rank_", F.dense_rank().over(order)).filter("rank_ = 1").drop("rank_")
+    """All rows of each key's highest rank: later columns of the rank break ties of earlier ones, nulls are the lowest."""
+    place = F.struct(*rank)
+    return with_totals(settled(df), [key], best_=F.max(place)).filter(place.eqNullSafe(F.col("best_"))).drop("best_")

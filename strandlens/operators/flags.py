@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.reads import has_short_motif
+from ..session import settled
+from .totals import with_totals
 
 SAMPLE = ("sample_id",)
 #: The cutoff of samples whose input is infinite or unknown.
@@ -18,9 +20,9 @@ UNIQUE_FACTOR = 100
 
 def with_proportion(df: DataFrame, keys: Sequence[str] = SAMPLE, places: int | None = None) -> DataFrame:
     """bc_count over the sample's total."""
-    total = F.sum("bc_count").over(Window.partitionBy(*keys))
-    share = F.try_divide(F.col("bc_count").cast("double"), total.cast("double"))
-    return df.withColumn("proportion", share if places is None else F.round(share, places))
+    rows = with_totals(settled(df), keys, total_=F.sum("bc_count"))
+    share = F.try_divide(F.col("bc_count").cast("double"), F.col("total_").cast("double"))
+    return rows.withColumn("proportion", share if places is None else F.round(share, places)).drop("total_")
 
 
 def is_unique(name: Column) -> Column:
@@ -34,14 +36,13 @@ def _named_cutoff(input_: Column) -> Column:
 
 def with_above_cutoff(df: DataFrame, keys: Sequence[str] = SAMPLE) -> DataFrame:
     """Named barcodes above 1/input; unique ones above 100 times the least named proportion that is above, if there is one."""
-    sample = Window.partitionBy(*keys)
     unique = F.coalesce(F.contains(F.col("bc_name"), F.lit("Unique.")), F.lit(False))
-    named = F.col("proportion") > F.col("named_cutoff_")
-    least = F.min(F.when(~unique & named, F.col("proportion"))).over(sample)
-    out = df.withColumn("named_cutoff_", _named_cutoff(F.col("input").cast("double"))).withColumn("least_named_", least)
-    unique_cut = F.coalesce(F.col("least_named_") * UNIQUE_FACTOR, F.col("named_cutoff_"))
+    cut = _named_cutoff(F.col("input").cast("double"))
+    named = F.col("proportion") > cut
+    rows = with_totals(df, keys, least_named_=F.min(F.when(~unique & named, F.col("proportion"))))
+    unique_cut = F.coalesce(F.col("least_named_") * UNIQUE_FACTOR, cut)
     above = F.coalesce(F.when(unique, F.col("proportion") > unique_cut).otherwise(named), F.lit(False))
-    return out.withColumn("above_cutoff", above).drop("named_cutoff_", "least_named_")
+    return rows.withColumn("above_cutoff", above).drop("least_named_")
 
 
 def cutoff_notes(df: DataFrame, keys: Sequence[str] = SAMPLE) -> DataFrame:

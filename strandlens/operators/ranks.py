@@ -1,10 +1,10 @@
 """Names by rank over a whole run or series.
 
-A rank over all rows needs one order of all rows.  `global_rank` avoids the
-single task a window without keys would use: rows are split into ranges at
-approximate quantiles, and a range into groups of one value and one beginning
-of the tie, since very many rows can share a value.  A row's rank is its place
-in its group plus the sizes of the groups and ranges before.
+A rank over all rows needs one order of all rows.  `numbered` avoids the single
+task a window without keys would use: rows are dealt to ranges of the order, as
+many as their number asks for, and sorted inside them; a row's number is its
+place in its range plus the rows of the ranges before.  The order may be as
+uneven as it likes, since whatever makes rows different is part of it.
 """
 
 from __future__ import annotations
@@ -14,33 +14,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
-TIE_PREFIX = 6
+from ..session import settled
+from .totals import join_groups
 
+#: Rows of a range, on average; ranges are cut at sampled rows, so that one may have some times as many.
+RANGE_ROWS = 1 << 18
+#: Fewer rows than that aren't worth a range of their own.
+LEAST_ROWS = 1 << 12
 
-def global_rank(df: DataFrame, by: str, tie: str, rank: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
-    """Rank 1, 2, ... by `by` descending (a number), then by `tie` ascending (text), which must differ between rows.
 
-    With keys, each of their values has ranks of its own; a few values may share all rows.  Keys must not be null.
+def numbered(df: DataFrame, order: Sequence[Column], number: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
+    """Numbers 1, 2, ... in an order that tells all rows apart (rows it doesn't are numbered as they come).
+
+    With keys, each of their values has numbers of its own; a few values may share all rows.  Ranges are computed once and
+    kept, so that a lost executor can't deal rows anew.
     """
     keys = list(keys)
-    steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = df.agg(F.percentile_approx(by, steps, 1000).alias("q")).first()["q"] or []
-    splits = sorted(set(cuts))
-    place = F.size(F.filter(F.array(*map(F.lit, splits)), lambda s: s > F.col(by))) if splits else F.lit(0)
-    rows = df.withColumn("range_", place).withColumn("start_", F.substring(tie, 1, TIE_PREFIX))
-    group = [*keys, "range_", by, "start_"]
-    sizes = rows.groupBy(*group).count()
-    inside = Window.partitionBy(*keys, "range_").orderBy(F.col(by).desc(), "start_").rowsBetween(Window.unboundedPreceding, -1)
-    groups = sizes.withColumn("groups_", F.coalesce(F.sum("count").over(inside), F.lit(0))).drop("count")
-    ranges = sizes.groupBy(*keys, "range_").agg(F.sum("count").alias("count"))
-    ahead = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)  # over at most RANGES rows
-    ranges = ranges.withColumn("ranges_", F.coalesce(F.sum("count").over(ahead), F.lit(0))).drop("count")
-    ranked = rows.withColumn("within_", F.row_number().over(Window.partitionBy(*group).orderBy(tie)))
-    ranked = ranked.join(groups, group)
-    # at most RANGES rows, without keys
-    ranked = ranked.join(ranges, [*keys, "range_"]) if keys else ranked.join(F.broadcast(ranges), "range_")
-    return ranked.withColumn(rank, (F.col("within_") + F.col("groups_") + F.col("ranges_")).cast("long")).drop("range_", "start_", "within_", "groups_", "ranges_")
+    base = settled(df)
+    rows = base.count()
+    parts = max(-(-rows // RANGE_ROWS), min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // LEAST_ROWS)), 1)
+    by = [*map(F.col, keys), *order]
+    # the id of a sorted row: the number of its range, times 2^33, plus its place there
+    ranges = settled(base.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("at_", F.monotonically_increasing_id()))
+    ranges = ranges.withColumns({"range_": F.shiftright("at_", 33), "place_": F.col("at_").bitwiseAND(F.lit((1 << 33) - 1))}).drop("at_")
+    sizes = ranges.groupBy(*keys, "range_").agg(F.min("place_").alias("first_"), F.count(F.lit(1)).alias("n_"))
+    ahead = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each range
+    sizes = sizes.withColumn("before_", F.coalesce(F.sum("n_").over(ahead), F.lit(0))).drop("n_")
+    out = join_groups(ranges, sizes, [*keys, "range_"])
+    return out.withColumn(number, (F.col("place_") - F.col("first_") + F.col("before_") + 1).cast("long")).drop("range_", "place_", "first_", "before_")
+
+
+def global_rank(df: DataFrame, by: str, tie: str, rank: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
+    """Rank 1, 2, ... by `by` descending, then by `tie` ascending, which must differ between rows; of each value of the keys."""
+    return numbered(df, [F.col(by).desc(), F.col(tie)], rank, keys)
 
 
 def name_discovered(df: DataFrame, refs: DataFrame, prefix: str = "BC") -> DataFrame:
