@@ -20,6 +20,7 @@ from .plans import compile as compiled
 from .plans import views
 from .profiles import PROFILES, ReadProfile
 from .schema import conform
+from .session import scratch
 from .sources import refs as references
 from .sources import runinfo, workbook
 
@@ -332,6 +333,29 @@ def dist_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edges(distance.RefIndex(s, "id", "seq").query(s, "id", "seq", 4, exclude_same_id=True))
 
 
+@query(f"WITH {_SEQS.format(d=2)} SELECT query_id, ref_id, dist FROM near")
+def dist_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored index of half of the parts, to which the others are added."""
+    q, r = _sides(spark, sf_dir)
+    index = distance.RefIndex.build(r.filter("ref_id % 2 = 0"), "ref_id", "ref_seq", scratch(spark), 2)
+    index.add(r.filter("ref_id % 2 = 1"), "ref_id", "ref_seq")
+    return _edges(index.query(q, "query_id", "query_seq", 2, exclude_same_id=True))
+
+
+def weighted_changes(a: str, b: str) -> int:
+    """Changed bases, 1 within purines or pyrimidines, else 2; other lengths are further than any change."""
+    if len(a) != len(b):
+        return 2 * max(len(a), len(b)) + abs(len(a) - len(b))
+    return sum(0 if x == y else 1 if {x, y} in ({"A", "G"}, {"C", "T"}) else 2 for x, y in zip(a, b, strict=True))
+
+
+@query(f"WITH a AS (SELECT s_suppkey AS id, {dna_sql('s_suppkey * 7919 % 65536', 8)} AS seq FROM supplier), p AS (SELECT x.id AS query_id, y.id AS ref_id, list_sum(list_transform(range(1, 9), lambda i: CASE WHEN substr(x.seq, i, 1) = substr(y.seq, i, 1) THEN 0 WHEN translate(substr(x.seq, i, 1), 'GT', 'AC') = translate(substr(y.seq, i, 1), 'GT', 'AC') THEN 1 ELSE 2 END))::INT AS dist FROM a x, a y WHERE x.id <> y.id) SELECT * FROM p WHERE dist <= 4")
+def dist_own_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric of the caller's own, by landmarks."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), dna(F.col("s_suppkey") * 7919 % 65536, 8).alias("seq"))
+    return _edges(distance.distance_join(s, s, 4, metric=weighted_changes, exclude_same_id=True, query=("id", "seq"), ref=("id", "seq")))
+
+
 # the longest common subsequence by the usual recurrence, row by row
 _LCS = f"""WITH RECURSIVE a AS (SELECT s_suppkey AS id, {dna_sql('s_suppkey * 7919 % 4096', 6)} AS seq FROM supplier),
 p AS (SELECT x.id AS q, y.id AS r, x.seq AS s, y.seq AS t FROM a x, a y WHERE x.id <> y.id),

@@ -8,7 +8,6 @@ is legal and stays empty).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..profiles import ReadProfile
+from . import metrics
 
 #: Quality given to bases that a fill adds.
 FILL_QUALITY = 30
@@ -328,12 +328,6 @@ def has_short_motif(seq: Column, motif: str = SHORT_MOTIF) -> Column:
     return F.coalesce(F.contains(seq, F.lit(motif)), F.lit(False))
 
 
-def hamming(a: Column, b: Column) -> Column:
-    """Positions that differ; null where lengths do."""
-    places = F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1)))
-    return F.when(F.length(a) == F.length(b), F.aggregate(places, F.lit(0), lambda n, i: n + (F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))).cast("int")))
-
-
 def substitution_suffix(parent: Column, child: Column) -> Column:
     """Substitutions as position and new base joined by '-', 'indel' where bases were added or lost, 'other' for none.
 
@@ -349,36 +343,7 @@ def substitution_suffix(parent: Column, child: Column) -> Column:
     )
 
 
-def edit_path(parent: str, child: str) -> str:
-    """A shortest edit script in run-length form: = kept, X replaced, I added, D lost; replacing is preferred."""
-    n, m = len(parent), len(child)
-    d = np.zeros((n + 1, m + 1), dtype=np.int32)
-    d[:, 0], d[0, :] = np.arange(n + 1), np.arange(m + 1)
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            d[i, j] = min(d[i - 1, j - 1] + (parent[i - 1] != child[j - 1]), d[i - 1, j] + 1, d[i, j - 1] + 1)
-    steps, i, j = [], n, m
-    while i or j:
-        if i and j and d[i, j] == d[i - 1, j - 1] + (parent[i - 1] != child[j - 1]):
-            steps.append("=" if parent[i - 1] == child[j - 1] else "X")
-            i, j = i - 1, j - 1
-        elif i and d[i, j] == d[i - 1, j] + 1:
-            steps.append("D")
-            i -= 1
-        else:
-            steps.append("I")
-            j -= 1
-    out, last = [], ""
-    for s in reversed(steps):
-        if s == last:
-            out[-1][0] += 1
-        else:
-            out.append([1, s])
-            last = s
-    return "".join(f"{k}{s}" for k, s in out)
-
-
-@F.pandas_udf(StringType())
-def edit_path_suffix(parents: pd.Series, children: pd.Series) -> pd.Series:
-    """The run-length edit script from each parent to its child."""
-    return pd.Series([None if p is None or c is None else edit_path(p, c) for p, c in zip(parents, children, strict=True)])
+@F.arrow_udf(StringType())
+def edit_path_suffix(parents: pa.Array, children: pa.Array) -> pa.Array:
+    """The shortest edit script from each parent to its child in run-length form: = kept, X replaced, I added, D lost."""
+    return metrics.edit_scripts(parents, children)

@@ -5,24 +5,35 @@ at most d deletions from either, so for small d the join is an equi-join on
 deletion forms followed by an exact check.  For larger d a text is cut into d + 1
 segments: d edits leave one of them as it is, at most d places from where it was,
 so the join is an equi-join on (length, segment number, segment).  The other
-metrics bound the Levenshtein distance and go the same way.  Whatever keys the
-caller gives (sample, profile) are part of the equi-join, so one join serves all
-groups.
+metrics bound the Levenshtein distance and go the same way.  A function of the
+caller's own that is a metric is joined by bands of the distances to a few
+landmarks, which the triangle inequality keeps apart.  Whatever keys the caller
+gives (sample, profile) are part of the equi-join, so one join serves all groups.
 """
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from ..functions.reads import hamming
+from ..functions import metrics
 from ..session import settled
 
 #: Distances up to this use deletion forms; beyond it the number of forms grows too fast.
 MOST_DELETIONS = 2
+#: Landmarks whose distances are compared before a caller's metric is asked, and how many of them make bands.
+LANDMARKS = 4
+BANDED = 2
+Metric = str | Callable[[str, str], int]
 
 
 def deletion_forms(seq: Column, d: int) -> Column:
@@ -41,64 +52,38 @@ def deletion_forms(seq: Column, d: int) -> Column:
     return forms
 
 
-def _optimal_alignment(a: str, b: str) -> int:
-    """Edits where swapping two neighbours counts as one, each part edited once."""
-    rows = [list(range(len(b) + 1))]
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            best = min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                best = min(best, rows[-2][j - 2] + 1)
-            row.append(best)
-        rows.append(row)
-    return rows[-1][-1]
-
-
-def _common_subsequence(a: str, b: str) -> int:
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
-
-
 #: A distance of r by a metric is at most so many times r Levenshtein edits: deletions and insertions are edits; where only the
 #: longer text's rest counts, there are at most as many insertions as deletions; a swap is two edits.
 EDITS = {"levenshtein": 1, "indel": 1, "lcsseq": 2, "osa": 2}
-#: Distances beside Levenshtein and Hamming, by name.
-PYTHON_METRICS: dict[str, Callable[[str, str], int]] = {
-    "indel": lambda a, b: len(a) + len(b) - 2 * _common_subsequence(a, b),
-    "lcsseq": lambda a, b: max(len(a), len(b)) - _common_subsequence(a, b),
-    "osa": _optimal_alignment,
-}
 
 
-def distance(metric: str | Callable[[str, str], int], left: Column, right: Column, limit: int | None = None) -> Column:
+def distance(metric: Metric, left: Column, right: Column, limit: int | None = None) -> Column:
     """The distance of two texts by a metric's name (in any case) or by a function of two texts; null beyond the limit.
 
     Hamming raises on texts of different lengths.
     """
     if callable(metric):
-        own = metric
+
+        @F.pandas_udf(IntegerType())
+        def own(a: pd.Series, b: pd.Series) -> pd.Series:
+            return pd.Series([None if x is None or y is None else int(metric(x, y)) for x, y in zip(a, b, strict=True)], dtype="Int32")
+
+        found = own(left, right)
     else:
         name = metric.lower()
         if name == "levenshtein":
             found = F.levenshtein(left, right) if limit is None else F.levenshtein(left, right, limit)
             return found if limit is None else F.when(found >= 0, found)
-        if name == "hamming":
-            found = F.when(F.length(left) != F.length(right), F.raise_error(F.lit("Hamming distance of different lengths")).cast("int")).otherwise(hamming(left, right))
-            return found if limit is None else F.when(found <= limit, found)
-        if name not in PYTHON_METRICS:
+        if name not in metrics.METRICS:
             raise ValueError(f"unknown distance {metric!r}")
-        own = PYTHON_METRICS[name]
 
-    @F.pandas_udf("int")
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else int(own(x, y)) for x, y in zip(a, b, strict=True)], dtype="Int32")
+        @F.arrow_udf(IntegerType())
+        def known(a: pa.Array, b: pa.Array) -> pa.Array:
+            return metrics.metric(a, b, name)
 
-    found = run(left, right)
+        found = known(left, right)
+        if name == "hamming":
+            found = F.when(F.length(left) != F.length(right), F.raise_error(F.lit("Hamming distance of different lengths")).cast("int")).otherwise(found)
     return found if limit is None else F.when(found <= limit, found)
 
 
@@ -135,6 +120,101 @@ def segment_probes(seq: Column, d: int, shift: bool = True) -> Column:
     return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
 
 
+def _by_forms(name: str | None, radius: int) -> bool:
+    return name in ("levenshtein", "hamming") and radius <= MOST_DELETIONS
+
+
+def _forms(rows: DataFrame, seq: str, metric: str, radius: int, asked: bool, deletions: int | None = None) -> DataFrame:
+    """rows with `form`, one row for each form of which two texts within the radius have one in common.
+
+    asked: the side that looks for the other's segments in neighbouring places.  Texts with as many characters as edits or
+    fewer have segments without a character, which say nothing: `_short` compares those.
+    """
+    name = metric.lower()
+    if _by_forms(name, radius):
+        return rows.withColumn("form", F.explode(deletion_forms(F.col(seq), radius if deletions is None else deletions)))
+    edits = radius * EDITS.get(name, 1)
+    parts = segment_probes(F.col(seq), edits, name != "hamming") if asked else segments(F.col(seq), edits)
+    cut = rows.withColumn("part_", F.explode(parts)).filter("part_.segment <> ''")
+    return cut.withColumn("form", F.concat_ws(":", "part_.length", "part_.number", "part_.segment")).drop("part_")
+
+
+def _short(q: DataFrame, r: DataFrame, keys: list[str], metric: str, radius: int) -> DataFrame | None:
+    """Pairs of texts that are too short to be found by segments: different texts are compared once, then they get their ids."""
+    name = metric.lower()
+    if _by_forms(name, radius):
+        return None
+    edits = radius * EDITS.get(name, 1)
+    few = r.filter(F.length("ref_seq") <= edits)
+    near = q.filter(F.length("query_seq") <= 2 * edits)
+    lengths = F.explode(F.sequence(F.greatest(F.length("query_seq") - edits, F.lit(0)), F.length("query_seq") + edits))
+    texts = near.select(*keys, "query_seq").distinct().withColumn("length_", lengths)
+    met = texts.join(few.select(*keys, "ref_seq", F.length("ref_seq").alias("length_")).distinct(), [*keys, "length_"]).drop("length_")
+    met = _checked(met, metric, radius)
+    return met.join(near, [*keys, "query_seq"]).join(few, [*keys, "ref_seq"]).select(*keys, "query_id", "query_seq", "ref_id", "ref_seq", "dist")
+
+
+def _checked(pairs: DataFrame, metric: Metric, radius: int) -> DataFrame:
+    """Pairs whose texts are within the radius, with dist."""
+    if metric == "hamming":
+        pairs = pairs.filter(F.length("query_seq") == F.length("ref_seq"))
+    return pairs.withColumn("dist", distance(metric, F.col("query_seq"), F.col("ref_seq"), radius)).filter("dist IS NOT NULL")
+
+
+def _met(q: DataFrame, r: DataFrame, forms: DataFrame, keys: list[str], metric: str, radius: int, built: int | None = None) -> DataFrame:
+    """Pairs within the radius, of queries and the forms of references; built: the radius the forms were made for."""
+    made = radius if built is None else built
+    asked = _forms(q, "query_seq", metric, made, True, radius if _by_forms(metric, made) else None)
+    near = asked.join(forms, [*keys, "form"])
+    # each pair meets once for every common form: keep one before anything is counted
+    if _by_forms(metric, made):
+        pairs = _checked(near, metric, radius).drop("form").distinct()
+    else:
+        pairs = _checked(near.drop("form").distinct(), metric, radius)
+    short = _short(q, r, keys, metric, made)
+    if short is not None:
+        pairs = pairs.unionByName(short.filter(F.col("dist") <= radius)).distinct()
+    return pairs
+
+
+def landmark_join(q: DataFrame, r: DataFrame, radius: int, keys: Sequence[str], metric: Callable[[str, str], int]) -> DataFrame:
+    """Pairs within the radius by a metric that nothing else is known of.
+
+    The distances of two such texts to any landmark differ by at most the radius.  Bands of radius + 1 of the distances to
+    BANDED landmarks make an equi-join (a reference stands in its own bands and those beside), the others are compared
+    before the metric is asked.  Landmarks are LANDMARKS texts of the references, by the order of a hash.
+    """
+    keys = list(keys)
+    marks = [x[0] for x in r.select("ref_seq").distinct().orderBy(F.xxhash64("ref_seq"), "ref_seq").limit(LANDMARKS).collect()]
+    if not marks:
+        return q.join(r, keys, "inner").limit(0).withColumn("dist", F.lit(0)) if keys else q.join(r, F.lit(False)).withColumn("dist", F.lit(0))
+
+    @F.pandas_udf("array<int>")
+    def places(texts: pd.Series) -> pd.Series:
+        return pd.Series([[int(metric(t, m)) for m in marks] for t in texts])
+
+    def banded(rows: DataFrame, seq: str, at: str) -> DataFrame:
+        rows = rows.withColumn(at, places(F.col(seq)))
+        return rows.withColumns({f"band_{i}": F.floor(F.col(at)[i] / (radius + 1)) for i in range(bands)})
+
+    bands = min(BANDED, len(marks))
+    beside = F.array(*(F.struct(*(F.lit(m).alias(f"move_{i}") for i, m in enumerate(moves))) for moves in itertools.product((-1, 0, 1), repeat=bands)))
+    right = banded(r, "ref_seq", "ref_at_").withColumn("move_", F.explode(beside))
+    right = right.withColumns({f"band_{i}": F.col(f"band_{i}") + F.col("move_")[f"move_{i}"] for i in range(bands)}).drop("move_")
+    names = [f"band_{i}" for i in range(bands)]
+    near = banded(q, "query_seq", "query_at_").join(right, [*keys, *names]).drop(*names)
+    close = reduce(and_, (F.abs(F.col("query_at_")[i] - F.col("ref_at_")[i]) <= radius for i in range(len(marks))))
+    return _checked(near.filter(close).drop("query_at_", "ref_at_"), metric, radius)
+
+
+def block_join(q: DataFrame, r: DataFrame, radius: int, keys: Sequence[str], metric: Callable[[str, str], int]) -> DataFrame:
+    """Pairs within the radius by a function that is no metric: every query against all references of its key, in blocks of references, so that no key is one task's."""
+    blocks = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = q.withColumn("block_", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = r.withColumn("block_", F.pmod(F.xxhash64("ref_id", "ref_seq"), F.lit(blocks)).cast("int"))
+    return _checked(left.join(right, [*keys, "block_"]).drop("block_"), metric, radius)
+
+
 def distance_join(
     queries: DataFrame,
     refs: DataFrame,
@@ -142,16 +222,17 @@ def distance_join(
     keys: Sequence[str] = (),
     scope: str = "radius",
     tie: str = "all",
-    metric: str | Callable[[str, str], int] = "levenshtein",
+    metric: Metric = "levenshtein",
     exclude_same_id: bool = False,
     query: tuple[str, str] = ("query_id", "query_seq"),
     ref: tuple[str, str] = ("ref_id", "ref_seq"),
+    is_metric: bool | None = None,
 ) -> DataFrame:
     """(keys..., query_id, query_seq, ref_id, ref_seq, dist) of neighbours within the radius.
 
     scope: radius (all), min (only the nearest of each query) or exact (distance equal to the radius).  tie, for min: all,
     min_id or first (the same thing: the least id of the nearest).  Null texts and ids match nothing; an (id, text) that
-    occurs twice counts once.
+    occurs twice counts once.  is_metric, of a function of the caller's: if unknown, some of the texts are probed.
     """
     if radius < 0:
         raise ValueError("the radius can't be negative")
@@ -160,8 +241,8 @@ def distance_join(
     keys = list(keys)
     q = queries.select(*keys, F.col(query[0]).alias("query_id"), F.col(query[1]).alias("query_seq")).dropna().distinct()
     r = refs.select(*keys, F.col(ref[0]).alias("ref_id"), F.col(ref[1]).alias("ref_seq")).dropna().distinct()
-    name = metric.lower() if isinstance(metric, str) else None
-    if scope == "min" and radius > 1 and name in ("levenshtein", "hamming"):
+    metric = metric.lower() if isinstance(metric, str) else metric
+    if scope == "min" and radius > 1 and metric in ("levenshtein", "hamming"):
         # the nearest of most queries are within less than the radius: only the others are looked for further
         inner = distance_join(q, r, radius - 1, keys, "min", tie, metric, exclude_same_id)
         kept = settled(inner)
@@ -171,27 +252,22 @@ def distance_join(
             first = Window.partitionBy(*keys, "query_id", "query_seq").orderBy("ref_id")
             outer = outer.withColumn("rank_", F.row_number().over(first)).filter("rank_ = 1").drop("rank_")
         return kept.unionByName(outer)
-    if name in ("levenshtein", "hamming") and radius <= MOST_DELETIONS:
-        if radius == 0:
-            pairs = q.join(r.withColumn("query_seq", F.col("ref_seq")), [*keys, "query_seq"]).withColumn("dist", F.lit(0))
-        else:
-            left = q.withColumn("form", F.explode(deletion_forms(F.col("query_seq"), radius)))
-            right = r.withColumn("form", F.explode(deletion_forms(F.col("ref_seq"), radius)))
-            near = left.join(right, [*keys, "form"])
-            if name == "hamming":
-                near = near.filter(F.length("query_seq") == F.length("ref_seq"))
-            # each pair meets once for every common form: keep one before anything is counted
-            pairs = near.withColumn("dist", distance(metric, F.col("query_seq"), F.col("ref_seq"), radius)).filter("dist IS NOT NULL").drop("form").distinct()
-    elif name == "hamming" or name in EDITS:
-        edits = radius * EDITS.get(name, 1)
-        left = q.withColumn("part", F.explode(segment_probes(F.col("query_seq"), edits, name != "hamming")))
-        right = r.withColumn("part", F.explode(segments(F.col("ref_seq"), edits)))
-        met = left.join(right, [*keys, "part"]).drop("part").distinct()
-        pairs = met.withColumn("dist", distance(metric, F.col("query_seq"), F.col("ref_seq"), radius)).filter("dist IS NOT NULL")
+    if callable(metric):
+        if is_metric is None:
+            texts = q.select(F.col("query_seq").alias("s")).union(r.select("ref_seq"))
+            is_metric = not any(probe_metric(texts, "s", metric).values())
+        pairs = (landmark_join if is_metric else block_join)(q, r, radius, keys, metric)
+    elif metric not in EDITS and metric != "hamming":
+        raise ValueError(f"unknown distance {metric!r}")
+    elif radius == 0 and metric in ("levenshtein", "hamming"):
+        pairs = q.join(r.withColumn("query_seq", F.col("ref_seq")), [*keys, "query_seq"]).withColumn("dist", F.lit(0))
     else:
-        # nothing is known of a metric of the caller's own: all pairs of a key
-        both = q.join(r, keys) if keys else q.crossJoin(r)
-        pairs = both.withColumn("dist", distance(metric, F.col("query_seq"), F.col("ref_seq"), radius)).filter("dist IS NOT NULL")
+        pairs = _met(q, r, _forms(r, "ref_seq", metric, radius, False), keys, metric, radius)
+    return _scoped(pairs, keys, radius, scope, tie, exclude_same_id)
+
+
+def _scoped(pairs: DataFrame, keys: Sequence[str], radius: int, scope: str, tie: str, exclude_same_id: bool) -> DataFrame:
+    """Of the pairs within the radius those that a scope asks for."""
     if exclude_same_id:
         pairs = pairs.filter(F.col("query_id") != F.col("ref_id"))
     if scope == "exact":
@@ -220,17 +296,65 @@ def as_map(edges: DataFrame) -> DataFrame:
 
 
 class RefIndex:
-    """References to search: ids and texts of a DataFrame, with the metric they are compared by."""
+    """References to search: ids and texts of a DataFrame, with the metric they are compared by.
+
+    `build` writes the forms of the references once, as a table bucketed by form: queries read it as it is, without
+    making forms of the references or shuffling them again, and `add` puts new references into the same buckets.
+    """
 
-    def __init__(self, refs: DataFrame, id_col: str, seq_col: str, metric: str | Callable[[str, str], int] = "levenshtein"):
+    def __init__(self, refs: DataFrame, id_col: str, seq_col: str, metric: Metric = "levenshtein"):
         self.refs = refs.select(F.col(id_col).alias("ref_id"), F.col(seq_col).alias("ref_seq"))
-        self.metric = metric
+        self.metric = metric.lower() if isinstance(metric, str) else metric
+        self.forms: DataFrame | None = None
+
+    @classmethod
+    def build(cls, refs: DataFrame, id_col: str, seq_col: str, path: str, radius: int, metric: str = "levenshtein", buckets: int = 64) -> RefIndex:
+        """A stored index at path (a folder of the cluster's store), for queries up to the radius."""
+        if radius < 0:
+            raise ValueError("the radius can't be negative")
+        if callable(metric) or (metric.lower() not in EDITS and metric.lower() != "hamming"):
+            raise ValueError("an index is stored for a known metric only")
+        spark = refs.sparkSession
+        about = spark.createDataFrame([(metric.lower(), radius, buckets, refs.schema[id_col].dataType.simpleString())], "metric string, radius int, buckets int, id_type string")
+        about.coalesce(1).write.parquet(f"{path}/about")
+        index = cls.open(spark, path)
+        index.add(refs, id_col, seq_col)
+        return index
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> RefIndex:
+        """An index that `build` has stored, in this session or another."""
+        about = spark.read.parquet(f"{path}/about").first()
+        table = f"ref_index_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE {table} (ref_id {about['id_type']}, ref_seq STRING, form STRING) USING parquet CLUSTERED BY (form) INTO {about['buckets']} BUCKETS LOCATION '{path}/forms'")
+        spark.sql(f"CREATE TABLE {table}_texts (ref_id {about['id_type']}, ref_seq STRING) USING parquet LOCATION '{path}/texts'")
+        index = cls(spark.table(f"{table}_texts"), "ref_id", "ref_seq", about["metric"])
+        index.table, index.radius, index.buckets, index.forms = table, about["radius"], about["buckets"], spark.table(table)
+        return index
+
+    def add(self, refs: DataFrame, id_col: str, seq_col: str) -> None:
+        """More references for a stored index; what is in it already does no harm."""
+        rows = settled(refs.select(F.col(id_col).alias("ref_id"), F.col(seq_col).alias("ref_seq")).dropna().distinct())
+        forms = _forms(rows, "ref_seq", self.metric, self.radius, False).repartition(self.buckets, "form")  # a file for each bucket
+        forms.select("ref_id", "ref_seq", "form").write.insertInto(self.table)
+        rows.write.insertInto(f"{self.table}_texts")
+        spark = refs.sparkSession
+        spark.catalog.refreshTable(self.table)
+        spark.catalog.refreshTable(f"{self.table}_texts")
+        self.refs, self.forms = spark.table(f"{self.table}_texts"), spark.table(self.table)
 
     def query(self, queries: DataFrame, id_col: str, seq_col: str, radius: int, **options) -> DataFrame:
-        return distance_join(queries, self.refs, radius, metric=self.metric, query=(id_col, seq_col), **options)
+        """Neighbours within the radius, as `distance_join` has them."""
+        if self.forms is None:
+            return distance_join(queries, self.refs, radius, metric=self.metric, query=(id_col, seq_col), **options)
+        if not 0 <= radius <= self.radius:
+            raise ValueError(f"this index serves a radius of 0 to {self.radius}")
+        q = queries.select(F.col(id_col).alias("query_id"), F.col(seq_col).alias("query_seq")).dropna().distinct()
+        pairs = _met(q, self.refs.distinct(), self.forms, [], self.metric, radius, self.radius)
+        return _scoped(pairs, [], radius, options.get("scope", "radius"), options.get("tie", "all"), options.get("exclude_same_id", False))
 
 
-def probe_metric(texts: DataFrame, seq_col: str, metric: str | Callable[[str, str], int], samples: int = 200, seed: int = 0) -> dict[str, int]:
+def probe_metric(texts: DataFrame, seq_col: str, metric: Metric, samples: int = 200, seed: int = 0) -> dict[str, int]:
     """Violations of identity, symmetry and the triangle inequality among at most `samples` texts (a stated bound)."""
     some = texts.select(F.col(seq_col).alias("s")).dropna().distinct().orderBy(F.xxhash64("s", F.lit(seed))).limit(samples)
     numbered = some.withColumn("n", F.row_number().over(Window.orderBy("s")))

@@ -19,14 +19,14 @@ from .plans import compile as compiled
 from .plans import sinks
 from .plans.parse import ParsedRun, ParseSettings, parse_run
 from .schema import conform
-from .session import settled, shared_folder
+from .session import scratch, settled
 from .sources import fastq, refs, runinfo, workbook
 from .streaming.counts import streaming_counts
 
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder in the shared one, for files that driver and executors both open."""
-    path = os.path.join(shared_folder(spark).removeprefix("file://").removeprefix("file:"), "strandlens", uuid.uuid4().hex)
+    path = scratch(spark).removeprefix("file://").removeprefix("file:")
     os.makedirs(path)
     return path
 

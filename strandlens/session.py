@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -38,6 +41,25 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_scratch: dict[str, SparkSession] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """The path of a new folder in the shared one, which is removed when the program ends."""
+    path = f"{shared_folder(spark)}/strandlens/{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch[path] = spark
+    return path
+
+
+def _remove_scratch() -> None:
+    for path, spark in _scratch.items():
+        if spark.sparkContext._jsc is not None:  # a stopped session leaves its folders to their owner
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
 def keep_checkpoints(spark: SparkSession) -> None:
     """Checkpoints go to the shared folder."""
     shared_folder(spark)
