@@ -18,7 +18,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the passage classifier rejects go.
 
     Null and empty texts are scored as texts without words; rows with a null id are scored like others.  Without labels of
-    both kinds no document reaches the threshold.
+    both kinds nothing can be learnt, so nothing is rejected: every document stays.
     """
     return passages.keep_good(docs, passages.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
@@ -32,7 +32,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Values that look live and belong to one owner are replaced in the texts.
+    """Values that look live and that few owners or repositories have are replaced in the texts; widely copied examples stay.
 
     Every row stays; a null text stays null; a null source is one owner of its own.
     """

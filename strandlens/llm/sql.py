@@ -12,21 +12,18 @@ def _quoted(pattern: str) -> str:
 
 def _kind(number: int, pattern: str, least: int, left: str) -> str:
     value = f"regexp_replace(hit, '^{_quoted(left)}', '')" if left else "hit"
-    return f"""SELECT doc_id, repo, body, {number} AS kind, e - length(hit) AS s, e, e - length(v) AS vs, v FROM (
-      SELECT doc_id, repo, body, hit, {value} AS v, e FROM (
-        SELECT doc_id, repo, body, regexp_extract(piece, '{_quoted(pattern)}') AS hit, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS e
-        FROM (SELECT doc_id, repo, body, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (
-          SELECT doc_id, coalesce(source, '') AS repo, md5(coalesce(text, '')) AS body, regexp_extract_all(coalesce(text, ''), '(?s).*?(?:{_quoted(pattern)})', 0) AS p FROM documents))))
+    return f"""SELECT doc_id, repo, {number} AS kind, e - length(hit) AS s, e, e - length(v) AS vs, v FROM (
+      SELECT doc_id, repo, hit, {value} AS v, e FROM (
+        SELECT doc_id, repo, regexp_extract(piece, '{_quoted(pattern)}') AS hit, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS e
+        FROM (SELECT doc_id, repo, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (
+          SELECT doc_id, coalesce(source, '') AS repo, regexp_extract_all(coalesce(text, ''), '(?s).*?(?:{_quoted(pattern)})', 0) AS p FROM documents))))
     WHERE length(v) >= {least}"""
 
 
 NAMES = "['assign', 'access', 'hex', 'live'][kind + 1] || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT)"
 SECRETS = f"""
 WITH found AS ({_kind(0, ASSIGN_LEFT + ASSIGN_VALUE, 12, ASSIGN_LEFT)} UNION ALL {_kind(1, ACCESS, 18, "")} UNION ALL {_kind(2, HEX, 16, "")}),
-texts AS (SELECT v, count(DISTINCT body) AS texts FROM found GROUP BY 1),
-repos AS (SELECT v, count(*) AS n, max(held) AS most FROM (SELECT v, repo, count(DISTINCT body) AS held FROM found GROUP BY 1, 2) GROUP BY 1),
-owners AS (SELECT v, count(*) AS n, max(held) AS most FROM (SELECT v, split_part(repo, '/', 1) AS owner, count(DISTINCT body) AS held FROM found GROUP BY 1, 2) GROUP BY 1),
-held AS (SELECT v, least(o.n, texts - o.most + 1) AS n_owners, least(r.n, texts - r.most + 1) AS n_repos FROM texts JOIN owners o USING (v) JOIN repos r USING (v)),
+held AS (SELECT v, count(DISTINCT split_part(repo, '/', 1)) AS n_owners, count(DISTINCT repo) AS n_repos FROM found GROUP BY 1),
 owned AS (SELECT *, n_owners >= {COPIED_OWNERS} AND n_repos >= {COPIED_REPOS} AS copied FROM held),
 judged AS (SELECT f.*, n_owners, n_repos, NOT copied AND len(list_distinct(string_split(v, ''))) >= {LIVE_CHARACTERS} AS live, copied FROM found f JOIN owned USING (v)),
 spans AS (SELECT doc_id, kind, s, e FROM judged UNION SELECT doc_id, 3, vs, e FROM judged WHERE live),

@@ -114,7 +114,7 @@ SECRETS = [
 
 def test_secrets(spark):
     docs = make(spark, SECRETS, sources=[f"s{i}" for i in range(len(SECRETS))])
-    found = {r["doc_id"]: r for r in secret_scan.find_secrets(docs).collect()}
+    found = {r["doc_id"]: r for r in secret_scan.find_secrets(docs, copied_owners=2, copied_repos=2).collect()}
     for i, t in enumerate(SECRETS):
         spans = base_spans(t or "")
         text = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in spans)
@@ -128,17 +128,25 @@ def test_secrets(spark):
     assert secret_scan.find_secrets(docs.limit(0)).count() == 0
 
 
-def test_copies_of_a_text_keep_its_secrets_live(spark):
-    mine, other, shared = "my password=A1b2C3d4E5f6G7 here", "again password=A1b2C3d4E5f6G7", "token: Z9y8X7w6V5u4T3"
-    texts = [mine, mine, mine, other, shared, shared + " seen elsewhere", SECRETS[1], SECRETS[1]]
-    docs = make(spark, texts, sources=["a/x", "b/x", "c/x", "a/y", "a/x", "d/x", "a/x", "a/y"])
-    found = {r["doc_id"]: (r["n_live"], r["n_copied"]) for r in secret_scan.find_secrets(docs).collect()}
-    assert [found[i] for i in range(8)] == [(1, 0)] * 4 + [(0, 1)] * 2 + [found[6]] * 2 and found[6][0] > 0 and found[6][1] == 0
+def test_widely_copied_values_are_examples(spark):
+    """Distinct owners and repositories are counted, whatever texts a value came with."""
+    readme, mine = "set token: Z9y8X7w6V5u4T3 first", "my password=A1b2C3d4E5f6G7 here"
+    texts = [readme] * 40 + [mine] * 4 + [mine + " again", "secret: Q1w2E3r4T5y6U7"] + ["secret: K1w2E3r4T5y6U7"] * 6
+    # 40 owners with one repository each; 4 owners; one owner; 6 repositories of two owners
+    sources = [f"o{i}/r" for i in range(40)] + [f"p{i}/r" for i in range(4)] + ["p0/r", "q/r"] + [f"w{i % 2}/r{i}" for i in range(6)]
+    docs = make(spark, texts, sources=sources)
+    found = {r["doc_id"]: (r["n_live"], r["n_copied"], r["most_owners"], r["most_repos"]) for r in secret_scan.find_secrets(docs).collect()}
+    assert [found[i] for i in range(40)] == [(0, 1, 40, 40)] * 40
+    assert [found[i] for i in range(40, 45)] == [(1, 0, 4, 4)] * 5 and found[45] == (1, 0, 1, 1)
+    assert [found[i] for i in range(46, 52)] == [(1, 0, 2, 6)] * 6
     out = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
-    assert [out[i] for i in range(4)] == ["my password=[SECRET] here"] * 3 + ["again password=[SECRET]"] and out[4] == shared
-    # several owners, but one repository has every text
-    one = docs.withColumn("owner", F.concat(F.lit("o"), F.col("doc_id").cast("string"))).withColumn("source", F.lit("r")).filter("doc_id IN (4, 5)")
-    assert {(r["n_live"], r["n_copied"]) for r in secret_scan.find_secrets(one, owner_col="owner").collect()} == {(1, 0)}
+    assert out[0] == readme and out[40] == "my password=[SECRET] here" and out[46] == "secret: [SECRET]"
+    # one owner fewer than it takes; an owner column of its own
+    five = docs.filter("doc_id < 5")
+    assert {r["n_copied"] for r in secret_scan.find_secrets(five).collect()} == {1}
+    assert {r["n_copied"] for r in secret_scan.find_secrets(five.filter("doc_id > 0")).collect()} == {0}
+    one = five.withColumn("owner", F.lit("same"))
+    assert {(r["n_live"], r["n_copied"], r["most_owners"], r["most_repos"]) for r in secret_scan.find_secrets(one, owner_col="owner").collect()} == {(1, 0, 1, 5)}
 
 
 def test_many_secrets_in_one_text(spark, monkeypatch):
@@ -169,7 +177,7 @@ def test_owners_and_repositories(spark):
 
 def test_redaction(spark):
     docs = make(spark, SECRETS, sources=[f"s{i}" for i in range(len(SECRETS))])
-    out = {r["doc_id"]: r for r in secret_scan.redact(docs).collect()}
+    out = {r["doc_id"]: r for r in secret_scan.redact(docs, copied_owners=2, copied_repos=2).collect()}
     assert out[0]["text"].startswith("é😀 password: [SECRET] end") and out[5]["text"] == SECRETS[5]
     assert out[0]["n_chars"] == len(out[0]["text"]) and out[8]["text"] is None and len(out) == len(SECRETS)
     assert secret_scan.redact(docs).columns == docs.columns
@@ -907,3 +915,13 @@ def test_pipeline(spark):
     assert sorted(map(tuple, out.select("doc_id", "n_tokens", "ids_sha256").collect())) == sorted(map(tuple, stage.select("doc_id", "n_tokens", "ids_sha256").collect()))
     assert all(r["n_tokens"] == len(r["ids"]) for r in out.collect())
     spark.catalog.clearCache()
+
+
+@pytest.mark.parametrize("labels", [[], [(0, 1), (1, 1)], [(0, 0)], [(None, 1), (1, None)]])
+def test_quality_stage_without_labels_of_both_kinds(spark, tmp_path, labels):
+    """Nothing can be learnt, so nothing is rejected."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, q, 0) for i, q in labels], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = make(spark, ["one two", None, "", "x"])
+    assert sorted(map(str, corpus_pipeline.good_quality(spark, docs, str(tmp_path)).collect())) == sorted(map(str, docs.collect()))
