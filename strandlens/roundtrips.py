@@ -57,6 +57,15 @@ def fastq_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fastq.read_fastq_text(spark, _fastq_lines(spark, sf_dir) + "/*.fastq").select("header", "seq", "qual")
 
 
+@query(_FASTQ)
+def fastq_blocks_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzipped files of blocks, each read in several ranges."""
+    name = F.concat_ws(".", F.lit("@r"), F.col("rid").cast("string"), F.col("line").cast("string"))
+    folder = f"{work_folder(spark)}/reads"
+    fastq.write_fastq(read_rows(spark, sf_dir).select(name.alias("header"), "seq", "qual"), folder)
+    return fastq.read_fastq(spark, folder, rangebytes=str(1 << 18)).select("header", "seq", "qual")
+
+
 @query(f"SELECT 'P.' || p_partkey AS name, {dna_sql('p_partkey', 8)} AS seq FROM part")
 def fasta_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq, path = dna(F.col("p_partkey"), 8), f"{work_folder(spark)}/parts"
@@ -101,15 +110,12 @@ def _metadata(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFra
     return path, *runinfo.read_samples(spark, path, dual=True)
 
 
-@query(f"WITH {_SAMPLES} SELECT idx_name, samp_group, samp_name, samp_date, CAST(input AS VARCHAR) = 'inf' AS open_input, CASE WHEN CAST(input AS VARCHAR) <> 'inf' THEN input END AS input, p5_name, p7_name, 'note ' || s_suppkey AS Note, concat_ws('::', samp_group, samp_name, samp_date, '7') AS sample_id FROM s")
+@query(f"WITH {_SAMPLES} SELECT idx_name, samp_group, samp_name, samp_date, CAST(input AS VARCHAR) = 'inf' AS open_input, CASE WHEN CAST(input AS VARCHAR) <> 'inf' THEN input END AS input, p5_name, p7_name, 'note ' || s_suppkey AS Note, concat_ws('::', samp_group, samp_name, samp_date, '7') AS sample_id, 'the run' AS run_name, '2021-02-03' AS run_date FROM s")
 def metadata_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sample of a metadata sheet, with the name and date of its run."""
     open_ = F.col("input") == float("inf")
-    return _metadata(spark, sf_dir)[1].select("idx_name", "samp_group", "samp_name", "samp_date", open_.alias("open_input"), F.when(~open_, F.col("input")).alias("input"), "p5_name", "p7_name", "Note", "sample_id")
-
-
-@query("SELECT '7' AS run_number, 'the run' AS run_name, '2021-02-03' AS run_date")
-def metadata_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metadata(spark, sf_dir)[2].select("run_number", "run_name", "run_date")
+    _, samples, runs = _metadata(spark, sf_dir)
+    return samples.join(runs.select("run_number", "run_name", "run_date"), "run_number").select("idx_name", "samp_group", "samp_name", "samp_date", open_.alias("open_input"), F.when(~open_, F.col("input")).alias("input"), "p5_name", "p7_name", "Note", "sample_id", "run_name", "run_date")
 
 
 @query(f"WITH {_SAMPLES} SELECT idx_name, samp_group AS Animal, samp_date AS Date, 'note ' || s_suppkey AS Note FROM s")
