@@ -1,7 +1,6 @@
-"""Writing results: the long table by Spark, the small reports as workbooks on the driver.
+"""Writing results: the long table by Spark, the reports as workbooks, whose lines Spark's tasks write.
 
-A workbook is a report that people read, as large as a sheet may be: `grid`
-refuses more than ``MOST_ROWS`` rows, which is a spreadsheet's own limit.
+A workbook is a report that people read, as large as a sheet may be: more raises.
 """
 
 from __future__ import annotations
@@ -9,21 +8,24 @@ from __future__ import annotations
 import datetime
 import os
 import warnings
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.labels import shown_flag, shown_number
 from ..operators.collapse import collapse_to_parent
 from ..operators.counting import distinct_groups, group_counts, repeated_keys
+from ..operators.ranks import numbered
 from ..session import settled
-from ..sources.workbook import write_workbook
+from ..sources import sheets
+from ..sources.sheets import CELL, cell, cells_of_row, write_sheets
 from .compile import PRIVATE, Compiled
 from .parse import ParsedRun
 from .screen import ScreenedRun
-from .views import COMPILE_COLUMNS, contamination_wide, counted_rows, matrix_wide, sidelong_headers, sidelong_rows
+from .views import COMPILE_COLUMNS, PARSE_COLUMNS, contamination_wide, counted_rows, matrix_vectors, sidelong_headers, sidelong_rows
 
-MOST_ROWS = 1_048_576
 BODY = ("bc_name", "bc_seq", "bc_count", "proportion", "putative_parent", "x_idx", "short_bc")
 HEADER = ("run_number", "run_name", "run_date", "samp_group", "samp_name", "samp_date", "input")
 #: Headings of the older form, in the order of BODY, and of its totals.
@@ -39,74 +41,113 @@ def write_long(df: DataFrame, path: str, form: str = "csv") -> None:
     (out.write.mode("overwrite").option("header", True).csv if form == "csv" else out.write.mode("overwrite").parquet)(path)
 
 
-def grid(df: DataFrame) -> list[list[object]]:
-    """Header and rows of a table for a sheet."""
-    rows = df.limit(MOST_ROWS).collect()
-    if len(rows) >= MOST_ROWS:
-        raise ValueError("a sheet can't hold that many rows; write the table instead")
-    return [list(df.columns), *(list(r) for r in rows)]
-
-
-def _line(values: list[object] | tuple[object, ...]) -> list[object]:
-    return [*values, *[None] * (len(BODY) - len(values))]
+def fixed_lines(spark: SparkSession, rows: Sequence[Sequence[object]]) -> DataFrame:
+    """line, cells of a few rows of texts that the caller holds."""
+    made = [(n, [(c, None, None, None, None if v is None else str(v)) for c, v in enumerate(row)]) for n, row in enumerate(rows)]
+    return spark.createDataFrame(made, f"line bigint, cells array<{CELL}>")
 
 
-def _head(h: Row, legacy: bool) -> list[list[object]]:
-    """The lines above a sample's body: its header, a blank line and the headings."""
-    if not legacy:
-        return [*(_line((k, h[k])) for k in HEADER), _line(()), list(BODY)]
-    names = (h["samp_group"], h["samp_name"], h["samp_date"])
-    return [_line(names + names), _line(OLD_TOTALS), _line((h["input"], h["total_sequences"], h["named_barcodes"], h["proportion_unique"])), _line(()), list(OLD_BODY)]
+def table_lines(df: DataFrame, order: Sequence[Column | str], start: int = 0) -> DataFrame:
+    """line, cells of a table: its columns' names in the line `start`, then its rows in an order."""
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
+    names = fixed_lines(df.sparkSession, [df.columns]).withColumn("line", F.col("line") + start)
+    rows = numbered(df, by, "line_").select((F.col("line_") + start).alias("line"), cells_of_row(df, df.columns).alias("cells"))
+    return names.unionByName(rows)
 
 
-def sidelong_grid(df: DataFrame, legacy: bool = False) -> list[list[object]]:
-    """The samples of a table of one group, as `sidelong_grids` has them."""
-    return next(iter(sidelong_grids(df, legacy).values()), [])
+def matrix_lines(df: DataFrame, columns: tuple[str, ...] = PARSE_COLUMNS, rows: tuple[str, ...] = ("bc_name", "bc_seq"), group: str = "samp_group") -> DataFrame:
+    """group, line, cells of the matrix of each group."""
+    found = matrix_vectors(df, columns, rows, group)
+    heads = found.groupBy(group).agg(F.first("tops").alias("tops"))
+    names = F.concat(F.array(*(F.lit(r) for r in rows)), F.col("tops"))
+    top = heads.select(group, F.lit(0).cast("long").alias("line"), F.transform(names, lambda t, i: cell(t, StringType(), i)).alias("cells"))
+    values = F.transform("vector", lambda v, i: cell(v, found.schema["vector"].dataType.elementType, i + len(rows)))
+    return top.unionByName(found.select(group, F.col("place").alias("line"), F.concat(cells_of_row(found, rows), values).alias("cells")))
 
 
-def sidelong_grids(df: DataFrame, legacy: bool = False) -> dict[str, list[list[object]]]:
-    """By group, its samples side by side: header lines, a blank line, then the body with a blank line between row groups.
+def sidelong_lines(df: DataFrame, legacy: bool = False) -> DataFrame:
+    """samp_group, line, cells: the samples of each group side by side, header lines, a blank line, then the body with a blank line between row groups.
 
     legacy: the older headers, headings and texts.
     """
-    heads = {r["sample_id"]: r for r in sidelong_headers(df).collect()}
-    bodies: dict[str, list[list[object]]] = {}
+    order = Window.partitionBy("samp_group").orderBy("samp_name", "samp_date", "sample_id")  # over the samples of a group, which lie side by side in a sheet
+    heads = sidelong_headers(df).withColumn("left_", (F.row_number().over(order) - 1) * (len(BODY) + 1))
+    left = F.col("left_")
+
+    def texts(values: Sequence[str]) -> Column:
+        return F.array(*(cell(F.lit(v), StringType(), left + i) for i, v in enumerate(values)))
+
+    if legacy:
+        names = ("samp_group", "samp_name", "samp_date")
+        above = [cells_of_row(heads, names + names, left), texts(OLD_TOTALS), cells_of_row(heads, ("input", "total_sequences", "named_barcodes", "proportion_unique"), left), texts(()).cast(f"array<{CELL}>"), texts(OLD_BODY)]
+    else:
+        above = [F.array(cell(F.lit(k), StringType(), left), cell(F.col(k), heads.schema[k].dataType, left + 1)) for k in HEADER]
+        above += [texts(()).cast(f"array<{CELL}>"), texts(BODY)]
+    top = heads.select("samp_group", F.posexplode(F.array(*above)).alias("line", "cells")).withColumn("line", F.col("line").cast("long"))
     rows = sidelong_rows(df)
     if legacy:
         rows = rows.withColumns({"x_idx": shown_number(F.col("x_idx")), "short_bc": shown_flag(F.col("short_bc")), "putative_parent": F.coalesce("putative_parent", F.lit(OLD_NO_PARENT))})
-    # a sample's lines: headers, two lines, the body and its spacers; checked before rows come to the driver
-    lines = F.count(F.lit(1)) + F.count_if("spacer_before") + len(HEADER) + 2
-    longest = rows.groupBy("sample_id").agg(lines.alias("lines")).agg(F.max("lines")).first()[0]
-    if (longest or 0) > MOST_ROWS:
+    placed = rows.join(heads.select("sample_id", "left_"), "sample_id")
+    body = placed.select("samp_group", (F.col("line") + len(above)).alias("line"), cells_of_row(placed, BODY, left).alias("cells"))
+    # a line has at most a sheet's columns
+    return top.unionByName(body).groupBy("samp_group", "line").agg(F.flatten(F.collect_list("cells")).alias("cells"))
+
+
+def sidelong_grids(df: DataFrame, legacy: bool = False) -> dict[str, list[list[object]]]:
+    """By group, the lines of its samples, for reports so small that the caller can hold them."""
+    lines = settled(sidelong_lines(df, legacy))
+    longest = lines.agg(F.max("line")).first()[0]
+    if longest is not None and longest >= sheets.MOST_ROWS:
         raise ValueError("a sheet can't hold that many rows; write the table instead")
-    for r in rows.orderBy("sample_id", "ord").collect():
-        body = bodies.setdefault(r["sample_id"], [])
-        if r["spacer_before"]:
-            body.append([None] * len(BODY))
-        body.append([r[c] for c in BODY])
-    groups: dict[str, list[list[list[object]]]] = {}
-    for s in sorted(bodies, key=lambda s: (str(heads[s]["samp_group"]), str(heads[s]["samp_name"]), str(heads[s]["samp_date"]), s)):
-        groups.setdefault(heads[s]["samp_group"], []).append([*_head(heads[s], legacy), *bodies[s]])
     out: dict[str, list[list[object]]] = {}
-    for group, blocks in groups.items():
-        lines_ = out.setdefault(group, [])
-        for i in range(max(map(len, blocks))):
-            lines_.append([v for b in blocks for v in [*(b[i] if i < len(b) else [None] * len(BODY)), None]])
+    for r in lines.orderBy("samp_group", "line").collect():
+        rows = out.setdefault(r["samp_group"], [])
+        rows += [[] for _ in range(r["line"] + 1 - len(rows))]
+        for c in r["cells"]:
+            rows[-1] += [None] * (c["col"] + 1 - len(rows[-1]))
+            rows[-1][c["col"]] = next((v for v in c[1:] if v is not None), None)
     return out
 
 
+def sidelong_grid(df: DataFrame, legacy: bool = False) -> list[list[object]]:
+    """The samples of a table of one group, as `sidelong_grids` has them."""
+    return next(iter(sidelong_grids(df, legacy).values()), [])
+
+
+class Book:
+    """The sheets of a workbook in their order, and the lines of each."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.lines: list[DataFrame] = []
+
+    def add(self, name: str, *lines: DataFrame) -> None:
+        self.names.append(name)
+        self.lines += [d.withColumn("sheet", F.lit(len(self.names) - 1)) for d in lines]
+
+    def add_groups(self, groups: Sequence[str], kinds: dict[str, DataFrame]) -> None:
+        """For each group a sheet of each kind, from tables of all groups' lines."""
+        for i, lines in enumerate(kinds.values()):
+            number = F.array_position(F.array(*(F.lit(g) for g in groups)).cast("array<string>"), F.col("samp_group"))
+            self.lines.append(lines.filter("samp_group IS NOT NULL").withColumn("sheet", (len(self.names) + (number - 1) * len(kinds) + i).cast("int")))
+        self.names += [f"{g} {kind}" for g in groups for kind in kinds]
+
+    def write(self, path: str) -> None:
+        write_sheets(path, self.names, self.lines)
+
+
 def groups_of(df: DataFrame) -> list[str]:
     """The groups of a table, in order; a run has as many as it has animals."""
     return [r["samp_group"] for r in distinct_groups(df).orderBy("samp_group").collect()]
 
 
-def parse_runinfo(run: ParsedRun, raw: DataFrame) -> DataFrame:
-    """The metadata rows as they were, with what was found for each index and the notes."""
-    shown = raw.drop("file", "row")
-    found = run.summary.select("idx_name", "n_reads", "n_bc", "n_bc_named", "n_reads_ac", "count_to_input_ratio")
+def parse_runinfo(run: ParsedRun, raw: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The metadata rows as they were, with what was found for each index and the notes; and the columns they are in the order of."""
+    shown = raw.drop("file", "row").columns
+    found = run.summary.select("idx_name", "n_reads", "n_bc", "n_bc_named", "n_reads_ac", F.col("count_to_input_ratio").alias("count-to-input_ratio"))
     rows = raw.join(found, "idx_name", "left").join(run.notes.withColumnRenamed("note", "notes"), "idx_name", "left")
-    order = ["row"] if "row" in raw.columns else []
-    return rows.orderBy(*order, "idx_name").select(*shown.columns, *found.columns[1:], "notes")
+    order = (["row"] if "row" in raw.columns else []) + ["idx_name"]
+    return rows.select(*order, *(F.col(f"`{c}`") for c in [*shown, *found.columns[1:], "notes"] if c not in order)), order
 
 
 def write_parse_workbook(run: ParsedRun, raw: DataFrame, folder: str, name: str, discover: bool = False, settings: dict[str, object] | None = None, collapse: bool = True, matrix_above_only: bool = False, legacy: bool = False, expected_groups: list[str] | None = None) -> str:
@@ -122,39 +163,54 @@ def write_parse_workbook(run: ParsedRun, raw: DataFrame, folder: str, name: str,
     table = settled(collapse_to_parent(run.long)) if collapse else run.long
     if groups_of(table) != groups:
         raise ValueError(f"groups of the data ({groups}) and of its tables ({groups_of(table)}) differ")
-    sheets = {"runinfo": grid(parse_runinfo(run, raw))}
-    whole, shown = sidelong_grids(run.long, legacy) if collapse else {}, sidelong_grids(table, legacy)
-    for group in groups:
-        part = table.filter(F.col("samp_group") == group)
-        if collapse:
-            sheets[f"{group} raw"] = whole[group]
-        sheets[f"{group} samples"] = shown[group]
-        sheets[f"{group} matrix"] = grid(matrix_wide(counted_rows(part) if matrix_above_only else part))
-    sheets["settings"] = settings_rows(settings)
+    book = Book()
+    info, order = parse_runinfo(run, raw)
+    shown = [c for c in raw.drop("file", "row").columns] + [c for c in info.columns if c not in raw.columns]
+    lines = numbered(info, order, "line")
+    book.add("runinfo", fixed_lines(info.sparkSession, [shown]), lines.select("line", cells_of_row(lines, shown).alias("cells")))
+    kinds = {"raw": sidelong_lines(run.long, legacy)} if collapse else {}
+    book.add_groups(groups, kinds | {"samples": sidelong_lines(table, legacy), "matrix": matrix_lines(counted_rows(table) if matrix_above_only else table)})
+    book.add("Analysis settings", fixed_lines(info.sparkSession, settings_rows(settings)))
     path = os.path.join(folder, f"{name}_{'Discovery' if discover else 'Analysis'}.xlsx")
-    write_workbook(path, sheets)
+    book.write(path)
     return path
 
 
 def settings_rows(settings: dict[str, object] | None) -> list[list[object]]:
-    """Key and value of each setting, then when and by which version."""
+    """Key and value of each setting, then by which version and when."""
     from .. import __version__
 
     rows = [[k, "" if v is None else str(v)] for k, v in (settings or {}).items()]
-    return [["setting", "value"], *rows, ["version", __version__], ["analysis date", datetime.datetime.now().strftime("%Y-%m-%d %H:%M:%S")]]
+    return [*rows, ["version", __version__], ["analysis date", datetime.datetime.now().strftime("%Y-%m-%d %H:%M:%S")]]
 
 
 def write_screen_workbook(run: ScreenedRun, path: str, settings: dict[str, object] | None = None) -> None:
     """The summary tables below each other, then barcodes by profile, ambiguous barcodes and settings."""
-    summary: list[list[object]] = []
-    for title, table in (("summary", run.summary.orderBy("ord").drop("ord")), ("profiles", run.profiles.orderBy("profile", "index_structure")), ("stocks", run.stocks.orderBy("profile", "stock", "ldist")), ("ambiguous", run.ambiguous.orderBy("ambiguity_type", "labels", F.coalesce("ldist", F.lit(-1))))):
-        summary += [[title], *grid(table), *([] for _ in range(4))]
-    sheets = {"summary": summary}
-    for (profile,) in run.barcodes.select("profile").distinct().orderBy("profile").collect():
-        sheets[profile] = grid(run.barcodes.filter(F.col("profile") == profile).drop("profile").orderBy(F.col("bc_count").desc(), "bc_seq", "index_structure"))
-    sheets["ambiguous barcodes"] = grid(run.ambiguous_barcodes.orderBy("ambiguity_type", F.col("bc_count").desc(), "bc_seq", "profiles", "profile", "index_structure"))
-    sheets["settings"] = settings_rows(settings)
-    write_workbook(path, sheets)
+    book, parts, start = Book(), [], 0
+    spark = run.summary.sparkSession
+    least = F.coalesce("ldist", F.lit(-1))
+    for title, table, hidden, order in (
+        ("Summary", run.summary, ["ord"], ["ord"]),
+        ("Profiles", run.profiles, [], ["profile", "index_structure"]),
+        ("Stocks", run.stocks, [], ["profile", "stock", "ldist"]),
+        ("Ambiguous", run.ambiguous, [], ["ambiguity_type", "labels", least]),
+    ):
+        rows = settled(table)
+        shown = [c for c in rows.columns if c not in hidden]
+        lines = numbered(rows, [F.col(o) if isinstance(o, str) else o for o in order], "line_")
+        parts.append(fixed_lines(spark, [[title], shown]).withColumn("line", F.col("line") + start))
+        parts.append(lines.select((F.col("line_") + start + 1).alias("line"), cells_of_row(lines, shown).alias("cells")))
+        start += rows.count() + 6  # four empty lines between tables
+    book.add("Summary", *parts)
+    barcodes = settled(run.barcodes)
+    shown = [c for c in barcodes.columns if c != "profile"]
+    lines = numbered(barcodes, [F.col("bc_count").desc(), F.col("bc_seq"), F.col("index_structure")], "line", ["profile"])
+    for (profile,) in barcodes.select("profile").distinct().orderBy("profile").collect():
+        mine = lines.filter(F.col("profile") == profile).select("line", cells_of_row(lines, shown).alias("cells"))
+        book.add(f"{profile} barcodes", fixed_lines(spark, [shown]), mine)
+    book.add("Ambiguous barcodes", table_lines(run.ambiguous_barcodes, ["ambiguity_type", F.col("bc_count").desc(), "bc_seq", "profiles", "profile", "index_structure"]))
+    book.add("Screen settings", fixed_lines(spark, settings_rows(settings)))
+    book.write(path)
 
 
 def write_compiled(found: Compiled, folder: str, prefix: str, contamination: bool = False) -> tuple[str, str]:
@@ -162,21 +218,21 @@ def write_compiled(found: Compiled, folder: str, prefix: str, contamination: boo
     and if asked for the full matrix and the contamination report."""
     table = os.path.join(folder, f"{prefix}_all.csv")
     write_long(found.every, table)
-    above = found.above.drop(*PRIVATE)
+    above = settled(found.above.drop(*PRIVATE))
     twice = repeated_keys(above, ["samp_group", "bc_name", "bc_seq", *COMPILE_COLUMNS]).limit(5).collect()
     if twice:
         raise ValueError(f"rows of one sample and barcode: {[(r['samp_name'], r['bc_name']) for r in twice]}")
-    info = grid(found.runinfo.orderBy("run_name", "file", "row", "sample_id").drop("file", "row"))
-    sheets = {"runinfo": info} if len(info) > 1 else {}
-    sheets["all_samples"] = grid(above.orderBy("samp_group", "samp_name", "samp_date", "sample_id", F.col("bc_count").desc(), "bc_seq"))
+    book = Book()
+    if not found.runinfo.isEmpty():
+        shown = found.runinfo.drop("file", "row").columns
+        lines = numbered(found.runinfo, [F.col(c) for c in ("run_name", "file", "row", "sample_id")], "line")
+        book.add("runinfo", fixed_lines(above.sparkSession, [shown]), lines.select("line", cells_of_row(lines, shown).alias("cells")))
+    book.add("all_samples", table_lines(above, ["samp_group", "samp_name", "samp_date", "sample_id", F.col("bc_count").desc(), "bc_seq"]))
     if contamination:
-        sheets["full_matrix"] = grid(matrix_wide(group_counts(above), ("samp_group", *COMPILE_COLUMNS), ("bc_name", "bc_seq", "ldist_all", "n_groups", "n_samps")))
-        sheets["contam_report"] = grid(contamination_wide(above))
-    shown = sidelong_grids(above)
-    for group in groups_of(above):
-        part = above.filter(F.col("samp_group") == group)
-        sheets[f"{group} samples"] = shown[group]
-        sheets[f"{group} matrix"] = grid(matrix_wide(part, COMPILE_COLUMNS))
+        whole = group_counts(above).withColumn("matrix_", F.lit("all"))
+        book.add("full_matrix", matrix_lines(whole, ("samp_group", *COMPILE_COLUMNS), ("bc_name", "bc_seq", "ldist_all", "n_groups", "n_samps"), "matrix_").select("line", "cells"))
+        book.add("contam_report", table_lines(contamination_wide(above), [F.col("n_groups").desc(), "bc_name", "bc_seq"]))
+    book.add_groups(groups_of(above), {"samples": sidelong_lines(above), "matrix": matrix_lines(above, COMPILE_COLUMNS)})
     path = os.path.join(folder, f"{prefix}_above_cutoff.xlsx")
-    write_workbook(path, sheets)
+    book.write(path)
     return table, path

@@ -3,7 +3,7 @@
 A workbook is a zip of XML sheets.  Reading gives cells (file, sheet, sheet_no,
 row, col, value), 0-based, so that everything after that is relational; files
 come through Spark's binary reader, so they can lie in any store.  Workbooks are
-small reports: each is read by one task, and written by the caller.
+small reports: each is read by one task.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
-from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .sheets import SHEET_END, SHEET_HEAD, book_parts, line_xml
+
 CELLS = "file string, modified timestamp, sheet_no int, sheet string, row int, col int, value string"
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -31,15 +32,6 @@ def column_number(ref: str) -> int:
     return n - 1
 
 
-def column_letters(n: int) -> str:
-    out = ""
-    n += 1
-    while n:
-        n, k = divmod(n - 1, 26)
-        out = chr(65 + k) + out
-    return out
-
-
 def cells_of(raw: bytes) -> Iterator[tuple[int, str, int, int, str]]:
     """(sheet number, sheet, row, column, text) of every filled cell."""
     with zipfile.ZipFile(io.BytesIO(raw)) as z:
@@ -68,31 +60,12 @@ def cells_of(raw: bytes) -> Iterator[tuple[int, str, int, int, str]]:
 
 
 def write_workbook(path: str, sheets: dict[str, list[list[object]]]) -> None:
-    """Write rows of values as a workbook, sheet by sheet; None leaves a cell empty."""
-    names = list(sheets)
+    """Write rows of values that the caller holds as a workbook, sheet by sheet; None leaves a cell empty.  Tables go through `sheets`."""
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        base = "http://schemas.openxmlformats.org"
-        parts = "".join(f'<Override PartName="/xl/worksheets/sheet{i + 1}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(len(names)))
-        z.writestr("[Content_Types].xml", f'<?xml version="1.0" encoding="UTF-8"?><Types xmlns="{base}/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{parts}</Types>')
-        z.writestr("_rels/.rels", f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{base}/package/2006/relationships"><Relationship Id="rId1" Type="{base}/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/_rels/workbook.xml.rels", f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{base}/package/2006/relationships">' + "".join(f'<Relationship Id="rId{i + 1}" Type="{base}/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet{i + 1}.xml"/>' for i in range(len(names))) + "</Relationships>")
-        z.writestr("xl/workbook.xml", f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{base}/spreadsheetml/2006/main" xmlns:r="{base}/officeDocument/2006/relationships"><sheets>' + "".join(f'<sheet name={quoteattr(re.sub(r"[\[\]:*?/\\]", "_", n)[:31])} sheetId="{i + 1}" r:id="rId{i + 1}"/>' for i, n in enumerate(names)) + "</sheets></workbook>")
-        for i, n in enumerate(names):
-            rows = []
-            for r, row in enumerate(sheets[n]):
-                cells = []
-                for c, v in enumerate(row):
-                    ref = f"{column_letters(c)}{r + 1}"
-                    if v is None or v != v:
-                        continue
-                    if isinstance(v, bool):
-                        cells.append(f'<c r="{ref}" t="b"><v>{int(v)}</v></c>')
-                    elif isinstance(v, (int, float)) and abs(v) != float("inf"):
-                        cells.append(f'<c r="{ref}"><v>{v!r}</v></c>')
-                    else:
-                        cells.append(f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>')
-                rows.append(f'<row r="{r + 1}">{"".join(cells)}</row>')
-            z.writestr(f"xl/worksheets/sheet{i + 1}.xml", f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{base}/spreadsheetml/2006/main"><sheetData>{"".join(rows)}</sheetData></worksheet>')
+        for name, text in book_parts(list(sheets)):
+            z.writestr(name, text)
+        for i, rows in enumerate(sheets.values()):
+            z.writestr(f"xl/worksheets/sheet{i + 1}.xml", SHEET_HEAD + "".join(line_xml(r, list(enumerate(row))) for r, row in enumerate(rows)) + SHEET_END)
 
 
 #: Workbooks of former runs; lock files begin with ~$.

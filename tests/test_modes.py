@@ -13,7 +13,7 @@ from strandlens.plans.parse import ParseSettings, parse_run, sorted_long
 from strandlens.plans.screen import ScreenSettings, screen_run
 from strandlens.profiles import PROFILES, screen_stocks, stock_profile
 from strandlens.schema import conform
-from strandlens.sources import fastq, refs, runinfo, workbook
+from strandlens.sources import fastq, refs, runinfo, sheets, workbook
 
 M = PROFILES["M"]
 BARCODES = {"M.1": "ACGTACGTACGTACGTACGTACGTACGTACGTAC", "M.2": "TTTTACGTACGTAAAAACGTACGTACGTACGTAC"}
@@ -118,8 +118,8 @@ def test_parse_then_compile(spark, tmp_path, samples):
     assert {f for f, _ in failed.value.failures} == {"broken_Analysis.xlsx", "odd_Analysis.xlsx", "other_Analysis.xlsx"}
     with pytest.raises(ValueError, match="expected index"):
         parse_run(reads_, samples, p5.withColumn("seq", F.lit("TATATATA")).filter("idx = 'P5.1'"), known, ParseSettings(profile))
-    wide = views.matrix_wide(views.counted_rows(run.long))
-    assert wide.count() == 2 and len(wide.columns) == 4
+    vectors = views.matrix_vectors(views.counted_rows(run.long)).collect()
+    assert len(vectors) == 2 and {len(r["tops"]) for r in vectors} == {2} and [r["vector"] for r in sorted(vectors, key=lambda r: r["place"])] == sorted((r["vector"] for r in vectors), reverse=True)
 
 
 def sheet_rows(path, sheet):
@@ -134,16 +134,16 @@ def sheet_rows(path, sheet):
 
 def check_parse_workbooks(run, raw, folder):
     path = sinks.write_parse_workbook(run, raw, str(folder), "R", settings={"stock": "239M"})
-    assert {c[1] for c in workbook.cells_of(open(path, "rb").read())} == {"runinfo", "A1 raw", "A1 samples", "A1 matrix", "settings"}
+    assert {c[1] for c in workbook.cells_of(open(path, "rb").read())} == {"runinfo", "A1 raw", "A1 samples", "A1 matrix", "Analysis settings"}
     samples, whole = sheet_rows(path, "A1 samples"), sheet_rows(path, "A1 raw")
     assert samples[6][:2] == ["input", "100.0"] and [r[1] for r in samples if r[0] == "samp_name"] == ["s1"]
     assert sum("Unique.1" in r for r in whole) == 1 and sum("Unique.1" in r for r in samples) == 0
     assert any("33" in r for r in samples) and not any("33" in r for r in whole)
     info = sheet_rows(path, "runinfo")
-    assert info[0][:6] == raw.columns[:6] and {"n_reads", "n_bc", "n_bc_named", "n_reads_ac", "count_to_input_ratio", "notes"} <= set(info[0])
+    assert info[0][:6] == raw.columns[:6] and {"n_reads", "n_bc", "n_bc_named", "n_reads_ac", "count-to-input_ratio", "notes"} <= set(info[0])
     reads_at, barcode = info[0].index("n_reads"), info[0].index("Barcodes")
     assert {(r[barcode], r[reads_at]) for r in info[1:] if r[barcode]} == {("P5.1", "65"), ("P5.2", "33")}
-    assert ["stock", "239M"] in sheet_rows(path, "settings") and len(sheet_rows(path, "A1 matrix")) == 3
+    assert ["stock", "239M"] in sheet_rows(path, "Analysis settings") and len(sheet_rows(path, "A1 matrix")) == 3
     with pytest.warns(UserWarning, match="no barcodes found for A7"):
         path = sinks.write_parse_workbook(run, raw, str(folder), "S", collapse=False, legacy=True, expected_groups=["A1", "A7"])
     old = sheet_rows(path, "A1 samples")
@@ -162,10 +162,10 @@ def test_sidelong_grid_keeps_every_sample(spark, monkeypatch):
     df = conform(spark.createDataFrame(rows, "samp_group string, samp_name string, samp_date string, bc_name string, bc_seq string, bc_count long, proportion double, above_cutoff boolean"))
     df = df.withColumn("sample_id", F.col("samp_name"))
     whole = sinks.sidelong_grid(df)
-    monkeypatch.setattr(sinks, "MOST_ROWS", len(whole))  # fewer than the rows of all samples, which lie side by side
+    monkeypatch.setattr(sheets, "MOST_ROWS", len(whole))  # fewer than the rows of all samples, which lie side by side
     assert len(whole) < len(rows) and sinks.sidelong_grid(df) == whole
     assert sum(str(v).startswith("B.") for line in whole for v in line) == len(rows)
-    monkeypatch.setattr(sinks, "MOST_ROWS", len(whole) - 1)
+    monkeypatch.setattr(sheets, "MOST_ROWS", len(whole) - 1)
     with pytest.raises(ValueError):
         sinks.sidelong_grid(df)
 
@@ -199,7 +199,7 @@ def test_screen(spark, tmp_path):
     assert {(r["profile"], r["stock"], r["ldist"]): r["read_count"] for r in run.stocks.collect()} == {("M", "S1", 0): 5, ("X", "S3", 1): 3}
     assert {r["bc_name"] for r in run.barcodes.collect()} == {"M.1", "Unique.1"}
     sinks.write_screen_workbook(run, str(tmp_path / "s.xlsx"))
-    assert {c[1] for c in workbook.cells_of((tmp_path / "s.xlsx").read_bytes())} == {"summary", "M", "X", "ambiguous barcodes", "settings"}
+    assert {c[1] for c in workbook.cells_of((tmp_path / "s.xlsx").read_bytes())} == {"Summary", "M barcodes", "X barcodes", "Ambiguous barcodes", "Screen settings"}
     assert len(screen_stocks()) == 13
     spark.catalog.clearCache()
     with pytest.raises(ValueError):
