@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from .plans import sinks
-from .plans.compile import CompileSettings, compile_runs
+from .plans.compile import CompileSettings, compile_runs, update_store
 from .plans.parse import ParseSettings, parse_run, sorted_long
 from .plans.screen import ScreenSettings, screen_run
 from .profiles import CONTROL, P5_FILE, P7_FILE, read_profile, screen_stocks, stock_profile
@@ -39,6 +39,7 @@ def arguments() -> argparse.ArgumentParser:
     parse.add_argument("--legacy-format", action="store_true", help="the older form of the sample tables")
     compile_.add_argument("--workbooks", help="folder of result workbooks, or a .txt file that names them")
     compile_.add_argument("--base-csv")
+    compile_.add_argument("--store", help="a folder that keeps the runs: the workbooks are added to it, then all its runs are compiled")
     compile_.add_argument("--keep-children", action="store_true")
     for level in ("sample-level", "group-level", "contamination"):
         compile_.add_argument(f"--{level}", action="store_true")
@@ -79,7 +80,11 @@ def main(given: list[str] | None = None) -> None:
         found = screen_run(fastq.read_fastq(spark, a.fastq), reduce(lambda x, y: x.unionByName(y), parts), ScreenSettings(a.mean_quality, a.mismatches, a.distance))
         sinks.write_screen_workbook(found, os.path.join(a.out, f"{a.name}_screen.xlsx"), vars(a) | used)
     else:
-        found = compile_runs(spark, a.workbooks, a.base_csv, CompileSettings(not a.keep_children, a.distance, a.sample_level, a.group_level, a.contamination))
+        books = a.workbooks
+        if a.store and books:
+            update_store(spark, a.store, books)
+            books = None
+        found = compile_runs(spark, books, a.base_csv, CompileSettings(not a.keep_children, a.distance, a.sample_level, a.group_level, a.contamination), a.store)
         sinks.write_compiled(found, a.out, a.name, a.contamination)
 
 

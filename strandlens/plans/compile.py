@@ -45,6 +45,31 @@ def base_rows(spark: SparkSession, path: str) -> DataFrame:
     return conform(old).withColumns({"source_": F.lit("csv"), "source_note_": F.lit(f"base_csv: {name}"), "source_rank_": F.lit(0), "source_time_": F.lit(float("-inf")), "source_order_": F.lit(-1)})
 
 
+def stored_rows(spark: SparkSession, path: str, runs: list[str] | None = None) -> DataFrame:
+    """The rows of a store of runs, which rank below every workbook; of some runs only their partitions are read."""
+    schema = spark.read.parquet(f"{path}/rows").drop("run_number").schema.add("run_number", "string")
+    rows = spark.read.schema(schema).parquet(f"{path}/rows")
+    rows = rows if runs is None else rows.filter(F.col("run_number").isin(runs))
+    return rows.withColumns({"source_": F.lit("store"), "source_rank_": F.lit(0), "source_time_": F.lit(float("-inf")), "source_order_": F.lit(-1)})
+
+
+def update_store(spark: SparkSession, path: str, workbooks: str) -> list[str]:
+    """Adds the samples of workbooks to a store of runs, a partition for each run; the runs whose partitions were written anew.
+
+    Of these runs the samples that no workbook holds stay as they are.  Other runs are neither read nor written, so adding a
+    run costs as much as the run.  What depends on all runs (names of unique barcodes, shares, parents) isn't in the store:
+    `compile_runs` makes it from the store's rows.  The first update makes the store.
+    """
+    new = settled(workbook_rows(workbook_cells(spark, workbooks)))
+    runs = sorted(r["run_number"] for r in new.select("run_number").distinct().collect())  # at most one for each workbook
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/rows")
+    known = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+    rows = union_runs([stored_rows(spark, path, runs), new]) if known else new
+    kept = settled(dedup_samples(rows).drop("source_rank_"))  # before the partitions it comes from are replaced
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_number").parquet(f"{path}/rows")
+    return runs
+
+
 def workbook_cells(spark: SparkSession, folder: str) -> DataFrame:
     """The cells of all result workbooks under a folder (or named in a .txt file); those that can't be used raise together."""
     books = listed_workbooks(spark, folder) if folder.endswith(".txt") else find_workbooks(spark, folder)
@@ -176,13 +201,14 @@ def series_metadata(cells: DataFrame | None, rows: DataFrame) -> DataFrame:
     return union_runs(parts).join(sources, "sample_id", "left")
 
 
-def compile_runs(spark: SparkSession, workbooks: str | None = None, base_csv: str | None = None, settings: CompileSettings = CompileSettings()) -> Compiled:
-    """Workbooks and a former compilation as one series of runs."""
+def compile_runs(spark: SparkSession, workbooks: str | None = None, base_csv: str | None = None, settings: CompileSettings = CompileSettings(), store: str | None = None) -> Compiled:
+    """Workbooks, a former compilation and a store of runs as one series of runs."""
     cells = workbook_cells(spark, workbooks) if workbooks else None
     parts = [workbook_rows(cells)] if cells is not None else []
     parts += [base_rows(spark, base_csv)] if base_csv else []
+    parts += [stored_rows(spark, store)] if store else []
     if not parts:
-        raise ValueError("nothing to compile: give a folder of workbooks or a CSV")
+        raise ValueError("nothing to compile: give a folder of workbooks, a CSV or a store")
     rows = settled(dedup_samples(union_runs(parts)))
     df = settled(core_quality(rows.drop("source_rank_")))
     if settings.collapse_to_parent:

@@ -233,13 +233,16 @@ def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _books(spark: SparkSession, rows: DataFrame) -> str:
     """A workbook for each run: its metadata sheet and the samples of each group."""
     folder = work_folder(spark)
-    for (run,) in rows.select("run_number").distinct().orderBy("run_number").collect():
-        one = rows.filter(F.col("run_number") == run)
+    # the lines of all runs at once: a run's group is a group of its own
+    grids = sinks.sidelong_grids(rows.withColumn("samp_group", F.concat_ws("|", "run_number", "samp_group")))
+    samples = rows.select("run_number", "samp_group", "samp_name", "samp_date", "idx_name", "input").distinct().orderBy("run_number", "samp_group", "samp_name").collect()
+    for run in sorted({r["run_number"] for r in samples}):
+        mine = [r for r in samples if r["run_number"] == run]
         info: list[list[object]] = [list(METADATA[:6])]
-        for r in one.select("samp_group", "samp_name", "samp_date", "idx_name", "input").distinct().orderBy("samp_group", "samp_name").collect():
-            info.append([run if len(info) == 1 else None, r["samp_group"], r["samp_name"], r["samp_date"], r["idx_name"], r["input"]])
+        info += [[None if i else run, *(r[c] for c in ("samp_group", "samp_name", "samp_date", "idx_name", "input"))] for i, r in enumerate(mine)]
         info += [["Run Name"], [f"name {run}"], ["Date"], [f"{run}-02-03"]]
-        sheets = {f"{g} samples": grid for g, grid in sinks.sidelong_grids(one).items()}
+        own = {g: f"{run}|{g}" for g in sorted({r["samp_group"] for r in mine})}
+        sheets = {f"{g} samples": [[g if v == own[g] else v for v in line] for line in grids[own[g]]] for g in own}
         workbook.write_workbook(f"{folder}/run_{run}_Analysis.xlsx", {"runinfo": info, **sheets})
     return folder
 
@@ -276,6 +279,23 @@ def compile_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("sample_id", "bc_name", "bc_seq", "bc_count", "above_cutoff", F.col("source_note_").alias("source"), F.round("x_idx", 6).alias("x_idx"), "multi_idx")
 
 
+_STORED = f"""{_BRANDS}, uniques AS (SELECT bc_seq, row_number() OVER (ORDER BY sum(bc_count) DESC, bc_seq) AS n FROM judged WHERE bc_name LIKE 'Unique%' GROUP BY 1),
+series AS (SELECT k.* EXCLUDE (bc_name), CASE WHEN bc_name LIKE 'Unique%' THEN 'Unique.' || n ELSE bc_name END AS bc_name, concat_ws('::', samp_group, samp_name, samp_date, run_number) AS sample_id FROM judged k LEFT JOIN uniques USING (bc_seq)),
+{_parents_sql('sample_id', 'series', 6)}"""
+
+
+@query(f"""WITH {_STORED} SELECT s.sample_id, s.bc_name, s.bc_seq, s.bc_count, above_cutoff, putative_parent AS ldist_samp_lvl,
+  coalesce(min(samp_name) OVER g <> max(samp_name) OVER g, false) AS multi_idx FROM series s LEFT JOIN parent p ON p.sample_id = s.sample_id AND p.bc_name = s.bc_name WINDOW g AS (PARTITION BY run_number, samp_group, s.bc_name)""")
+def compile_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of all runs but the last, to which the last is added, compiled with the parents within samples."""
+    rows, store = brands(spark, sf_dir), work_folder(spark)
+    last = rows.agg(F.max("run_number")).first()[0]
+    compiled.update_store(spark, store, _books(spark, rows.filter(F.col("run_number") != last)))
+    compiled.update_store(spark, store, _books(spark, rows.filter(F.col("run_number") == last)))
+    every = compiled.compile_runs(spark, settings=compiled.CompileSettings(collapse_to_parent=False, sample_level=True), store=store).every
+    return every.select("sample_id", "bc_name", "bc_seq", "bc_count", "above_cutoff", "ldist_samp_lvl", "multi_idx")
+
+
 @query(f"WITH {_SERIES} SELECT DISTINCT 'name ' || run_number AS run_name, run_number, samp_group AS Animal, samp_name AS Sample, samp_date AS Date, CASE WHEN source LIKE 'base%' THEN split_part(idx_name, '_', 1) ELSE idx_name END AS Barcodes, sample_id, source FROM series")
 def compile_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _series(spark, sf_dir).runinfo.filter("sample_id IS NOT NULL")
