@@ -1,4 +1,8 @@
-"""Repeated passages, removed exactly: prefix-partitioned suffix trees over words.
+"""Repeated passages, removed exactly, by sorted suffixes over words in groups.
+
+The method dealt is prefix-partitioned suffix trees.  What is here differs in how
+suffixes are grouped: by a run of words inside a suffix's window (step 3), which
+need not be its beginning, and LCPs stop at ``words`` words.
 
 Every word position with ``words`` words from it on is a suffix (a window is
 its first ``words`` words).  Two suffixes meet in a node of the suffix tree at
@@ -12,8 +16,7 @@ earliest of such a node's leaves repeat a passage.
    again.  Slices send their distinct anchors, each with the number of their
    distinct windows, and get back which ones other slices have too and which
    ones are too frequent.
-3. The suffixes left are grouped by a prefix of variable length: the words of
-   the anchor, and where more than ``GROUP_WINDOWS`` windows have that anchor,
+3. The suffixes left are grouped by the words of their anchor, and where more than ``GROUP_WINDOWS`` windows have that anchor,
    all ``words`` words of the window.  Neighbouring suffixes of one anchor
    travel as one segment of text, of which every suffix is a part; a slice sends
    only the earliest of its equal windows.
