@@ -833,12 +833,8 @@ def plain_redaction(rows):
         found += [(m.start(), m.end(), m[0]) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
         values[i] = found
         for *_, v in found:
-            held[v].add((text, source or ""))
-    copied = set()
-    for v, where in held.items():
-        texts, by = {t for t, _ in where}, Counter(o for o, _ in where)
-        if min(len(by), len(texts) - max(by.values()) + 1) >= 2:
-            copied.add(v)
+            held[v].add(source or "")
+    copied = {v for v, where in held.items() if len({o.split("/")[0] for o in where}) >= 5 and len(where) >= 5}
     out = []
     for i, (k, t, _) in enumerate(rows):
         spans = sorted({(a, b) for a, b, v in values[i] if v not in copied and len(set(v)) >= 8})
