@@ -13,7 +13,7 @@ alone: a lane's difference of 1 bits and 0 bits is known modulo 2**16 and taken
 
 Nulls and edge cases: a null text is empty; the empty text has the zero vector,
 likeness 1 to another empty text and 0 to anything else.  A null id sorts
-first.  Repeated rows stay separate rows, ordered by text.  Extra columns are
+first.  Ids are of any type with an order.  Repeated rows stay separate rows, ordered by text.  Extra columns are
 ignored.  In a table of one row the next document is that row.
 """
 
@@ -24,11 +24,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import id_and_text, parts_for
+from .shared import cut, id_and_text, parts_for
 
 PIECE = 40
 #: Files that one range of ids takes about.
 PART_BYTES = 32 << 20
+#: Ranges at most, so that their bounds (a number and an id each) can be broadcast.
+MOST_RANGES = 1 << 20
 #: Runs of enders, or up to PIECE code points and the enders after them.
 PIECES = r"[.!?\n]+|[^.!?\n]{1,%d}[.!?\n]*" % PIECE
 LANES = 128
@@ -103,36 +105,52 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)), 6))
 
 
-def _place(splits: list, value: Column) -> Column:
-    """How many of the sorted splits are at most value: first among every step-th one, then among those between two of them."""
-    if not splits:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(splits)))
-    groups = [splits[i : i + step] for i in range(0, len(splits), step)]
-    before = F.size(F.filter(F.lit([g[0] for g in groups]), lambda s: s <= value))
-    inner = F.element_at(F.lit(groups), F.greatest(before, F.lit(1)))
-    return (F.greatest(before - 1, F.lit(0)) * step + F.size(F.filter(inner, lambda s: s <= value))).cast("int")
+def bounds(rows: DataFrame, order: str, parts: int) -> DataFrame:
+    """bound_, the first value of each of up to ``parts`` ranges of ``order`` (nulls first), and n_, how many bounds that aren't null go up to it.
+
+    Only the order's own column is dealt to ranges; the table is written, so that a lost executor can't move a bound.
+    """
+    dealt = rows.select(F.col(order).alias("bound_")).repartitionByRange(min(parts, MOST_RANGES), F.col("bound_").asc_nulls_first())
+    firsts = dealt.groupBy(F.spark_partition_id().alias("range_")).agg(F.min(F.struct("bound_"))["bound_"].alias("bound_"))
+    # one row for each range, MOST_RANGES at most
+    upto = Window.orderBy(F.col("bound_").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return cut(firsts.select("bound_", F.count("bound_").over(upto).alias("n_")), "ranges")
+
+
+def placed(rows: DataFrame, order: str, firsts: DataFrame) -> DataFrame:
+    """rows with bucket_: how many bounds that aren't null are at most the row's value; 0 for a null.
+
+    Two steps, each among the square root of all bounds (1,024 at most): those that begin a stretch of bounds reach the
+    driver, the stretches are broadcast.
+    """
+    known = firsts.filter("bound_ IS NOT NULL")
+    count = known.count()
+    if not count:
+        return rows.withColumn("bucket_", F.lit(0))
+    step = math.isqrt(count - 1) + 1
+    stretches = known.groupBy(F.floor((F.col("n_") - 1) / step).cast("int").alias("stretch_")).agg(F.sort_array(F.collect_list("bound_")).alias("inner_"))
+    starts = F.lit([r[0] for r in stretches.orderBy("stretch_").select(F.element_at("inner_", 1)).collect()])
+    value = F.col(order)
+    stretch = F.greatest(F.size(F.filter(starts, lambda s: s <= value)) - 1, F.lit(0))
+    found = rows.withColumn("stretch_", stretch).join(F.broadcast(stretches), "stretch_")
+    return found.select(*rows.columns, (F.col("stretch_") * step + F.size(F.filter("inner_", lambda s: s <= value))).alias("bucket_"))
 
 
 def with_next(rows: DataFrame, order: str, tie: str, derived: dict[str, Column], parts: int) -> DataFrame:
     """Adds the derived columns, and for these and the tie column ``next_<c>``: that of the next row by (order, tie), after the last the first's.
 
-    Rows are put in ``parts`` buckets at approximate quantiles of ``order`` (that many longs reach the driver), so each
-    window partition is one range; the first row of every later bucket is added to the bucket before it and dropped again.
+    Rows are put in about ``parts`` ranges of ``order``, each a window partition; the first row of every range is added to
+    the range before it and dropped again.  Rows with one value of ``order`` are in one range, which Spark sorts on disk
+    where it is large.
     """
-    spark = rows.sparkSession
-    steps = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx(order, steps, 10 * parts).alias("q")).first()["q"] if steps else None
-    bucket = _place(sorted(set(found or [])), F.col(order))
-    placed = rows.withColumn("bucket_", F.when(F.col(order).isNull(), F.lit(0)).otherwise(bucket))
-    # at most one row for each of the buckets: the id that begins it
-    heads = sorted((r["bucket_"], r["id_"]) for r in placed.groupBy("bucket_").agg(F.min(F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("id_")))["id_"].alias("id_")).collect())
-    if not heads:
-        return rows.withColumns(derived).select("*", *(F.col(c).alias(f"next_{c}") for c in (tie, *derived)))
-    before = [(heads[i - 1][0], heads[i][1]) for i in range(len(heads))]
-    links = spark.createDataFrame(before, f"bucket_ int, head_ {dict(rows.dtypes)[order]}")
-    first = placed.drop("bucket_").join(F.broadcast(links), F.col(order).eqNullSafe(F.col("head_"))).drop("head_")
-    both = placed.withColumn("added_", F.lit(False)).unionByName(first.withColumn("added_", F.lit(True))).withColumns(derived)
+    firsts = bounds(rows, order, parts)
+    spot = placed(rows, order, firsts)
+    ahead = Window.orderBy("n_")  # one row for each range
+    before = F.coalesce(F.lag("n_").over(ahead), F.max("n_").over(ahead.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    # a number and a value for each of at most MOST_RANGES ranges
+    links = firsts.select(before.cast("int").alias("bucket_"), F.col("bound_").alias("head_"))
+    heads = rows.join(F.broadcast(links), F.col(order).eqNullSafe(F.col("head_"))).groupBy("bucket_").agg(F.min_by(F.struct(*rows.columns), tie).alias("row_"))
+    both = spot.withColumn("added_", F.lit(False)).unionByName(heads.select("row_.*", "bucket_", F.lit(True).alias("added_"))).withColumns(derived)
     window = Window.partitionBy("bucket_").orderBy("added_", F.col(order).asc_nulls_first(), tie)
     return both.select("*", *(F.lead(c).over(window).alias(f"next_{c}") for c in (tie, *derived))).filter(~F.col("added_")).drop("added_", "bucket_")
 

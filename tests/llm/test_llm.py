@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import AddedToken, Tokenizer
 
@@ -458,9 +459,24 @@ def test_fingerprints_of_very_many_pieces(spark):
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 99])
 def test_places_among_splits(spark, n):
     splits = [3 * i for i in range(n)]
-    values = [-1, 0, 1, 2, 3, 29, 30, 296, 297, 500]
+    values = [None, -1, 0, 1, 2, 3, 29, 30, 296, 297, 500]
+    firsts = spark.createDataFrame([(None, 0), *((s, i + 1) for i, s in enumerate(splits))], "bound_ long, n_ long")
     df = spark.createDataFrame([(v,) for v in values], "v long")
-    assert [r[0] for r in df.select(fingerprints._place(splits, F.col("v"))).collect()] == [sum(s <= v for s in splits) for v in values]
+    found = {r["v"]: r["bucket_"] for r in fingerprints.placed(df, "v", firsts).collect()}
+    assert found == {v: sum(s <= v for s in splits) if v is not None else 0 for v in values}
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_next_rows_over_ranges(spark, kind, parts):
+    rng = random.Random(parts)
+    ids = [None] * 3 + [rng.choice([rng.randrange(10), rng.randrange(10**9)]) for _ in range(300)] + [5] * 150  # one id has a third of all rows
+    rows = [(i if i is None or kind == "long" else str(i), f"t{rng.randrange(10**6)}") for i in ids]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(5)
+    found = fingerprints.with_next(df, "doc_id", "text", {"size": F.char_length("text")}, parts).collect()
+    wanted = sorted(rows, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))
+    after = wanted[1:] + wanted[:1]
+    assert sorted(map(repr, found)) == sorted(repr(Row(doc_id=i, text=t, size=len(t), next_text=n, next_size=len(n))) for (i, t), (_, n) in zip(wanted, after))
 
 
 def test_fingerprints_add_up_in_any_order(spark):
