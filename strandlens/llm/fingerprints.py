@@ -99,10 +99,17 @@ def likeness(a: Column, b: Column) -> Column:
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: (p * q).cast("double")), F.lit(0.0), lambda acc, v: acc + v)
 
-    la, lb = lanes(a), lanes(b)
-    norm = F.sqrt(dot(la, la) * dot(lb, lb))
-    cosine = F.when(norm > 0, dot(la, lb) / norm).otherwise(F.lit(0.0))
-    return F.when(a == b, F.lit(1.0)).otherwise(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)), 6))
+    def of(x: Column) -> Column:
+        both = F.struct(dot(x["a"], x["b"]).alias("ab"), dot(x["a"], x["a"]).alias("aa"), dot(x["b"], x["b"]).alias("bb"))
+        return F.element_at(F.transform(F.array(both), cosine), 1)
+
+    def cosine(x: Column) -> Column:
+        norm = F.sqrt(x["aa"] * x["bb"])
+        return F.when(norm > 0, x["ab"] / norm).otherwise(F.lit(0.0))
+
+    # one-element arrays: the lanes, then the products, are evaluated once
+    near = F.element_at(F.transform(F.array(F.struct(lanes(a).alias("a"), lanes(b).alias("b"))), of), 1)
+    return F.when(a == b, F.lit(1.0)).otherwise(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), near)), 6))
 
 
 def bounds(rows: DataFrame, order: str, parts: int) -> DataFrame:
