@@ -16,8 +16,9 @@ def components(pairs: DataFrame) -> DataFrame:
     Null ids are ignored; repeated pairs and pairs of equal ids do no harm.
     """
     known = pairs.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    both = known.select("a", "b").unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = cut(both.unionByName(both.select("a", F.col("a").alias("b"))).distinct(), "edges")
+    # all directions of a pair at once, so that whatever finds the pairs runs once
+    ways = F.array(*(F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab"))
+    edges = cut(known.select(F.explode(ways).alias("way")).select("way.a", "way.b").distinct(), "edges")
     labels = cut(edges.groupBy("a").agg(F.min("b").alias("label")), "labels")
     seen = None
     while True:

@@ -244,7 +244,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_except(F.sequence(F.lit(0), F.col("blocks") - 1), F.array("block"))))
     dealt = dealt.withColumn("other", other)
     gkey = F.xxhash64("family", F.least("block", "other"), F.greatest("block", "other"))
-    work = dealt.select("rep", gkey.alias("gkey"))
+    # written, so that Spark knows its size: where few documents have candidates it is broadcast and the texts of others stay where they are
+    work = cut(dealt.select("rep", gkey.alias("gkey")), "work")
     texts = rows.join(work, F.col("doc_id") == F.col("rep")).select("gkey", "rep", "text")
     links = linked(texts, words, percent)
     # rows of one id with different sets are one document
@@ -252,6 +253,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     split = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z").select("doc_id", "a")
     same = own.join(split, "doc_id").select("a", F.col("rep").alias("b"))
     reached = components(links.unionByName(same)).withColumnRenamed("id", "rep")
+    drop(sized, blocks, work)
     keyed = signed.select("doc_id", "n_shingles", "set_key").join(sets.select("set_key", "rep"), "set_key", "left")
     # rows without a set (and null ids) have no rep and stand for themselves
     final = keyed.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep"))).join(reached, "rep", "left")
