@@ -205,3 +205,26 @@ def test_a_stored_index_is_not_shuffled(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "Bucketed: true" in scan and plan.count("hashpartitioning(form") == 1
+
+
+def test_pairs_within_one_edit_are_found_once(spark):
+    texts = ["", "A", "AA", "AAA", "AB", "BA", "ABA", "BAB", "ABAB", "BABA", "AABB", "ABB", "é", "éA", "AAB", "BAA", "ABC", "ACB", "A"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, seq string")
+    for metric in ("levenshtein", "hamming"):
+        near = distance.distance_join(rows, rows, 1, metric=metric, query=("id", "seq"), ref=("id", "seq"))
+        found = sorted((r["query_id"], r["ref_id"], r["dist"]) for r in near.collect())
+        allowed = [(i, j) for i, s in enumerate(texts) for j, t in enumerate(texts) if metric == "levenshtein" or len(s) == len(t)]
+        far = {(i, j): slow_levenshtein(texts[i], texts[j]) for i, j in allowed}
+        assert found == sorted((i, j, d) for (i, j), d in far.items() if d <= 1)
+    # no pair is shuffled to be told from itself, and the forms of a small table aren't broadcast
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("HashAggregate") and "BroadcastHashJoin" not in plan
+
+
+def slow_levenshtein(s, t):
+    line = list(range(len(t) + 1))
+    for i, x in enumerate(s, 1):
+        last, line[0] = line[0], i
+        for j, y in enumerate(t, 1):
+            last, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, last + (x != y))
+    return line[-1]
