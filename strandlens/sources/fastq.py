@@ -33,6 +33,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "header string, seq string, plus string, qual string"
 RANGE_BYTES = 64 << 20
+#: Tasks that a read has at most: small ranges of large files are read several by a task, since every task costs the driver its planning.
+MOST_TASKS = 2000
 #: Bytes parsed at a time; a record is never longer than what is held of the file.
 BLOCK_BYTES = 8 << 20
 NAMES = ["header", "seq", "plus", "qual"]
@@ -54,6 +56,19 @@ class FastqRange(InputPartition):
     blocked: bool = False
 
 
+@dataclass
+class FastqRanges(InputPartition):
+    """Neighbouring ranges that one task reads."""
+
+    ranges: list[FastqRange]
+
+
+def dealt(ranges: list[FastqRange]) -> list[FastqRanges]:
+    """Ranges as at most MOST_TASKS partitions, each of as many neighbouring ones as that takes."""
+    each = max(1, -(-len(ranges) // MOST_TASKS))
+    return [FastqRanges(ranges[i : i + each]) for i in range(0, len(ranges), each)]
+
+
 def paths_of(path: str) -> list[str]:
     """The files of a path: a file, a pattern, or a folder's *.fastq, *.fq and their gzipped forms."""
     path = path.removeprefix("file://")
@@ -281,10 +296,11 @@ class FastqReader(DataSourceReader):
         self.path, self.size = path, size
 
     def partitions(self) -> list[InputPartition]:
-        return ranges_of(self.path, self.size)
+        return dealt(ranges_of(self.path, self.size))
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        return read_range(partition)
+        for part in partition.ranges:
+            yield from read_range(part)
 
 
 class FastqSource(DataSource):

@@ -81,3 +81,10 @@ def test_written_files_are_read_in_several_partitions(spark, tmp_path):
     back = fastq.read_fastq(spark, str(tmp_path / "out"), rangebytes=str(1 << 17))
     assert back.rdd.getNumPartitions() >= 4
     assert back.filter("plus = '+'").select("header", "seq", "qual").exceptAll(df).isEmpty() and back.count() == 20_000
+
+
+def test_many_ranges_are_few_tasks():
+    ranges = [fastq.FastqRange("a", i, i + 1) for i in range(3 * fastq.MOST_TASKS + 5)]
+    tasks = fastq.dealt(ranges)
+    assert len(tasks) <= fastq.MOST_TASKS and [r for t in tasks for r in t.ranges] == ranges
+    assert [t.ranges for t in fastq.dealt(ranges[:7])] == [[r] for r in ranges[:7]]
