@@ -228,3 +228,25 @@ def slow_levenshtein(s, t):
         for j, y in enumerate(t, 1):
             last, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, last + (x != y))
     return line[-1]
+
+
+def test_equal_texts_are_compared_once(spark):
+    rows = spark.range(400).selectExpr("id", "array('ACGTAC', 'ACGTA', 'GGTTAA', 'ACGTTC')[int(id % 4)] AS seq")
+    seen = spark.sparkContext.accumulator(0)
+    whole = distance.distance
+
+    def counted(metric, left, right, limit=None):
+        @F.pandas_udf("string")
+        def tap(s):
+            seen.add(len(s))
+            return s
+
+        return whole(metric, tap(left), right, limit)
+
+    distance.distance = counted
+    try:
+        near = distance.distance_join(rows, rows, 2, metric="indel", query=("id", "seq"), ref=("id", "seq"))
+        assert near.count() == 100 * 100 * (4 + 2 + 2)  # ACGTAC is within two of ACGTA and of ACGTTC
+    finally:
+        distance.distance = whole
+    assert seen.value <= 4 * 4 * 4
