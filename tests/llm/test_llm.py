@@ -340,11 +340,11 @@ def test_near_duplicates(spark, k, percent):
 
 
 def test_a_group_of_near_copies_makes_a_pair_for_each_member(spark):
-    met = spark.range(100, 400).select(F.col("id").alias("rep"), F.explode(F.sequence(F.lit(0), F.lit(63))).cast("long").alias("head"))
+    met = spark.range(100, 400).select(F.col("id").alias("rep"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))).alias("head"))
     pairs = neardup.stars(met.union(spark.createDataFrame([(7, 5), (5, 5), (900, 800)], met.schema)))
     found = {r["id"]: r["component"] for r in components.components(pairs).collect()}
     assert found == {i: 0 for i in [*range(64), *range(100, 400)]} | {800: 800, 900: 800}
-    assert pairs.count() == 300 + 63 + 1  # a pair for each rep and head were 19,202
+    assert pairs.count() == 300 + 63 + 2  # a pair for each rep and head were 19,202
 
 
 def test_near_duplicates_of_odd_rows(spark):
