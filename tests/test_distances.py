@@ -1,5 +1,6 @@
 """Distances of whole batches against loops over one pair, and the joins that know nothing of a metric, or keep an index."""
 
+import itertools
 import random
 
 import pyarrow as pa
@@ -250,3 +251,15 @@ def test_equal_texts_are_compared_once(spark):
     finally:
         distance.distance = whole
     assert seen.value <= 4 * 4 * 4
+
+
+def test_pairs_within_two_edits_are_found_once(spark):
+    """All short texts of two letters and random ones of three: every pair once, with its distance, and none is compared afterwards."""
+    rng = random.Random(5)
+    texts = sorted({"".join(t) for n in range(6) for t in itertools.product("AB", repeat=n)} | {"".join(rng.choices("ABC", k=rng.randint(3, 8))) for _ in range(120)})
+    q = spark.createDataFrame(list(enumerate(texts)), "query_id long, query_seq string")
+    r = q.toDF("ref_id", "ref_seq").filter("ref_id % 7 <> 3")
+    found = distance.distance_join(q, r, 2)
+    assert "levenshtein" not in found._jdf.queryExecution().optimizedPlan().toString()
+    pairs = ((i, j, edits(a, b)[-1][-1]) for i, a in enumerate(texts) for j, b in enumerate(texts) if j % 7 != 3 and abs(len(a) - len(b)) <= 2)
+    assert sorted(map(tuple, found.select("query_id", "ref_id", "dist").collect())) == sorted(p for p in pairs if p[2] <= 2)
