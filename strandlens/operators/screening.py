@@ -17,6 +17,8 @@ from ..session import settled
 from .distance import distance_join
 from .ranks import global_rank
 
+#: Bases of the pieces by which barcodes are looked for.
+PIECE = 4
 OUTCOMES = ("total_reads", "profile_not_found", "quality_filtered", "profile_ambiguous", "stock_unknown", "stock_ambiguous", "stock_assigned")
 
 
@@ -74,7 +76,7 @@ def match_stocks(barcodes: DataFrame, refs: DataFrame, most: int = 0) -> DataFra
     exact = distance_join(asked, named, 0, keys=["profile"], query=("bc_seq", "bc_seq"), ref=("ref", "ref_seq"))
     if most > 0:
         rest = asked.join(exact.select("profile", F.col("query_seq").alias("bc_seq")).distinct(), ["profile", "bc_seq"], "left_anti")
-        exact = exact.unionByName(distance_join(rest, named, most, keys=["profile"], scope="min", query=("bc_seq", "bc_seq"), ref=("ref", "ref_seq")))
+        exact = exact.unionByName(distance_join(rest, named, most, keys=["profile"], scope="min", piece=PIECE, query=("bc_seq", "bc_seq"), ref=("ref", "ref_seq")))
     name = F.when(F.col("dist") == 0, F.col("ref_id.ref_name")).otherwise(F.concat_ws("_", F.col("ref_id.ref_name"), substitution_suffix(F.col("ref_seq"), F.col("query_seq"))))
     return exact.groupBy("profile", F.col("query_seq").alias("bc_seq")).agg(
         F.array_sort(F.collect_set(name)).alias("ref_match"), F.array_sort(F.collect_set("ref_id.stock")).alias("stock"), F.min("dist").alias("ldist")
@@ -92,7 +94,8 @@ def resolve(classified: DataFrame, refs: DataFrame, most: int = 0) -> DataFrame:
     names = F.array_sort(F.col("hits")["profile"])
     rows = counted.select("profile_outcome", names.alias("profiles"), "bc_count", F.explode_outer("hits").alias("hit"))
     rows = rows.select("profile_outcome", "profiles", "bc_count", "hit.profile", F.col("hit.structure").alias("structure"), "hit.bc_seq")
-    matched = match_stocks(rows, refs, most)
+    # settled, since reports read the matches of a total and once more of their rows
+    matched = settled(match_stocks(rows, refs, most))
     rows = rows.join(matched, ["profile", "bc_seq"], "left")
     n = F.coalesce(F.size("stock"), F.lit(0))
     one = F.col("profile_outcome") == "profile_classified"

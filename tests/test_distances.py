@@ -263,3 +263,34 @@ def test_pairs_within_two_edits_are_found_once(spark):
     assert "levenshtein" not in found._jdf.queryExecution().optimizedPlan().toString()
     pairs = ((i, j, edits(a, b)[-1][-1]) for i, a in enumerate(texts) for j, b in enumerate(texts) if j % 7 != 3 and abs(len(a) - len(b)) <= 2)
     assert sorted(map(tuple, found.select("query_id", "ref_id", "dist").collect())) == sorted(p for p in pairs if p[2] <= 2)
+
+
+@pytest.mark.parametrize("metric", ["levenshtein", "hamming"])
+@pytest.mark.parametrize("piece", [2, 3, 4])
+def test_pairs_within_one_edit_by_pieces(spark, metric, piece):
+    dice = random.Random(piece)
+    # runs and short texts, so that an edit may be at several places and in several pieces
+    texts = ["".join(dice.choice("AAC") for _ in range(dice.randrange(13))) for _ in range(150)]
+    rows = [(i % 2, i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "sample int, id int, seq string")
+    limits = dict(keys=["sample"], metric=metric, piece=piece, query=("id", "seq"), ref=("id", "seq"))
+    found = [(r["query_id"], r["ref_id"], r["dist"]) for r in distance.distance_join(df, df, 1, **limits).collect()]
+    near = LOOPS["levenshtein"] if metric == "levenshtein" else lambda a, b: sum(x != y for x, y in zip(a, b, strict=True)) if len(a) == len(b) else 9
+    wanted = [(i, j, near(a, b)) for (k, i, a), (m, j, b) in itertools.product(rows, rows) if k == m and near(a, b) <= 1]
+    assert sorted(found) == sorted(wanted)
+    texts_as_ids = distance.distance_join(df, df, 1, **(limits | dict(query=("seq", "seq"), ref=("id", "seq")))).collect()
+    assert sorted((r["query_id"], r["ref_id"], r["dist"]) for r in texts_as_ids) == sorted({(texts[i], j, d) for i, j, d in wanted})
+
+
+def test_two_texts_are_given_to_an_own_metric_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def metric(a, b):
+        calls.add(1)
+        return catalog.weighted_changes(a, b)
+
+    texts = ["".join(t) for t in itertools.product("AG", repeat=4)]
+    df = spark.createDataFrame([(i, t) for t in texts for i in range(texts.index(t) * 3, texts.index(t) * 3 + 3)], "id int, seq string")
+    found = distance.distance_join(df, df, 4, metric=metric, query=("id", "seq"), ref=("id", "seq"), is_metric=True)
+    assert found.count() == (3 * 16) ** 2
+    assert calls.value <= 16 * 17 // 2 + 16 * 16  # each pair, and the texts against landmarks
