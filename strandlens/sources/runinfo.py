@@ -81,9 +81,15 @@ def runs_from_sheet(table: DataFrame, cells: DataFrame) -> DataFrame:
 
 def runinfo_from_long(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(runs, samples) rebuilt from the long table; a sample with two different values of a column raises when read."""
-    runs = df.groupBy("run_id").agg(*(one_value(c).alias(c) for c in ("run_number", "run_name", "run_date")))
+
+    def different(*names: str) -> DataFrame:
+        # the least and the greatest text of a group are found in sorted rows: only rows that differ are sorted.  The count
+        # is asked for, since the optimizer would take out a distinct
+        return df.groupBy(*names).agg(F.count(F.lit(1)).alias("rows_")).filter("rows_ > 0")
+
+    runs = different("run_id", "run_number", "run_name", "run_date").groupBy("run_id").agg(*(one_value(c).alias(c) for c in ("run_number", "run_name", "run_date")))
     columns = ("idx_name", "samp_group", "samp_name", "samp_date")
-    samples = df.groupBy("run_id", "sample_id").agg(*(one_value(c).alias(c) for c in columns), one_value("input").cast("double").alias("input"))
+    samples = different("run_id", "sample_id", *columns, "input").groupBy("run_id", "sample_id").agg(*(one_value(c).alias(c) for c in columns), one_value("input").cast("double").alias("input"))
     p5 = F.substring_index("idx_name", "_", 1)
     p7 = F.when(F.contains("idx_name", F.lit("_")), F.regexp_replace("idx_name", "^[^_]*_", ""))
     return runs, samples.withColumn("p5_name", p5).withColumn("p7_name", p7)

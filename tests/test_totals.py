@@ -110,3 +110,14 @@ def test_latest_rows_of_a_hot_key(spark):
     rows = [("hot", i % 5, None if i % 3 == 0 else i, i) for i in range(500)] + [("x", None, None, 0), ("x", None, None, 1), (None, 1, 1, 2), (None, 0, 9, 3)]
     found = counting.latest_rows(spark.createDataFrame(rows, "k string, a int, b int, i int"), "k", ["a", "b"])
     assert sorted((str(r["k"]), r["i"]) for r in found.collect()) == [("None", 2), ("hot", 499), ("x", 0), ("x", 1)]
+
+
+def test_samples_are_told_apart_before_their_texts_are_sorted(spark):
+    from strandlens.sources.runinfo import runinfo_from_long
+
+    columns = ("run_id", "run_number", "run_name", "run_date", "sample_id", "idx_name", "samp_group", "samp_name", "samp_date")
+    rows = [(*(f"{c}{i % 3}" if c == "sample_id" else c for c in columns), 20.0) for i in range(30)]
+    long = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns) + ", input double")
+    for found, n in zip(runinfo_from_long(long), (1, 3), strict=True):
+        assert found.count() == n
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # different rows first
