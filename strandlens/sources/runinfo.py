@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import date_text, filled, index_key, input_amount, joined_id, label_text
+from ..session import stored
 from .workbook import CELLS, header_table, read_cells, value_below
 
 #: The metadata sheet's own columns.
@@ -57,7 +58,7 @@ def sheet_cells(spark: SparkSession, path: str) -> DataFrame:
     """The cells of a run's metadata: a workbook's first sheet, or a CSV with the same columns."""
     if path.lower().endswith(".xlsx"):
         files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("modificationTime").alias("modified"), "content")
-        return read_cells(files)
+        return stored(read_cells(files))  # read for the headings, the rows and what is below
     table = spark.read.csv(path, header=True)
     lines = [table.columns, *(list(r) for r in table.collect())]  # one run's sheet
     return spark.createDataFrame([("sheet", None, 0, "info", r, c, str(v)) for r, line in enumerate(lines) for c, v in enumerate(line) if v is not None], CELLS)

@@ -3,15 +3,17 @@
 A workbook is a zip of XML sheets.  Reading gives cells (file, sheet, sheet_no,
 row, col, value), 0-based, so that everything after that is relational; files
 come through Spark's binary reader, so they can lie in any store.  Workbooks are
-small reports: each is read by one task.
+reports: each is read by one task, a row of a sheet at a time.
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -32,31 +34,45 @@ def column_number(ref: str) -> int:
     return n - 1
 
 
+def _elements(f: IO[bytes], name: str, within: str) -> Iterator[ElementTree.Element]:
+    """The elements of a name as they end; what is read goes whenever an element called `within` ends."""
+    opened: list[ElementTree.Element] = []
+    for event, e in ElementTree.iterparse(f, ("start", "end")):
+        if event == "start":
+            opened.append(e)
+            continue
+        opened.pop()
+        if e.tag == name:
+            yield e
+        if e.tag == within and opened:
+            opened[-1].clear()
+
+
 def cells_of(raw: bytes) -> Iterator[tuple[int, str, int, int, str]]:
-    """(sheet number, sheet, row, column, text) of every filled cell."""
+    """(sheet number, sheet, row, column, text) of every filled cell; a row of a sheet is held at a time."""
     with zipfile.ZipFile(io.BytesIO(raw)) as z:
         strings: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
-            for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")):
-                strings.append("".join(t.text or "" for t in si.iter(f"{_NS}t")))
+            with z.open("xl/sharedStrings.xml") as f:
+                strings += ("".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in _elements(f, f"{_NS}si", f"{_NS}si"))
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         for number, sheet in enumerate(ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_NS}sheet")):
             target = targets[sheet.get(_REL)].lstrip("/")
-            root = ElementTree.fromstring(z.read(target if target.startswith("xl/") else f"xl/{target}"))
-            for c in root.iter(f"{_NS}c"):
-                kind, v = c.get("t"), c.find(f"{_NS}v")
-                if kind == "inlineStr":
-                    text = "".join(t.text or "" for t in c.iter(f"{_NS}t"))
-                elif v is None or v.text is None:
-                    continue
-                elif kind == "s":
-                    text = strings[int(v.text)]
-                elif kind == "b":
-                    text = "True" if v.text == "1" else "False"
-                else:
-                    text = v.text
-                ref = c.get("r")
-                yield number, sheet.get("name"), int(re.search(r"\d+", ref)[0]) - 1, column_number(ref), text
+            with z.open(target if target.startswith("xl/") else f"xl/{target}") as f:
+                for c in _elements(f, f"{_NS}c", f"{_NS}row"):
+                    kind, v = c.get("t"), c.find(f"{_NS}v")
+                    if kind == "inlineStr":
+                        text = "".join(t.text or "" for t in c.iter(f"{_NS}t"))
+                    elif v is None or v.text is None:
+                        continue
+                    elif kind == "s":
+                        text = strings[int(v.text)]
+                    elif kind == "b":
+                        text = "True" if v.text == "1" else "False"
+                    else:
+                        text = v.text
+                    ref = c.get("r")
+                    yield number, sheet.get("name"), int(re.search(r"\d+", ref)[0]) - 1, column_number(ref), text
 
 
 def write_workbook(path: str, sheets: dict[str, list[list[object]]]) -> None:
@@ -114,6 +130,8 @@ class WorkbookError(ValueError):
 
 #: The sheet number of the one cell that an unreadable workbook gives: the reason.
 UNREADABLE = -1
+#: Cells that a task holds at a time.
+CELLS_AT_ONCE = 1 << 14
 
 
 def read_cells(books: DataFrame) -> DataFrame:
@@ -122,11 +140,15 @@ def read_cells(books: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, modified, raw in frame.itertuples(index=False):
+                raw = bytes(raw)
                 try:
-                    rows = [(name, modified, n, s, r, c, v) for n, s, r, c, v in cells_of(bytes(raw))]
+                    for _ in cells_of(raw):  # none of its cells are given out before all can be read
+                        pass
+                    cells = cells_of(raw)
                 except Exception as e:
-                    rows = [(name, modified, UNREADABLE, None, 0, 0, f"not a workbook ({type(e).__name__}: {e})")]
-                yield pd.DataFrame(rows, columns=["file", "modified", "sheet_no", "sheet", "row", "col", "value"])
+                    cells = iter([(UNREADABLE, None, 0, 0, f"not a workbook ({type(e).__name__}: {e})")])
+                while rows := [(name, modified, *cell) for cell in itertools.islice(cells, CELLS_AT_ONCE)]:
+                    yield pd.DataFrame(rows, columns=["file", "modified", "sheet_no", "sheet", "row", "col", "value"])
 
     return books.select("filename", "modified", "content").mapInPandas(run, CELLS)
 

@@ -1,7 +1,10 @@
 """Workbooks that tasks write, and the store of runs."""
 
+import datetime
 import os
 import re
+import tracemalloc
+import zipfile
 
 import pytest
 from pyspark.sql import DataFrame
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandlens.plans import compile as compiled
 from strandlens.plans import sinks
-from strandlens.sources import sheets, workbook
+from strandlens.sources import runinfo, sheets, workbook
 
 
 def cells(path):
@@ -95,3 +98,41 @@ def test_only_partitions_of_changed_runs_are_written(spark, tmp_path):
     read = compiled.stored_rows(spark, store, ["08"])
     assert re.search(r"PartitionFilters: \[[^\]]*run_number", read._jdf.queryExecution().executedPlan().toString())
     assert {r["sample_id"] for r in read.collect()} == {"A::s1::2020-01-02::08"}
+
+
+def _sheet(path, rows):
+    workbook.write_workbook(str(path), {"info": [["a", "b", "c"], *([f"x{i}", i, None if i % 2 else f"y{i}"] for i in range(rows))]})
+    return path.read_bytes()
+
+
+def test_sheets_are_read_row_by_row(tmp_path):
+    def most(rows):
+        raw = _sheet(tmp_path / f"{rows}.xlsx", rows)
+        tracemalloc.start()
+        n = sum(1 for _ in workbook.cells_of(raw))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n == 3 + 2 * rows + (rows + 1) // 2
+        return peak
+
+    small, large = most(500), most(10_000)
+    assert large < small + 1_000_000
+
+
+def test_a_sheet_that_breaks_off_gives_its_reason_only(spark, tmp_path):
+    whole = tmp_path / "whole.xlsx"
+    _sheet(whole, 3000)
+    with zipfile.ZipFile(whole) as z, zipfile.ZipFile(tmp_path / "cut.xlsx", "w") as out:
+        for name in z.namelist():
+            text = z.read(name)
+            out.writestr(name, text[: len(text) // 2] if "worksheets" in name else text)
+    books = [(n, datetime.datetime(2021, 1, 1), (tmp_path / n).read_bytes()) for n in ("whole.xlsx", "cut.xlsx")]
+    found = workbook.read_cells(spark.createDataFrame(books, "filename string, modified timestamp, content binary")).collect()
+    assert sum(r["file"] == "whole.xlsx" for r in found) == 3 + 6000 + 1500
+    assert [(r["sheet_no"], r["value"].split(" (")[0]) for r in found if r["file"] == "cut.xlsx"] == [(workbook.UNREADABLE, "not a workbook")]
+
+
+def test_a_metadata_sheet_is_parsed_once(spark, tmp_path):
+    _sheet(tmp_path / "info.xlsx", 5)
+    plan = runinfo.sheet_cells(spark, str(tmp_path / "info.xlsx"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan
