@@ -334,49 +334,57 @@ def read_fastq_text(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
 
-    def split(key: tuple[str, int], opening: bool, lines: list[str], closing: bool) -> tuple[list[tuple], list[str]]:
-        """(rows, lines held back) of a split's next lines; the first row of an opening and the last of a closing one are edges."""
-        rows, at = [], 0
+    def batch_of(key: tuple[str, int], edges: list[tuple[int, list[str]]], records: list[str]) -> pa.RecordBatch:
+        """Edges (which, lines) and the lines of whole records of a split as rows."""
+        m, n = len(edges), len(records) // 4
+        columns = [pa.repeat(pa.scalar(key[0], pa.string()), m + n), pa.repeat(pa.scalar(key[1], pa.int64()), m + n)]
+        columns += [pa.array([e[0] for e in edges] + [None] * n, pa.int32()), pa.array([e[1] for e in edges] + [None] * n, pa.list_(pa.string()))]
+        columns += [pa.array([None] * m + records[k::4], pa.string()) for k in range(4)]
+        return pa.RecordBatch.from_arrays(columns, ["file", "start", "edge", "lines", *NAMES])
+
+    def split(key: tuple[str, int], opening: bool, lines: list[str], closing: bool, wanted: bool) -> tuple[pa.RecordBatch, list[str]]:
+        """(edges or records, lines held back) of a split's next lines; an opening has an edge before its records and a closing one after them."""
+        edges, at = [], 0
         if opening and key[1] > 0:
             at = next((k for k in range(len(lines) - 3) if lines[k][:1] == "@" and lines[k + 2][:1] == "+" and len(lines[k + 1]) == len(lines[k + 3])), len(lines))
-            rows.append((*key, 0, lines[:at], None, None, None, None))
+            edges.append((0, lines[:at]))
         end = at + (len(lines) - at) // 4 * 4
-        rows += [(*key, None, None, *lines[k : k + 4]) for k in range(at, end, 4)]
         if closing:
-            rows.append((*key, 1, lines[end:], None, None, None, None))
-        return rows, lines[end:]
+            edges.append((1, lines[end:]))
+        return batch_of(key, *((edges, []) if wanted else ([], lines[at:end]))), lines[end:]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
         now, held, opening = None, [], True
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), *[pa.string()] * 4)
-            columns = zip(*rows, strict=True) if rows else [[]] * 8
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["file", "start", "edge", "lines", *NAMES])
-
         for batch in batches:
-            keys = list(zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True))
-            texts = [t.rstrip("\r") for t in batch.column("value").to_pylist()]
-            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            if not len(batch):
+                continue
+            # splits follow each other: their places are looked at as columns, not line by line
+            files, starts = batch.column("file").dictionary_encode(), batch.column("start").to_numpy()
+            codes = files.indices.to_numpy()
+            cuts = [0, *(np.flatnonzero((codes[1:] != codes[:-1]) | (starts[1:] != starts[:-1])) + 1).tolist(), len(batch)]
+            texts = pc.utf8_rtrim(batch.column("value"), characters="\r").to_pylist()
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if keys[a] != now:
+                key = (files.dictionary[codes[a]].as_py(), int(starts[a]))
+                if key != now:
                     if now is not None:
-                        yield batch_of(split(now, opening, held, True)[0])
-                    now, held, opening = keys[a], [], True
+                        yield split(now, opening, held, True, edges)[0]
+                    now, held, opening = key, [], True
                 held += texts[a:b]
                 if len(held) > 64:  # enough to find a record in
-                    rows, held = split(now, opening, held, False)
+                    rows, held = split(now, opening, held, False, edges)
                     opening = False
-                    yield batch_of(rows)
+                    yield rows
         if now is not None:
-            yield batch_of(split(now, opening, held, True)[0])
+            yield split(now, opening, held, True, edges)[0]
+
+    def passed(edges: bool) -> DataFrame:
+        return lines.mapInArrow(lambda batches: run(batches, edges), "file string, start long, edge int, lines array<string>, header string, seq string, plus string, qual string")
 
-    rows = lines.mapInArrow(run, "file string, start long, edge int, lines array<string>, header string, seq string, plus string, qual string")
     # a few lines of each split: the table of edges is small beside the reads, and a file's edges are put in order
-    edges = rows.filter("edge IS NOT NULL").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("start", "edge", "lines"))).alias("edges"))
+    edges = passed(True).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("start", "edge", "lines"))).alias("edges"))
     joined = edges.select(F.flatten(F.transform("edges", lambda e: e["lines"])).alias("lines"))
     joined = joined.withColumn("lines", F.filter("lines", lambda x: F.trim(x) != "")).withColumn("n", F.size("lines"))
     bad = F.when(F.col("n") % 4 != 0, F.raise_error(F.lit("a file ends inside a record"))).otherwise(F.col("n")).cast("int")
     starts = F.when(bad > 0, F.sequence(F.lit(1), F.greatest(bad, F.lit(1)), F.lit(4))).otherwise(F.array().cast("array<int>"))
     pieced = joined.select("lines", F.explode(starts).alias("i")).select(*(F.element_at("lines", F.col("i") + k).alias(c) for k, c in enumerate(NAMES)))
-    return rows.filter("edge IS NULL").select(*NAMES).unionByName(pieced)
+    return passed(False).select(*NAMES).unionByName(pieced)

@@ -88,3 +88,19 @@ def test_many_ranges_are_few_tasks():
     tasks = fastq.dealt(ranges)
     assert len(tasks) <= fastq.MOST_TASKS and [r for t in tasks for r in t.ranges] == ranges
     assert [t.ranges for t in fastq.dealt(ranges[:7])] == [[r] for r in ranges[:7]]
+
+
+def test_text_form_over_splits_of_all_sizes(spark, tmp_path):
+    """Records and edges are two passes, in which every record is found once, wherever files are split."""
+    path = tmp_path / "r.fastq"
+    n = 400
+    path.write_text("".join(f"@r{i}\n{'ACGT' * (i % 9 + 1)}\n+\n{'@+I#' * (i % 9 + 1)}\r\n" for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (700, 3001, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            df = fastq.read_fastq_text(spark, str(path))
+            assert "Filter isn" not in df._jdf.queryExecution().optimizedPlan().toString()  # no pass makes rows that it drops
+            assert sorted(tuple(r) for r in df.collect()) == sorted((f"@r{i}", "ACGT" * (i % 9 + 1), "+", "@+I#" * (i % 9 + 1)) for i in range(n))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
