@@ -57,3 +57,38 @@ def test_stored_rows_keep_types_and_nulls(spark):
     kept = stored(df)
     assert kept.dtypes == df.dtypes and sorted(map(str, kept.collect())) == sorted(map(str, df.collect()))
     assert stored(df.withColumn("v", F.lit(None))).columns == ["a", "b", "c", "v"]
+
+
+@pytest.mark.parametrize("largest", [1 << 16, 8])
+def test_a_sample_meets_in_one_place_unless_it_is_large(spark, monkeypatch, largest):
+    """Parents and cores of samples with repeated barcodes, held against all pairs, by whole samples and by halves."""
+    monkeypatch.setattr(parents, "CELL_ROWS", largest)
+    rng = random.Random(5)
+    rows = [(rng.choice("ghi"), f"{rng.choice(['Unique', 'B'])}.{rng.randint(0, 200)}", "".join(rng.choice("ACGT") for _ in range(rng.choice([2, 3, 5, 6, 7]))), rng.randint(1, 9)) for _ in range(400)]
+    rows += [(g, name, seq, n + 1) for g, name, seq, n in rows[:20]]
+    df = spark.createDataFrame(rows, ROWS.replace("g string", "sample_id string"))
+    kept = {}
+    for g, name, seq, n in rows:
+        kept[g, name, seq] = max(n, kept.get((g, name, seq), 0))
+    wanted = {}
+    for core in (False, True):
+        hits = {}
+        for (g, name, seq), n in kept.items():
+            refs = [(-m, s, r) for (h, r, s), m in kept.items() if h == g and r[0] == "B" and r != name]
+            fit = [r for r in refs if near(seq, r[1]) and (name[0] == "U" or -r[0] > n)]
+            if core and name[0] == "U" and not fit:
+                parts = {seq[i : i + 3] for i in range(len(seq) - 2)}
+                fit = [r for r in refs if r[1][1:4] and any(near(p, r[1][1:4]) for p in parts)]
+                mark = "core"
+            else:
+                mark = "x"
+            if fit:
+                hits.setdefault((mark, g, name), []).append((-n, seq, min(fit)[2]))
+        wanted[core] = {(g, name, f"{min(found)[2]}_{mark}") for (mark, g, name), found in hits.items()}
+    for core in (False, True):
+        found = parents.flag_parents(df, core=(1, 3) if core else None, suffix=lambda parent, child: F.lit("x"))
+        assert {tuple(r) for r in found.filter("putative_parent IS NOT NULL").select("sample_id", "bc_name", "putative_parent").distinct().collect()} == wanted[core]
+    assert len(wanted[True]) > len(wanted[False]) > 50
+    # before, every barcode was joined by forms of its pieces
+    plan = parents.flag_parents(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and plan.count("Join ") == 2
