@@ -35,10 +35,11 @@ OLD_TOTALS = ("Sequencer Input", "Total # Sequences", "# of Barcodes (Excluding
 OLD_NO_PARENT = "NA-NA"
 
 
-def write_long(df: DataFrame, path: str, form: str = "csv") -> None:
-    """The long table without private columns, as CSV or Parquet."""
-    out = df.drop(*PRIVATE)
-    (out.write.mode("overwrite").option("header", True).csv if form == "csv" else out.write.mode("overwrite").parquet)(path)
+def write_long(df: DataFrame, path: str, form: str = "csv", compression: str | None = None) -> None:
+    """The long table without private columns, as CSV (plain, unless a compression is named) or Parquet."""
+    out = df.drop(*PRIVATE).write.mode("overwrite")
+    out = out.option("compression", compression) if compression else out
+    (out.option("header", True).csv if form == "csv" else out.parquet)(path)
 
 
 def fixed_lines(spark: SparkSession, rows: Sequence[Sequence[object]]) -> DataFrame:
